@@ -7,8 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineflow.llm import simhash
-from lineflow.llm.common import table
+from lineflow.llm import langid, quality, simhash
+from lineflow.llm.common import cut, held_out, table
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the documents that aren't held out; predicts every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~held_out(F.col("doc_id"))))
+    found = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), langid.predict(docs, model).alias("x"))
+    return found.select("doc_id", "held_out", "x.lang_pred", "x.score")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +25,18 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex(F.col("fp")[0]), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the labelled documents that aren't held out; scores every document."""
+    stats = cut(quality.features(table(spark, sf_dir, "documents")))
+    model = quality.learn(None, table(spark, sf_dir, "labels"), stats)
+    found = quality.scored(stats, model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op4_simhash": op4_simhash,
+    "op5_quality": op5_quality,
 }
 
 ORACLES: dict[str, str] = {}
