@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineflow.llm import langid, quality, simhash
+from lineflow.llm import langid, packing, quality, records, simhash
 from lineflow.llm.common import cut, held_out, table
 
 
@@ -33,10 +33,23 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes all documents as record files and reads the files back."""
+    _, index = records.write_with_index(table(spark, sf_dir, "documents"))
+    return records.numbered(index).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packs all documents into sequences of 2048 ids."""
+    return packing.pack(table(spark, sf_dir, "documents"), 2048).drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
+    "op6_token_records": op6_token_records,
+    "op9_packing": op9_packing,
 }
 
 ORACLES: dict[str, str] = {}

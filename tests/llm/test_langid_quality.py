@@ -1,0 +1,101 @@
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lineflow.llm import langid, quality
+from lineflow.llm.queries import QUERIES
+
+
+def out(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def test_language_query(spark, sf_dir):
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = QUERIES["op1_language_id"](spark, sf_dir).collect()
+    assert len(got) == len(truth) and all(r.held_out == out(r.doc_id) and 0 <= r.score <= 1 for r in got)
+    held = [r for r in got if r.held_out]
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.93
+    assert {r.lang_pred for r in got} <= set(truth.values())
+
+
+def test_language_counts_equal_plain_counts(spark):
+    texts = ["abcab a", "bca", "ça va"]
+    rows = spark.createDataFrame([(t, lang) for t, lang in zip(texts, "xyx")], "text string, lang string")
+    langs, logp = langid.fit(rows)
+    assert langs == ["x", "y"]
+    bucket, _ = langid._slices(["bca"]).__next__()
+    n = np.bincount(bucket, minlength=langid.BUCKETS) + langid.SMOOTHING
+    assert np.allclose(logp[1, :-1], np.log(n / n.sum()))
+    assert np.isclose(np.exp(logp[0, -1]), 2 / 3)
+    found, score = langid.score_texts(texts, (langs, logp))
+    plain = []
+    for t in texts:
+        b = np.concatenate([x for x, _ in langid._slices([t])])
+        plain.append(langs[int(np.argmax([logp[k][b].mean() * min(len(b), langid.EVIDENCE) + logp[k][-1] for k in range(2)]))])
+    assert found == plain and ((score > 0) & (score <= 1)).all()
+
+
+def test_language_long_text_equals_its_parts(monkeypatch):
+    text = "the quick brown fox jumps over the lazy dog and runs " * 300
+    whole = np.bincount(np.concatenate([b for b, _ in langid._slices([text])]), minlength=langid.BUCKETS)
+    monkeypatch.setattr(langid, "SLICE", 1000)
+    cut = np.bincount(np.concatenate([b for b, _ in langid._slices([text])]), minlength=langid.BUCKETS)
+    assert abs(whole - cut).sum() < 0.01 * whole.sum()
+
+
+def test_language_odd_texts(spark, odd_docs, no_docs):
+    model = langid.fit(odd_docs)
+    got = odd_docs.withColumn("x", langid.predict(odd_docs, model)).collect()
+    assert all((r.x.lang_pred == "und") == (r.doc_id in (1, 2, 3)) for r in got)
+    assert langid.fit(no_docs) is None
+    assert {r.x.lang_pred for r in odd_docs.withColumn("x", langid.predict(odd_docs, None)).collect()} == {"und"}
+    kept = langid.keep_identified(odd_docs, odd_docs)
+    assert kept.columns == odd_docs.columns and kept.where("doc_id in (1, 2, 3)").count() == 0
+    assert langid.keep_identified(no_docs, no_docs).count() == 0
+
+
+def test_quality_query(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    got = QUERIES["op5_quality"](spark, sf_dir).collect()
+    assert len(got) == 1000
+    assert all(r.held_out == out(r.doc_id) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
+    held = [(r.predicted, truth[r.doc_id]) for r in got if r.held_out and r.doc_id in truth]
+    assert np.mean([a == b for a, b in held]) > 0.9
+
+
+def test_quality_fit_equals_one_ridge_regression(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, quality.N_STATS)).astype(np.float32)
+    y = (x[:, 0] + rng.normal(size=300) > 0).astype(int)
+    stats = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "doc_id long, stats array<float>").repartition(5)
+    labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "doc_id long, quality int")
+    model = quality.fit(stats, labels)
+    z = model.fourier(x.astype(float))
+    penalty = quality.RIDGE * 300 * np.diag([*[1.0] * quality.FEATURES, 0.0])
+    assert np.allclose(z @ model.weights, z @ np.linalg.solve(z.T @ z + penalty, z.T @ y), atol=1e-4)
+    assert (np.diff(model.value) >= 0).all()
+
+
+def test_pooling_equals_brute_force():
+    rng = np.random.default_rng(8)
+    for _ in range(20):
+        v, w = rng.random(12), rng.integers(1, 5, 12).astype(float)
+        # max over left ends of min over right ends of the weighted mean
+        brute = [max(min(np.average(v[a : b + 1], weights=w[a : b + 1]) for b in range(i, 12)) for a in range(i + 1)) for i in range(12)]
+        assert np.allclose(quality.pool(v, w), brute)
+
+
+@pytest.mark.parametrize("labels", [[], [(4, 1, 0), (6, 1, None), (6, None, 0), (99, 0, 0)]])
+def test_quality_odd_texts(spark, odd_docs, no_docs, labels):
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = quality.learn(odd_docs, marks)
+    got = odd_docs.withColumn("s", quality.score(odd_docs, model)).collect()
+    assert len(got) == 10 and all(0 <= r.s <= 1 for r in got)
+    assert quality.scored(quality.features(no_docs), model).count() == 0
+    again = {(r.doc_id, r.score) for r in quality.scored(quality.features(odd_docs), model).collect()}
+    assert all(any(r.doc_id == d and abs(r.s - s) < 1e-3 for d, s in again) for r in got)
+    assert spark.range(1).select(F.lit(1)).count() == 1
