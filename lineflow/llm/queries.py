@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineflow.llm import langid, packing, quality, records, simhash
+from lineflow.llm import langid, packing, pii, preference, quality, records, simhash
 from lineflow.llm.common import cut, held_out, table
 
 
@@ -39,17 +39,59 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.numbered(index).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of every whole text, and the spans of revealing terms."""
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda k: F.size(F.filter("__base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{pii.KINDS[k]}")
+    return found.select("doc_id", *map(count, range(4)), F.sha2(pii.spans_string(F.col("__base")), 256).alias("base_sha256"), pii.spans_string(F.col("__spans")).alias("spans"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packs all documents into sequences of 2048 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), 2048).drop("ids")
 
 
+def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations 2k and 2k + 1 as chosen and rejected: the table has no marks of preference."""
+    return preference.format_pairs(preference.adjacent_pairs(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
     "op6_token_records": op6_token_records,
+    "op7_pii": op7_pii,
     "op9_packing": op9_packing,
+    "op10_preference": op10_preference,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_preference": """
+with t as (
+  select pair_id, side, row_number() over (partition by pair_id, side order by turn, role, text) as n, role,
+         '<|' || role || '|>' || chr(10) as head, text || '<|end|>' || chr(10) as body, text
+  from (select distinct conv_id // 2 as pair_id, conv_id % 2 as side, turn, role, text from conversations)
+),
+both as (
+  select pair_id, n, coalesce(a.role = b.role and a.text = b.text, false) as same
+  from (select * from t where side = 0) a full join (select * from t where side = 1) b using (pair_id, n)
+),
+sides as (select pair_id, count(distinct side) as k from t group by 1),
+prefix as (
+  select pair_id, case when k = 2 then coalesce(min(n) filter (not same) - 1, max(n)) else 0 end as p
+  from both join sides using (pair_id) group by pair_id, k
+),
+parts as (
+  select pair_id, side, p,
+         coalesce(string_agg(head || body, '' order by n) filter (n <= p), '') as prompt,
+         coalesce(string_agg(head || body, '' order by n) filter (n > p), '') as completion,
+         coalesce(string_agg(repeat('0', length(head)) || repeat(case when role = 'assistant' then '1' else '0' end, length(body)), '' order by n) filter (n > p), '') as mask
+  from t join prefix using (pair_id) group by pair_id, side, p
+)
+select pair_id, coalesce(max(prompt) filter (side = 0), '') as prompt, cast(max(p) as integer) as n_prompt_turns,
+       max(completion) filter (side = 0) as chosen, max(mask) filter (side = 0) as chosen_mask,
+       max(completion) filter (side = 1) as rejected, max(mask) filter (side = 1) as rejected_mask
+from parts group by pair_id
+""",
+}
