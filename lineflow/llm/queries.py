@@ -73,14 +73,14 @@ with t as (
          '<|' || role || '|>' || chr(10) as head, text || '<|end|>' || chr(10) as body, text
   from (select distinct conv_id // 2 as pair_id, conv_id % 2 as side, turn, role, text from conversations)
 ),
-both as (
+matched as (
   select pair_id, n, coalesce(a.role = b.role and a.text = b.text, false) as same
   from (select * from t where side = 0) a full join (select * from t where side = 1) b using (pair_id, n)
 ),
 sides as (select pair_id, count(distinct side) as k from t group by 1),
 prefix as (
   select pair_id, case when k = 2 then coalesce(min(n) filter (not same) - 1, max(n)) else 0 end as p
-  from both join sides using (pair_id) group by pair_id, k
+  from matched join sides using (pair_id) group by pair_id, k
 ),
 parts as (
   select pair_id, side, p,

@@ -1,0 +1,127 @@
+import hashlib
+import math
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from lineflow.llm import pii
+from lineflow.llm.queries import QUERIES
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    return sum(v - 9 * (v > 9) for i, c in enumerate(reversed(digits)) for v in [int(c) * (1 + i % 2)]) % 10 == 0
+
+
+def plain_spans(text):
+    """(start, kind, end, value)"""
+    out = []
+    for k, (kind, pattern) in enumerate(PATTERNS.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card" and not (12 <= len(digits) <= 19 and luhn(digits)):
+                continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            out.append((m.start(), k, m.end(), {"email": m[0].lower(), "ip": m[0]}.get(kind, digits)))
+    return sorted(out)
+
+
+def joined(spans):
+    return ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b, _ in spans)
+
+
+TEXTS = [
+    None, "", "a@b.c%d@e.f x@y", "x@y.z.@q.w a..b@c-d.e-f", "@a.b a@.b a@b", "1.2.3.4.5.6.7.8 1000.2.3.4.5 0255.1.1.1 256.1.1.1 999999999999.1.1.1",
+    "4111 1111 1111 1111, 4111-1111-1111-1111 41111111111111112 5  4111111111111111 7 4111111111111111", "+1 (017) 555-7713 +12 +1 2 3 4 5 6 7 8 9. +1--", "é😀 4111111111111111 und.34@mail7.example.com\n+49 30 1234567 é",
+    "1" * 5000, "a" * 5000 + "@b.c", "-".join("4111") * 20, "+" + "1 " * 5000, "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "0000-0000-0000 0.0.0.0", "a@b.c@d.e", "1.2.3.4@5.6",
+]
+
+
+def test_base_spans_equal_plain_search(spark):
+    rows = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.kind, s.end, s.value) for s in r["__base"]] for r in pii.find(rows).collect()}
+    assert got == {i: plain_spans(t) for i, t in enumerate(TEXTS)}
+
+
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_query(spark, sf_dir):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in QUERIES["op7_pii"](spark, sf_dir).collect()}
+    assert len(got) == len(docs)
+    terms = plain_terms(docs.values())
+    for doc_id, text in docs.items():
+        base = plain_spans(text)
+        r = got[doc_id]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[1] == k for s in base) for k in range(4)]
+        assert r.base_sha256 == hashlib.sha256(joined(base).encode()).hexdigest()
+        assert r.spans == joined(with_terms(text, base, terms))
+
+
+def words(text):
+    for p in PATTERNS.values():
+        text = re.sub(p, lambda m: m[0] if p == PATTERNS["card"] and not 12 <= len(re.sub("[^0-9]", "", m[0])) <= 19 else " ", text)
+    return {w for w in re.split(r"[\W\d_]+", text.lower()) if len(w) >= 3}
+
+
+def plain_terms(texts, support=pii.SUPPORT, disclosure=pii.DISCLOSURE):
+    texts = {t or "" for t in texts}
+    entities = {t: {(k, v) for _, k, _, v in plain_spans(t)} for t in texts}
+    held = {t: words(t) for t in texts}
+    df = Counter(w for ws in held.values() for w in ws)
+    of = Counter(e for es in entities.values() for e in es)
+    both, found = Counter(), defaultdict(float)
+    for t, es in entities.items():
+        both.update((e, w) for e in es if of[e] >= support for w in held[t])
+    for (e, w), n in both.items():
+        information = math.log2(len(texts) / of[e])
+        ratio = math.log2(len(texts) * n / (of[e] * df[w])) / information if information else 0
+        if n >= support and ratio >= disclosure - 1e-9:
+            found[w] = max(found[w], ratio)
+    return found
+
+
+def with_terms(text, base, terms):
+    added = [(m.start(), 4, m.end(), m[0].lower()) for m in re.finditer(r"[^\W\d_]+", text or "") if m[0].lower() in terms]
+    return sorted(base + [t for t in added if not any(b[0] < t[2] and t[0] < b[2] for b in base)])
+
+
+@pytest.fixture(scope="module")
+def leaking(spark):
+    """The word Zanzibar comes with one address only, island mostly; the and with do so everywhere."""
+    texts = [f"the {w} writes to ann@x.org from Zanzibar island with {i}" for i, w in enumerate(["man", "girl", "cook", "king"])]
+    texts += [f"the weather is number {i} with rain" for i in range(60)] + ["the island with trees"] * 5
+    return texts, spark.createDataFrame([(i, t, "keep") for i, t in enumerate(texts)], "doc_id long, text string, __spans string")
+
+
+def test_revealing_terms_and_cleaning(leaking):
+    texts, docs = leaking
+    docs = docs.withColumnRenamed("__spans", "note")
+    terms = plain_terms(texts, disclosure=0.9)
+    assert "zanzibar" in terms and "the" not in terms and "with" not in terms and "rain" not in terms
+    got = {r.doc_id: r for r in pii.find(docs, disclosure=0.9).collect()}
+    for i, t in enumerate(texts):
+        assert [(s.start, s.kind, s.end, s.value) for s in got[i]["__spans"]] == with_terms(t, plain_spans(t), terms), t
+    cleaned = pii.clean(docs, disclosure=0.9)
+    assert cleaned.columns == docs.columns
+    by = {r.doc_id: r.text for r in cleaned.collect()}
+    assert "ann@x.org" not in by[0] and "Zanzibar" not in by[0] and "[EMAIL]" in by[0] and by[30] == texts[30]
+
+
+def test_odd_texts(spark, odd_docs, no_docs):
+    assert pii.find(odd_docs).count() == 10 and pii.find(no_docs).count() == 0
+    same = {(r.doc_id, r.text) for r in pii.clean(odd_docs).collect()}
+    assert same == {(r.doc_id, r.text) for r in odd_docs.collect()}
+    number = next(f"+49 3012 3456 7{x}8" for x in range(10) if luhn(f"49301234567{x}8"))
+    overlap = spark.createDataFrame([(1, f"call {number} now")], "doc_id long, text string")
+    assert [s.kind for s in pii.find(overlap).first()["__base"]] == [3, 2]
+    assert pii.clean(overlap).first().text == "call [PHONE] now"
