@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineflow.llm import langid, packing, pii, preference, quality, records, simhash
+from lineflow.llm import langid, neighbours, packing, pii, preference, quality, records, simhash, topk
 from lineflow.llm.common import cut, held_out, table
 
 
@@ -19,6 +19,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "x.lang_pred", "x.score")
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every 50th vector."""
+    vectors = topk.quantized(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.expr("pmod(id, 50) = 0"), 5)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """3-word shingles, links at 3 or fewer differing bits."""
     found = simhash.groups(table(spark, sf_dir, "documents"), shingle=3, limit=3)
@@ -46,6 +52,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, range(4)), F.sha2(pii.spans_string(F.col("__base")), 256).alias("base_sha256"), pii.spans_string(F.col("__spans")).alias("spans"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found for every 20th vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.expr("pmod(id, 20) = 0"), 20)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packs all documents into sequences of 2048 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), 2048).drop("ids")
@@ -58,15 +69,30 @@ def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op3_exact_top_k": op3_exact_top_k,
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
     "op6_token_records": op6_token_records,
     "op7_pii": op7_pii,
+    "op8_neighbours": op8_neighbours,
     "op9_packing": op9_packing,
     "op10_preference": op10_preference,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_exact_top_k": """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as double)) as q from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+),
+s as (
+  select a.vec_id as query_id, b.vec_id, cast(list_dot_product(a.q, b.q) as bigint) as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0
+)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+from s qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5
+""",
     "op10_preference": """
 with t as (
   select pair_id, side, row_number() over (partition by pair_id, side order by turn, role, text) as n, role,
