@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineflow.llm import langid, neighbours, packing, pii, preference, quality, records, simhash, topk
-from lineflow.llm.common import cut, held_out, table
+from lineflow.llm import langid, neighbours, packing, pieces, pii, preference, quality, records, simhash, topk
+from lineflow.llm.common import cut, held_out, table, tokenizer_path
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,21 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "x.lang_pred", "x.score")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes and decodes every whole text, by the file's own reading (BPE merges) and by Viterbi over its scores."""
+    original = F.xxhash64(F.replace(F.coalesce("text", F.lit("")), F.lit(pieces.SPACE), F.lit(" ")))
+    docs = table(spark, sf_dir, "documents").withColumn("original", original)
+    path = tokenizer_path("piece_bpe_32k.model")
+    encoded = pieces.encode(docs, path, ("merges", "viterbi"), keep=("original",))
+    both = encoded.select("*", F.col("ids_0").alias("text_0"), F.col("ids_1").alias("text_1"))
+    decoded = pieces.decode(both, path, ["text_0", "text_1"])
+    return decoded.select(
+        "doc_id", (F.length("ids_0") / 4).cast("long").alias("n_tokens"), F.crc32("ids_0").alias("ids_crc32"),
+        (F.length("ids_1") / 4).cast("long").alias("viterbi_tokens"), F.crc32("ids_1").alias("viterbi_crc32"),
+        ((F.xxhash64("text_0") == F.col("original")) & (F.xxhash64("text_1") == F.col("original"))).alias("round_trip"),
+    )
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 highest integer inner products of every 50th vector."""
     vectors = topk.quantized(table(spark, sf_dir, "embeddings"))
@@ -69,6 +84,7 @@ def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_simhash": op4_simhash,
     "op5_quality": op5_quality,
