@@ -28,8 +28,8 @@ KINDS = ["email", "ip", "card", "phone", "term"]
 SUPPORT = 3
 #: PMI / IC from which a term counts as revealing.
 DISCLOSURE = 0.95
-#: Candidate terms are broadcast up to this number, and joined by a shuffle beyond it.
-BROADCAST_TERMS = 200_000
+#: Lists of terms or of texts' hashes are broadcast up to this many rows, and joined by a shuffle beyond it.
+BROADCAST_ROWS = 200_000
 
 _SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -89,9 +89,8 @@ def spans_string(spans: Column) -> Column:
 
 
 def _terms(text: Column) -> Column:
-    """Distinct words of three letters or more, outside base spans."""
-    for pattern in (_EMAIL, _IP, _CARD, _PHONE):
-        text = F.regexp_replace(text, pattern, " ")
+    """Distinct words of three letters or more, outside base spans; of these only addresses hold letters."""
+    text = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, _EMAIL, " ")).otherwise(text)
     return F.array_distinct(F.filter(F.split(F.lower(text), _WORD), lambda w: F.length(w) >= 3))
 
 
@@ -106,27 +105,25 @@ def revealing_terms(docs: DataFrame, support: int = SUPPORT, disclosure: float =
     Of several entities the one that the term reveals most counts.
     """
     rows = _keyed(docs.select(text_col), text_col).select(F.col("__h").alias("h"), F.col("__g").alias("g"), F.col("__text").alias("text"))
-    spotted = rows.withColumn("spans", base_spans(F.col("text"))).where(F.size("spans") > 0)
-    held = spotted.select("h", "g", "text", F.explode(F.array_distinct(F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("value"))))).alias("entity"))
-    held = cut(held.groupBy("h", "g", "entity").agg(F.min("text").alias("text")))
-    entities = cut(held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support))
-    if entities.isEmpty():
-        return None
+    values = F.array_distinct(F.transform(base_spans(F.col("text")), lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("value"))))
+    held = cut(rows.select("h", "g", F.explode(values).alias("entity")).distinct())
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
     held = cut(held.join(entities, "entity"))
-    texts = held.groupBy("h", "g").agg(F.min("text").alias("text"))
-    words = cut(texts.select("h", "g", F.explode(_terms(F.col("text"))).alias("term")))
-    near = cut(words.groupBy("term").agg(F.count("*").alias("n_near")).where(F.col("n_near") >= support))
-    if near.isEmpty():
+    if held.isEmpty():
         return None
-    # one pass over the corpus: where the candidates occur
-    small = near.count() <= BROADCAST_TERMS
-    listed = rows.select("h", "g", F.explode(_terms(F.col("text"))).alias("term"))
-    where = cut(listed.join(F.broadcast(near) if small else near, "term").groupBy("h", "g", "term").agg(F.first("n_near").alias("n_near")))
-    n_texts = rows.select("h", "g").distinct().count()
+    # frequencies of single terms over distinct texts: each of several copies counts as a part of one
+    copies = cut(rows.groupBy("h", "g").agg(F.count("*").alias("copies")))
+    n_texts = copies.count()
+    weighed = rows.join(_small(copies.where("copies > 1")), ["h", "g"], "left").withColumn("weight", F.lit(1.0) / F.coalesce("copies", F.lit(1)))
+    weighed = weighed.join(_small(cut(held.select("h", "g", F.lit(1).alias("near")).distinct())), ["h", "g"], "left")
+    listed = weighed.select("weight", "near", F.explode(_terms(F.col("text"))).alias("term"))
+    counts = listed.groupBy("term").agg(F.sum("weight").alias("n_term"), F.sum(F.when(F.col("near") == 1, F.col("weight"))).alias("n_near"))
+    counts = counts.select("term", F.round("n_term").cast("long").alias("n_term"), F.round("n_near").cast("long").alias("n_near"))
     least = (support / max(n_texts, support)) ** (1 - disclosure)  # of n_entity_term / n_term, for the rarest entity
-    counts = where.groupBy("term").agg(F.count("*").alias("n_term"), F.first("n_near").alias("n_near")).where(F.col("n_near") >= F.col("n_term") * least)
-    pairs = words.join(counts, "term").join(held.select("h", "g", "entity", "n_entity"), ["h", "g"])
-    pairs = pairs.groupBy("entity", "term").agg(F.count("*").alias("n"), F.first("n_term").alias("n_term"), F.first("n_entity").alias("n_entity")).where(F.col("n") >= support)
+    counts = cut(counts.where((F.col("n_near") >= support) & (F.col("n_near") >= F.col("n_term") * least - 1e-9)))
+    # where the terms that are left occur, and with which entities
+    where = cut(rows.select("h", "g", F.explode(_terms(F.col("text"))).alias("term")).join(_small(counts), "term").groupBy("h", "g", "term").agg(F.first("n_term").alias("n_term")))
+    pairs = where.join(held, ["h", "g"]).groupBy("entity", "term").agg(F.count("*").alias("n"), F.first("n_term").alias("n_term"), F.first("n_entity").alias("n_entity")).where(F.col("n") >= support)
     pmi = F.log2(F.lit(float(n_texts)) * F.col("n") / (F.col("n_entity") * F.col("n_term")))
     information = F.log2(F.lit(float(n_texts)) / F.col("n_entity"))
     reveals = pairs.select("term", F.when(information > 0, pmi / information).otherwise(0.0).alias("reveals")).groupBy("term").agg(F.max("reveals").alias("reveals"))
@@ -134,6 +131,11 @@ def revealing_terms(docs: DataFrame, support: int = SUPPORT, disclosure: float =
     return cut(where.select("h", "g", "term").join(reveals, "term"))
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """Marks df for broadcast if it has BROADCAST_ROWS rows at most; else Spark joins by a shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def find(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE, text_col: str = "text") -> DataFrame:
     """docs with __base and __spans (arrays of start, kind, end, value) and __removed (fully revealing terms)."""
     marked = _keyed(docs, text_col).withColumn("__base", base_spans(F.col("__text")))
