@@ -32,8 +32,8 @@ LENGTH = 2048
 BUCKETS, DIMENSIONS, BITS = 4096, 4, 12
 #: Words that are hashed at a time.
 SLICE = 1 << 18
-#: Code points of text that are tokenized before rows are handed on.
-BATCH_CHARS = 4 << 20
+#: Bytes of ids that are gathered before rows are handed on.
+BATCH_BYTES = 4 << 20
 
 
 def project(text: bytes | None, matrix: np.ndarray) -> np.ndarray:
@@ -104,13 +104,12 @@ def along_curve(docs: DataFrame, tokenizer: str | None = None, id_col: str = "do
             return pa.RecordBatch.from_arrays([pa.array(first, pa.int64()), pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(data, pa.binary()), pa.array([encoder.width] * len(held), pa.int32())], ["before", "doc_id", "n_tokens", "ids", "width"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py()
-                ids = encoder.document(text)
+            texts = (t.as_py() for t in batch.column(1))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.documents(texts)):
                 held.append((before, doc_id, len(ids), ids.tobytes()))
                 before += len(ids)
-                size += len(text or "")
-                if size > BATCH_CHARS:
+                size += ids.nbytes
+                if size > BATCH_BYTES:
                     yield out()
                     held, size = [], 0
         if held:

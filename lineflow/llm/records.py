@@ -31,8 +31,8 @@ from lineflow.llm.tokens import word_tokenizer
 
 #: Records of a file, at most.
 FILE_RECORDS = 8_000
-#: Code points of text that are framed before rows are handed on.
-BATCH_CHARS = 4 << 20
+#: Bytes that are framed before rows are handed on.
+BATCH_BYTES = 4 << 20
 
 _MASK = 0xA282EAD8
 
@@ -70,11 +70,11 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, held, size = word_tokenizer(vocabulary), [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py()
-                held.append(frame(doc_id, encoder.document(text))[:-1])
-                size += len(text or "")
-                if size > BATCH_CHARS:
+            texts = (t.as_py() for t in batch.column(1))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.documents(texts)):
+                held.append(frame(doc_id, ids)[:-1])
+                size += len(held[-1])
+                if size > BATCH_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["record"])
                     held, size = [], 0
         if held:

@@ -8,18 +8,22 @@ characters for which Python's splitting might differ go to the library whole.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import os
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 #: Words whose ids a worker keeps; then it starts afresh.
-KNOWN_WORDS = 250_000
-#: Characters of a text that are split at a time, cut at white space.
+KNOWN_WORDS = 600_000
+#: Characters that are split at a time; longer texts are cut at white space.
 PIECE = 1 << 20
 #: Characters that Python and the library lower-case, split and normalise alike.
 _PLAIN = re.compile(r"[\t-\r\x20-\x7eÀ-ÿ]*")
+_SPACE = re.compile(r"[\t-\r ]")
+_LAST = object()
 #: End-of-document id.
 END = 1
 
@@ -40,7 +44,7 @@ class WordTokenizer:
             suffix = spec["model"]["end_of_word_suffix"]
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
-            self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)")
+            self.special = [t["content"] for t in spec["added_tokens"]]
 
     @staticmethod
     def _splitter(spec: dict) -> re.Pattern | None:
@@ -69,32 +73,46 @@ class WordTokenizer:
                 for word, found in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
                     self.known[word] = np.array(found.ids, self.dtype).tobytes()
 
-    def encode(self, text: str | None) -> bytes:
-        """The ids of a text as little-endian integers of self.width bytes."""
-        out, at = [], 0
-        text = text or ""
+    def _pieces(self, text: str) -> Iterator[str]:
+        at = 0
         while at < len(text):
             end = at + PIECE
             if end < len(text):
-                space = re.compile(r"[\t-\r ]").search(text, end)
+                space = _SPACE.search(text, end)
                 end = space.start() if space else len(text)
-            piece, at = text[at:end], end
-            if self.split is None or not _PLAIN.fullmatch(piece) or self.special.search(piece):
-                out.append(np.array(self.library.encode_batch_fast([piece], add_special_tokens=False)[0].ids, self.dtype).tobytes())
-                continue
-            words = self.split.findall(piece.lower())
-            try:
-                out.append(b"".join(map(self.known.__getitem__, words)))
-            except KeyError:
-                if len(self.known) > KNOWN_WORDS:
-                    self.known.clear()
-                self._learn([w for w in dict.fromkeys(words) if w not in self.known])
-                out.append(b"".join(map(self.known.__getitem__, words)))
-        return b"".join(out)
+            yield text[at:end]
+            at = end
+
+    def _whole(self, piece: str) -> bytes:
+        return np.array(self.library.encode_batch_fast([piece], add_special_tokens=False)[0].ids, self.dtype).tobytes()
+
+    def _looked_up(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece; new words of all pieces are learned at once."""
+        plain = [self.split is not None and bool(_PLAIN.fullmatch(p)) and not any(s in p for s in self.special) for p in pieces]
+        words = [self.split.findall(p.lower()) if fits else [] for p, fits in zip(pieces, plain)]
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+        self._learn(list(set().union(*words).difference(self.known)))
+        get = self.known.__getitem__
+        return [b"".join(map(get, w)) if fits else self._whole(p) for p, w, fits in zip(pieces, words, plain)]
+
+    def documents(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """For each text its ids and the end id, as little-endian integers of self.width bytes."""
+        end, held, counts, size = self.dtype.type(END).tobytes(), [], [], 0
+        for text in itertools.chain(texts, [_LAST]):
+            if text is not _LAST:
+                pieces = list(self._pieces(text or ""))
+                held += pieces
+                counts.append(len(pieces))
+                size += len(text or "")
+            if size > PIECE or text is _LAST:
+                found = iter(self._looked_up(held))
+                for n in counts:
+                    yield np.frombuffer(b"".join([*itertools.islice(found, n), end]), self.dtype)
+                held, counts, size = [], [], 0
 
     def document(self, text: str | None) -> np.ndarray:
-        """The ids of a text and the end id."""
-        return np.frombuffer(self.encode(text) + self.dtype.type(END).tobytes(), self.dtype)
+        return next(self.documents([text]))
 
 
 @functools.cache
