@@ -2,8 +2,8 @@
 
 A document's hashed word vector is projected to a few dimensions; the Hilbert key of
 that point orders the corpus, so that similar documents become neighbours. Spark sorts
-by ranges of the key; sequences are cut from the row of all ids along the curve. Only
-sums by range go to one task.
+by ranges of the key, whose bounds come from a sample of keys; sequences are cut from
+the row of all ids along the curve. Only sums by range go to one task.
 
 Every sequence holds `length` ids but for those made of the remainder: it is cut into
 powers of two, which need no padding.
@@ -30,6 +30,8 @@ from lineflow.llm.tokens import word_tokenizer
 LENGTH = 2048
 #: Buckets of the hashed word vector, dimensions it is projected to, bits of each in the key.
 BUCKETS, DIMENSIONS, BITS = 4096, 4, 12
+#: Rows of the sample that a range's bounds are taken from.
+SAMPLE = 100
 #: Words that are hashed at a time.
 SLICE = 1 << 18
 #: Bytes of ids that are gathered before rows are handed on.
@@ -83,18 +85,38 @@ def curve_keys(texts: list[bytes | None]) -> np.ndarray:
     return hilbert_key(grid, BITS)
 
 
-def along_curve(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(part, before, doc_id, n_tokens, ids binary, width): the tokenized documents in curve order, written to the shared folder."""
-    vocabulary = tokenizer or tokenizer_path()
+def range_bounds(rows: DataFrame, n: int) -> np.ndarray:
+    """n - 1 keys that cut the curve into ranges of about equal numbers, from a sample of SAMPLE rows a range, about.
+
+    A key that fills several ranges is a bound several times; its rows are dealt over them.
+    """
+    share = min(1.0, n * SAMPLE / max(rows.count(), 1))
 
     @F.pandas_udf("long")
     def key(text: pd.Series) -> pd.Series:
         return pd.Series(curve_keys(list(text)))
 
+    some = rows.sample(share, seed=5) if share < 1 else rows
+    keys = np.sort(some.select(key(F.col("text").cast("binary")).alias("key")).toPandas()["key"].to_numpy(np.int64))
+    return keys[[len(keys) * i // n for i in range(1, n)]] if len(keys) else np.zeros(0, np.int64)
+
+
+def along_curve(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(part, before, doc_id, n_tokens, ids binary, width): the tokenized documents in curve order, written to the shared folder."""
+    vocabulary = tokenizer or tokenizer_path()
+
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = rows.withColumn("key", key(F.col("text").cast("binary"))).withColumn("h", F.xxhash64("text")).withColumn("p", F.spark_partition_id())
-    order = ["key", "id", "h", "p"]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = range_bounds(rows, n)
+
+    @F.pandas_udf("key long, range int")
+    def place(text: pd.Series, salt: pd.Series) -> pd.DataFrame:
+        keys = curve_keys(list(text))
+        first = np.searchsorted(bounds, keys, "left")
+        return pd.DataFrame({"key": keys, "range": first + salt.to_numpy() % (np.searchsorted(bounds, keys, "right") - first + 1)})
+
+    rows = rows.withColumn("at", place(F.col("text").cast("binary"), F.abs(F.monotonically_increasing_id() % 1_000_003)))
+    rows = rows.withColumn("h", F.xxhash64("text")).repartitionById(n, F.col("at.range")).sortWithinPartitions("at.key", "id", "h").select("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before, held, size = word_tokenizer(vocabulary), 0, [], 0
@@ -153,8 +175,8 @@ def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None, id
     parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"), F.sum("n").over(every).alias("total"))
-    rows = rows.join(parts, "part").select("doc_id", (F.col("first") + F.col("before")).alias("at"), "n_tokens", "total", "ids", "width")
+    parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"), F.sum("n").over(every).alias("total"))  # a row for each shuffle partition
+    rows = rows.join(F.broadcast(parts), "part").select("doc_id", (F.col("first") + F.col("before")).alias("at"), "n_tokens", "total", "ids", "width")
     kinds = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
