@@ -266,10 +266,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     """(doc_id, component_id) for texts whose shingle sets have a Jaccard similarity of about `similarity` or more.
 
     The similarity sets the share of bits that may differ: cosine 2J / (1 + J), angle over
-    pi, plus two standard deviations of the estimate from 64 * n_words bits. With the
+    pi, plus three standard deviations of the estimate from 64 * n_words bits. With the
     default tables a pair at a similarity of 0.8 shares a bucket with probability 0.997.
     """
     share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     n_bits = 64 * n_words
-    limit = int(n_bits * share + 2 * np.sqrt(n_bits * share * (1 - share)))
+    limit = int(n_bits * share + 3 * np.sqrt(n_bits * share * (1 - share)))
     return groups(docs, shingle, limit, n_words, tables, bits, id_col, text_col).select("doc_id", "component_id")
