@@ -87,3 +87,20 @@ def test_latest_join_steps():
         state, more = processor.apply(state, Row(key="k", ts=at(d), side=side, value=value))
         out += [(r.left, r.right, r.wiped) for r in more]
     assert out == [("a", "x", False), ("a", "y", False), ("a", None, True), ("b", "z", False)]
+
+
+def test_restart_from_checkpoint(spark, tmp_path):
+    """A watch that begins before a restart goes on after it."""
+    at = lambda m: datetime(2024, 1, 1) + timedelta(minutes=m)
+    schema = "key string, ts timestamp, kind int, id long, flag boolean, reInit int, uas int, up boolean"
+    event = lambda m: ("a", at(m), 1, m, None, 0, 0, True)
+    runs = [[("a", at(0), 0, None, True, None, None, None), event(1), event(2)], [event(3), event(4)], [("z", FAR, 1, 0, None, 0, 0, True)]]
+    folder, found = str(tmp_path / "in"), []
+    for rows in runs:
+        df = spark.createDataFrame(rows, schema)
+        df.coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(df.schema).parquet(folder)
+        processor = processors.MonitorLoopProcessor(df.schema, 3, 2, 1, 1)
+        got = pairs.run_available(processors.process(stream, processor, "1 minute"), str(tmp_path / "out"), str(tmp_path / "cp"))
+        found.append({r.id for r in got.collect() if r.key == "a"})
+    assert found[-1] == {3} and found[0] == set()
