@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding, batched in numpy.
 
-A text is cut where no piece can cross: before each run of spaces. New words are sorted
-by length, and words of one length advance together. A substring's hash comes from
+A text is cut where no piece can cross: before each run of spaces, and between
+characters of which no piece holds both. New words are sorted by length, and words of one
+length advance together. A substring's hash comes from
 prefix hashes and is looked up among the sorted hashes of the pieces.
 
 - viterbi: at each position the best sum of piece scores over all pieces that end there,
@@ -31,11 +32,13 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Words whose ids a task keeps; then it starts afresh.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 300_000
 #: Code points of the words of one length that advance together.
 BATCH = 1 << 18
 #: Characters that are cut into words at a time.
-PIECE = 1 << 20
+PIECE = 2 << 20
+#: Bytes of ids that are gathered before rows are handed on.
+BATCH_BYTES = 4 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -45,6 +48,8 @@ class PieceModel:
     """What encoding needs of a model file; small, and sent to the tasks."""
 
     keys: np.ndarray  # sorted hashes of pieces
+    first: np.ndarray  # position of the first key of each run that shares its top 16 bits
+    longest_run: int
     ids: np.ndarray  # their ids
     scores: np.ndarray  # their scores
     longest: int
@@ -54,6 +59,7 @@ class PieceModel:
     surface: list[bytes]  # of each id
     prefix: bool
     crossing: bool  # whether a piece holds a space mark after another character
+    unit: re.Pattern  # spaces with a run of letters that pieces connect, or of other characters
     known: dict = field(default_factory=dict)
 
 
@@ -83,7 +89,11 @@ def load(path: str) -> PieceModel:
         raise ValueError("two pieces have one hash")
     scores = np.array([model.pieces[i].score for i in usual], np.float32)
     texts = [model.pieces[i].piece for i in usual]
-    return PieceModel(keys[order], np.array(usual)[order], scores[order], max(map(len, texts)), model.trainer_spec.model_type == 1, byte_ids, unknown, surface, normal.add_dummy_prefix, any(SPACE in t.lstrip(SPACE) for t in texts))
+    letters = re.escape(_joined_letters(texts))
+    unit = re.compile(f" *[{letters}]+| *[^ {letters}]+| +")
+    keys_ = keys[order]
+    runs = np.searchsorted(keys_ >> np.uint64(48), np.arange((1 << 16) + 1, dtype=np.uint64))
+    return PieceModel(keys_, runs[:-1].astype(np.int32), int(np.diff(runs).max()), np.array(usual)[order], scores[order], max(map(len, texts)), model.trainer_spec.model_type == 1, byte_ids, unknown, surface, normal.add_dummy_prefix, any(SPACE in t.lstrip(SPACE) for t in texts), unit)
 
 
 def _points(words: list[str]) -> np.ndarray:
@@ -113,14 +123,17 @@ def hash_of(text: str) -> int:
 
 
 def _probe(model: PieceModel, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(position among the keys, found) of each hash."""
+    """(position among the keys, found) of each hash; the top bits tell where to start in the sorted keys."""
     mixed = _mix(hashes)
-    at = np.minimum(np.searchsorted(model.keys, mixed), len(model.keys) - 1)
+    last = len(model.keys) - 1
+    at = np.minimum(model.first[(mixed >> np.uint64(48)).astype(np.int64)], last)
+    for _ in range(model.longest_run):
+        at = np.minimum(at + (model.keys[at] < mixed), last)
     return at, model.keys[at] == mixed
 
 
-def viterbi(model: PieceModel, words: list[str]) -> list[np.ndarray]:
-    """Piece positions (-1: an uncovered character) of words of one length, with their lengths, best sum of scores first."""
+def viterbi(model: PieceModel, words: list[str]) -> list[bytes]:
+    """Ids, as little-endian unsigned 32-bit integers, of words of one length: the best sum of scores."""
     points = _points(words)
     n, length = points.shape
     prefix, power = _prefix_hashes(points)
@@ -146,7 +159,7 @@ def viterbi(model: PieceModel, words: list[str]) -> list[np.ndarray]:
     return _collect(model, words, cuts, piece)
 
 
-def merges(model: PieceModel, words: list[str]) -> list[np.ndarray]:
+def merges(model: PieceModel, words: list[str]) -> list[bytes]:
     """Like viterbi(), joining the best adjacent pair in each round, the leftmost of equals."""
     points = _points(words)
     n, length = points.shape
@@ -194,20 +207,17 @@ def _pair_scores(model: PieceModel, prefix: np.ndarray, power: np.ndarray, start
     return np.where(found & (middle < length) & (end > middle), model.scores[at], np.float32(-np.inf))
 
 
-def _collect(model: PieceModel, words: list[str], cuts: np.ndarray, piece: np.ndarray) -> list[np.ndarray]:
-    out = []
+def _collect(model: PieceModel, words: list[str], cuts: np.ndarray, piece: np.ndarray) -> list[bytes]:
     row, end = np.nonzero(cuts[:, 1:])
     at = piece[row, end + 1]
     ids = np.where(at >= 0, model.ids[at], -1)
-    first = np.searchsorted(row, np.arange(len(words) + 1))
-    plain = np.ones(len(words), bool)
-    plain[row[ids < 0]] = False
-    for w, word in enumerate(words):
-        mine = ids[first[w] : first[w + 1]]
-        if not plain[w]:
-            parts = [[i] if i >= 0 else _bytes(model, word[e]) for i, e in zip(mine.tolist(), end[first[w] : first[w + 1]].tolist())]
-            mine = np.array(list(itertools.chain.from_iterable(parts)))
-        out.append(mine)
+    first = np.searchsorted(row, np.arange(len(words) + 1)).tolist()
+    raw = ids.astype("<u4").tobytes()
+    out = [raw[4 * a : 4 * b] for a, b in zip(first, first[1:])]
+    for w in set(row[ids < 0].tolist()):
+        span = slice(first[w], first[w + 1])
+        parts = [[i] if i >= 0 else _bytes(model, words[w][e]) for i, e in zip(ids[span].tolist(), end[span].tolist())]
+        out[w] = np.array(list(itertools.chain.from_iterable(parts)), "<u4").tobytes()
     return out
 
 
@@ -217,35 +227,57 @@ def _bytes(model: PieceModel, character: str) -> list[int]:
     return model.byte_ids[list(character.encode("utf-8", "replace"))].tolist()
 
 
-def encode_texts(model: PieceModel, texts: Iterable[str | None], method: str | None = None) -> Iterator[bytes]:
-    """For each text its ids as little-endian unsigned 32-bit integers; method: viterbi or merges, else the model's own."""
-    method = method or ("viterbi" if model.unigram else "merges")
-    run, known = {"viterbi": viterbi, "merges": merges}[method], model.known.setdefault(method, {})
-    cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+") if not model.crossing else re.compile("(?s).+")
+def _joined_letters(pieces: list[str]) -> str:
+    """The characters that pieces connect with `a`, directly or not: no piece crosses from these to others."""
+    root: dict[str, str] = {}
 
-    def learn(new: set[str]) -> None:
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-            new = set().union(*held)
-        ordered = sorted(new.difference(known), key=len)
-        for length, group in itertools.groupby(ordered, key=len):
+    def find(c: str) -> str:
+        while root.setdefault(c, c) != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    for piece in pieces:
+        piece = piece.lstrip(SPACE)
+        for x, y in zip(piece, piece[1:]):
+            root[find(x)] = find(y)
+    return "".join(c for c in list(root) if find(c) == find("a") and c != SPACE)
+
+
+def _units(model: PieceModel, text: str) -> list[str]:
+    """What a text is cut into, spaces still as spaces."""
+    text = text.replace(SPACE, " ") if SPACE in text else text
+    text = " " * (model.prefix and text != "") + text
+    return [text] if model.crossing and text else model.unit.findall(text)
+
+
+def encode_texts(model: PieceModel, texts: Iterable[str | None], methods: tuple[str | None, ...] = (None,)) -> Iterator[tuple[bytes, ...]]:
+    """For each text its ids by each method, as little-endian unsigned 32-bit integers; method: viterbi or merges, else the model's own."""
+    methods = tuple(m or ("viterbi" if model.unigram else "merges") for m in methods)
+    table = model.known.setdefault(methods, {})
+    runs = [{"viterbi": viterbi, "merges": merges}[m] for m in methods]
+
+    def learn(words: set[str]) -> None:
+        if len(table) > KNOWN_WORDS:
+            table.clear()
+        for length, group in itertools.groupby(sorted(words.difference(table), key=len), key=len):
             group = list(group)
             step = max(1, BATCH // length)
             for at in range(0, len(group), step):
                 part = group[at : at + step]
-                known.update((w, x.astype("<u4").tobytes()) for w, x in zip(part, run(model, part)))
+                spelled = [w.replace(" ", SPACE) for w in part]
+                table.update(zip(part, zip(*(run(model, spelled) for run in runs))))
 
     held: list[list[str]] = []
     size = 0
     for text in itertools.chain(texts, [StopIteration]):
         if text is not StopIteration:
-            escaped = (SPACE if model.prefix else "") + text.replace(" ", SPACE) if text else ""
-            held.append(cut.findall(escaped))
-            size += len(escaped)
+            held.append(_units(model, text or ""))
+            size += len(text or "")
         if size > PIECE or text is StopIteration:
             learn(set().union(*held))
             for words in held:
-                yield b"".join(map(known.__getitem__, words))
+                found = list(map(table.__getitem__, words))
+                yield tuple(b"".join([x[i] for x in found]) for i in range(len(methods)))
             held, size = [], 0
 
 
@@ -254,20 +286,31 @@ def decode_ids(model: PieceModel, ids: bytes) -> str:
     return (text[1:] if model.prefix and text[:1] == b" " else text).decode("utf-8", "replace")
 
 
-def encode(docs: DataFrame, path: str, methods: tuple[str | None, ...] = (None,), id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, ids_0 binary, ids_1 ...) and the columns to keep: the ids of every whole text by each method."""
+def encode(docs: DataFrame, path: str, methods: tuple[str | None, ...] = (None,), id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), decoded: bool = False) -> DataFrame:
+    """(doc_id, ids_0 binary, ids_1 ...) and the columns to keep: the ids of every whole text by each method.
+
+    With decoded there are also text_0, ...: the texts that the ids give, decoded in the same task.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(load(path))
     names = [f"ids_{i}" for i in range(len(methods))]
+    texts_ = [f"text_{i}" for i in range(len(methods))] if decoded else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            columns = [pa.array(list(encode_texts(shared.value, texts, m)), pa.binary()) for m in methods]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, *batch.columns[2:]], ["doc_id", *names, *keep])
+            rows, at, size = [], 0, 0
+            for ids in itertools.chain(encode_texts(shared.value, (t.as_py() for t in batch.column(1)), methods), [None]):
+                if ids is not None:
+                    rows.append((*ids, *(decode_ids(shared.value, x) for x in ids if decoded)))
+                    size += sum(map(len, ids))
+                if rows and (ids is None or size > BATCH_BYTES):
+                    columns = [pa.array(c, pa.binary() if i < len(names) else pa.string()) for i, c in enumerate(zip(*rows))]
+                    part = batch.slice(at, len(rows))
+                    yield pa.RecordBatch.from_arrays([part.column(0), *columns, *part.columns[2:]], ["doc_id", *names, *texts_, *keep])
+                    rows, at, size = [], at + len(rows), 0
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *keep)
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[2:]]
-    return narrow.mapInArrow(run, ", ".join(["doc_id long", *(f"{n} binary" for n in names), *kept]))
+    return narrow.mapInArrow(run, ", ".join(["doc_id long", *(f"{n} binary" for n in names), *(f"{n} string" for n in texts_), *kept]))
 
 
 def decode(encoded: DataFrame, path: str, columns: list[str]) -> DataFrame:

@@ -24,9 +24,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     original = F.xxhash64(F.replace(F.coalesce("text", F.lit("")), F.lit(pieces.SPACE), F.lit(" ")))
     docs = table(spark, sf_dir, "documents").withColumn("original", original)
     path = tokenizer_path("piece_bpe_32k.model")
-    encoded = pieces.encode(docs, path, ("merges", "viterbi"), keep=("original",))
-    both = encoded.select("*", F.col("ids_0").alias("text_0"), F.col("ids_1").alias("text_1"))
-    decoded = pieces.decode(both, path, ["text_0", "text_1"])
+    decoded = pieces.encode(docs, path, ("merges", "viterbi"), keep=("original",), decoded=True)
     return decoded.select(
         "doc_id", (F.length("ids_0") / 4).cast("long").alias("n_tokens"), F.crc32("ids_0").alias("ids_crc32"),
         (F.length("ids_1") / 4).cast("long").alias("viterbi_tokens"), F.crc32("ids_1").alias("viterbi_crc32"),
