@@ -142,5 +142,5 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray] | None, text_co
 def keep_identified(docs: DataFrame, learn: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of docs whose language is determined with a score of at least `least`."""
     model = fit(learn)
-    found = docs.withColumn("__language", predict(docs, model))
-    return found.where((F.col("__language.lang_pred") != UNDETERMINED) & (F.col("__language.score") >= least)).drop("__language")
+    found = predict(docs, model)
+    return docs.where((found["lang_pred"] != UNDETERMINED) & (found["score"] >= least))

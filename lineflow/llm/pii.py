@@ -155,7 +155,10 @@ def find(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE
 
 def clean(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE, text_col: str = "text") -> DataFrame:
     """docs, same columns, with spans in the text generalised to [EMAIL], [IP], [CARD], [PHONE] or [TERM], or removed."""
-    found = find(docs, support, disclosure, text_col)
+    text = F.col(f"`{text_col}`")
+    rest_of_row = F.struct(F.lit(0), *(F.col(f"`{c}`") for c in docs.columns if c != text_col)).alias("row")
+    whole = docs.select(rest_of_row, text.isNull().alias("blank"), text.alias("text"))
+    found = find(whole, support, disclosure, "text")
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
     text, removed = F.col("__text"), F.col("__removed")
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -167,5 +170,5 @@ def clean(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSUR
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(covered, acc["out"]).otherwise(F.concat(acc["out"], between, name)).alias("out"))
 
     rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-    replaced = F.when(F.size("__spans") > 0, F.aggregate("__spans", zero, step, rest)).otherwise(F.col(text_col))
-    return found.select(*(replaced.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
+    replaced = F.when(F.size("__spans") > 0, F.aggregate("__spans", zero, step, rest)).when(~F.col("blank"), text)
+    return found.select(*(replaced.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns))

@@ -99,3 +99,13 @@ def test_empty_and_odd_documents_pass_through(spark, odd_docs, no_docs):
         for _, stage in corpus_pipeline.STAGES:
             docs = written(stage(spark, docs, SF), "odd")
         docs.count()
+
+
+def test_clashing_names_stay_as_they_are(spark, odd_docs):
+    names = ["__text", "__h", "__g", "__base", "__spans", "__removed", "row", "fp", "component_id", "at", "key", "ids", "lang_pred", "stats", "h"]
+    docs = odd_docs.where("doc_id is not null").drop("score").withColumns({n: F.lit(n) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, SF), "clash")
+        assert docs.columns[-len(names) :] == names, name
+        assert all(tuple(r) == tuple(names) for r in docs.select(*names).collect()), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0
