@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lineflow.functions import inventory, percentiles, ports
-from lineflow.operators import decode, enrich, pairing, tables, windows
+from lineflow.operators import decode, enrich, tables, windows
 from lineflow.plans.line_queries import query, table
 from lineflow.sources import archives, files, text
 from lineflow.sources.scratch import scratch_path
@@ -540,7 +540,7 @@ def tar_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select name, type, count(*) as files, sum(n) as records from (
+select name, type, count(*) as files, cast(sum(n) as bigint) as records from (
   select c_mktsegment as name, c_nationkey, cast(case when c_nationkey % 2 = 1 then 2 else 1 end as integer) as type, count(*) filter (c_nationkey % 2 = 1 or c_custkey % 3 <> 0) as n
   from customer where (c_nationkey + length(c_mktsegment)) % 7 <> 0 group by all
 ) group by 1, 2
@@ -554,7 +554,7 @@ def file_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 with named as (select distinct c_mktsegment as name, c_nationkey as k, c_nationkey // 2 as w, c_nationkey % 2 as inst from customer),
 pairs as (select a.name, a.w, a.k as hist, b.k as inst from named a join named b on a.name = b.name and a.w = b.w and a.inst = 0 and b.inst = 1),
 good as (select * from pairs where (hist + length(name)) % 7 <> 0 and (inst + length(name)) % 7 <> 0)
-select name, w as pair, count(*) as ports from good join customer on c_mktsegment = name and (c_nationkey = inst or (c_nationkey = hist and c_custkey % 3 <> 0)) group by 1, 2
+select name, cast(w as bigint) as pair, count(*) as ports from good join customer on c_mktsegment = name and (c_nationkey = inst or (c_nationkey = hist and c_custkey % 3 <> 0)) group by 1, 2
 """)
 def pair_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs by file name in two-day windows; contents of paired files only are parsed; pairs with a bad file go."""
