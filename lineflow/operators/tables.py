@@ -11,6 +11,11 @@ def write_by_date(df: DataFrame, path: str, ts: str, fmt: str = "yyyy-MM-dd", mo
     df.withColumn("dt", F.date_format(ts, fmt)).write.mode(mode).partitionBy("dt").parquet(path)
 
 
+def write_lines_by_date(lines: DataFrame, path: str, fmt: str = "yyyy-MM-dd", mode: str = "append") -> None:
+    """Text lines (one string column) in dt=<date of writing> directories, UTC."""
+    lines.withColumn("dt", F.date_format(F.current_timestamp(), fmt)).write.mode(mode).partitionBy("dt").text(path)
+
+
 def upsert_by_key(batch: DataFrame, path: str, batch_id: int, day: str) -> None:
     """Appends a batch to the change log; a replayed batch replaces its own partitions, so replays change nothing."""
     rows = batch.withColumn("day", F.date_format(day, "yyyyMMdd")).withColumn("batch_id", F.lit(batch_id))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -45,14 +47,14 @@ def select_new_files_deferred(listed: DataFrame, mark: Column, now: Column, buff
     return listed.where((F.col("mtime") > mark) & (F.col("mtime") <= now - buffer))
 
 
-def scan_dir_chunk(listed: DataFrame, mark: Column, chunk_s: int = 900, rescan_s: int = 2700) -> DataFrame:
-    """Files of the next chunk of yyyyMMdd/HHmm directories, with dir_ts.
+def scan_dir_chunk(listed: DataFrame, mark: Column, chunk_s: int = 900, rescan_s: int = 2700, time_of: Callable[[Column], Column] = directory_ts) -> DataFrame:
+    """Files of the next chunk of directories, with dir_ts; time_of(path) tells a directory's time, from yyyyMMdd/HHmm by default.
 
     Directories from rescan_s before the mark on are looked at. Those up to the mark are
     scanned again; of the newer ones those of the first chunk that isn't empty are taken,
     so empty stretches are jumped over.
     """
-    dirs = listed.withColumn("dir_ts", directory_ts(F.col("path"))).where(F.col("dir_ts") >= mark - F.expr(f"interval {rescan_s} seconds"))
+    dirs = listed.withColumn("dir_ts", time_of(F.col("path"))).where(F.col("dir_ts") >= mark - F.expr(f"interval {rescan_s} seconds"))
     seconds = F.unix_timestamp("dir_ts") - F.unix_timestamp(mark)
     chunk = F.greatest(F.ceil(seconds / chunk_s), F.lit(0))  # 0: up to the mark
     numbered = dirs.withColumn("chunk", chunk)

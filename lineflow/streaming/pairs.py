@@ -33,6 +33,11 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
+def run_continuous(stream: DataFrame, path: str, checkpoint: str, interval: str = "10 seconds"):
+    """Starts a stream that looks for new input at an interval; returns the running query."""
+    return stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(processingTime=interval).start(path)
+
+
 def fan_out(stream: DataFrame, sinks: dict[str, Callable[[DataFrame, int], None]], tag: str, checkpoint: str):
     """Tagged rows to several sinks in one pass: sinks[tag value](rows, batch id)."""
 

@@ -193,6 +193,8 @@ def test_typed_read_and_sinks(spark, tmp_path):
     assert files.read_typed(spark, path, StructType([StructField("id", LongType()), StructField("v", StringType())])).count() == 2
     with pytest.raises(ValueError, match="v"):
         files.read_typed(spark, path, StructType([StructField("v", LongType())]))
+    tables.write_lines_by_date(rows.select("v"), str(tmp_path / "lines"))
+    assert {r.value for r in spark.read.text(str(tmp_path / "lines")).select("value").collect()} == {"a", "b"}
     log = str(tmp_path / "log")
     for _ in range(2):
         tables.upsert_by_key(rows, log, 1, "ts")
