@@ -262,14 +262,19 @@ def groups(docs: DataFrame, shingle: int = 3, limit: int = 3, n_words: int = 1,
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def bit_limit(similarity: float, n_bits: int) -> int:
+    """Bits that may differ between texts of a Jaccard similarity, with three standard deviations of the estimate."""
+    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    return int(n_bits * share + 3 * np.sqrt(n_bits * share * (1 - share)))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, n_words: int = 4, tables: int = 56, bits: int = 14, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, component_id) for texts whose shingle sets have a Jaccard similarity of about `similarity` or more.
 
     The similarity sets the share of bits that may differ: cosine 2J / (1 + J), angle over
-    pi, plus three standard deviations of the estimate from 64 * n_words bits. With the
+    pi, plus three standard deviations of the estimate from 64 * n_words bits. So that none
+    at the similarity is lost, some pairs well under it are linked too: with 256 bits down
+    to about 0.5. With the
     default tables a pair at a similarity of 0.8 shares a bucket with probability 0.997.
     """
-    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    n_bits = 64 * n_words
-    limit = int(n_bits * share + 3 * np.sqrt(n_bits * share * (1 - share)))
-    return groups(docs, shingle, limit, n_words, tables, bits, id_col, text_col).select("doc_id", "component_id")
+    return groups(docs, shingle, bit_limit(similarity, 64 * n_words), n_words, tables, bits, id_col, text_col).select("doc_id", "component_id")
