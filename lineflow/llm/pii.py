@@ -7,9 +7,13 @@ occurs without e. Terms at or over a threshold are added as spans wherever they
 in clean text base spans and revealing terms are replaced by their kind, and terms that
 reveal fully are removed.
 
+Most entities occur in fewer than `support` distinct texts, where each word of the text
+would reveal them. Such an entity is counted as its class: the finest of mail domain,
+network or number prefix, then kind, then any personal data, that occurs in `support` texts.
+
 Only DataFrame functions are used. Candidate terms are thinned by counts of single terms
 before (entity, term) pairs are made: the term has to occur in `support` distinct texts
-with repeated entities, which must be a large enough share of all texts it occurs in.
+with entities, which must be a large enough share of all texts it occurs in.
 
 Results in odd cases: null texts are empty ones and have no spans; repeated texts count
 once as evidence and all get the same spans; repeated rows each give a row; an empty
@@ -24,10 +28,12 @@ from pyspark.sql import functions as F
 from lineflow.llm.common import cut
 
 KINDS = ["email", "ip", "card", "phone", "term"]
-#: Distinct texts that an entity, and an entity with a term, must occur in.
+#: Distinct texts that an entity or class, and it together with a term, must occur in.
 SUPPORT = 3
 #: PMI / IC from which a term counts as revealing.
 DISCLOSURE = 0.95
+#: Classes in more texts than this are few and joined by broadcast, whatever the number of entities.
+HOT_TEXTS = 10_000
 #: Lists of terms or of texts' hashes are broadcast up to this many rows, and joined by a shuffle beyond it.
 BROADCAST_ROWS = 200_000
 
@@ -99,16 +105,38 @@ def _keyed(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.withColumns({"__text": text, "__h": F.xxhash64(text), "__g": F.xxhash64(F.lit(1), text)})
 
 
+def _levels(entity: Column) -> Column:
+    """(level, kind, value) of an entity itself and of its classes, from fine to coarse."""
+    kind, value = entity["kind"], entity["value"]
+    fine = F.when(kind == 0, F.substring_index(value, "@", -1)).when(kind == 1, F.substring_index(value, ".", 2)).when(kind == 2, F.substring(value, 1, 6)).otherwise(F.substring(value, 1, 4))
+    nothing = F.lit("")
+    levels = [(kind, value), (kind, fine), (kind, nothing), (F.lit(-1), nothing)]
+    return F.array(*(F.struct(F.lit(i).alias("level"), k.alias("kind"), v.alias("value")) for i, (k, v) in enumerate(levels)))
+
+
+def _pooled(held: DataFrame, support: int) -> DataFrame:
+    """(h, g, entity) -> (h, g, entity, n_entity), entities of too few texts replaced by the finest class of enough texts."""
+    pools = cut(held.select("h", "g", F.explode(_levels(F.col("entity"))).alias("pool")).distinct())
+    sizes = cut(pools.groupBy("pool").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support))
+    listed = held.select("entity").distinct().select("entity", F.explode(_levels(F.col("entity"))).alias("pool"))
+    hot = F.broadcast(sizes.where(F.col("n_entity") > HOT_TEXTS))
+    rest = _small(cut(sizes.where(F.col("n_entity") <= HOT_TEXTS)))
+    enough = listed.join(hot, "pool").unionByName(listed.join(rest, "pool"))
+    chosen = cut(enough.groupBy("entity").agg(F.min("pool").alias("pool")).select("pool").distinct().join(sizes, "pool"))
+    hot = F.broadcast(chosen.where(F.col("n_entity") > HOT_TEXTS))
+    rest = _small(cut(chosen.where(F.col("n_entity") <= HOT_TEXTS)))
+    return pools.join(hot, "pool").unionByName(pools.join(rest, "pool")).withColumnRenamed("pool", "entity")
+
+
 def revealing_terms(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE, text_col: str = "text") -> DataFrame | None:
-    """(h, g, term, reveals): texts, by two hashes, with the revealing terms they hold; None if no entity is frequent enough.
+    """(h, g, term, reveals): texts, by two hashes, with the revealing terms they hold; None if too few texts hold entities.
 
     Of several entities the one that the term reveals most counts.
     """
     rows = _keyed(docs.select(text_col), text_col).select(F.col("__h").alias("h"), F.col("__g").alias("g"), F.col("__text").alias("text"))
     values = F.array_distinct(F.transform(base_spans(F.col("text")), lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("value"))))
     held = cut(rows.select("h", "g", F.explode(values).alias("entity")).distinct())
-    entities = held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
-    held = cut(held.join(entities, "entity"))
+    held = cut(_pooled(held, support))
     if held.isEmpty():
         return None
     # frequencies of single terms over distinct texts: each of several copies counts as a part of one

@@ -125,3 +125,30 @@ def test_odd_texts(spark, odd_docs, no_docs):
     overlap = spark.createDataFrame([(1, f"call {number} now")], "doc_id long, text string")
     assert [s.kind for s in pii.find(overlap).first()["__base"]] == [3, 2]
     assert pii.clean(overlap).first().text == "call [PHONE] now"
+
+
+def test_entities_of_one_text_each_are_protected(spark):
+    """Nobody's address or number comes twice; names come with one mail domain, or with phone numbers only."""
+    texts = [f"letter {i} from person{i}@corp.example about Zanzibar and {w}" for i, w in enumerate(["apples", "pears", "plums", "figs"])]
+    texts += [f"the Wexford desk, call +{n}{n} 30 123456{n} for {w}" for n, w in zip(range(2, 6), ["apples", "pears", "plums", "figs"])]
+    texts += [f"letter {i} from other{i}@host{i}.example about rain" for i in range(4)]
+    texts += [f"letter {w} about {x} and rain for the desk from here, call" for w in ("one", "two", "three", "four", "five") for x in ("apples", "pears", "plums", "figs", "rain", "sun", "snow", "ice", "fog", "wind")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    entities = [{(k, v) for _, k, _, v in plain_spans(t)} for t in texts]
+    assert max(Counter(e for es in entities for e in es).values()) == 1
+    got = {r.doc_id: r for r in pii.find(docs).collect()}
+    added = [{s.value for s in got[i]["__spans"] if s.kind == 4} for i in range(len(texts))]
+    assert added == [{"zanzibar"}] * 4 + [{"wexford"}] * 4 + [set()] * 54
+    cleaned = {r.doc_id: r.text for r in pii.clean(docs).collect()}
+    assert all("Zanzibar" not in cleaned[i] and "Wexford" not in cleaned[i + 4] for i in range(4)) and cleaned[20] == texts[20]
+
+
+@pytest.mark.parametrize("hot_texts", [2, pii.HOT_TEXTS])
+def test_pools_are_the_finest_of_enough_texts(spark, monkeypatch, hot_texts):
+    monkeypatch.setattr(pii, "HOT_TEXTS", hot_texts)
+    rows = [(t, 0, (0, v)) for v, ts in {"a@x.y": [1, 2, 3], "b@x.y": [4], "c@z.y": [5], "d@z.y": [5]}.items() for t in ts] + [(6, 0, (3, "49301")), (7, 0, (2, "4111110"))]
+    held = spark.createDataFrame(rows, "h long, g long, entity struct<kind:int,value:string>")
+    got = {}
+    for r in pii._pooled(held, 3).collect():
+        got.setdefault((tuple(r.entity), r.n_entity), set()).add(r.h)
+    assert got == {((0, 0, "a@x.y"), 3): {1, 2, 3}, ((1, 0, "x.y"), 4): {1, 2, 3, 4}, ((2, 0, ""), 5): {1, 2, 3, 4, 5}, ((3, -1, ""), 7): {1, 2, 3, 4, 5, 6, 7}}
