@@ -78,9 +78,13 @@ def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def fingerprint(text: bytes | None, shingle: int, n_words: int = 1) -> np.ndarray:
-    """n_words 64-bit words; the first is the plain SimHash."""
+def fingerprint(text: bytes | None, shingle: int, n_words: int = 1, distinct: bool = False) -> np.ndarray:
+    """n_words 64-bit words; the first is the plain SimHash. Repeated shingles count once if distinct."""
     hashes = shingle_hashes(text, shingle)
+    return _fingerprint(np.unique(hashes) if distinct else hashes, n_words)
+
+
+def _fingerprint(hashes: np.ndarray, n_words: int) -> np.ndarray:
     out = np.zeros(n_words, np.uint64)
     for k in range(n_words):
         counts = bit_counts(hashes if k == 0 else _mixed(hashes, k))
@@ -88,7 +92,7 @@ def fingerprint(text: bytes | None, shingle: int, n_words: int = 1) -> np.ndarra
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int, n_words: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int, n_words: int = 1, id_col: str = "doc_id", text_col: str = "text", distinct: bool = False) -> DataFrame:
     """(doc_id long, fp array<long>) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +100,7 @@ def fingerprints(docs: DataFrame, shingle: int, n_words: int = 1, id_col: str =
             texts = batch.column(1)
             fps = np.zeros((batch.num_rows, n_words), np.uint64)
             for i in range(batch.num_rows):
-                fps[i] = fingerprint(texts[i].as_py(), shingle, n_words)
+                fps[i] = fingerprint(texts[i].as_py(), shingle, n_words, distinct)
             flat = pa.array(fps.view(np.int64).ravel())
             offsets = pa.array(np.arange(0, len(flat) + 1, n_words, dtype=np.int32))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, flat)], ["doc_id", "fp"])
@@ -253,9 +257,9 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: int | None = None, b
     return rows.mapInArrow(run, "a long, b long")
 
 
-def groups(docs: DataFrame, shingle: int = 3, limit: int = 3, n_words: int = 1, tables: int | None = None, bits: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def groups(docs: DataFrame, shingle: int = 3, limit: int = 3, n_words: int = 1, tables: int | None = None, bits: int = 12, id_col: str = "doc_id", text_col: str = "text", distinct: bool = False) -> DataFrame:
     """(doc_id, fp array<long>, component_id): the smallest id reachable over links of at most limit bits."""
-    prints = cut(fingerprints(docs, shingle, n_words, id_col, text_col))
+    prints = cut(fingerprints(docs, shingle, n_words, id_col, text_col, distinct))
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("v")))
     found = components(links(distinct.where("v is not null"), n_words, limit, tables, bits))
     named = distinct.join(found, "v", "left").select("fp", F.coalesce("root", "v").alias("component_id"))
@@ -277,4 +281,4 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     to about 0.5. With the
     default tables a pair at a similarity of 0.8 shares a bucket with probability 0.997.
     """
-    return groups(docs, shingle, bit_limit(similarity, 64 * n_words), n_words, tables, bits, id_col, text_col).select("doc_id", "component_id")
+    return groups(docs, shingle, bit_limit(similarity, 64 * n_words), n_words, tables, bits, id_col, text_col, distinct=True).select("doc_id", "component_id")

@@ -88,3 +88,18 @@ def test_components(spark):
     got = {r.v: r.root for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(51)}, 100: 100, 150: 100, 200: 100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def drawn(rng, n):
+    return [f"w{rng.getrandbits(40):x}" for _ in range(n)]
+
+
+def test_repeated_lines_do_not_change_what_is_alike(spark):
+    rng = random.Random(8)
+    line = drawn(rng, 14)
+    texts = [drawn(rng, 104) + line * 10 for _ in range(2)]
+    same = drawn(rng, 204)
+    texts += [same, same[:24] + same[:24] * 9 + same]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert simhash.bit_limit(0.8, 256) >= np.bitwise_count(np.bitwise_xor(*(simhash.fingerprint(" ".join(t).encode(), 5, 4) for t in texts[:2]))).sum()
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()} == {0: 0, 1: 1, 2: 2, 3: 2}
