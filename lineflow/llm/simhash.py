@@ -92,7 +92,7 @@ def _fingerprint(hashes: np.ndarray, n_words: int) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int, n_words: int = 1, id_col: str = "doc_id", text_col: str = "text", distinct: bool = False) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int, n_words: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, fp array<long>) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +100,7 @@ def fingerprints(docs: DataFrame, shingle: int, n_words: int = 1, id_col: str =
             texts = batch.column(1)
             fps = np.zeros((batch.num_rows, n_words), np.uint64)
             for i in range(batch.num_rows):
-                fps[i] = fingerprint(texts[i].as_py(), shingle, n_words, distinct)
+                fps[i] = fingerprint(texts[i].as_py(), shingle, n_words)
             flat = pa.array(fps.view(np.int64).ravel())
             offsets = pa.array(np.arange(0, len(flat) + 1, n_words, dtype=np.int32))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, flat)], ["doc_id", "fp"])
@@ -210,10 +210,11 @@ def masks(n_words: int, limit: int, tables: int | None = None, bits: int = 12) -
     return [(t % n_words, sum(1 << int(b) for b in draw.choice(64, bits, replace=False))) for t in range(tables)]
 
 
-def links(fps: DataFrame, n_words: int, limit: int, tables: int | None = None, bits: int = 12) -> DataFrame:
+def links(fps: DataFrame, n_words: int, limit: int, tables: int | None = None, bits: int = 12, chained: bool = True) -> DataFrame:
     """fps (v long, fp array<long>), distinct fp -> links (a long, b long) that span the groups.
 
-    A task emits a chain through each group it finds, never all pairs of a group. Buckets
+    A task emits a chain through each group it finds, never all pairs of a group; or, unless
+    chained, each pair within the limit, some of them several times. Buckets
     over BUCKET_ROWS are cut into chunks, and each pair of chunks is searched by itself.
     """
     signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
@@ -249,36 +250,91 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: int | None = None, b
                 continue
             v = rows.column(2).to_numpy()[:end]
             fp = rows.column(3).flatten().to_numpy().view(np.uint64).reshape(n, n_words)[:end]
-            root = forest(end, GrayIndex(fp, np.cumsum(new[:end])).search(limit))
+            found = GrayIndex(fp, np.cumsum(new[:end])).search(limit)
+            if not chained:
+                for p, q in found:
+                    yield pa.RecordBatch.from_arrays([pa.array(v[p]), pa.array(v[q])], ["a", "b"])
+                continue
+            root = forest(end, found)
             by = np.lexsort([np.arange(end), root])
-            chained = root[by][1:] == root[by][:-1]
-            yield pa.RecordBatch.from_arrays([pa.array(v[by][:-1][chained]), pa.array(v[by][1:][chained])], ["a", "b"])
+            same = root[by][1:] == root[by][:-1]
+            yield pa.RecordBatch.from_arrays([pa.array(v[by][:-1][same]), pa.array(v[by][1:][same])], ["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long")
 
 
-def groups(docs: DataFrame, shingle: int = 3, limit: int = 3, n_words: int = 1, tables: int | None = None, bits: int = 12, id_col: str = "doc_id", text_col: str = "text", distinct: bool = False) -> DataFrame:
+def groups(docs: DataFrame, shingle: int = 3, limit: int = 3, n_words: int = 1, tables: int | None = None, bits: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp array<long>, component_id): the smallest id reachable over links of at most limit bits."""
-    prints = cut(fingerprints(docs, shingle, n_words, id_col, text_col, distinct))
+    prints = cut(fingerprints(docs, shingle, n_words, id_col, text_col))
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("v")))
     found = components(links(distinct.where("v is not null"), n_words, limit, tables, bits))
     named = distinct.join(found, "v", "left").select("fp", F.coalesce("root", "v").alias("component_id"))
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def bit_limit(similarity: float, n_bits: int) -> int:
-    """Bits that may differ between texts of a Jaccard similarity, with three standard deviations of the estimate."""
+def bit_limit(similarity: float, n_bits: int, deviations: float = 3) -> int:
+    """Bits that may differ between texts of a Jaccard similarity, with some standard deviations of the estimate."""
     share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(n_bits * share + 3 * np.sqrt(n_bits * share * (1 - share)))
+    return int(n_bits * share + deviations * np.sqrt(n_bits * share * (1 - share)))
+
+
+def shingle_sets(docs: DataFrame, shingle: int, n_words: int, id_col: str = "doc_id", text_col: str = "text", listed: bool = False) -> DataFrame:
+    """(doc_id, h, g, v, n, x) of every row: two hashes of the text, the hash and size of its shingle set, and its fingerprint or, if listed, its members."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v, n, x = [], [], []
+            for text in batch.column(3):
+                members = np.unique(shingle_hashes(text.as_py(), shingle))
+                v.append(_mixed(members, 101).sum(dtype=np.uint64))
+                n.append(len(members))
+                x.append(members if listed else _fingerprint(members, n_words))
+            offsets = pa.array(np.concatenate([[0], np.cumsum([len(m) for m in x])]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.uint64), *x]).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.array(v, np.uint64).view(np.int64)), pa.array(n, pa.int32()), lists], ["doc_id", "h", "g", "v", "n", "x"])
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"), text.cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, h long, g long, v long, n int, x array<long>")
+
+
+def alike(pairs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets in members (v, x) have a Jaccard similarity of at least `similarity`."""
+    left, right = (members.select(F.col("v").alias(c), F.col("x").alias(f"x{c}")) for c in "ab")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", F.size("xa").alias("na"), F.size("xb").alias("nb"), F.size(F.array_intersect("xa", "xb")).alias("i"))
+    return both.where(F.col("i") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("i")) - 1e-9).select("a", "b")
+
+
+def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, n_words: int = 4, tables: int = 56, bits: int = 14, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, h, g, root) of every row; h and g are hashes of its text, root names its group.
+
+    Pairs from the index are candidates only; each is checked by its shingle sets. First
+    each set is checked against its smallest candidate, then only pairs that this left in
+    different groups are.
+    """
+    prints = cut(shingle_sets(docs, shingle, n_words, id_col, text_col))
+    distinct = cut(prints.groupBy("v").agg(F.first("n").alias("n"), F.first("x").alias("fp")))
+    pairs = candidates(docs, distinct, shingle, similarity, n_words, tables, bits, id_col, text_col)
+    pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    needed = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
+    members = cut(shingle_sets(docs, shingle, n_words, id_col, text_col, listed=True).select("v", "x").join(needed, "v", "left_semi").dropDuplicates(["v"]))
+    first = cut(alike(pairs.groupBy("b").agg(F.min("a").alias("a")), members, similarity))
+    root = components(first)
+    ends = pairs.join(root.select(F.col("v").alias("a"), F.col("root").alias("ra")), "a", "left").join(root.select(F.col("v").alias("b"), F.col("root").alias("rb")), "b", "left")
+    rest = ends.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+    found = components(first.union(alike(rest, members, similarity)))
+    return prints.join(found, "v", "left").select("doc_id", "h", "g", F.coalesce("root", "v").alias("root"))
+
+
+def candidates(docs: DataFrame, distinct: DataFrame, shingle: int, similarity: float, n_words: int, tables: int, bits: int, id_col: str, text_col: str) -> DataFrame:
+    """Pairs (a, b) of sets in distinct (v, n, fp) that may be similar."""
+    return links(distinct.select("v", "fp"), n_words, bit_limit(similarity, 64 * n_words), tables, bits, chained=False)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, n_words: int = 4, tables: int = 56, bits: int = 14, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, component_id) for texts whose shingle sets have a Jaccard similarity of about `similarity` or more.
+    """(doc_id, component_id): the smallest id reachable over texts whose shingle sets have a Jaccard similarity of `similarity` or more.
 
-    The similarity sets the share of bits that may differ: cosine 2J / (1 + J), angle over
-    pi, plus three standard deviations of the estimate from 64 * n_words bits. So that none
-    at the similarity is lost, some pairs well under it are linked too: with 256 bits down
-    to about 0.5. With the
-    default tables a pair at a similarity of 0.8 shares a bucket with probability 0.997.
+    Sets are compared by the 64-bit hashes of their shingles.
     """
-    return groups(docs, shingle, bit_limit(similarity, 64 * n_words), n_words, tables, bits, id_col, text_col, distinct=True).select("doc_id", "component_id")
+    groups = cut(duplicate_groups(docs, shingle, similarity, n_words, tables, bits, id_col, text_col))
+    return groups.join(groups.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("doc_id", "component_id")

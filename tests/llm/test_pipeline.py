@@ -112,3 +112,10 @@ def test_clashing_names_stay_as_they_are(spark, odd_docs):
         assert docs.columns[-len(names) :] == names, name
         assert all(tuple(r) == tuple(names) for r in docs.select(*names).collect()), name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0
+
+
+def test_removed_documents_have_a_copy_at_the_fixed_bound(stages):
+    before, after = rows(stages[2]), rows(stages[3])
+    sets = {d: shingles(r.text) for d, r in before.items()}
+    for d in set(before) - set(after):
+        assert max(len(sets[d] & s) / len(sets[d] | s) for e, s in sets.items() if e != d) >= 0.8
