@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineflow.llm.common import cut
@@ -35,6 +35,12 @@ FANOUT = 8
 BUFFER_ROWS = 200_000
 #: (query, node) pairs held at a time in a search.
 FRONTIER = 1_000_000
+#: Pairs with a set of so many shingles at most are found by their members, others by their fingerprints.
+SMALL = 64
+#: Standard deviations of the estimate that the limit of bits allows, as an exact check follows.
+DEVIATIONS = 4.5
+#: Members of more sets than this come last in a prefix; a list of so many rows of them is broadcast.
+COMMON, COMMON_ROWS = 100, 200_000
 #: Hashes that are summed up at a time.
 SLICE = 65_536
 
@@ -305,7 +311,7 @@ def alike(pairs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
     return both.where(F.col("i") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("i")) - 1e-9).select("a", "b")
 
 
-def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, n_words: int = 4, tables: int = 56, bits: int = 14, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, n_words: int = 4, tables: int = 96, bits: int = 14, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, h, g, root) of every row; h and g are hashes of its text, root names its group.
 
     Pairs from the index are candidates only; each is checked by its shingle sets. First
@@ -328,10 +334,24 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
 
 def candidates(docs: DataFrame, distinct: DataFrame, shingle: int, similarity: float, n_words: int, tables: int, bits: int, id_col: str, text_col: str) -> DataFrame:
     """Pairs (a, b) of sets in distinct (v, n, fp) that may be similar."""
-    return links(distinct.select("v", "fp"), n_words, bit_limit(similarity, 64 * n_words), tables, bits, chained=False)
+    most = int(SMALL / similarity) + 1
+    small = shingle_sets(docs, shingle, n_words, id_col, text_col, listed=True).where(F.col("n").between(1, most)).select("v", "n", "x").dropDuplicates(["v"])
+    large = distinct.where(F.col("n") > SMALL).select("v", "fp")
+    return prefix_pairs(small, similarity).union(links(large, n_words, bit_limit(similarity, 64 * n_words, DEVIATIONS), tables, bits, chained=False))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, n_words: int = 4, tables: int = 56, bits: int = 14, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def prefix_pairs(sets: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of sets (v, n, x) that can have the similarity: they share one of their first members, rare ones coming first."""
+    listed = cut(sets.select("v", "n", F.explode("x").alias("s")))
+    common = cut(listed.groupBy("s").agg(F.count("*").alias("often")).where(F.col("often") > COMMON))
+    ranked = listed.join(F.broadcast(common) if common.count() <= COMMON_ROWS else common, "s", "left").select("v", "n", F.struct(F.coalesce("often", F.lit(0)).alias("often"), "s").alias("s"))
+    place = F.row_number().over(Window.partitionBy("v").orderBy("s"))
+    first = cut(ranked.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9) + 1).select("v", "n", "s.s"))
+    a, b = first.select(F.col("v").alias("a"), F.col("n").alias("na"), "s"), first.select(F.col("v").alias("b"), F.col("n").alias("nb"), "s")
+    return a.join(b, "s").where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb") - 1e-9)).select("a", "b").distinct()
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, n_words: int = 4, tables: int = 96, bits: int = 14, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, component_id): the smallest id reachable over texts whose shingle sets have a Jaccard similarity of `similarity` or more.
 
     Sets are compared by the 64-bit hashes of their shingles.

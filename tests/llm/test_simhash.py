@@ -103,3 +103,33 @@ def test_repeated_lines_do_not_change_what_is_alike(spark):
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
     assert simhash.bit_limit(0.8, 256) >= np.bitwise_count(np.bitwise_xor(*(simhash.fingerprint(" ".join(t).encode(), 5, 4) for t in texts[:2]))).sum()
     assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()} == {0: 0, 1: 1, 2: 2, 3: 2}
+
+
+def test_groups_are_those_of_exact_similarity(spark):
+    """Tails of all lengths, so that similarities lie around 0.8, in short and long texts and one word added."""
+    rng = random.Random(9)
+    texts = []
+    for n in (8, 12, 20, 40, 60, 70, 80, 90, 120, 300):
+        for share in (0.02, 0.06, 0.1, 0.11, 0.12, 0.15, 0.2):
+            base, cut_ = drawn(rng, n), round(n * share)
+            texts += [base, base[: n - cut_] + drawn(rng, cut_), base + drawn(rng, 1)]
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    near = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == plain_roots(len(texts), near)
+
+
+def test_recall_of_the_index_by_length():
+    rng = np.random.default_rng(4)
+    tables, limit = simhash.masks(4, 0, 96, 14), simhash.bit_limit(0.8, 256, simhash.DEVIATIONS)
+    for n in (72, 135, 270, 900):
+        found = 0
+        for _ in range(400):
+            a = rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + rng.integers(0, 2, n, np.uint64)
+            b = a.copy()
+            b[: n // 9] = rng.integers(0, 1 << 63, n // 9, np.uint64)
+            x = simhash._fingerprint(a, 4) ^ simhash._fingerprint(b, 4)
+            found += int(np.bitwise_count(x).sum() <= limit and any(not int(x[w]) & m for w, m in tables))
+        print("recall", n, found / 400)
+        assert found >= 396, n
