@@ -23,11 +23,15 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates (five-word shingles, similarity 0.8).
 
-    Repeated rows of an id leave one; rows without an id go.
+    A row without an id stays if its group has no other; among texts of one id the smaller hash wins.
     """
-    groups = simhash.near_duplicates(docs)
-    kept = groups.where("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    groups = simhash.duplicate_groups(docs)
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "g")).alias("key")).select("key")
+    text = F.coalesce("text", F.lit(""))
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"))
+    rows = docs.select(key.alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    kept = rows.join(first.withColumnRenamed("key", "kept"), F.col("key").eqNullSafe(F.col("kept")), "left_semi").dropDuplicates(["key"])
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

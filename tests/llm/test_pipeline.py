@@ -114,6 +114,14 @@ def test_clashing_names_stay_as_they_are(spark, odd_docs):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0
 
 
+def test_near_duplicates_keep_one_row_of_each_group_whatever_its_id(spark):
+    texts = {c: " ".join(f"{c}{i}" for i in range(30)) for c in "abcd"}
+    rows = [(1, texts["a"]), (2, texts["a"]), (2, texts["b"]), (None, texts["c"]), (None, texts["c"]), (None, texts["a"]), (3, texts["d"]), (3, texts["d"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text[0]) for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()), key=lambda r: r[1])
+    assert kept == [(1, "a"), (2, "b"), (None, "c"), (3, "d")]
+
+
 def test_removed_documents_have_a_copy_at_the_fixed_bound(stages):
     before, after = rows(stages[2]), rows(stages[3])
     sets = {d: shingles(r.text) for d, r in before.items()}
