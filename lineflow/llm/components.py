@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineflow.llm.common import cut
@@ -11,29 +11,28 @@ from lineflow.llm.common import cut
 def components(links: DataFrame) -> DataFrame:
     """links (a long, b long) -> (v long, root long), root being the smallest id reachable.
 
-    Each round hooks every vertex to its smallest neighbour, follows the hooks twice,
-    and contracts the links; the link table shrinks by a constant factor a round. Links
+    Each round hooks every vertex to its first neighbour, follows the hooks to their ends
+    by doubling, and contracts the links. Neighbours are ordered by id in even rounds, so
+    that stars and chains in order of id end at once, and by a hash of the id that
+    differs by round in odd ones: there a vertex with a link has an even chance or better
+    of not being the first of its neighbourhood, so two rounds halve the vertices on any
+    graph, whatever its order of ids, and the number of rounds is logarithmic. Links
     whose ends are null or equal are ignored; an empty table gives an empty result.
     Vertices without links are not returned. State lives in reliable checkpoints only.
     """
     links = cut(_clean(links.select(F.col("a").cast("long"), F.col("b").cast("long"))))
     both = links.select(F.col("a").alias("v")).union(links.select(F.col("b").alias("v")))
-    roots = both.distinct().select("v", F.col("v").alias("root"))
+    held = both.distinct().select("v", F.col("v").alias("at"))
+    turn = 0
     while not links.isEmpty():
-        hooks = (
-            links.union(links.select("b", "a"))
-            .groupBy(F.col("a").alias("v"))
-            .agg(F.least(F.min("b"), F.first("a")).alias("p"))
-        )
-        hooks = cut(_jump(_jump(hooks)))
-        roots = cut(
-            roots.join(hooks.withColumnRenamed("v", "root"), "root", "left")
-            .select("v", F.coalesce("p", "root").alias("root"))
-        )
+        hooks = _settled(_hooks(links, turn))
+        held = cut(held.join(hooks.withColumnRenamed("v", "at"), "at", "left").select("v", F.coalesce("p", "at").alias("at")))
         ends = links.join(hooks.select(F.col("v").alias("a"), F.col("p").alias("pa")), "a")
         ends = ends.join(hooks.select(F.col("v").alias("b"), F.col("p").alias("pb")), "b")
         links = cut(_clean(ends.select(F.col("pa").alias("a"), F.col("pb").alias("b"))))
-    return roots
+        turn += 1
+    least = held.groupBy("at").agg(F.min("v").alias("root"))
+    return held.join(least, "at").select("v", "root")
 
 
 def _clean(links: DataFrame) -> DataFrame:
@@ -41,6 +40,19 @@ def _clean(links: DataFrame) -> DataFrame:
     return ends.where("a <> b").distinct()
 
 
-def _jump(hooks: DataFrame) -> DataFrame:
-    onward = hooks.select(F.col("v").alias("p"), F.col("p").alias("q"))
-    return hooks.join(onward, "p").select("v", F.col("q").alias("p"))
+def _hooks(links: DataFrame, turn: int) -> DataFrame:
+    """(v, p): the first of the vertex and its neighbours in this round's order."""
+    rank = lambda c: F.xxhash64(c, F.lit(turn)) if turn % 2 else F.col(c)
+    near = links.union(links.select("b", "a")).groupBy(F.col("a").alias("v")).agg(F.min_by("b", rank("b")).alias("b"))
+    first: Column = F.when(rank("b") < rank("v"), F.col("b")).otherwise(F.col("v"))
+    return near.select("v", first.alias("p"))
+
+
+def _settled(hooks: DataFrame) -> DataFrame:
+    """Hooks followed to their ends; each pass doubles the way."""
+    while True:
+        onward = hooks.select(F.col("v").alias("p"), F.col("p").alias("q"))
+        hooks = cut(hooks.join(onward, "p").select("v", F.col("q").alias("p"), (F.col("p") != F.col("q")).alias("moved")))
+        if hooks.where("moved").isEmpty():
+            return hooks.select("v", "p")
+        hooks = hooks.select("v", "p")

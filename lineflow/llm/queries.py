@@ -41,7 +41,7 @@ def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """3-word shingles, links at 3 or fewer differing bits."""
     found = simhash.groups(table(spark, sf_dir, "documents"), shingle=3, limit=3)
-    return found.select("doc_id", F.lower(F.lpad(F.hex(F.col("fp")[0]), 16, "0")).alias("fingerprint"), "component_id")
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,13 +9,14 @@ each node's own bits and drops a whole node once they exceed the limit.
 
 Results in odd cases: null and empty texts and texts without words have fingerprint
 zero and are linked like any other; equal fingerprints always link; rows with a null id
-keep a null component unless others share their fingerprint; an empty table gives no
-rows; columns other than id and text are not looked at.
+link others like any row, and their component is null only if no row of it has an id; an
+empty table gives no rows; columns other than id and text are not looked at.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lineflow.llm.common import cut
+from lineflow.llm.common import cut, written
 from lineflow.llm.components import components
 
 #: A bucket with more fingerprints than this is compared in pairs of chunks, by several tasks.
@@ -35,10 +36,18 @@ FANOUT = 8
 BUFFER_ROWS = 200_000
 #: (query, node) pairs held at a time in a search.
 FRONTIER = 1_000_000
+#: Fingerprints of a bucket, about, that the number of blocks or of mask bits is chosen for.
+BUCKET_GOAL = 32
 #: Pairs with a set of so many shingles at most are found by their members, others by their fingerprints.
 SMALL = 64
+#: Words of the fingerprints that near duplicates are searched by.
+NEAR_WORDS = 4
 #: Standard deviations of the estimate that the limit of bits allows, as an exact check follows.
-DEVIATIONS = 4.5
+DEVIATIONS = 4.0
+#: Share of pairs at the similarity, with the mean number of differing bits, that share a bucket.
+RECALL = 0.9999
+#: Sets that are compared exactly are broadcast up to this many, and joined by a shuffle beyond it.
+BROADCAST_SETS = 200_000
 #: Members of more sets than this come last in a prefix; a list of so many rows of them is broadcast.
 COMMON, COMMON_ROWS = 100, 200_000
 #: Hashes that are summed up at a time.
@@ -158,27 +167,35 @@ class GrayIndex:
             above = np.repeat(level["mask"], level["n"], axis=0)
         self.levels = levels
 
-    def search(self, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (p, q), p < q, of positions in the original arrays that differ in at most limit bits."""
+    def search(self, limit: int, asked: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (p, q) of positions in the original arrays that differ in at most limit bits, each once.
+
+        asked (n, of the original positions): only pairs with a member of these are
+        looked for, by searches from these alone; a pair of two comes twice.
+        """
         n, widest = len(self.fps), np.bincount(self.bucket_of).max() if len(self.fps) else 1
+        queries = np.arange(n) if asked is None else np.flatnonzero(asked[self.order])
         step = max(1, FRONTIER // int(widest))
-        for at in range(0, n, step):
-            query = np.arange(at, min(at + step, n))
+        for at in range(0, len(queries), step):
+            query = queries[at : at + step]
             node = self.bucket_of[query]
             done = np.zeros(len(query), np.int64)
             for k in range(len(self.levels) - 1, -1, -1):
                 level = self.levels[k]
                 differ = (self.fps[query] ^ level["all"][node]) & level["own"][node]
                 done = done + np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
-                keep = (done <= limit) & (level["last"][node] > query)
+                keep = done <= limit
+                if asked is None:
+                    keep &= level["last"][node] > query
                 query, node, done = query[keep], node[keep], done[keep]
                 if k:
                     n_child = level["n"][node]
                     begin = np.repeat(level["child"][node] - np.cumsum(n_child) + n_child, n_child)
                     query, done = np.repeat(query, n_child), np.repeat(done, n_child)
                     node = begin + np.arange(len(begin))
-            if len(query):
-                yield self.order[query], self.order[node]
+            apart = query != node
+            if apart.any():
+                yield self.order[query[apart]], self.order[node[apart]]
 
 
 def forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -200,41 +217,94 @@ def forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
 # linking --------------------------------------------------------------------
 
 
-def masks(n_words: int, limit: int, tables: int | None = None, bits: int = 12) -> list[tuple[int, int]]:
-    """(word, mask) of every table of buckets.
+def blocks(n: int, limit: int) -> list[tuple[int, int]]:
+    """(word, mask) of the tables of buckets for n fingerprints of one word: none within limit bits is missed.
 
-    Without tables: limit + 1 blocks of one word. Two fingerprints that differ in at most
-    limit bits are equal in one of the blocks, so none is missed. With tables: so many
-    masks of some bits each, drawn with a fixed seed, for limits too wide for blocks.
+    The word is cut into blocks; two fingerprints that differ in at most limit bits are
+    equal in all but `limit` blocks, so a table for each choice of the blocks that are
+    left finds them. More blocks mean longer masks and more tables; as few are taken as
+    keep a bucket at BUCKET_GOAL fingerprints, about.
     """
-    if tables is None:
-        if n_words != 1 or limit > 15:
-            raise ValueError("blocks need one word and a limit of 15 bits at most")
-        edges = np.linspace(0, 64, limit + 2).astype(int)
-        return [(0, ((1 << int(b)) - 1) ^ ((1 << int(a)) - 1)) for a, b in zip(edges, edges[1:])]
+    if limit > 15:
+        raise ValueError("blocks need a limit of 15 bits at most")
+    count = limit + 1
+    while count < 64 and n > BUCKET_GOAL << int(64 * (count - limit) / count) and math.comb(count + 1, limit) <= 256:
+        count += 1
+    edges = np.linspace(0, 64, count + 1).astype(int).tolist()
+    parts = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
+    return [(0, sum(kept)) for kept in itertools.combinations(parts, count - limit)]
+
+
+def bit_share(similarity: float) -> float:
+    """Share of bits in which sets of a Jaccard similarity differ, on average."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def bit_limit(similarity: float, n_bits: int, deviations: float = 3) -> int:
+    """Bits that may differ between texts of a Jaccard similarity, with some standard deviations of the estimate."""
+    share = bit_share(similarity)
+    return int(n_bits * share + deviations * np.sqrt(n_bits * share * (1 - share)))
+
+
+def drawn_masks(n: int, n_words: int, similarity: float) -> list[tuple[int, int]]:
+    """(word, mask) of the tables of buckets for n fingerprints of several words, for limits too wide for blocks.
+
+    Masks are drawn with a fixed seed: so many bits that a bucket holds BUCKET_GOAL
+    fingerprints, about, and so many tables that RECALL of the pairs share a bucket.
+    """
+    bits = max(8, math.ceil(math.log2(max(n, 2) / BUCKET_GOAL)))
+    tables = math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - bit_share(similarity)) ** bits))
     draw = np.random.default_rng(20)
     return [(t % n_words, sum(1 << int(b) for b in draw.choice(64, bits, replace=False))) for t in range(tables)]
 
 
-def links(fps: DataFrame, n_words: int, limit: int, tables: int | None = None, bits: int = 12, chained: bool = True) -> DataFrame:
-    """fps (v long, fp array<long>), distinct fp -> links (a long, b long) that span the groups.
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >= 1 << 63 else x
+
+
+def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]], mode: str = "chains") -> DataFrame:
+    """fps (v long, f0 .. long, and label long where mode is rest), distinct -> links (a long, b long) within limit bits.
+
+    chains: a chain through each group of a bucket, which spans it. first: of each
+    fingerprint its partners among the first of its bucket and the one before it in Gray
+    order, or else the first that a search finds; so few that a group of k gives some k
+    links, but every fingerprint with a partner in a bucket has a link. rest: all pairs of
+    different labels.
 
-    A task emits a chain through each group it finds, never all pairs of a group; or, unless
-    chained, each pair within the limit, some of them several times. Buckets
-    over BUCKET_ROWS are cut into chunks, and each pair of chunks is searched by itself.
+    In a bucket over BUCKET_ROWS most rows are near to its first fingerprint, or have its
+    most frequent label: these need not meet each other, only the others. They are cut
+    into chunks, so are the others, and each pair of chunks is a cell of its own.
     """
-    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
-    table = F.array(*(F.struct(F.lit(w).alias("w"), F.lit(signed(m)).alias("mask")) for w, m in masks(n_words, limit, tables, bits)))
-    rows = fps.select("v", "fp", F.explode(table).alias("t"))
-    rows = rows.select("v", "fp", F.xxhash64("t.w", "t.mask", F.expr("fp[t.w] & t.mask")).alias("bucket"))
-    hot = cut(rows.groupBy("bucket").count().where(F.col("count") > BUCKET_ROWS))
-    if hot.isEmpty():
-        rows = rows.withColumn("cell", F.lit(0).cast("long"))
+    names = [f"f{i}" for i in range(n_words)]
+    extra = ["label"] if mode == "rest" else []
+    which = F.posexplode(F.array(*(F.lit(_signed(m)) for _, m in tables))).alias("t", "mask")
+    rows = fps.select("v", *names, *extra, which)
+    word = F.get(F.array(*names), F.get(F.array(*(F.lit(w) for w, _ in tables)), F.col("t"))) if n_words > 1 else F.col("f0")
+    rows = rows.select(F.xxhash64("t", word.bitwiseAND(F.col("mask"))).alias("bucket"), "v", *names, *extra)
+    if mode == "rest":
+        sizes = rows.groupBy("bucket", "label").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.sum("k").alias("count"), F.max_by("label", "k").alias("often"))
+        near = F.col("label") == F.col("often")
     else:
-        rows = rows.join(hot, "bucket", "left").withColumn("n", F.coalesce(F.ceil(F.col("count") / BUCKET_ROWS), F.lit(1)).cast("int"))
-        rows = rows.withColumn("c", F.pmod(F.xxhash64("fp"), "n").cast("int")).withColumn("d", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-        rows = rows.withColumn("cell", F.least("c", "d").cast("long") * (1 << 31) + F.greatest("c", "d"))
-    rows = rows.select("bucket", "cell", "v", "fp").repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
+        sizes = rows.groupBy("bucket").agg(F.count("*").alias("count"), F.min("v").alias("pivot"), *(F.min_by(f, "v").alias(f"p{f}") for f in names))
+        near = sum((F.bit_count(F.col(f).bitwiseXOR(F.col(f"p{f}"))) for f in names), F.lit(0)) <= limit
+    hot = cut(sizes.where(F.col("count") > BUCKET_ROWS))
+    found = None
+    rows = rows.withColumns({"cell": F.lit(0).cast("long"), "asked": F.lit(True)})
+    if not hot.isEmpty():
+        tagged = cut(rows.drop("cell", "asked").join(hot, "bucket").withColumn("near", near))
+        if mode != "rest":
+            found = tagged.where(F.col("near") & (F.col("v") != F.col("pivot"))).select(F.col("v").alias("a"), F.col("pivot").alias("b"))
+        parts = tagged.groupBy("bucket").agg(F.count_if("near").alias("n"), F.count_if(~F.col("near")).alias("f"))
+        parts = parts.where("f > 0").select("bucket", *(F.ceil(F.col(c) / BUCKET_ROWS).cast("int").alias(c) for c in "nf"))
+        tagged = tagged.join(parts, "bucket").withColumn("c", F.pmod(F.xxhash64(*names), F.when(F.col("near"), F.col("n")).otherwise(F.col("f"))).cast("long"))
+        upto = lambda k: F.filter(F.sequence(F.lit(0), F.col(k)), lambda i: i < F.col(k))
+        cell = lambda low, high: low.cast("long") * (1 << 30) + high.cast("long")
+        with_near = F.when(F.col("near"), F.transform(upto("f"), lambda d: cell(F.col("c"), d) + 1)).otherwise(F.transform(upto("n"), lambda d: cell(d, F.col("c")) + 1))
+        alone = F.when(~F.col("near"), F.transform(upto("f"), lambda d: cell(F.least("c", d.cast("long")), F.greatest("c", d.cast("long"))) + (1 << 61))).otherwise(F.expr("cast(array() as array<bigint>)"))
+        cells = tagged.select("bucket", "v", *names, *extra, F.explode(F.concat(with_near, alone)).alias("cell"), (~F.col("near")).alias("asked"))
+        rows = rows.join(hot.select("bucket"), "bucket", "left_anti").unionByName(cells)
+    rows = rows.select("bucket", "cell", "asked", "v", *extra, *names).repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
+    skip = 4 + len(extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -254,54 +324,100 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: int | None = None, b
             held = [rows.slice(end)] if end < n else []
             if not end:
                 continue
-            v = rows.column(2).to_numpy()[:end]
-            fp = rows.column(3).flatten().to_numpy().view(np.uint64).reshape(n, n_words)[:end]
-            found = GrayIndex(fp, np.cumsum(new[:end])).search(limit)
-            if not chained:
-                for p, q in found:
-                    yield pa.RecordBatch.from_arrays([pa.array(v[p]), pa.array(v[q])], ["a", "b"])
-                continue
-            root = forest(end, found)
-            by = np.lexsort([np.arange(end), root])
-            same = root[by][1:] == root[by][:-1]
-            yield pa.RecordBatch.from_arrays([pa.array(v[by][:-1][same]), pa.array(v[by][1:][same])], ["a", "b"])
-
-    return rows.mapInArrow(run, "a long, b long")
-
-
-def groups(docs: DataFrame, shingle: int = 3, limit: int = 3, n_words: int = 1, tables: int | None = None, bits: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp array<long>, component_id): the smallest id reachable over links of at most limit bits."""
-    prints = cut(fingerprints(docs, shingle, n_words, id_col, text_col))
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("v")))
-    found = components(links(distinct.where("v is not null"), n_words, limit, tables, bits))
-    named = distinct.join(found, "v", "left").select("fp", F.coalesce("root", "v").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
-
-
-def bit_limit(similarity: float, n_bits: int, deviations: float = 3) -> int:
-    """Bits that may differ between texts of a Jaccard similarity, with some standard deviations of the estimate."""
-    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(n_bits * share + deviations * np.sqrt(n_bits * share * (1 - share)))
-
-
-def shingle_sets(docs: DataFrame, shingle: int, n_words: int, id_col: str = "doc_id", text_col: str = "text", listed: bool = False) -> DataFrame:
-    """(doc_id, h, g, v, n, x) of every row: two hashes of the text, the hash and size of its shingle set, and its fingerprint or, if listed, its members."""
+            asked, v = rows.column(2).to_numpy(zero_copy_only=False)[:end], rows.column(3).to_numpy()[:end]
+            fp = np.column_stack([rows.column(skip + i).to_numpy()[:end] for i in range(n_words)]).view(np.uint64)
+            label = rows.column(4).to_numpy()[:end] if extra else v
+            for a, b in {"chains": _chains, "first": _first, "rest": _rest}[mode](fp, np.cumsum(new[:end]) - 1, v, label, asked, limit):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    searched = rows.mapInArrow(run, "a long, b long")
+    return searched if found is None else searched.union(found)
+
+
+def _chains(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, asked: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    root = forest(len(v), GrayIndex(fp, bucket).search(limit, None if asked.all() else asked))
+    by = np.lexsort([np.arange(len(v)), root])
+    same = root[by][1:] == root[by][:-1]
+    yield v[by][:-1][same], v[by][1:][same]
+
+
+def _first(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, asked: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    index, n = GrayIndex(fp, bucket), len(v)
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    by_v = np.lexsort([v, bucket])
+    pivot = np.repeat(by_v[starts], np.diff(np.r_[starts, n]))
+    before = np.arange(n)
+    follows = bucket[index.order[1:]] == bucket[index.order[:-1]]
+    before[index.order[1:][follows]] = index.order[:-1][follows]
+    partnered = ~asked
+    for other in (pivot, before):
+        near = (np.bitwise_count(fp ^ fp[other]).sum(axis=1) <= limit) & (v != v[other])
+        partnered[near] = partnered[other[near]] = True
+        yield v[near], v[other[near]]
+    best = np.full(n, np.iinfo(np.int64).max)
+    for p, q in index.search(limit, ~partnered):
+        other = v[p] != v[q]
+        np.minimum.at(best, p[other], v[q[other]])
+    found = best < np.iinfo(np.int64).max
+    yield v[found], best[found]
+
+
+def _rest(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, asked: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    by = np.lexsort([label, bucket])
+    runs = np.flatnonzero(np.r_[True, (bucket[by][1:] != bucket[by][:-1]) | (label[by][1:] != label[by][:-1])])
+    length = np.diff(np.r_[runs, len(v)])
+    most = np.zeros(bucket[-1] + 1, np.int64)
+    np.maximum.at(most, bucket[by[runs]], length)
+    frequent = np.flatnonzero(length == most[bucket[by[runs]]])
+    frequent = frequent[np.unique(bucket[by[runs[frequent]]], return_index=True)[1]]  # one of equals; its members need not be asked
+    whole, asked = np.logical_and.reduceat(asked, np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])), asked.copy()
+    for r in frequent[whole[bucket[by[runs[frequent]]]]]:  # in a cell the rows not asked are of one label already
+        asked[by[runs[r] : runs[r] + length[r]]] = False
+    for p, q in GrayIndex(fp, bucket).search(limit, asked):
+        apart = label[p] != label[q]
+        yield v[p[apart]], v[q[apart]]
+
+
+def groups(docs: DataFrame, shingle: int = 3, limit: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fp long, component_id): the smallest id reachable over links of at most limit bits between 64-bit fingerprints."""
+    prints = cut(fingerprints(docs, shingle, 1, id_col, text_col).select("doc_id", F.col("fp")[0].alias("fp")))
+    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    vertices = distinct.select(F.col("fp").alias("v"), F.col("fp").alias("f0"))
+    found = cut(components(links(vertices, 1, limit, blocks(distinct.count(), limit))))
+    named = distinct.join(found, F.col("fp") == F.col("v"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    linked = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return prints.join(named.join(linked, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+# near duplicates ------------------------------------------------------------
+
+
+def shingle_sets(docs: DataFrame, shingle: int, n_words: int, largest: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, h, g, v, n, f0 .., x) of every row.
+
+    h and g are hashes of the text, v is the hash and n the size of its shingle set, f0 ..
+    are its fingerprint, x are its members where there are `largest` at most, else null.
+    Without words (n_words 0) there is no fingerprint.
+    """
+    names = [f"f{i}" for i in range(n_words)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v, n, x = [], [], []
-            for text in batch.column(3):
+            prints = np.zeros((batch.num_rows, n_words), np.uint64)
+            for i, text in enumerate(batch.column(3)):
                 members = np.unique(shingle_hashes(text.as_py(), shingle))
                 v.append(_mixed(members, 101).sum(dtype=np.uint64))
                 n.append(len(members))
-                x.append(members if listed else _fingerprint(members, n_words))
-            offsets = pa.array(np.concatenate([[0], np.cumsum([len(m) for m in x])]).astype(np.int32))
-            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.uint64), *x]).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.array(v, np.uint64).view(np.int64)), pa.array(n, pa.int32()), lists], ["doc_id", "h", "g", "v", "n", "x"])
+                x.append(members.view(np.int64) if len(members) <= largest else None)
+                if n_words:
+                    prints[i] = _fingerprint(members, n_words)
+            words = [pa.array(prints[:, i].view(np.int64)) for i in range(n_words)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.array(v, np.uint64).view(np.int64)), pa.array(n, pa.int32()), *words, pa.array(x, pa.list_(pa.int64()))], ["doc_id", "h", "g", "v", "n", *names, "x"])
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"), text.cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, h long, g long, v long, n int, x array<long>")
+    return rows.mapInArrow(run, ", ".join(["doc_id long, h long, g long, v long, n int", *(f"{f} long" for f in names), "x array<long>"]))
 
 
 def alike(pairs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
@@ -311,50 +427,82 @@ def alike(pairs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
     return both.where(F.col("i") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("i")) - 1e-9).select("a", "b")
 
 
-def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, n_words: int = 4, tables: int = 96, bits: int = 14, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+
+
+def _labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """rows (v, ..) with the label of v, which is v itself where it has no root."""
+    return rows.join(roots.select("v", "root"), "v", "left").withColumn("label", F.coalesce("root", "v")).drop("root")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends have different labels."""
+    for c in "ab":
+        pairs = _labelled(pairs.withColumnRenamed(c, "v"), roots).withColumnsRenamed({"v": c, "label": f"l{c}"})
+    return pairs.where("la <> lb").select("a", "b")
+
+
+def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, n_words: int = NEAR_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, h, g, root) of every row; h and g are hashes of its text, root names its group.
 
-    Pairs from the index are candidates only; each is checked by its shingle sets. First
-    each set is checked against its smallest candidate, then only pairs that this left in
-    different groups are.
+    Pairs from the index are candidates only; each is checked by its shingle sets, so that
+    a link means an exact similarity. Rows of one set are one vertex. Three steps keep the
+    number of pairs near the number of texts, however large a group is: first each set is
+    checked against its smallest candidate; then the other first candidates are, where the
+    ends are in different groups; and last all pairs within the limit of bits that are in
+    different groups still.
     """
-    prints = cut(shingle_sets(docs, shingle, n_words, id_col, text_col))
-    distinct = cut(prints.groupBy("v").agg(F.first("n").alias("n"), F.first("x").alias("fp")))
-    pairs = candidates(docs, distinct, shingle, similarity, n_words, tables, bits, id_col, text_col)
-    pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
-    needed = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
-    members = cut(shingle_sets(docs, shingle, n_words, id_col, text_col, listed=True).select("v", "x").join(needed, "v", "left_semi").dropDuplicates(["v"]))
-    first = cut(alike(pairs.groupBy("b").agg(F.min("a").alias("a")), members, similarity))
-    root = components(first)
-    ends = pairs.join(root.select(F.col("v").alias("a"), F.col("root").alias("ra")), "a", "left").join(root.select(F.col("v").alias("b"), F.col("root").alias("rb")), "b", "left")
-    rest = ends.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
-    found = components(first.union(alike(rest, members, similarity)))
-    return prints.join(found, "v", "left").select("doc_id", "h", "g", F.coalesce("root", "v").alias("root"))
-
-
-def candidates(docs: DataFrame, distinct: DataFrame, shingle: int, similarity: float, n_words: int, tables: int, bits: int, id_col: str, text_col: str) -> DataFrame:
-    """Pairs (a, b) of sets in distinct (v, n, fp) that may be similar."""
-    most = int(SMALL / similarity) + 1
-    small = shingle_sets(docs, shingle, n_words, id_col, text_col, listed=True).where(F.col("n").between(1, most)).select("v", "n", "x").dropDuplicates(["v"])
-    large = distinct.where(F.col("n") > SMALL).select("v", "fp")
-    return prefix_pairs(small, similarity).union(links(large, n_words, bit_limit(similarity, 64 * n_words, DEVIATIONS), tables, bits, chained=False))
-
-
-def prefix_pairs(sets: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (a, b) of sets (v, n, x) that can have the similarity: they share one of their first members, rare ones coming first."""
+    prints = written(shingle_sets(docs, shingle, n_words, int(SMALL / similarity) + 1, id_col, text_col), "sets")
+    names = [f"f{i}" for i in range(n_words)]
+    distinct = cut(prints.groupBy("v").agg(F.first("n").alias("n"), *(F.first(f).alias(f) for f in names)))
+    large = distinct.where(F.col("n") > SMALL).select("v", *names)
+    tables, limit = drawn_masks(large.count(), n_words, similarity), bit_limit(similarity, 64 * n_words, DEVIATIONS)
+    small = prefixes(prints.where("x is not null and n > 0").select("v", "n", "x").dropDuplicates(["v"]), similarity)
+
+    pairs = cut(_ordered(links(large, n_words, limit, tables, "first").union(first_holders(small))))
+    needed = cut(pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).union(small.select("v")).distinct())
+    if needed.count() <= BROADCAST_SETS:
+        needed = F.broadcast(needed)
+    sets = shingle_sets(docs, shingle, 0, 1 << 62, id_col, text_col).select("v", "x")
+    members = cut(sets.join(needed, "v", "left_semi").dropDuplicates(["v"]))
+
+    good = cut(alike(pairs.groupBy("b").agg(F.min("a").alias("a")), members, similarity))
+    good = cut(good.union(alike(_apart(pairs, components(good)), members, similarity)))
+    roots = cut(components(good))
+    asked = _labelled(large.join(needed, "v", "left_semi"), roots)
+    more = links(asked, n_words, limit, tables, "rest").union(other_holders(_labelled(small, roots), similarity))
+    roots = components(good.union(alike(_ordered(more), members, similarity)))
+    return prints.select("doc_id", "h", "g", "v").join(roots, "v", "left").select("doc_id", "h", "g", F.coalesce("root", "v").alias("root"))
+
+
+def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """(v, n, s): the first members of each set (v, n, x), rare ones coming first; two sets of the similarity share one."""
     listed = cut(sets.select("v", "n", F.explode("x").alias("s")))
     common = cut(listed.groupBy("s").agg(F.count("*").alias("often")).where(F.col("often") > COMMON))
     ranked = listed.join(F.broadcast(common) if common.count() <= COMMON_ROWS else common, "s", "left").select("v", "n", F.struct(F.coalesce("often", F.lit(0)).alias("often"), "s").alias("s"))
     place = F.row_number().over(Window.partitionBy("v").orderBy("s"))
-    first = cut(ranked.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9) + 1).select("v", "n", "s.s"))
-    a, b = first.select(F.col("v").alias("a"), F.col("n").alias("na"), "s"), first.select(F.col("v").alias("b"), F.col("n").alias("nb"), "s")
-    return a.join(b, "s").where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb") - 1e-9)).select("a", "b").distinct()
+    return cut(ranked.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9) + 1).select("v", "n", "s.s"))
+
+
+def first_holders(first: DataFrame) -> DataFrame:
+    """(a, b): of the holders of each member in prefixes() the smallest with each other."""
+    least = first.groupBy("s").agg(F.min("v").alias("a"))
+    return first.join(least, "s").where("a <> v").select("a", F.col("v").alias("b"))
+
+
+def other_holders(first: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all pairs of holders with different labels, and sizes that allow the similarity; first has a label."""
+    several = first.groupBy("s").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("s")
+    first = first.join(several, "s", "left_semi")
+    a, b = (first.select(F.col("v").alias(c), F.col("n").alias(f"n{c}"), F.col("label").alias(f"l{c}"), "s") for c in "ab")
+    return a.join(b, "s").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & (F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb") - 1e-9)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, n_words: int = 4, tables: int = 96, bits: int = 14, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, component_id): the smallest id reachable over texts whose shingle sets have a Jaccard similarity of `similarity` or more.
 
     Sets are compared by the 64-bit hashes of their shingles.
     """
-    groups = cut(duplicate_groups(docs, shingle, similarity, n_words, tables, bits, id_col, text_col))
+    groups = cut(duplicate_groups(docs, shingle, similarity, id_col=id_col, text_col=text_col))
     return groups.join(groups.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("doc_id", "component_id")

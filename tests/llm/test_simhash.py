@@ -2,8 +2,10 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
+from lineflow.llm import components as components_module
 from lineflow.llm import simhash
 from lineflow.llm.components import components
 from lineflow.llm.queries import QUERIES
@@ -42,7 +44,7 @@ def test_query_equals_brute_force(spark, sf_dir):
 def test_odd_texts(odd_docs, no_docs):
     got = simhash.groups(odd_docs).collect()
     assert len(got) == 10
-    by = {r.doc_id: (r.fp[0], r.component_id) for r in got if r.doc_id}
+    by = {r.doc_id: (r.fp, r.component_id) for r in got if r.doc_id}
     assert by[1] == by[2] == by[3] == (0, 1)
     assert by[4] == by[5] and by[4][1] == 4
     assert [r.component_id for r in got if r.doc_id is None] == [4]
@@ -61,8 +63,8 @@ def test_index_finds_all_pairs_in_dense_and_hot_buckets(spark, monkeypatch):
         found = {frozenset(p) for a, b in index.search(limit) for p in zip(a.tolist(), b.tolist())}
         assert found == {frozenset((i, j)) for i, j in zip(*np.nonzero(np.triu(differ <= limit, 1)))}
     monkeypatch.setattr(simhash, "BUCKET_ROWS", 7)
-    rows = spark.createDataFrame([(i, [int(np.uint64(f).view(np.int64))]) for i, f in enumerate(fps)], "v long, fp array<long>")
-    got = {r.v: r.root for r in components(simhash.links(rows, 1, 3)).collect()}
+    rows = spark.createDataFrame([(i, int(np.uint64(f).view(np.int64))) for i, f in enumerate(fps)], "v long, f0 long")
+    got = {r.v: r.root for r in components(simhash.links(rows, 1, 3, simhash.blocks(len(fps), 3))).collect()}
     roots = plain_roots(len(fps), [(i, j) for i, j in zip(*np.nonzero(np.tril(differ <= 3, -1)))])
     assert [got.get(i, i) for i in range(len(fps))] == roots
 
@@ -122,7 +124,7 @@ def test_groups_are_those_of_exact_similarity(spark):
 
 def test_recall_of_the_index_by_length():
     rng = np.random.default_rng(4)
-    tables, limit = simhash.masks(4, 0, 96, 14), simhash.bit_limit(0.8, 256, simhash.DEVIATIONS)
+    tables, limit = simhash.drawn_masks(1 << 18, 4, 0.8), simhash.bit_limit(0.8, 256, simhash.DEVIATIONS)
     for n in (72, 135, 270, 900):
         found = 0
         for _ in range(400):
@@ -133,3 +135,63 @@ def test_recall_of_the_index_by_length():
             found += int(np.bitwise_count(x).sum() <= limit and any(not int(x[w]) & m for w, m in tables))
         print("recall", n, found / 400)
         assert found >= 396, n
+
+
+@pytest.mark.parametrize("shape", ["in order", "zigzag", "star"])
+def test_components_end_in_few_rounds(spark, monkeypatch, shape):
+    n, turns = 2000, []
+    chain = list(range(n)) if shape == "in order" else [x for i in range(n // 2) for x in (i, n - 1 - i)]
+    edges = [(7, i) for i in range(n)] if shape == "star" else list(zip(chain, chain[1:]))
+    hooks = components_module._hooks
+    monkeypatch.setattr(components_module, "_hooks", lambda links, turn: turns.append(turn) or hooks(links, turn))
+    got = {r.v: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == dict.fromkeys(range(n), 0) and len(turns) <= 8
+
+
+def near_prints(rng, families, members, limit):
+    rows = []
+    for f in range(families):
+        base = rng.integers(0, 1 << 63, 4, np.uint64)
+        for _ in range(members if f else 5 * members):
+            bits = rng.choice(256, rng.integers(0, limit), replace=False)
+            rows.append(base ^ np.array([sum(1 << int(b % 64) for b in bits if b // 64 == w) for w in range(4)], np.uint64))
+    return np.array(rows)
+
+
+@pytest.mark.parametrize("bucket_rows", [5, 2048])
+def test_first_and_rest_links_equal_plain_search(spark, monkeypatch, bucket_rows):
+    """first: few links, yet one for everything that has a partner in a bucket; rest: all pairs of different labels."""
+    monkeypatch.setattr(simhash, "BUCKET_ROWS", bucket_rows)
+    fps, limit = near_prints(np.random.default_rng(12), 12, 8, 20), 30
+    tables = simhash.drawn_masks(len(fps), 4, 0.9)[:8]
+    pairs = {(i, j) for w, m in tables for i in range(len(fps)) for j in range(i) if not int(fps[i][w] ^ fps[j][w]) & m and np.bitwise_count(fps[i] ^ fps[j]).sum() <= limit}
+    rows = [(i, *(int(x) for x in f.view(np.int64)), i % 3) for i, f in enumerate(fps)]
+    df = spark.createDataFrame(rows, "v long, f0 long, f1 long, f2 long, f3 long, label long")
+    found = lambda mode: {tuple(sorted((r.a, r.b), reverse=True)) for r in simhash.links(df, 4, limit, tables, mode).collect() if r.a != r.b}
+    first = found("first")
+    assert first <= pairs and {i for p in pairs for i in p} == {i for p in first for i in p}
+    assert found("rest") == {(i, j) for i, j in pairs if i % 3 != j % 3}
+    chains = {tuple(sorted((r.a, r.b))) for r in simhash.links(df, 4, limit, tables, "chains").collect()}
+    assert plain_roots(len(fps), chains) == plain_roots(len(fps), pairs)
+
+
+def test_blocks_miss_no_link_at_any_number_of_rows():
+    for n in (10, 10**7, 10**10, 10**13):
+        tables = simhash.blocks(n, 3)
+        rng = np.random.default_rng(1)
+        for _ in range(300):
+            x = sum(1 << int(b) for b in rng.choice(64, 3, replace=False))
+            assert any(not x & m for _, m in tables)
+        assert min(bin(m).count("1") for _, m in tables) >= min(np.log2(n / simhash.BUCKET_GOAL), 40) - 1
+
+
+def test_a_large_family_makes_few_pairs_and_one_group(spark, monkeypatch):
+    rng = random.Random(3)
+    base = drawn(rng, 150)
+    texts = [" ".join(base[:i] + drawn(rng, 1) + base[i + 1 :]) for i in range(150)] + [" ".join(drawn(rng, 120)) for _ in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counted, alike = [], simhash.alike
+    monkeypatch.setattr(simhash, "alike", lambda pairs, *a: counted.append(pairs.count()) or alike(pairs, *a))
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert got == {**dict.fromkeys(range(150), 0), **{i: i for i in range(150, 200)}}
+    assert sum(counted) < 20 * 150
