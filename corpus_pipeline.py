@@ -26,11 +26,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     A row without an id stays if its group has no other; among texts of one id the smaller hash wins.
     """
     groups = simhash.duplicate_groups(docs)
-    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "g")).alias("key")).select("key")
-    text = F.coalesce("text", F.lit(""))
-    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"))
-    rows = docs.select(key.alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    kept = rows.join(first.withColumnRenamed("key", "kept"), F.col("key").eqNullSafe(F.col("kept")), "left_semi").dropDuplicates(["key"])
+    key = ["no_id", "doc_id", "h", "g"]
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "h", "g")).alias("key")).select("key.*")
+    text, row = F.coalesce("text", F.lit("")), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"), row)
+    kept = rows.join(first, key, "left_semi").dropDuplicates(key)
     return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
