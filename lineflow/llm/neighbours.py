@@ -4,12 +4,14 @@ Within a block, every vector gets one more component so that all have one length
 the largest inner product is the smallest distance. Each projection is a sorted array.
 A query opens a window around its own projection in every array, of a width that goes
 with the search radius; a vector that lies in enough windows collides often enough to
-be verified by its exact inner product. While too few verified vectors lie within the
-radius, the windows grow (virtual rehashing). A query whose windows outgrow the block
-verifies the whole block.
+be verified by its exact inner product. Only the vectors in a window are touched, and
+each once a projection: when the radius grows (virtual rehashing), the windows are
+expanded at both ends and the new vectors alone are counted.
 
-How many vectors a block has to find is its share of the k nearest plus four standard
-deviations, as rows are dealt to blocks by hash.
+In the first blocks the radius grows until the block's share of the k nearest, plus four
+standard deviations as rows are dealt to blocks by hash, lies within it; a query whose
+windows outgrow the block verifies the whole block. In the other blocks the k-th best
+score found so far gives the radius: nothing beyond it is wanted.
 
 Results in odd cases: null, empty and zero vectors and ones with null or non-finite
 components take no part; repeated rows count once; vectors meet only vectors of their
@@ -27,87 +29,89 @@ from pyspark.sql import functions as F
 
 from lineflow.llm.vectors import best_first, search, usable
 
-#: Projections, at least; whole orthogonal bases are taken.
-PROJECTIONS = 64
+#: Projections.
+PROJECTIONS = 32
 #: Half a window's width, in search radii.
-WINDOW = 1.2
+WINDOW = 1.0
 #: The collision threshold lies so many standard deviations under the mean of a vector at the radius.
-MARGIN = 0.5
+MARGIN = 1.5
 #: Growth of the radius, and how often it grows before the whole block is verified.
 GROWTH, ROUNDS = 1.12, 10
-#: Queries that count collisions at a time.
-QUERIES = 64
 
 
 def projections(dimension: int, m: int) -> np.ndarray:
-    """(dimension, m or more) orthogonal bases, each vector of length sqrt(dimension)."""
+    """(dimension, m) vectors of orthogonal bases, each of length sqrt(dimension)."""
     draw = np.random.default_rng(17)
     bases = [np.linalg.qr(draw.normal(size=(dimension, dimension)))[0] for _ in range(-(-m // dimension))]
-    return np.hstack(bases)[:, :255] * math.sqrt(dimension)
+    return np.hstack(bases)[:, :m] * math.sqrt(dimension)
 
 
-def block_nearest(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, share: float) -> list[tuple]:
-    """(query_id, vec_id, score) arrays: what each query found in the block."""
+def block_nearest(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, share: float) -> list[tuple]:
+    """(query_id, vec_id, score) arrays: what each query found in the block, but for scores under its floor."""
     rows, queries = rows.astype(float), queries.astype(float)
     n, mean = len(rows), k * share
     need = min(k, math.ceil(mean + 4 * math.sqrt(mean * (1 - share)) + 1))
+    if n <= 4 * k:
+        return [_best(*_scores(q, np.arange(n), queries, query_ids, rows, ids), query_ids[q], ids, k) for q in range(len(queries))]
     length = np.sqrt((rows * rows).sum(axis=1))
     longest = length.max()
     points = np.hstack([rows / longest, np.sqrt(np.maximum(0, 1 - (length / longest) ** 2))[:, None]])
-    units = queries / np.sqrt((queries * queries).sum(axis=1))[:, None]
-    units = np.hstack([units, np.zeros((len(units), 1))])
-    if n <= 4 * k:
-        return [_verify(i, np.arange(n), queries, query_ids, rows, ids, k)[0] for i in range(len(queries))]
+    size = np.sqrt((queries * queries).sum(axis=1))
+    units = np.hstack([queries / size[:, None], np.zeros((len(queries), 1))])
     turn = projections(points.shape[1], PROJECTIONS)
     m = turn.shape[1]
     projected = points @ turn
-    ranks = np.argsort(np.argsort(projected, axis=0), axis=0).astype(np.uint16 if n < 1 << 16 else np.uint32).T.copy()
-    arrays = np.sort(projected, axis=0)
+    order = np.argsort(projected, axis=0).T.astype(np.int64)
+    arrays = np.take_along_axis(projected.T, order, axis=1)
     centre = units @ turn
     probability = math.erf(WINDOW / math.sqrt(2))
-    threshold = math.floor(m * probability - MARGIN * math.sqrt(m * probability * (1 - probability)))
+    threshold = max(1, math.floor(m * probability - MARGIN * math.sqrt(m * probability * (1 - probability))))
     # a first radius that about `need` vectors lie within, from some rows of the block, which are in order of hash
     some = 2 - 2 * units @ points[:: max(1, n // 256)].T
-    radius = np.full(len(queries), math.sqrt(max(np.quantile(some, max(need / n, 4 / some.size)), 1e-12)))
+    first = np.sqrt(np.maximum(np.quantile(some, max(need / n, 4 / some.size)), 1e-12))
+    known = np.isfinite(floors)
+    with np.errstate(invalid="ignore"):
+        radius = np.where(known, np.sqrt(np.maximum(2 - 2 * floors / (size * longest), 1e-12)), first)
+    edge = lambda r, side: np.array([np.searchsorted(a, centre[:, j] + r * WINDOW, side) for j, a in enumerate(arrays)]).T
+    lows, highs = edge(-radius, "left"), edge(radius, "right")
     out = []
-    for at in range(0, len(queries), QUERIES):
-        active = np.arange(at, min(at + QUERIES, len(queries)))
-        for turn_no in range(ROUNDS + 1):
-            last = turn_no == ROUNDS
-            if not last:
-                counts = np.zeros((len(active), n), np.uint8)
-                half = WINDOW * radius[active]
-                for j in range(m):
-                    first = np.searchsorted(arrays[:, j], centre[active, j] - half, "left")
-                    width = np.searchsorted(arrays[:, j], centre[active, j] + half, "right") - first
-                    counts += (ranks[j][None, :] - first.astype(ranks.dtype)[:, None]) < width.astype(ranks.dtype)[:, None]
-                collides = counts >= threshold
-            going = []
-            for i, q in enumerate(active):
-                left = np.arange(n) if last else np.flatnonzero(collides[i])
-                found, scores, others = _verify(q, left, queries, query_ids, rows, ids, k)
-                reach = (1 - radius[q] ** 2 / 2) * longest * np.sqrt(queries[q] @ queries[q])
-                if last or (scores >= reach).sum() >= min(need, others):
-                    out.append(found)
-                else:
-                    going.append(q)
-            active = np.array(going, int)
-            radius[active] *= GROWTH
-            if not len(active):
+    for q in range(len(queries)):
+        counts = None
+        for expansion in range(ROUNDS + 1):
+            if expansion == ROUNDS:
+                left, scores = _scores(q, np.arange(n), queries, query_ids, rows, ids)
+                break
+            if counts is None:
+                low, high = lows[q].tolist(), highs[q].tolist()
+                counts = np.bincount(np.concatenate([order[j, low[j] : high[j]] for j in range(m)]), minlength=n)
+            else:
+                half, old_low, old_high = WINDOW * radius[q], low, high
+                low = [int(np.searchsorted(a, c - half)) for a, c in zip(arrays, centre[q])]
+                high = [int(np.searchsorted(a, c + half, "right")) for a, c in zip(arrays, centre[q])]
+                fresh = [order[j, low[j] : old_low[j]] for j in range(m)] + [order[j, old_high[j] : high[j]] for j in range(m)]
+                counts += np.bincount(np.concatenate(fresh), minlength=n)
+            left, scores = _scores(q, np.flatnonzero(counts >= threshold), queries, query_ids, rows, ids)
+            reach = (1 - radius[q] ** 2 / 2) * longest * size[q]
+            if known[q] or (scores >= reach).sum() >= min(need, n - (ids == query_ids[q]).sum()):
                 break
+            radius[q] *= GROWTH
+        out.append(_best(left, scores, query_ids[q], ids, k))
     return out
 
 
-def _verify(q: int, left: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> tuple:
-    """The k best of the vectors left by exact inner product, the scores of all of them, and how many others the block has."""
+def _scores(q: int, left: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors left that aren't the query's own, and their exact inner products."""
     left = left[ids[left] != query_ids[q]]
-    scores = np.einsum("ij,j->i", rows[left], queries[q])
+    return left, np.einsum("ij,j->i", rows[left], queries[q])
+
+
+def _best(left: np.ndarray, scores: np.ndarray, query_id: int, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     top = best_first(ids[left], scores, k)
-    return (np.full(len(top), query_ids[q]), ids[left][top], scores[top]), scores, len(ids) - (ids == query_ids[q]).sum()
+    return np.full(len(top), query_id), ids[left][top], scores[top]
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score double); is_query is a condition on `id`."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where(usable(F.col("v"), True))
     rows = rows.withColumn("v", F.transform("v", lambda x: x.cast("double")))
-    return search(rows, is_query, k, lambda q, qi, r, ri, share: block_nearest(q, qi, r, ri, k, share), "double")
+    return search(rows, is_query, k, lambda q, qi, floor, r, ri, share: block_nearest(q, qi, floor, r, ri, k, share), "double")

@@ -1,11 +1,13 @@
 """Exact top-k by inner product: aggregation of sorted lists without random access.
 
 Within a block, each dimension is a list sorted by value. A query reads a list from its
-high end where its own component is positive, and from its low end where it is negative.
-After each stretch of the lists a vector's score lies between a lower bound (components
-not yet read replaced by the list's far end) and an upper bound (replaced by the last
-value read). Reading stops for a query when few vectors are left whose upper bound
-reaches the k-th lower bound, and the scores of those are resolved.
+high end where its own component is positive, and from its low end where it is negative,
+stretch by stretch. What it has read of a vector is added up. Between stretches the
+vector's score has a lower bound (parts not read yet replaced by the list's far end) and
+an upper bound (replaced by the last value read). A vector whose upper bound is under
+the k-th lower bound, or under the floor that the query brings from other blocks, can't
+qualify, and its entries are passed over from then on. The scores of the vectors that
+are left are final once their entries in all lists have been read.
 
 Results in odd cases: null vectors, empty ones and ones with null or non-finite
 components take no part; repeated rows count once; vectors meet only vectors of their
@@ -21,48 +23,69 @@ from pyspark.sql import functions as F
 
 from lineflow.llm.vectors import best_first, search, usable
 
-#: Depths, as shares of the lists, at which the bounds are compared.
-DEPTHS = (0.4, 0.55, 0.65, 0.75, 0.85, 1.0)
-#: So many times k vectors, at most, are resolved before the lists are read to the end.
-CONTENDERS = 12
-#: Queries whose bounds are held at a time.
+#: Stretches that a list is read in; bounds are compared after every CHECK-th.
+STRETCHES, CHECK = 16, 4
+#: Queries that read the lists together.
 QUERIES = 256
 
 
-def block_top(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> list[tuple]:
-    """(query_id, vec_id, score) arrays: the k best of the block for each query."""
+def block_top(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> list[tuple]:
+    """(query_id, vec_id, score) arrays: the k best of the block for each query, but for scores under its floor."""
     rows, queries = rows.astype(np.int64), queries.astype(np.int64)
-    n = len(rows)
-    # every partial sum is exact in the chosen type, or the bounds get some slack
-    largest = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * rows.shape[1]
-    kind = np.float32 if largest < 1 << 24 else np.float64
-    slack = 0.0 if largest < 1 << 53 else largest * 1e-12
-    ranks = np.argsort(np.argsort(rows, axis=0, kind="stable"), axis=0, kind="stable")
-    ordered = np.sort(rows, axis=0)
-    values = rows.astype(kind)
+    order = np.argsort(rows, axis=0, kind="stable")
+    lists = [(order[:, d], rows[order[:, d], d]) for d in range(rows.shape[1])]
     out = []
     for at in range(0, len(queries), QUERIES):
-        active = np.arange(at, min(at + QUERIES, len(queries)))
-        for depth in DEPTHS:
-            read = min(n, int(np.ceil(depth * n)))
-            from_top, from_bottom = ranks >= n - read, ranks < read
-            up, down = np.maximum(queries[active], 0).T.astype(kind), np.minimum(queries[active], 0).T.astype(kind)
-            upper = np.where(from_top, values, ordered[n - read].astype(kind)) @ up + np.where(from_bottom, values, ordered[read - 1].astype(kind)) @ down
-            lower = np.where(from_top, values, ordered[0].astype(kind)) @ up + np.where(from_bottom, values, ordered[-1].astype(kind)) @ down
-            own = ids[:, None] == query_ids[active][None, :]
-            lower[own] = upper[own] = -np.inf
-            others = n - own.sum(axis=0)
-            floor = np.partition(lower, n - min(k, n), axis=0)[n - min(k, n)]
-            reach = (upper >= floor - slack) & ~own
-            done = (reach.sum(axis=0) <= max(CONTENDERS * k, 1)) | (read == n) | (others <= k)
-            for j in np.flatnonzero(done):
-                left = np.flatnonzero(reach[:, j] if others[j] > k else ~own[:, j])
-                scores = rows[left] @ queries[active[j]]
-                top = best_first(ids[left], scores, k)
-                out.append((np.full(len(top), query_ids[active[j]]), ids[left][top], scores[top]))
-            active = active[~done]
-            if not len(active):
-                break
+        part = slice(at, at + QUERIES)
+        out += _read(queries[part], query_ids[part], floors[part], lists, rows.shape, ids, k)
+    return out
+
+
+def _read(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, lists: list[tuple[np.ndarray, np.ndarray]], shape: tuple[int, int], ids: np.ndarray, k: int) -> list[tuple]:
+    n, width = shape
+    largest = float(max(max(-v[0], v[-1], 0) for _, v in lists)) * float(np.abs(queries).max(initial=0)) * width
+    # every partial sum is exact in the chosen type, or the bounds get some slack and exact sums are kept besides
+    kind = np.float32 if largest < 1 << 24 else np.float64
+    slack = 0.0 if largest < 1 << 53 else largest * 1e-12
+    sums = np.zeros((n, len(queries)), kind)
+    exact = np.zeros((n, len(queries)), np.int64) if slack else None
+    whole_up, whole_down = np.maximum(queries, 0), np.minimum(queries, 0)  # what reads a list from its high and its low end
+    up, down = (np.ascontiguousarray(x.T, kind) for x in (whole_up, whole_down))  # a row for each list
+    unread_top, unread_bottom = np.ones((n, width), kind), np.ones((n, width), kind)
+    lowest, highest = (np.array([v[i] for _, v in lists]).astype(kind) for i in (0, -1))
+    own = ids[:, None] == query_ids[None, :]
+    few = n - own.sum(axis=0) <= k
+    alive = np.ones(n, bool)
+    reach = ~own
+    edges = np.linspace(0, n, min(STRETCHES, n) + 1).astype(int)
+    for step, (a, b) in enumerate(zip(edges, edges[1:]), 1):
+        for d, (order, values) in enumerate(lists):
+            for unread, asking, whole, span in ((unread_top, up, whole_up, slice(n - b, n - a)), (unread_bottom, down, whole_down, slice(a, b))):
+                left = alive[order[span]]
+                which, value = order[span][left], values[span][left]
+                unread[which, d] = 0
+                sums[which] += value.astype(kind)[:, None] * asking[d]
+                if slack:
+                    exact[which] += value[:, None] * whole[:, d]
+        if step % CHECK or b == n:
+            continue
+        left = np.flatnonzero(alive)
+        frontier_top, frontier_bottom = (np.array([v[i] for _, v in lists]).astype(kind) for i in (n - b, b - 1))
+        top, bottom, part = unread_top[left], unread_bottom[left], sums[left]
+        upper = part + top @ (up * frontier_top[:, None]) + bottom @ (down * frontier_bottom[:, None])
+        bound = floors.astype(float)
+        if len(left) >= k and not np.isfinite(floors).all():
+            lower = part + top @ (up * lowest[:, None]) + bottom @ (down * highest[:, None])
+            lower[~reach[left]] = -np.inf
+            bound = np.maximum(bound, np.partition(lower, len(left) - k, axis=0)[len(left) - k])
+        reach[left] &= (upper >= bound - slack) | few
+        alive[left] = reach[left].any(axis=1)
+    out, final = [], sums if exact is None else exact
+    for j in range(len(queries)):
+        left = np.flatnonzero(reach[:, j])
+        scores = final[left, j].astype(np.int64)
+        top = best_first(ids[left], scores, k)
+        out.append((np.full(len(top), query_ids[j]), ids[left][top], scores[top]))
     return out
 
 
@@ -70,7 +93,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     """(query_id, rank, vec_id, score long) over vectors of whole numbers; is_query is a condition on `id`."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where(usable(F.col("v"), False))
     rows = rows.withColumn("v", F.transform("v", lambda x: x.cast("long")))
-    return search(rows, is_query, k, lambda q, qi, r, ri, _: block_top(q, qi, r, ri, k), "long")
+    return search(rows, is_query, k, lambda q, qi, floor, r, ri, _: block_top(q, qi, floor, r, ri, k), "long")
 
 
 def quantized(vectors: DataFrame, factor: int = 256, vector_col: str = "embedding") -> DataFrame:

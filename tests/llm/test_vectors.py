@@ -45,7 +45,7 @@ def test_lists_give_exact_results_with_ties_and_many_copies():
         rows = rng.integers(-spread, spread, (500, 16))
         rows[100:300] = rows[100]
         ids = rng.permutation(500)
-        for a in topk.block_top(rows[:40], ids[:40], rows, ids, 7):
+        for a in topk.block_top(rows[:40], ids[:40], np.full(40, -np.inf), rows, ids, 7):
             own = rows @ rows[list(ids).index(a[0][0])]
             order = [j for j in np.lexsort([ids, -own]) if ids[j] != a[0][0]][:7]
             assert list(zip(a[1], a[2])) == [(ids[j], own[j]) for j in order]
@@ -68,11 +68,42 @@ def test_neighbours_of_uneven_lengths():
     rng = np.random.default_rng(6)
     rows = rng.normal(size=(3000, 24)) * rng.lognormal(sigma=0.5, size=(3000, 1))
     ids = np.arange(3000)
-    got = {a[0][0]: set(a[1]) for a in neighbours.block_nearest(rows[:50], ids[:50], rows, ids, 10, 1.0)}
+    got = {a[0][0]: set(a[1]) for a in neighbours.block_nearest(rows[:50], ids[:50], np.full(50, -np.inf), rows, ids, 10, 1.0)}
     want = {q: set([j for j in np.argsort(-(rows @ rows[q])) if j != q][:10]) for q in range(50)}
     assert np.mean([len(got[q] & want[q]) / 10 for q in want]) >= 0.9
 
 
+def test_neighbours_at_shipped_settings(spark):
+    """Several blocks, of which one gives the radius for the others; random directions are the hardest case."""
+    rng = np.random.default_rng(10)
+    matrix = rng.normal(size=(12_000, 64)).astype(np.float32).astype(float)
+    ids = np.arange(12_000)
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(matrix.tolist())], "vec_id long, embedding array<float>")
+    got = gathered(neighbours.nearest(table, F.expr("pmod(id, 60) = 0"), 20))
+    scores = matrix @ matrix[::60].T
+    recall = []
+    for j, q in enumerate(range(0, 12_000, 60)):
+        scores[q, j] = -np.inf
+        recall.append(len(dict(got[q]).keys() & set(np.argsort(-scores[:, j])[:20].tolist())) / 20)
+    assert len(got) == 200 and np.mean(recall) >= 0.97 and min(recall) >= 0.8
+
+
+def test_floors_of_early_blocks_keep_top_k_exact(spark, monkeypatch):
+    """Many small blocks, equal scores, one id for two vectors, and copies of a vector."""
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", 50)
+    rng = np.random.default_rng(11)
+    matrix = rng.integers(-3, 4, (700, 6))
+    matrix[200:300] = matrix[200]
+    ids = np.arange(700)
+    rows = [(i, v) for i, v in enumerate(matrix.tolist())]
+    df = spark.createDataFrame(rows + rows[:30], "vec_id long, embedding array<long>")
+    assert gathered(topk.top_k(df, F.expr("pmod(id, 7) = 0"), 5)) == plain(ids, matrix.astype(float), 7, 5)
+    twice = spark.createDataFrame([*rows, (7, [9, 9, 9, 9, 9, 9])], "vec_id long, embedding array<long>")
+    got = gathered(topk.top_k(twice, F.expr("id = 7"), 5))[7]
+    both = sorted(((-int(matrix[i] @ q), i) for q in (matrix[7], np.full(6, 9)) for i in range(700) if i != 7))[:5]
+    assert [(i, -s) for s, i in both] == got
+
+
 @pytest.mark.parametrize("n", [3, 40])
 def test_odd_vectors(spark, n):
     nan, inf = float("nan"), float("inf")
