@@ -4,10 +4,15 @@ Tasks count hashed 1- to 3-grams by language; Spark adds the counts up; the driv
 at most languages x BUCKETS sums and turns them into a log-probability matrix, which is
 broadcast. Scoring hashes a slice of texts at once and sums the matrix's rows by text.
 
+The language is the one of the highest sum over all n-grams of the text plus the prior.
+Its score, which is to say how far a text can be trusted, is the posterior of the mean
+n-gram counted EVIDENCE times at most, as sums over long texts always end at 0 or 1.
+
 Results in odd cases: null texts and texts without a letter are `und` with score 0; rows
 with a null language are not learned from but are predicted; with nothing to learn from
 every text is `und`; equal scores go to the alphabetically first language; repeated rows
-each count; an empty table gives no rows; other columns are not looked at.
+each count; an empty table gives no rows; other columns are not looked at; more than
+LANGUAGES different languages are an error.
 """
 
 from __future__ import annotations
@@ -29,8 +34,10 @@ SLICE = 1 << 19
 ORDERS = (1, 2, 3)
 #: Additive smoothing of the counts.
 SMOOTHING = 0.5
-#: A text counts as so many n-grams at most, so that the score of a long one can be under 1.
+#: In its score a text counts as so many n-grams at most, so that the score of a long one can be under 1.
 EVIDENCE = 60.0
+#: Languages, at most: the matrix has a row of BUCKETS numbers for each, in every task.
+LANGUAGES = 256
 UNDETERMINED = "und"
 
 
@@ -97,6 +104,9 @@ def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang") -> tup
             yield pa.RecordBatch.from_arrays([pa.array(spelled[part], pa.string()), pa.array(bucket[part].astype(np.int32)), pa.array(total[lang[part], bucket[part]])], ["lang", "bucket", "n"])
 
     known = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("lang"))
+    n_langs = known.select("lang").distinct().limit(LANGUAGES + 1).count()
+    if n_langs > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
     sums = known.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     if sums.empty:
         return None
@@ -108,7 +118,7 @@ def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang") -> tup
 
 
 def score_texts(texts: list[str | None], model: tuple[list[str], np.ndarray] | None) -> tuple[list[str], np.ndarray]:
-    """The language of each text, and the posterior of its mean n-gram, taken EVIDENCE times at most."""
+    """The language of each text, by all its n-grams, and the posterior of its mean n-gram, taken EVIDENCE times at most."""
     n, langs, logp = len(texts), *(model or ([UNDETERMINED], np.zeros((1, BUCKETS + 1))))
     sums, size = np.zeros((len(langs), n)), np.zeros(n)
     for bucket, whose in _slices(texts):
@@ -122,7 +132,7 @@ def score_texts(texts: list[str | None], model: tuple[list[str], np.ndarray] | N
     mean = sums / np.maximum(size, 1) * np.minimum(size, EVIDENCE) + logp[:, BUCKETS:]
     share = np.exp(mean - mean.max(axis=0))
     share /= share.sum(axis=0)
-    best = share.argmax(axis=0)
+    best = (sums + logp[:, BUCKETS:]).argmax(axis=0)
     known = (size > 0) & (model is not None)
     return [langs[b] if k else UNDETERMINED for b, k in zip(best, known)], np.where(known, share[best, np.arange(n)], 0.0)
 

@@ -17,7 +17,8 @@ with entities, which must be a large enough share of all texts it occurs in.
 
 Results in odd cases: null texts are empty ones and have no spans; repeated texts count
 once as evidence and all get the same spans; repeated rows each give a row; an empty
-table gives no rows; other columns are not looked at, and clean() keeps them.
+table gives no rows; other columns are not looked at and stay, whatever their names, but
+for columns with the names of find()'s results, which these replace.
 """
 
 from __future__ import annotations
@@ -133,7 +134,7 @@ def revealing_terms(docs: DataFrame, support: int = SUPPORT, disclosure: float =
 
     Of several entities the one that the term reveals most counts.
     """
-    rows = _keyed(docs.select(text_col), text_col).select(F.col("__h").alias("h"), F.col("__g").alias("g"), F.col("__text").alias("text"))
+    rows = _keyed(docs.select(F.col(f"`{text_col}`").alias("text")), "text").select(F.col("__h").alias("h"), F.col("__g").alias("g"), F.col("__text").alias("text"))
     values = F.array_distinct(F.transform(base_spans(F.col("text")), lambda s: F.struct(s["kind"].alias("kind"), s["value"].alias("value"))))
     held = cut(rows.select("h", "g", F.explode(values).alias("entity")).distinct())
     held = cut(_pooled(held, support))
@@ -151,7 +152,8 @@ def revealing_terms(docs: DataFrame, support: int = SUPPORT, disclosure: float =
     counts = cut(counts.where((F.col("n_near") >= support) & (F.col("n_near") >= F.col("n_term") * least - 1e-9)))
     # where the terms that are left occur, and with which entities
     where = cut(rows.select("h", "g", F.explode(_terms(F.col("text"))).alias("term")).join(_small(counts), "term").groupBy("h", "g", "term").agg(F.first("n_term").alias("n_term")))
-    pairs = where.join(held, ["h", "g"]).groupBy("entity", "term").agg(F.count("*").alias("n"), F.first("n_term").alias("n_term"), F.first("n_entity").alias("n_entity")).where(F.col("n") >= support)
+    able = F.col("n_term") <= F.col("n_entity") * F.pow(F.lit(float(n_texts)) / F.col("n_entity"), F.lit(1 - disclosure)) + 1e-6  # the highest n / n_entity is 1
+    pairs = where.join(held, ["h", "g"]).where(able).groupBy("entity", "term").agg(F.count("*").alias("n"), F.first("n_term").alias("n_term"), F.first("n_entity").alias("n_entity")).where(F.col("n") >= support)
     pmi = F.log2(F.lit(float(n_texts)) * F.col("n") / (F.col("n_entity") * F.col("n_term")))
     information = F.log2(F.lit(float(n_texts)) / F.col("n_entity"))
     reveals = pairs.select("term", F.when(information > 0, pmi / information).otherwise(0.0).alias("reveals")).groupBy("term").agg(F.max("reveals").alias("reveals"))
@@ -166,29 +168,33 @@ def _small(df: DataFrame) -> DataFrame:
 
 def find(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE, text_col: str = "text") -> DataFrame:
     """docs with __base and __spans (arrays of start, kind, end, value) and __removed (fully revealing terms)."""
-    marked = _keyed(docs, text_col).withColumn("__base", base_spans(F.col("__text")))
+    results = ["__base", "__spans", "__removed"]
+    kept = [c for c in docs.columns if c not in results]
+    row = F.struct(F.lit(0), *(F.col(f"`{c}`") for c in kept if c != text_col)).alias("row")
+    marked = _keyed(docs.select(row, F.col(f"`{text_col}`").alias("text")), "text").drop("__text")
     terms = revealing_terms(docs, support, disclosure, text_col)
+    whole, nothing = F.coalesce("text", F.lit("")), F.expr("cast(array() as array<string>)")
     if terms is None:
-        return marked.withColumns({"__spans": F.col("__base"), "__removed": F.expr("cast(array() as array<string>)")})
-    by_text = terms.groupBy(F.col("h").alias("__h"), F.col("g").alias("__g")).agg(
-        F.array_sort(F.collect_set("term")).alias("__terms"), F.collect_set(F.when(F.col("reveals") > 1 - 1e-9, F.col("term"))).alias("__removed")
-    )
-    marked = marked.join(by_text, ["__h", "__g"], "left")
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("__terms", "|"), F.lit(r")(?!\p{L})"))
-    added = F.when(F.col("__terms").isNotNull(), _found(F.col("__text"), pattern, 4, lambda h: F.lit(True), F.lower))
-    apart = F.filter(F.coalesce(added, _none()), lambda t: ~F.exists("__base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    spans = F.array_sort(F.concat("__base", apart))
-    return marked.withColumns({"__spans": spans, "__removed": F.coalesce("__removed", F.expr("cast(array() as array<string>)"))}).drop("__terms")
+        marked = marked.withColumn("__base", base_spans(whole)).withColumns({"__spans": F.col("__base"), "__removed": nothing})
+    else:
+        by_text = terms.groupBy(F.col("h").alias("__h"), F.col("g").alias("__g")).agg(
+            F.array_sort(F.collect_set("term")).alias("__terms"), F.collect_set(F.when(F.col("reveals") > 1 - 1e-9, F.col("term"))).alias("__removed")
+        )
+        marked = marked.join(by_text, ["__h", "__g"], "left").withColumn("__base", base_spans(whole))
+        pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("__terms", "|"), F.lit(r")(?!\p{L})"))
+        added = F.when(F.col("__terms").isNotNull(), _found(whole, pattern, 4, lambda h: F.lit(True), F.lower))
+        apart = F.filter(F.coalesce(added, _none()), lambda t: ~F.exists("__base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+        marked = marked.withColumns({"__spans": F.array_sort(F.concat("__base", apart)), "__removed": F.coalesce("__removed", nothing)})
+    return marked.select(*((F.col("text") if c == text_col else F.col("row").getField(c)).alias(c) for c in kept), *results)
 
 
 def clean(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE, text_col: str = "text") -> DataFrame:
     """docs, same columns, with spans in the text generalised to [EMAIL], [IP], [CARD], [PHONE] or [TERM], or removed."""
     text = F.col(f"`{text_col}`")
     rest_of_row = F.struct(F.lit(0), *(F.col(f"`{c}`") for c in docs.columns if c != text_col)).alias("row")
-    whole = docs.select(rest_of_row, text.isNull().alias("blank"), text.alias("text"))
-    found = find(whole, support, disclosure, "text")
+    found = find(docs.select(rest_of_row, text.alias("text")), support, disclosure, "text")
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-    text, removed = F.col("__text"), F.col("__removed")
+    text, removed = F.coalesce("text", F.lit("")), F.col("__removed")
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -198,5 +204,5 @@ def clean(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSUR
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(covered, acc["out"]).otherwise(F.concat(acc["out"], between, name)).alias("out"))
 
     rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-    replaced = F.when(F.size("__spans") > 0, F.aggregate("__spans", zero, step, rest)).when(~F.col("blank"), text)
+    replaced = F.when(F.size("__spans") > 0, F.aggregate("__spans", zero, step, rest)).otherwise(F.col("text"))
     return found.select(*(replaced.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns))

@@ -8,7 +8,8 @@ DataFrame functions are used.
 Results in odd cases: a null role or text is an empty one; a conversation without a
 partner has a null on the other side and an empty prompt; if one conversation is the
 prefix of the other its completion is empty; equal conversations have two empty
-completions; no conversations give no rows.
+completions; no conversations give no rows; columns of the pairs that have the name of a
+result are left out, others stay whatever their name.
 """
 
 from __future__ import annotations
@@ -47,16 +48,15 @@ def common_turns(chosen: Column, rejected: Column) -> Column:
 
 def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "rejected") -> DataFrame:
     """pairs with two columns array<struct<role, text>> -> the other columns and prompt, n_prompt_turns, and completion and mask of each side."""
-    both = F.col(chosen).isNotNull() & F.col(rejected).isNotNull()
-    ready = pairs.withColumn("__n", F.when(both, common_turns(F.col(chosen), F.col(rejected))).otherwise(0))
-    rest = lambda c: F.slice(c, F.col("__n") + 1, F.greatest(F.size(c), F.lit(1)))
-    return ready.select(
-        *(F.col(f"`{c}`") for c in pairs.columns if c not in (chosen, rejected)),
-        F.coalesce(render(F.slice(chosen, F.lit(1), F.col("__n"))), F.lit("")).alias("prompt"),
-        F.col("__n").alias("n_prompt_turns"),
-        render(rest(chosen)).alias("chosen"), mask(rest(chosen)).alias("chosen_mask"),
-        render(rest(rejected)).alias("rejected"), mask(rest(rejected)).alias("rejected_mask"),
-    )
+    results = ["prompt", "n_prompt_turns", "chosen", "chosen_mask", "rejected", "rejected_mask"]
+    others = F.struct(F.lit(0), *(F.col(f"`{c}`") for c in pairs.columns if c not in (chosen, rejected, *results)))
+    ready = pairs.select(others.alias("others"), F.col(f"`{chosen}`").alias("c"), F.col(f"`{rejected}`").alias("r"))
+    both = F.col("c").isNotNull() & F.col("r").isNotNull()
+    ready = ready.withColumn("n", F.when(both, common_turns(F.col("c"), F.col("r"))).otherwise(0))
+    rest = lambda c: F.slice(c, F.col("n") + 1, F.greatest(F.size(c), F.lit(1)))
+    found = [F.coalesce(render(F.slice("c", F.lit(1), F.col("n"))), F.lit("")), F.col("n"), render(rest("c")), mask(rest("c")), render(rest("r")), mask(rest("r"))]
+    kept = [F.col("others").getField(c).alias(c) for c in pairs.columns if c not in (chosen, rejected, *results)]
+    return ready.select(*kept, *(f.alias(name) for f, name in zip(found, results)))
 
 
 def adjacent_pairs(turns: DataFrame) -> DataFrame:

@@ -2,8 +2,12 @@
 
 Statistics of a whole text are standardised and mapped to random Fourier features, which
 approximate a Gaussian kernel. Each task sums its part of the normal equations; Spark
-adds the parts up row by row; the driver solves the one small system and fits the
-isotonic curve to counts by bin of the ridge score.
+adds the parts up row by row; the driver solves the one small system. The isotonic curve
+is fitted to counts by bin of the ridge score, over a fifth of the labelled rows that the
+ridge was not fitted on; with fewer than FOLD rows in either part both use all of them.
+
+A model is fitted on LABELS labelled rows at most, about: of more a sample by a hash of
+the id is taken, so that what is gathered for fitting doesn't grow. Scores cover all rows.
 
 Results in odd cases: null texts count as empty, and empty texts get a score like any
 other; ids with a null label are not learned from, and of several labels of an id the
@@ -31,6 +35,10 @@ FEATURES = 384
 WIDTH = 4.0
 #: Ridge penalty for each row.
 RIDGE = 1e-4
+#: Labelled rows that a model is fitted on, about at most, and those that a task sums up.
+LABELS, TASK_ROWS = 100_000, 5_000
+#: Rows that the ridge and the curve need each, or else they share all rows.
+FOLD = 100
 #: Bins of the ridge score for calibration, over LOW to HIGH.
 BINS, LOW, HIGH = 2000, -0.5, 1.5
 #: Rows with a score under this are predicted to be of quality 0.
@@ -129,16 +137,26 @@ def _matrix(stats: pa.ListArray) -> np.ndarray:
     return stats.flatten().to_numpy().reshape(-1, N_STATS).astype(float)
 
 
+def sampled_labels(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", most: int = LABELS) -> DataFrame:
+    """(doc_id, y): one row for each id with a label, or a sample of some `most` by a hash of the id; marked for broadcast."""
+    kinds = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.max(label_col).cast("double").alias("y"))
+    n = kinds.count()
+    return F.broadcast(kinds.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(n)) < most) if n > most else kinds)
+
+
 def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> Model | None:
     """stats as of features(); labels with id_col and a 0/1 label_col. None without labels."""
-    kinds = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.max(label_col).cast("double").alias("y"))
-    rows = stats.join(kinds, "doc_id").select("stats", "y").persist()
+    kinds = sampled_labels(labels, id_col, label_col)
+    rows = stats.join(kinds, "doc_id").select("stats", "y", (F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).alias("apart"))
+    rows = rows.repartition(-(-LABELS // TASK_ROWS)).persist()
     try:
-        moments = rows.select(F.count("*").alias("n"), *(f(F.col("stats")[i].cast("double")).alias(f"{f.__name__}{i}") for i in range(N_STATS) for f in (F.avg, F.stddev_pop))).first()
+        moments = rows.select(F.count("*").alias("n"), F.count_if("apart").alias("apart"), *(f(F.col("stats")[i].cast("double")).alias(f"{f.__name__}{i}") for i in range(N_STATS) for f in (F.avg, F.stddev_pop))).first()
         if not moments["n"]:
             return None
         mean = np.array([moments[f"avg{i}"] for i in range(N_STATS)])
         scale = np.array([moments[f"stddev_pop{i}"] for i in range(N_STATS)])
+        enough = min(moments["apart"], moments["n"] - moments["apart"]) >= FOLD
+        ridge_rows, curve_rows = (rows.where(~F.col("apart")), rows.where("apart")) if enough else (rows, rows)
         model = Model(mean, np.where(scale > 1e-9, scale, 1.0), np.zeros(FEATURES + 1), np.zeros(1), np.zeros(1))
         start = rows.sparkSession.sparkContext.broadcast(model)
 
@@ -153,9 +171,10 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
         def add(parts: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"i": parts["i"].iloc[:1], "part": [sum(np.frombuffer(p) for p in parts["part"]).tobytes()]})
 
-        sums = rows.mapInArrow(partial, "i int, part binary").groupBy("i").applyInPandas(add, "i int, part binary").collect()
+        sums = ridge_rows.mapInArrow(partial, "i int, part binary").groupBy("i").applyInPandas(add, "i int, part binary").collect()
         system = np.array([np.frombuffer(r.part) for r in sorted(sums, key=lambda r: r.i)])
-        model.weights = np.linalg.solve(system[:, :-1] + RIDGE * moments["n"] * np.diag([*[1.0] * FEATURES, 0.0]) + 1e-9 * np.eye(FEATURES + 1), system[:, -1])
+        n_ridge = moments["n"] - moments["apart"] if enough else moments["n"]
+        model.weights = np.linalg.solve(system[:, :-1] + RIDGE * n_ridge * np.diag([*[1.0] * FEATURES, 0.0]) + 1e-9 * np.eye(FEATURES + 1), system[:, -1])
         fitted = rows.sparkSession.sparkContext.broadcast(model)
 
         def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +187,7 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
             full = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(n[full]), pa.array(ones[full])], ["bin", "n", "ones"])
 
-        found = rows.mapInArrow(bins, "bin int, n double, ones double").groupBy("bin").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones")).toPandas().sort_values("bin")
+        found = curve_rows.mapInArrow(bins, "bin int, n double, ones double").groupBy("bin").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones")).toPandas().sort_values("bin")
         model.at = LOW + (found["bin"].to_numpy() + 0.5) * (HIGH - LOW) / BINS
         model.value = pool((found["ones"] / found["n"]).to_numpy(), found["n"].to_numpy())
         return model
@@ -177,9 +196,11 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
 
 
 def learn(docs: DataFrame, labels: DataFrame, stats: DataFrame | None = None) -> Model | None:
-    """Fits on the labelled documents that aren't held out."""
+    """Fits on the labelled documents that aren't held out; statistics, where there are none yet, are made of these only."""
     known = labels.where(~held_out(F.col("doc_id")))
-    return fit(features(docs) if stats is None else stats, known)
+    if stats is None:
+        stats = features(docs.select("doc_id", "text").join(sampled_labels(known).select("doc_id"), "doc_id", "left_semi"))
+    return fit(stats, known)
 
 
 def scored(stats: DataFrame, model: Model | None) -> DataFrame:

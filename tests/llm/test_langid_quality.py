@@ -1,7 +1,9 @@
+import math
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from lineflow.llm import langid, quality
@@ -21,21 +23,68 @@ def test_language_query(spark, sf_dir):
     assert {r.lang_pred for r in got} <= set(truth.values())
 
 
-def test_language_counts_equal_plain_counts(spark):
-    texts = ["abcab a", "bca", "ça va"]
-    rows = spark.createDataFrame([(t, lang) for t, lang in zip(texts, "xyx")], "text string, lang string")
-    langs, logp = langid.fit(rows)
-    assert langs == ["x", "y"]
-    bucket, _ = langid._slices(["bca"]).__next__()
-    n = np.bincount(bucket, minlength=langid.BUCKETS) + langid.SMOOTHING
-    assert np.allclose(logp[1, :-1], np.log(n / n.sum()))
-    assert np.isclose(np.exp(logp[0, -1]), 2 / 3)
-    found, score = langid.score_texts(texts, (langs, logp))
-    plain = []
-    for t in texts:
-        b = np.concatenate([x for x, _ in langid._slices([t])])
-        plain.append(langs[int(np.argmax([logp[k][b].mean() * min(len(b), langid.EVIDENCE) + logp[k][-1] for k in range(2)]))])
-    assert found == plain and ((score > 0) & (score <= 1)).all()
+def plain_grams(text):
+    """Buckets of the 1- to 3-grams of letters and spaces, by plain loops; grams of spaces alone don't count."""
+    points = [32, *(ord(c) if c.isalpha() else 32 for c in text.lower()), 32] if text else []
+    out = []
+    for n in (1, 2, 3):
+        for i in range(len(points) - n + 1):
+            gram = points[i : i + n]
+            if any(p != 32 for p in gram):
+                code = 0
+                for p in gram:
+                    code = (code * 0x100000001B3 + p) % 2**64
+                out.append((code * 0x9E3779B97F4A7C15) % 2**64 >> 49)
+    return out
+
+
+def plain_language(learn, texts):
+    """(language, score) of each text by multinomial naive Bayes with counts in dicts."""
+    counts, total, rows = {}, {}, {}
+    for text, lang in learn:
+        if text is not None and lang is not None:
+            rows[lang] = rows.get(lang, 0) + 1
+            for g in plain_grams(text):
+                counts[lang, g] = counts.get((lang, g), 0) + 1
+                total[lang] = total.get(lang, 0) + 1
+    langs = sorted(rows)
+    known = {k: [math.log((counts.get((k, g), 0) + 0.5) / (total.get(k, 0) + 0.5 * 32768)) for g in range(32768)] for k in langs}
+    out = []
+    for text in texts:
+        grams = plain_grams(text or "")
+        if not grams:
+            out.append(("und", 0.0))
+            continue
+        prior = [math.log(rows[k] / sum(rows.values())) for k in langs]
+        sums = [sum(known[k][g] for g in grams) for k in langs]
+        best = max(range(len(langs)), key=lambda i: (sums[i] + prior[i], -i))
+        mild = [s / len(grams) * min(len(grams), 60) + p for s, p in zip(sums, prior)]
+        out.append((langs[best], math.exp(mild[best] - max(mild)) / sum(math.exp(m - max(mild)) for m in mild)))
+    return out
+
+
+def test_language_query_equals_plain_bayes(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    want = plain_language([(r.text, r.lang) for r in docs if not out(r.doc_id)], [r.text for r in docs])
+    got = {r.doc_id: r for r in QUERIES["op1_language_id"](spark, sf_dir).collect()}
+    for r, (lang, score) in zip(docs, want):
+        assert got[r.doc_id].lang_pred == lang and got[r.doc_id].score == pytest.approx(score, abs=1e-6)
+
+
+def test_all_evidence_of_a_long_text_counts(spark):
+    """The prior speaks for y a hundred to one; some long texts are x's by a little at each n-gram, which adds up."""
+    learn = [("aab ab " * 4500, "x")] + [("aab ab ab " * 30, "y")] * 100
+    texts = ["ab", "", None, "1 2", *(("ab " + "aab ab " * r) * 40 for r in range(1, 12))]
+    found, scores = langid.score_texts(texts, langid.fit(spark.createDataFrame(learn, "text string, lang string")))
+    want = plain_language(learn, texts)
+    assert found == [w[0] for w in want] and np.allclose(scores, [w[1] for w in want])
+    assert any(lang == "x" and score < 0.5 for lang, score in want)
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(spark.createDataFrame([("a", x) for x in "xyz"], "text string, lang string"))
 
 
 def test_language_long_text_equals_its_parts(monkeypatch):
@@ -67,19 +116,93 @@ def test_quality_query(spark):
     assert np.mean([a == b for a, b in held]) > 0.9
 
 
-def test_quality_fit_equals_one_ridge_regression(spark):
+def plain_quality(stats, ids, labels):
+    """Scores of all rows by one ridge regression and one isotonic curve, in numpy; labels: id -> 0 or 1."""
+    apart = np.array([xxhash.xxh64_intdigest(int(i).to_bytes(8, "little", signed=True), 42) for i in ids], np.uint64).view(np.int64) % 5 == 0
+    known = np.array([i in labels for i in ids])
+    y = np.array([labels.get(i, 0) for i in ids], float)
+    mean, scale = stats[known].mean(axis=0), stats[known].std(axis=0)
+    draw = np.random.default_rng(11)
+    turn, shift = draw.normal(0, 1 / quality.WIDTH, (quality.N_STATS, quality.FEATURES)), draw.uniform(0, 2 * np.pi, quality.FEATURES)
+    z = np.clip((stats - mean) / np.where(scale > 1e-9, scale, 1), -8, 8)
+    z = np.hstack([np.sqrt(2 / quality.FEATURES) * np.cos(z @ turn + shift), np.ones((len(z), 1))])
+    enough = min((known & apart).sum(), (known & ~apart).sum()) >= quality.FOLD
+    ridge, curve = (known & ~apart, known & apart) if enough else (known, known)
+    penalty = quality.RIDGE * ridge.sum() * np.diag([*[1.0] * quality.FEATURES, 0.0]) + 1e-9 * np.eye(quality.FEATURES + 1)
+    raw = z @ np.linalg.solve(z[ridge].T @ z[ridge] + penalty, z[ridge].T @ y[ridge])
+    bins = {}
+    for r, v in zip(raw[curve], y[curve]):
+        bins.setdefault(min(max(int((r + 0.5) / 2 * 2000), 0), 1999), []).append(v)
+    at = sorted(bins)
+    value, weight = np.array([np.mean(bins[b]) for b in at]), np.array([len(bins[b]) for b in at], float)
+    left = np.maximum.accumulate([min(np.average(value[i : j + 1], weights=weight[i : j + 1]) for j in range(i, len(at))) for i in range(len(at))]) if len(at) < 3 else None
+    steps = list(zip(value, weight, [1] * len(at)))  # pool adjacent violators, plainly
+    merged = []
+    for step in steps:
+        merged.append(step)
+        while len(merged) > 1 and merged[-2][0] >= merged[-1][0]:
+            (a, v, m), (b, w, n) = merged[-2:]
+            merged[-2:] = [((a * v + b * w) / (v + w), v + w, m + n)]
+    curve_values = np.concatenate([[v] * n for v, _, n in merged])
+    assert left is None or np.allclose(left, curve_values)
+    return 0.999 * np.interp(raw, -0.5 + (np.array(at) + 0.5) / 1000, curve_values) + 0.001 / (1 + np.exp(-np.clip(4 * raw - 2, -30, 30)))
+
+
+def plain_statistics(text):
+    """The numbers of quality.statistics(), by plain loops."""
+    data = (text or "").encode()
+    kind = lambda b: next((k for k, group in enumerate([None, b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"\t\n\v\f\r ", b".,;:'\"-", b"!?", b"|<>{}[]()/\\_=~^`", b"#$%&*@+"]) if group and b in group), 0)
+    shares = [sum(kind(b) == k for b in data) / max(len(data), 1) for k in range(9)]
+    words, lines = data.split(), [x for x in data.split(b"\n") if x.strip()]
+    n, lengths = max(len(words), 1), [len(w) for w in words] or [0]
+    counts = [words.count(w) for w in set(words)] or [1]
+    pairs = list(zip(words, words[1:]))
+    mean = sum(lengths) / len(lengths)
+    return [
+        math.log1p(len(data)), math.log1p(len(words)), *shares, mean, (sum((x - mean) ** 2 for x in lengths) / len(lengths)) ** 0.5,
+        sum(x <= 3 for x in lengths) / len(lengths), sum(x > 20 for x in lengths) / len(lengths), len(counts) / n, max(counts) / n,
+        sum(a == b for a, b in pairs) / n, len(set(pairs)) / len(pairs) if pairs else 1.0, len(set(lines)) / max(len(lines), 1),
+        math.log1p(len(data) / max(len(lines), 1)), math.log1p(n / max(len(lines), 1)), shares[2] / max(sum(shares[:3]), 1e-9), sum(w[-1] > 32 and kind(w[-1]) not in (0, 1, 2, 3, 4) for w in words) / n,
+    ]
+
+
+def test_statistics_equal_plain_ones(spark, sf_dir):
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).collect()] + [None, "", " \n ", "One\nOne\n!! {x} #", "é à"]
+    for t in texts:
+        t = t and t[:3000]
+        assert np.allclose(quality.statistics((t or "").encode()), plain_statistics(t), atol=1e-9), t
+
+
+def test_quality_query_equals_plain_regression(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect() if not out(r.doc_id)}
+    stats = np.array([quality.statistics((r.text or "").encode()) for r in docs], np.float32).astype(float)
+    want = plain_quality(stats, [r.doc_id for r in docs], labels)
+    got = {r.doc_id: r.score for r in QUERIES["op5_quality"](spark, sf_dir).collect()}
+    assert np.allclose([got[r.doc_id] for r in docs], want, atol=2e-3)
+
+
+@pytest.mark.parametrize("n", [300, 3000])
+def test_quality_fit_equals_plain_regression(spark, n):
+    """With few rows ridge and curve share all of them; with many they have their own."""
     rng = np.random.default_rng(1)
-    x = rng.normal(size=(300, quality.N_STATS)).astype(np.float32)
-    y = (x[:, 0] + rng.normal(size=300) > 0).astype(int)
+    x = rng.normal(size=(n, quality.N_STATS)).astype(np.float32)
+    y = (x[:, 0] + rng.normal(size=n) > 0).astype(int)
     stats = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "doc_id long, stats array<float>").repartition(5)
-    labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "doc_id long, quality int")
-    model = quality.fit(stats, labels)
-    z = model.fourier(x.astype(float))
-    penalty = quality.RIDGE * 300 * np.diag([*[1.0] * quality.FEATURES, 0.0])
-    assert np.allclose(z @ model.weights, z @ np.linalg.solve(z.T @ z + penalty, z.T @ y), atol=1e-4)
+    model = quality.fit(stats, spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "doc_id long, quality int"))
+    want = plain_quality(x.astype(float), range(n), dict(enumerate(y.tolist())))
+    assert np.mean(np.abs(model.score(x.astype(float)) - want) < 1e-3) > 0.99
     assert (np.diff(model.value) >= 0).all()
 
 
+def test_labels_beyond_the_bound_are_sampled(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5000)] + [(None, 1), (3, None)], "doc_id long, quality int")
+    assert quality.sampled_labels(labels).count() == 5000
+    some = {r.doc_id for r in quality.sampled_labels(labels, most=500).collect()}
+    assert 400 < len(some) < 600 and some == {r.doc_id for r in quality.sampled_labels(labels, most=500).collect()}
+
+
 def test_pooling_equals_brute_force():
     rng = np.random.default_rng(8)
     for _ in range(20):

@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from lineflow.llm import pii
 from lineflow.llm.queries import QUERIES
@@ -105,14 +106,17 @@ def leaking(spark):
 
 def test_revealing_terms_and_cleaning(leaking):
     texts, docs = leaking
-    docs = docs.withColumnRenamed("__spans", "note")
     terms = plain_terms(texts, disclosure=0.9)
     assert "zanzibar" in terms and "the" not in terms and "with" not in terms and "rain" not in terms
     got = {r.doc_id: r for r in pii.find(docs, disclosure=0.9).collect()}
     for i, t in enumerate(texts):
         assert [(s.start, s.kind, s.end, s.value) for s in got[i]["__spans"]] == with_terms(t, plain_spans(t), terms), t
     cleaned = pii.clean(docs, disclosure=0.9)
-    assert cleaned.columns == docs.columns
+    assert cleaned.columns == docs.columns and {r["__spans"] for r in cleaned.collect()} == {"keep"}
+    names = ["__text", "__h", "__g", "__terms", "row", "h", "n_term", "blank"]
+    kept = pii.find(docs.withColumns({n: F.lit(n) for n in names}), disclosure=0.9)
+    assert set(names) < set(kept.columns) and all(tuple(r) == tuple(names) for r in kept.select(*names).collect())
+    assert {r.doc_id: [(s.start, s.kind, s.end, s.value) for s in r["__spans"]] for r in kept.collect()} == {i: [(s.start, s.kind, s.end, s.value) for s in r["__spans"]] for i, r in got.items()}
     by = {r.doc_id: r.text for r in cleaned.collect()}
     assert "ann@x.org" not in by[0] and "Zanzibar" not in by[0] and "[EMAIL]" in by[0] and by[30] == texts[30]
 

@@ -40,3 +40,11 @@ def test_pairing_odd_turns(spark):
     assert [tuple(t) for t in got[0].chosen] == [("user", "q"), ("", "")] and len(got[0].rejected) == 1
     assert got[2].chosen is None and len(got[2].rejected) == 1
     assert preference.format_pairs(preference.adjacent_pairs(spark.createDataFrame([], schema))).count() == 0
+
+
+def test_clashing_names(spark):
+    kind = "array<struct<role:string,text:string>>"
+    rows = spark.createDataFrame([([("user", "a")], [("user", "a"), ("user", "b")], *"uvwxyz")], f"chosen {kind}, rejected {kind}, prompt string, __n string, n string, c string, others string, chosen_mask string")
+    got = preference.format_pairs(rows)
+    assert got.columns == ["__n", "n", "c", "others", "prompt", "n_prompt_turns", "chosen", "chosen_mask", "rejected", "rejected_mask"]
+    assert tuple(got.first())[:6] == (*"vwxy", "<|user|>\na<|end|>\n", 1)
