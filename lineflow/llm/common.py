@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Only where neither the setting nor a checkpoint folder is there (as in tests on
-    one machine) a temporary folder is set.
+    Only where neither the setting nor a checkpoint folder is there and the master is
+    local (as in tests on one machine) a temporary folder is set; on a cluster that is an
+    error, as executors would not see it.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -23,6 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured
     if sc.getCheckpointDir() is None:
+        if not (sc.master or "").startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="lineflow-checkpoint-"))
     return sc.getCheckpointDir()
 

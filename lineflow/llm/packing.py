@@ -30,8 +30,10 @@ from lineflow.llm.tokens import word_tokenizer
 LENGTH = 2048
 #: Buckets of the hashed word vector, dimensions it is projected to, bits of each in the key.
 BUCKETS, DIMENSIONS, BITS = 4096, 4, 12
-#: Rows of the sample that a range's bounds are taken from.
-SAMPLE = 100
+#: Bytes of text of a range while there are MANY_RANGES at most, and beyond that.
+RANGE_BYTES, MANY_RANGES, LARGE_RANGE_BYTES = 16 << 20, 10_000, 256 << 20
+#: Keys of the sample that a range's bounds are taken from, and of all ranges at most.
+SAMPLE, SAMPLE_KEYS = 100, 2_000_000
 #: Words that are hashed at a time.
 SLICE = 1 << 18
 #: Bytes of ids that are gathered before rows are handed on.
@@ -85,12 +87,19 @@ def curve_keys(texts: list[bytes | None]) -> np.ndarray:
     return hilbert_key(grid, BITS)
 
 
-def range_bounds(rows: DataFrame, n: int) -> np.ndarray:
-    """n - 1 keys that cut the curve into ranges of about equal numbers, from a sample of SAMPLE rows a range, about.
+def range_count(n_bytes: int) -> int:
+    """Ranges for so many bytes of text; their size, not the session's number of partitions, is what a task has to hold."""
+    return max(1, min(-(-n_bytes // RANGE_BYTES), MANY_RANGES), -(-n_bytes // LARGE_RANGE_BYTES))
+
+
+def range_bounds(rows: DataFrame) -> np.ndarray:
+    """Keys that cut the curve into range_count() ranges of about equal numbers, from a sample of SAMPLE rows a range, about.
 
     A key that fills several ranges is a bound several times; its rows are dealt over them.
     """
-    share = min(1.0, n * SAMPLE / max(rows.count(), 1))
+    size = rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    n = range_count(size["bytes"])
+    share = min(1.0, min(n * SAMPLE, SAMPLE_KEYS) / max(size["rows"], 1))
 
     @F.pandas_udf("long")
     def key(text: pd.Series) -> pd.Series:
@@ -106,8 +115,8 @@ def along_curve(docs: DataFrame, tokenizer: str | None = None, id_col: str = "do
     vocabulary = tokenizer or tokenizer_path()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = range_bounds(rows, n)
+    bounds = range_bounds(rows)
+    n = len(bounds) + 1
 
     @F.pandas_udf("key long, range int")
     def place(text: pd.Series, salt: pd.Series) -> pd.DataFrame:

@@ -10,6 +10,9 @@ prefix hashes and is looked up among the sorted hashes of the pieces.
 - merges: in each round every word joins its best-scored adjacent pair. This is how a
   BPE model is meant to be read, whose scores are ranks and not log probabilities.
 
+A word over LONG code points is taken by itself: its pieces are found at all positions at
+once, and only what was found is gone through, so that time grows with its length.
+
 Characters that no piece covers fall back to byte pieces, or to the unknown piece.
 
 Results in odd cases: null and empty texts have no ids; a text of any length is cut into
@@ -20,6 +23,7 @@ library does, and bytes that aren't UTF-8 into U+FFFD.
 
 from __future__ import annotations
 
+import heapq
 import itertools
 import re
 from collections.abc import Iterable, Iterator
@@ -33,6 +37,8 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 #: Words whose ids a task keeps; then it starts afresh.
 KNOWN_WORDS = 300_000
+#: Words over so many code points are encoded one by one.
+LONG = 64
 #: Code points of the words of one length that advance together.
 BATCH = 1 << 18
 #: Characters that are cut into words at a time.
@@ -60,6 +66,7 @@ class PieceModel:
     prefix: bool
     crossing: bool  # whether a piece holds a space mark after another character
     unit: re.Pattern  # spaces with a run of letters that pieces connect, or of other characters
+    places: dict  # position among the keys of each piece's text
     known: dict = field(default_factory=dict)
 
 
@@ -93,7 +100,7 @@ def load(path: str) -> PieceModel:
     unit = re.compile(f" *[{letters}]+| *[^ {letters}]+| +")
     keys_ = keys[order]
     runs = np.searchsorted(keys_ >> np.uint64(48), np.arange((1 << 16) + 1, dtype=np.uint64))
-    return PieceModel(keys_, runs[:-1].astype(np.int32), int(np.diff(runs).max()), np.array(usual)[order], scores[order], max(map(len, texts)), model.trainer_spec.model_type == 1, byte_ids, unknown, surface, normal.add_dummy_prefix, any(SPACE in t.lstrip(SPACE) for t in texts), unit)
+    return PieceModel(keys_, runs[:-1].astype(np.int32), int(np.diff(runs).max()), np.array(usual)[order], scores[order], max(map(len, texts)), model.trainer_spec.model_type == 1, byte_ids, unknown, surface, normal.add_dummy_prefix, any(SPACE in t.lstrip(SPACE) for t in texts), unit, {texts[i]: at for at, i in enumerate(order.tolist())})
 
 
 def _points(words: list[str]) -> np.ndarray:
@@ -137,15 +144,15 @@ def viterbi(model: PieceModel, words: list[str]) -> list[bytes]:
     points = _points(words)
     n, length = points.shape
     prefix, power = _prefix_hashes(points)
-    best = np.full((n, length + 1), -np.inf, np.float32)
+    best = np.full((n, length + 1), -np.inf)
     best[:, 0] = 0
     back, piece = np.zeros((n, length + 1), np.int32), np.full((n, length + 1), -1, np.int32)
-    uncovered = np.float32(model.scores.min() - 10)
+    uncovered = float(model.scores.min()) - 10
     for end in range(1, length + 1):
         for k in range(min(model.longest, end), 0, -1):  # of equal sums the longest last piece wins
             start = end - k
             at, found = _probe(model, prefix[:, end] - prefix[:, start] * power[k])
-            score = np.where(found, best[:, start] + model.scores[at], best[:, start] + uncovered if k == 1 else np.float32(-np.inf))
+            score = np.where(found, best[:, start] + model.scores[at], best[:, start] + uncovered if k == 1 else -np.inf)
             better = score > best[:, end]
             best[better, end] = score[better]
             back[better, end] = start
@@ -200,6 +207,81 @@ def merges(model: PieceModel, words: list[str]) -> list[bytes]:
     return _collect(model, words, cuts, piece)
 
 
+def long_viterbi(model: PieceModel, word: str) -> bytes:
+    """viterbi() of one long word."""
+    points = _points([word])[0]
+    length, ends, sizes, places = len(points), [], [], []
+    hashes = np.zeros(0, np.uint64)
+    for k in range(1, min(model.longest, length) + 1):  # of all substrings of k code points, by where they end
+        hashes = (hashes[:-1] * _BASE if k > 1 else np.zeros(length, np.uint64)) + points[k - 1 :]
+        for at in range(0, len(hashes), BATCH):
+            place, found = _probe(model, hashes[at : at + BATCH])
+            hit = np.flatnonzero(found)
+            ends.append(hit + at + k), sizes.append(np.full(len(hit), k)), places.append(place[hit])
+    end, size, place = map(np.concatenate, (ends, sizes, places))
+    order = np.lexsort([-size, end])  # of equal sums the longest last piece wins
+    first = np.searchsorted(end[order], np.arange(length + 2)).tolist()
+    size, place = size[order].tolist(), place[order]
+    scores, place, uncovered = model.scores[place].astype(float).tolist(), place.tolist(), float(model.scores.min()) - 10
+    best, back, piece = [0.0] * (length + 1), [0] * (length + 1), [-1] * (length + 1)
+    for e in range(1, length + 1):
+        top, step, which, single = -np.inf, 1, -1, False
+        for i in range(first[e], first[e + 1]):
+            k = size[i]
+            single |= k == 1
+            score = best[e - k] + scores[i]
+            if score > top:
+                top, step, which = score, k, place[i]
+        if not single and best[e - 1] + uncovered > top:
+            top, step, which = best[e - 1] + uncovered, 1, -1
+        best[e], back[e], piece[e] = top, e - step, which
+    cuts = []
+    while length:
+        cuts.append(length)
+        length = back[length]
+    return _spelled(model, word, cuts[::-1], piece)
+
+
+def long_merges(model: PieceModel, word: str) -> bytes:
+    """merges() of one long word: the best pair comes from a heap, and a joined pair makes two new ones."""
+    places, scores, length = model.places, model.scores.tolist(), len(word)
+    after, before = list(range(1, length + 2)), list(range(-1, length + 1))  # ends of the symbol that starts here, start of the one before
+    heap: list[tuple[float, int, int]] = []
+
+    def offer(start: int) -> None:
+        middle = after[start]
+        if middle < length:
+            place = places.get(word[start : after[middle]])
+            if place is not None:
+                heapq.heappush(heap, (-scores[place], start, after[middle]))
+
+    for i in range(length - 1):
+        offer(i)
+    gone = bytearray(length + 1)
+    while heap:
+        _, start, end = heapq.heappop(heap)
+        middle = after[start]
+        if gone[start] or middle >= length or after[middle] != end:
+            continue
+        gone[middle] = 1
+        after[start], before[end] = end, start
+        if before[start] >= 0:
+            offer(before[start])
+        offer(start)
+    cuts, piece, at = [], {}, 0
+    while at < length:
+        piece[after[at]] = places.get(word[at : after[at]], -1)
+        at = after[at]
+        cuts.append(at)
+    return _spelled(model, word, cuts, piece)
+
+
+def _spelled(model: PieceModel, word: str, cuts: list[int], piece) -> bytes:
+    ids = model.ids.tolist()
+    parts = ([ids[piece[e]]] if piece[e] >= 0 else _bytes(model, word[e - 1]) for e in cuts)
+    return np.array(list(itertools.chain.from_iterable(parts)), "<u4").tobytes()
+
+
 def _pair_scores(model: PieceModel, prefix: np.ndarray, power: np.ndarray, starts: np.ndarray, rows: np.ndarray, i: np.ndarray, length: int) -> np.ndarray:
     """Score of the piece that joins the i-th and next symbol of each row, or minus infinity."""
     start, middle, end = starts[rows, i], starts[rows, i + 1], starts[rows, i + 2]
@@ -255,12 +337,16 @@ def encode_texts(model: PieceModel, texts: Iterable[str | None], methods: tuple[
     methods = tuple(m or ("viterbi" if model.unigram else "merges") for m in methods)
     table = model.known.setdefault(methods, {})
     runs = [{"viterbi": viterbi, "merges": merges}[m] for m in methods]
+    long_runs = [{"viterbi": long_viterbi, "merges": long_merges}[m] for m in methods]
 
     def learn(words: set[str]) -> None:
         if len(table) > KNOWN_WORDS:
             table.clear()
         for length, group in itertools.groupby(sorted(words.difference(table), key=len), key=len):
             group = list(group)
+            if length > LONG:
+                table.update((w, tuple(run(model, w.replace(" ", SPACE)) for run in long_runs)) for w in group)
+                continue
             step = max(1, BATCH // length)
             for at in range(0, len(group), step):
                 part = group[at : at + step]

@@ -6,8 +6,10 @@ null), document id (8), bytes of a token id (1), then the token ids. Numbers are
 little-endian; a masked checksum is the CRC-32 turned right by 15 bits plus 0xa282ead8.
 
 Spark's text writer writes the files, so that its committer handles lost executors; they
-lie in ascending order of id, file by file. The index names each record's file, offset
-and length, so that a reader can fetch records in any order.
+lie in ascending order of id, file by file. A file holds FILE_ROWS runs of records, each
+of ROW_BYTES and one record at most, so that it can be read as one value however long the
+texts are. The index names each record's file, offset and length, so that a reader can
+fetch records in any order.
 
 Results in odd cases: a null text is an empty one and has the end id only; rows with a
 null id come first; repeated ids are ordered by a hash of their text; an empty table
@@ -29,10 +31,8 @@ from pyspark.sql import functions as F
 from lineflow.llm.common import new_path, tokenizer_path
 from lineflow.llm.tokens import word_tokenizer
 
-#: Records of a file, at most.
-FILE_RECORDS = 8_000
-#: Bytes that are framed before rows are handed on.
-BATCH_BYTES = 4 << 20
+#: Bytes of records that are written as a run, and runs of a file, at most.
+ROW_BYTES, FILE_ROWS = 4 << 20, 8
 
 _MASK = 0xA282EAD8
 
@@ -69,19 +69,20 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, held, size = word_tokenizer(vocabulary), [], 0
+        out = lambda: pa.RecordBatch.from_arrays([pa.array([b"".join(held)[:-1]], pa.binary())], ["run"])  # the writer adds the last newline
         for batch in batches:
             texts = (t.as_py() for t in batch.column(1))
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.documents(texts)):
-                held.append(frame(doc_id, ids)[:-1])
+                held.append(frame(doc_id, ids))
                 size += len(held[-1])
-                if size > BATCH_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["record"])
+                if size >= ROW_BYTES:
+                    yield out()
                     held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["record"])
+            yield out()
 
-    framed = rows.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("record"))
-    framed.write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    framed = rows.mapInArrow(run, "run binary").select(F.col("run").cast("string").alias("run"))
+    framed.write.option("lineSep", "\n").option("maxRecordsPerFile", FILE_ROWS).text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -125,10 +126,12 @@ def write_with_index(docs: DataFrame, tokenizer: str | None = None, path: str |
 
 
 def numbered(found: DataFrame) -> DataFrame:
-    """The index with start, the tokens of all records before; files are summed up first."""
+    """The index with start, the tokens of all records before: files are summed up by part, and the few parts in one window."""
+    earlier = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     files = found.groupBy("part", "piece").agg(F.sum("n_tokens").alias("n"))
-    earlier = Window.orderBy("part", "piece").rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select("part", "piece", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
+    parts = files.groupBy("part").agg(F.sum("n").alias("n")).select("part", earlier(Window.orderBy("part")).alias("of_parts"))
+    files = files.select("part", "piece", earlier(Window.partitionBy("part").orderBy("piece")).alias("of_files"))
+    files = files.join(parts, "part").select("part", "piece", (F.col("of_parts") + F.col("of_files")).alias("first"))
     return found.join(files, ["part", "piece"]).withColumn("start", F.col("first") + F.col("before"))
 
 

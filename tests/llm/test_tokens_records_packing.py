@@ -60,6 +60,26 @@ def test_records_round_trip_in_any_order(spark, odd_docs, no_docs, library, monk
     assert records.write_with_index(no_docs)[1].count() == 0
 
 
+def test_files_are_bounded_by_bytes(spark, library, monkeypatch):
+    """Long texts fill a file each few, short ones many; the order and the starts stay."""
+    monkeypatch.setattr(records, "ROW_BYTES", 1000)
+    docs = [(i, "word " * (2000 if i % 10 == 0 else 3)) for i in range(200)]
+    path, index = records.write_with_index(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    longest = max(r.length for r in index.collect())
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path + "/data").select("length").collect()
+    assert len(files) > 2 and all(f.length <= records.FILE_ROWS * (1000 + longest) for f in files)
+    start, want = 0, []
+    for i, t in docs:
+        want.append((i, start))
+        start += len(plain_ids(library, t))
+    assert sorted((r.doc_id, r.start) for r in records.numbered(index).collect()) == want
+
+
+def test_ranges_follow_the_bytes():
+    assert packing.range_count(0) == 1 and packing.range_count(packing.RANGE_BYTES * 7) == 7
+    assert packing.range_count(10**14) * packing.LARGE_RANGE_BYTES < 1.1 * 10**14
+
+
 def test_broken_record_is_noticed():
     good = records.frame(3, np.arange(5, dtype="<u2"))
     assert records.parse(memoryview(good), 0)[1].tolist() == [0, 1, 2, 3, 4]
