@@ -32,7 +32,7 @@ def components(links: DataFrame) -> DataFrame:
         links = cut(_clean(ends.select(F.col("pa").alias("a"), F.col("pb").alias("b"))))
         turn += 1
     least = held.groupBy("at").agg(F.min("v").alias("root"))
-    return held.join(least, "at").select("v", "root")
+    return cut(held.join(least, "at").select("v", "root"))
 
 
 def _clean(links: DataFrame) -> DataFrame:

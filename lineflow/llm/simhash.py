@@ -263,9 +263,10 @@ def _signed(x: int) -> int:
 
 
 def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]], mode: str = "chains") -> DataFrame:
-    """fps (v long, f0 .. long, and label long where mode is rest), distinct -> links (a long, b long) within limit bits.
+    """fps (v long, f0 .. long, and label long where mode is rest), distinct -> links (a long, b long, bits int) within limit bits.
 
-    chains: a chain through each group of a bucket, which spans it. first: of each
+    bits tells how many bits differ, 0 where that isn't known. chains: a chain through each
+    group of a bucket, which spans it. first: of each
     fingerprint its partners among the first of its bucket and the one before it in Gray
     order, or else the first that a search finds; so few that a group of k gives some k
     links, but every fingerprint with a partner in a bucket has a link. rest: all pairs of
@@ -293,7 +294,7 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
     if not hot.isEmpty():
         tagged = cut(rows.drop("cell", "asked").join(hot, "bucket").withColumn("near", near))
         if mode != "rest":
-            found = tagged.where(F.col("near") & (F.col("v") != F.col("pivot"))).select(F.col("v").alias("a"), F.col("pivot").alias("b"))
+            found = tagged.where(F.col("near") & (F.col("v") != F.col("pivot"))).select(F.col("v").alias("a"), F.col("pivot").alias("b"), F.lit(0).alias("bits"))
         parts = tagged.groupBy("bucket").agg(F.count_if("near").alias("n"), F.count_if(~F.col("near")).alias("f"))
         parts = parts.where("f > 0").select("bucket", *(F.ceil(F.col(c) / BUCKET_ROWS).cast("int").alias(c) for c in "nf"))
         tagged = tagged.join(parts, "bucket").withColumn("c", F.pmod(F.xxhash64(*names), F.when(F.col("near"), F.col("n")).otherwise(F.col("f"))).cast("long"))
@@ -327,21 +328,21 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
             asked, v = rows.column(2).to_numpy(zero_copy_only=False)[:end], rows.column(3).to_numpy()[:end]
             fp = np.column_stack([rows.column(skip + i).to_numpy()[:end] for i in range(n_words)]).view(np.uint64)
             label = rows.column(4).to_numpy()[:end] if extra else v
-            for a, b in {"chains": _chains, "first": _first, "rest": _rest}[mode](fp, np.cumsum(new[:end]) - 1, v, label, asked, limit):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            for found in {"chains": _chains, "first": _first, "rest": _rest}[mode](fp, np.cumsum(new[:end]) - 1, v, label, asked, limit):
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.int32()))], ["a", "b", "bits"])
 
-    searched = rows.mapInArrow(run, "a long, b long")
+    searched = rows.mapInArrow(run, "a long, b long, bits int")
     return searched if found is None else searched.union(found)
 
 
-def _chains(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, asked: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _chains(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, asked: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, ...]]:
     root = forest(len(v), GrayIndex(fp, bucket).search(limit, None if asked.all() else asked))
     by = np.lexsort([np.arange(len(v)), root])
     same = root[by][1:] == root[by][:-1]
-    yield v[by][:-1][same], v[by][1:][same]
+    yield v[by][:-1][same], v[by][1:][same], np.zeros(same.sum(), np.int32)
 
 
-def _first(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, asked: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _first(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, asked: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, ...]]:
     index, n = GrayIndex(fp, bucket), len(v)
     starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
     by_v = np.lexsort([v, bucket])
@@ -351,18 +352,19 @@ def _first(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray,
     before[index.order[1:][follows]] = index.order[:-1][follows]
     partnered = ~asked
     for other in (pivot, before):
-        near = (np.bitwise_count(fp ^ fp[other]).sum(axis=1) <= limit) & (v != v[other])
+        bits = np.bitwise_count(fp ^ fp[other]).sum(axis=1, dtype=np.int32)
+        near = (bits <= limit) & (v != v[other])
         partnered[near] = partnered[other[near]] = True
-        yield v[near], v[other[near]]
+        yield v[near], v[other[near]], bits[near]
     best = np.full(n, np.iinfo(np.int64).max)
     for p, q in index.search(limit, ~partnered):
         other = v[p] != v[q]
         np.minimum.at(best, p[other], v[q[other]])
     found = best < np.iinfo(np.int64).max
-    yield v[found], best[found]
+    yield v[found], best[found], np.zeros(found.sum(), np.int32)
 
 
-def _rest(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, asked: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _rest(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, asked: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, ...]]:
     by = np.lexsort([label, bucket])
     runs = np.flatnonzero(np.r_[True, (bucket[by][1:] != bucket[by][:-1]) | (label[by][1:] != label[by][:-1])])
     length = np.diff(np.r_[runs, len(v)])
@@ -375,7 +377,7 @@ def _rest(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray,
         asked[by[runs[r] : runs[r] + length[r]]] = False
     for p, q in GrayIndex(fp, bucket).search(limit, asked):
         apart = label[p] != label[q]
-        yield v[p[apart]], v[q[apart]]
+        yield v[p[apart]], v[q[apart]], np.zeros(apart.sum(), np.int32)
 
 
 def groups(docs: DataFrame, shingle: int = 3, limit: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -383,7 +385,7 @@ def groups(docs: DataFrame, shingle: int = 3, limit: int = 3, id_col: str = "doc
     prints = cut(fingerprints(docs, shingle, 1, id_col, text_col).select("doc_id", F.col("fp")[0].alias("fp")))
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     vertices = distinct.select(F.col("fp").alias("v"), F.col("fp").alias("f0"))
-    found = cut(components(links(vertices, 1, limit, blocks(distinct.count(), limit))))
+    found = components(links(vertices, 1, limit, blocks(distinct.count(), limit)))
     named = distinct.join(found, F.col("fp") == F.col("v"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     linked = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(named.join(linked, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
@@ -436,22 +438,14 @@ def _labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(roots.select("v", "root"), "v", "left").withColumn("label", F.coalesce("root", "v")).drop("root")
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose ends have different labels."""
-    for c in "ab":
-        pairs = _labelled(pairs.withColumnRenamed(c, "v"), roots).withColumnsRenamed({"v": c, "label": f"l{c}"})
-    return pairs.where("la <> lb").select("a", "b")
-
-
 def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, n_words: int = NEAR_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, h, g, root) of every row; h and g are hashes of its text, root names its group.
 
     Pairs from the index are candidates only; each is checked by its shingle sets, so that
-    a link means an exact similarity. Rows of one set are one vertex. Three steps keep the
+    a link means an exact similarity. Rows of one set are one vertex. Two steps keep the
     number of pairs near the number of texts, however large a group is: first each set is
-    checked against its smallest candidate; then the other first candidates are, where the
-    ends are in different groups; and last all pairs within the limit of bits that are in
-    different groups still.
+    checked against the smallest and the nearest of its first candidates, and then all
+    pairs within the limit of bits are that are in different groups still.
     """
     prints = written(shingle_sets(docs, shingle, n_words, int(SMALL / similarity) + 1, id_col, text_col), "sets")
     names = [f"f{i}" for i in range(n_words)]
@@ -460,18 +454,20 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     tables, limit = drawn_masks(large.count(), n_words, similarity), bit_limit(similarity, 64 * n_words, DEVIATIONS)
     small = prefixes(prints.where("x is not null and n > 0").select("v", "n", "x").dropDuplicates(["v"]), similarity)
 
-    pairs = cut(_ordered(links(large, n_words, limit, tables, "first").union(first_holders(small))))
-    needed = cut(pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).union(small.select("v")).distinct())
+    pairs = links(large, n_words, limit, tables, "first").union(first_holders(small)).where("a <> b")
+    both = pairs.union(pairs.select("b", "a", "bits"))
+    partners = cut(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("least"), F.min_by("b", "bits").alias("nearest")))
+    needed = cut(partners.select("v").union(small.select("v")).distinct())
     if needed.count() <= BROADCAST_SETS:
         needed = F.broadcast(needed)
     sets = shingle_sets(docs, shingle, 0, 1 << 62, id_col, text_col).select("v", "x")
     members = cut(sets.join(needed, "v", "left_semi").dropDuplicates(["v"]))
 
-    good = cut(alike(pairs.groupBy("b").agg(F.min("a").alias("a")), members, similarity))
-    good = cut(good.union(alike(_apart(pairs, components(good)), members, similarity)))
-    roots = cut(components(good))
-    asked = _labelled(large.join(needed, "v", "left_semi"), roots)
-    more = links(asked, n_words, limit, tables, "rest").union(other_holders(_labelled(small, roots), similarity))
+    pairs = _ordered(partners.select(F.col("v").alias("a"), F.explode(F.array("least", "nearest")).alias("b")))
+    good = cut(alike(pairs, members, similarity))
+    roots = components(good)
+    asked = cut(_labelled(large.join(needed, "v", "left_semi"), roots))
+    more = links(asked, n_words, limit, tables, "rest").select("a", "b").union(other_holders(_labelled(small, roots), similarity))
     roots = components(good.union(alike(_ordered(more), members, similarity)))
     return prints.select("doc_id", "h", "g", "v").join(roots, "v", "left").select("doc_id", "h", "g", F.coalesce("root", "v").alias("root"))
 
@@ -486,9 +482,9 @@ def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def first_holders(first: DataFrame) -> DataFrame:
-    """(a, b): of the holders of each member in prefixes() the smallest with each other."""
+    """(a, b, bits 0): of the holders of each member in prefixes() the smallest with each other."""
     least = first.groupBy("s").agg(F.min("v").alias("a"))
-    return first.join(least, "s").where("a <> v").select("a", F.col("v").alias("b"))
+    return first.join(least, "s").where("a <> v").select("a", F.col("v").alias("b"), F.lit(0).alias("bits"))
 
 
 def other_holders(first: DataFrame, similarity: float) -> DataFrame:
