@@ -50,17 +50,33 @@ def watch_gate(events: DataFrame, toggles: DataFrame, keys: list[str], ts: str)
 
 
 def export_watch_state(toggles: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """(keys, flag): the current flag of every line that was ever switched."""
-    return toggles.groupBy(*keys).agg(F.max_by("flag", ts).alias("flag"))
+    """(keys, flag): the current flag of every line that was ever switched; at equal times on wins."""
+    return toggles.groupBy(*keys).agg(F.max_by("flag", F.struct(ts, "flag")).alias("flag"))
 
 
-def monitor_loop(events: DataFrame, toggles: DataFrame, keys: list[str], ts: str, n: int, m: int, max_reinit: int, max_uas: int) -> DataFrame:
+def seed_toggles(toggles: DataFrame, history: DataFrame, keys: list[str], ts: str, n: int) -> DataFrame:
+    """toggles with held: the newest n rows (reInit, uas, up) of the line's history before each, oldest first."""
+    rows = history.select(*keys, F.col(ts).alias("__at"), F.coalesce("reInit", F.lit(0)).cast("int").alias("reInit"), F.coalesce("uas", F.lit(0)).cast("int").alias("uas"), F.coalesce("ifOperStatus", F.lit(False)).alias("up"))
+    both = toggles.where("flag").select(*keys, ts).distinct().join(rows, keys).where(F.col("__at") < F.col(ts))
+    newest = Window.partitionBy(*keys, ts).orderBy(F.desc("__at"))
+    top = both.withColumn("__r", F.row_number().over(newest)).where(F.col("__r") <= n)
+    held = top.groupBy(*keys, ts).agg(F.array_sort(F.collect_list(F.struct("__at", "reInit", "uas", "up"))).alias("h"))
+    held = held.select(*keys, ts, F.transform("h", lambda r: F.struct(r["reInit"].alias("reInit"), r["uas"].alias("uas"), r["up"].alias("up"))).alias("held"))
+    return toggles.join(held, [*keys, ts], "left")
+
+
+def monitor_loop(events: DataFrame, toggles: DataFrame, keys: list[str], ts: str, n: int, m: int, max_reinit: int, max_uas: int, seeded: bool = False) -> DataFrame:
     """Gate, pattern and feedback: a line switched on is watched until its first match, which switches it off.
 
-    Every toggle starts afresh, with no rows held, so that each on-stretch gives at most its first match.
+    Each on-stretch gives at most its first match. A toggle starts with no rows held, or,
+    seeded, with the line's newest rows before it: matches end in the stretch, but may
+    begin before it.
     """
-    watched = _toggled(events, toggles, keys, ts).where("__flag")
     stretch = [*keys, "__watch"]
-    found = health_pattern(watched, stretch, [ts], n, m, max_reinit, max_uas)
+    if seeded:
+        known = events.withColumn("__up", matched(keys, [ts], n, m, max_reinit, max_uas))
+        found = _toggled(known, toggles, keys, ts).where("__flag and __up")
+    else:
+        found = health_pattern(_toggled(events, toggles, keys, ts).where("__flag"), stretch, [ts], n, m, max_reinit, max_uas)
     first = Window.partitionBy(*stretch).orderBy(ts)
     return found.withColumn("__r", F.row_number().over(first)).where("__r = 1").select(events.columns)

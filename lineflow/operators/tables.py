@@ -17,14 +17,37 @@ def write_lines_by_date(lines: DataFrame, path: str, fmt: str = "yyyy-MM-dd", mo
 
 
 def upsert_by_key(batch: DataFrame, path: str, batch_id: int, day: str) -> None:
-    """Appends a batch to the change log; a replayed batch replaces its own partitions, so replays change nothing."""
-    rows = batch.withColumn("day", F.date_format(day, "yyyyMMdd")).withColumn("batch_id", F.lit(batch_id))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "day").parquet(path)
+    """Appends a batch to the change log; a replayed batch replaces all that it wrote before, so replays change nothing."""
+    batch.withColumn("day", F.date_format(day, "yyyyMMdd")).write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch_id={batch_id}")
+
+
+def compact(spark: SparkSession, path: str, target: str, keys: list[str], order: str, last: int) -> None:
+    """Writes the log up to batch `last` to another place: one row of each key and day up to there, later batches as they are.
+
+    The view of the new log is that of the old one; readers move over when it is written.
+    """
+    log = spark.read.parquet(path)
+    merged = _upserted(log.where(F.col("batch_id") <= last), keys, order)
+    merged.write.mode("overwrite").partitionBy("day").parquet(f"{target}/batch_id={last}")
+    log.where(F.col("batch_id") > last).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "day").parquet(target)
+
+
+def write_batch_by_date(batch: DataFrame, path: str, batch_id: int, ts: str, fmt: str = "yyyy-MM-dd") -> None:
+    """write_by_date() for a stream's batches: batch_id=../dt=.. directories, and a replayed batch replaces its own."""
+    write_by_date(batch, f"{path}/batch_id={batch_id}", ts, fmt, "overwrite")
+
+
+def write_batch_lines(lines: DataFrame, path: str, batch_id: int, fmt: str = "yyyy-MM-dd") -> None:
+    """write_lines_by_date() for a stream's batches, likewise."""
+    write_lines_by_date(lines, f"{path}/batch_id={batch_id}", fmt, "overwrite")
 
 
 def upserted(spark: SparkSession, path: str, keys: list[str], order: str) -> DataFrame:
     """The view of the change log: of each field the newest value that is present, by key and day."""
-    log = spark.read.parquet(path)
+    return _upserted(spark.read.parquet(path), keys, order)
+
+
+def _upserted(log: DataFrame, keys: list[str], order: str) -> DataFrame:
     values = [c for c in log.columns if c not in (*keys, "day", "batch_id", order)]
     newest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("batch_id", order))).alias(c) for c in values]
     return log.groupBy(*keys, "day").agg(F.max(order).alias(order), *newest)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lineflow.functions import inventory, percentiles, ports
-from lineflow.operators import decode, enrich, tables, windows
+from lineflow.operators import decode, enrich, node_files, tables, windows
+from lineflow.plans import line_job
 from lineflow.plans.line_queries import query, table
 from lineflow.sources import archives, files, text
 from lineflow.sources.scratch import scratch_path
@@ -50,8 +51,8 @@ def _ports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""with {PORTS}
 select p_partkey, case p_partkey % 5 when 0 then raw when 1 then split_part(raw, '.ITF', 1)
-  when 2 then 'R1.S1.LT' || (cast(regexp_extract(raw, 'slotNr=([0-9]+)', 1) as integer) - 2) || '.P' || p_partkey end as port
-from ports""")
+  when 2 then case when p_size < 100 then 'R1.S1.LT' || (p_size - 2) || '.P' || substr(cast(p_partkey as varchar), 1, 2) end end as port
+from ports join part using (p_partkey)""")
 def port_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ports(spark, sf_dir).select("p_partkey", ports.normalise_port(F.col("raw")).alias("port"))
 
@@ -360,8 +361,8 @@ def _csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select l_orderkey, l_linenumber, l_partkey, off is false and l_returnflag = 'N' as admin, case when not off then l_linestatus = 'O' end as oper,
-  case when not off then cast(l_partkey as integer) end as rate, case when not off and l_suppkey % 5 <> 0 then cast(l_suppkey as smallint) end as atten, case when not off then 'm' end as mac,
+select l_orderkey, l_linenumber, l_partkey, off is false and l_returnflag = 'N' as admin, off is false and l_linestatus = 'O' as oper,
+  case when off then -1 else cast(l_partkey as integer) end as rate, case when not off and l_suppkey % 5 <> 0 then cast(l_suppkey as smallint) end as atten, case when not off then 'm' end as mac,
   case when l_orderkey % 7 <> 0 then cast(l_linenumber as smallint) end as ses, case when l_orderkey % 7 <> 0 then l_suppkey end as uas
 from (select *, l_orderkey % 13 = 0 as off from lineitem) where l_orderkey % 17 <> 3 and (off or l_partkey % 50 <> 0)
 """)
@@ -374,9 +375,8 @@ def csv_header_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 select l_linenumber, count(*) as records, count(*) filter (l_orderkey % 17 = 3 or (l_orderkey % 13 <> 0 and l_partkey % 50 = 0)) as bad_records from lineitem group by 1
 """)
 def bad_record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, bad = decode.decode_csv(_csv(spark, sf_dir), "columns", "csv", _INSTANT, _HISTORICAL)
-    rows = decode.union_sources(good.select("l_linenumber", F.lit(False).alias("bad")), bad.select("l_linenumber", F.lit(True).alias("bad")))
-    return windows.quality_counts(rows, F.col("bad"), ["l_linenumber"])
+    rows = decode.decoded(_csv(spark, sf_dir), "columns", "csv", _INSTANT, _HISTORICAL)
+    return windows.quality_counts(rows, F.col("error").isNotNull(), ["l_linenumber"])
 
 
 # typed records ------------------------------------------------------------------------
@@ -427,11 +427,20 @@ def flat_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with {TYPED}
-select dslam || '_' || port || '_' || ts as id, ts as doc_ts, "attndrDs" as doc_rate, cast(h as integer) as doc_ses, l_orderkey % 3 <> 0 as has_ses from typed""")
+select dslam || '_' || port || '_' || ts as id,
+  '{{"dslam":"' || dslam || '","port":"' || port || '","metrics_timestamp":' || ts || ',"ifAdminStatus":' || "ifAdminStatus" || ',"ifOperStatus":' || "ifOperStatus"
+  || ',"xdslFarEndChannelActualNetDataRateDownstream":' || "actualDs" || ',"xdslChannelActualNetDataRateUpstream":' || "actualUs"
+  || ',"xdslFarEndChannelAttainableNetDataRateDownstream":' || "attndrDs" || ',"xdslChannelAttainableNetDataRateUpstream":' || "attndrUs"
+  || case when "attenuationDs" is not null then ',"xdslFarEndLineLoopAttenuationDownstream":' || "attenuationDs" else '' end || ',"macaddress":"' || "userMacAddress" || '"'
+  || case when h is not null then ',"xdslLinePreviousIntervalSESCounter":' || h || ',"xdslLinePreviousIntervalUASCounter":' || h * 2
+     || ',"xdslFarEndLinePreviousIntervalLPRCounter":' || h * 3 || ',"xdslFarEndLinePreviousIntervalSESCounter":' || h * 4 || ',"xdslLinePreviousIntervalReInitCounter":' || h * 5
+     || ',"xdslFarEndChannelPreviousIntervalUnCorrDtuCounterDS":' || h * 6 || ',"xdslChannelPreviousIntervalUnCorrDtuCounterUS":' || h * 7
+     || ',"xdslFarEndChannelPreviousIntervalRetransmDtuCounterUS":' || h * 8 || ',"xdslChannelPreviousIntervalRetransmDtuCounterDS":' || h * 9 else '' end
+  || case when e then ',"enrich_timestamp":' || l_orderkey || case when l_orderkey % 8 <> 1 then ',"avcid":"AVC' || l_suppkey || '"' else '' end
+     || ',"cpid":"c","correctedAttndrDs":-1,"correctedAttndrUs":' || l_linenumber else '' end || '}}' as doc
+from typed""")
 def document_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = decode.document(decode.flat(_typed(spark, sf_dir)))
-    field = lambda f, kind: F.get_json_object("doc", f"$.{f}").cast(kind)
-    return docs.select("id", field("ts", "long").alias("doc_ts"), field("attndrDs", "int").alias("doc_rate"), field("ses", "int").alias("doc_ses"), F.contains(F.col("doc"), F.lit('"ses"')).alias("has_ses"))
+    return decode.document(_typed(spark, sf_dir))
 
 
 @query("""select cast(user_id as varchar) as key, '{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type || '"}' as value from events""")
@@ -488,86 +497,139 @@ def dir_chunk_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("event_id", F.col("dir_ts").cast("timestamp_ntz").alias("dir_ts"))
 
 
-# archives -------------------------------------------------------------------------------
+# node files -----------------------------------------------------------------------------
+
+#: Lines of a node: a file has so many rows at most, and the number of files grows with the table.
+NODE_LINES = 50
+_HEADERS = [[h for h, _, _ in decode.INSTANT_FIELDS], [h for h, _, _ in decode.HISTORICAL_FIELDS]]
 
 
-def _archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """binaryFile-like rows: one archive for each nation and market segment, made from its customers.
+def _node_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing of real node files, one pair for every NODE_LINES customers.
 
-    Two members for odd nations, one for even ones; every seventh archive is cut short.
+    Instant files have two members, historical ones one. Every fifth node has no
+    historical file, and that of another fifth is cut short.
     """
-    ports_ = F.array_sort(F.collect_list(F.struct(F.col("c_custkey").alias("port"), F.col("c_acctbal").cast("string").alias("bal"))))
-    groups = table(spark, sf_dir, "customer").groupBy("c_nationkey", "c_mktsegment").agg(ports_.alias("rows"))
+    key = F.col("c_custkey")
+    k = key % NODE_LINES
+    lt = F.floor(k / 10)
+    short = F.concat(F.lit("R1.S1.LT"), lt, F.lit(".P"), k)
+    port = F.when(k % 20 == 19, F.concat(F.lit("weird"), k)).when(k % 4 == 1, F.concat(short, F.lit(".ITF1")))
+    port = port.when(k % 4 == 2, F.concat(F.lit("/x/rackNr=1/subrackNr=1/slotNr="), lt + 2, F.lit("/portNr="), k)).otherwise(short)
+    oper, atten = F.when(key % 3 == 0, "down").otherwise("up"), F.when(k % 9 == 0, "bad").otherwise((k * 5).cast("string"))
+    first = F.concat_ws(",", port, F.when(k % 13 == 0, "").otherwise("up"), oper, key * 7 % 100000, key * 3 % 40000, key * 97 % 170000)
+    second = F.concat_ws(",", port, key * 31 % 60000, atten, F.concat(F.lit("m"), key))
+    third = F.concat_ws(",", port, F.when(k % 11 == 0, "x").otherwise(k.cast("string")), *(k * i for i in range(2, 10)))
+    row = F.struct(k.alias("k"), F.when(k % 7 != 0, first).alias("first"), F.when(k % 7 != 0, second).alias("second"), F.when(k % 6 != 0, third).alias("third"))
+    nodes = table(spark, sf_dir, "customer").groupBy(F.floor(key / NODE_LINES).alias("node")).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    columns = [_HEADERS[0][:5], _HEADERS[0][5:], _HEADERS[1]]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
-        import tarfile
-
         for batch in batches:
             out = []
-            for nation, segment, rows in zip(*(c.to_pylist() for c in batch.columns)):
-                buffer = io.BytesIO()
-                with tarfile.open(fileobj=buffer, mode="w:gz") as tar:
-                    for member in range(1 + nation % 2):
-                        lines_ = [f"{r['port']},{r['bal']},{member}" for r in rows if (r["port"] + member) % 3]
-                        data = "\n".join([f"Time stamp,2024-01-{nation + 1:02d}T00:15:00Z", f"NE Name,{segment}", "", "Object ID,bal,member", *lines_]).encode()
-                        info = tarfile.TarInfo(f"m{member}.csv")
-                        info.size, info.mtime = len(data), 1_700_000_000
-                        tar.addfile(info, io.BytesIO(data))
-                content = buffer.getvalue()
-                kind = "Inst" if nation % 2 else "Hist"
-                path = f"/data/{segment}_{kind}_2024-01-{nation + 1:02d}-00-15.tar.gz"
-                out.append((path, content[: len(content) // 2] if (nation + len(segment)) % 7 == 0 else content))
-            columns = zip(*out) if out else ([], [])
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.binary()))], ["path", "content"])
-
-    return groups.mapInArrow(pack, "path string, content binary").withColumn("modificationTime", F.lit("2024-02-01 00:00:00").cast("timestamp"))
-
-
-ARCHIVES = """rows_ as (
-  select c_mktsegment as name, c_nationkey, make_timestamp(2024, 1, cast(c_nationkey + 1 as bigint), 0, 15, 0) as ts, c_custkey, c_acctbal
-  from customer where (c_nationkey + length(c_mktsegment)) % 7 <> 0
+            for node, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                day, minute = divmod(node % 90 * 15, 1440)
+                stamp = (1 + day, minute // 60, minute % 60)
+                head = "Time stamp,2024-01-{:02d}T{:02d}:{:02d}:00Z".format(*stamp) + f"\nNE Name,N{node}\n\n"
+                members = [head + "\n".join([f"Object ID,{','.join(c)}", *(r[n] for r in rows if r[n])]) for n, c in zip(("first", "second", "third"), columns)]
+                name = lambda kind: f"N{node}_{kind}_2024-01-" + "{:02d}-{:02d}-{:02d}.tar.gz".format(*stamp)  # noqa: E731, B023
+                out.append((name("Inst"), archives.pack_archive(members[:2])))
+                whole = archives.pack_archive(members[2:])
+                if node % 5 != 3:
+                    out.append((name("Hist"), whole[: len(whole) // 2] + b"\0" if node % 5 == 4 else whole))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else ([], []), (pa.string(), pa.binary()))], ["file", "content"])
+
+    path = scratch_path(spark, "nodes")
+    archives.write_node_files(nodes.mapInArrow(pack, "file string, content binary"), path)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path)
+
+
+NODES = """raw_ as (
+  select c_custkey as c, c_custkey // 50 as node, c_custkey % 50 as k, 'N' || (c_custkey // 50) as name, 'R1.S1.LT' || (c_custkey % 50 // 10) || '.P' || (c_custkey % 50) as line,
+    timestamp '2024-01-01 00:00:00' + to_minutes(cast(c_custkey // 50 % 90 * 15 as integer)) as ts
+  from customer
+),
+nodes as (
+  select *, case when k % 20 = 19 then 'weird' || k when k % 4 = 1 then line || '.ITF1' when k % 4 = 2 then '/x/rackNr=1/subrackNr=1/slotNr=' || (k // 10 + 2) || '/portNr=' || k else line end as port,
+    concat_ws(',', case when k % 13 = 0 then '' else 'up' end, case when c % 3 = 0 then 'down' else 'up' end, c * 7 % 100000, c * 3 % 40000, c * 97 % 170000, c * 31 % 60000,
+      case when k % 9 = 0 then 'bad' else cast(k * 5 as varchar) end, 'm' || c) as csv_i,
+    concat_ws(',', case when k % 11 = 0 then 'x' else cast(k as varchar) end, k * 2, k * 3, k * 4, k * 5, k * 6, k * 7, k * 8, k * 9) as csv_h
+  from raw_
 )"""
 
 
-@query(f"""with {ARCHIVES}
-select name, ts, case when c_nationkey % 2 = 1 then 2 else 1 end as dslam_type, cast(c_custkey as varchar) as port,
-  len(string_split(case when c_nationkey % 2 = 1 then 'a,b,c,d' else 'a,b' end, ',')) as fields
-from rows_ where c_nationkey % 2 = 1 or c_custkey % 3 <> 0""")
+@query(f"""with {NODES}
+select name, ts, 2 as dslam_type, port, csv_i as csv from nodes where k % 7 <> 0
+union all select name, ts, 1, port, csv_h from nodes where k % 6 <> 0 and node % 5 < 3""")
 def tar_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = archives.read_node_files(_archives(spark, sf_dir)).where("error is null and port is not null")
-    return found.select("name", F.col("ts").cast("timestamp_ntz").alias("ts"), "dslam_type", "port", F.size(F.split("csv", ",", -1)).cast("long").alias("fields"))
+    found = archives.read_node_files(_node_files(spark, sf_dir)).where("error is null and port is not null")
+    return found.select("name", F.col("ts").cast("timestamp_ntz").alias("ts"), "dslam_type", "port", "csv")
 
 
-@query("""
-select name, type, count(*) as files, cast(sum(n) as bigint) as records from (
-  select c_mktsegment as name, c_nationkey, cast(case when c_nationkey % 2 = 1 then 2 else 1 end as integer) as type, count(*) filter (c_nationkey % 2 = 1 or c_custkey % 3 <> 0) as n
-  from customer where (c_nationkey + length(c_mktsegment)) % 7 <> 0 group by all
-) group by 1, 2
-""")
+@query(f"""with {NODES}
+select name, 2 as type, epoch_ms(ts) as "metricsTime", cast(count(*) filter (k % 7 <> 0) as integer) as "recordsCount", 'metadata_202401' as index, 'I_' || name || '_' || epoch_ms(ts) as id from nodes group by all
+union all select name, 1, epoch_ms(ts), cast(count(*) filter (k % 6 <> 0) as integer), 'metadata_202401', 'H_' || name || '_' || epoch_ms(ts) from nodes where node % 5 < 3 group by all""")
 def file_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decode.file_metadata(archives.read_node_files(_archives(spark, sf_dir)))
-    return found.groupBy("name", "type").agg(F.count("*").alias("files"), F.sum("recordsCount").alias("records"))
+    found = decode.metadata_documents(decode.file_metadata(archives.read_node_files(_node_files(spark, sf_dir))), "metadata")
+    return found.select("name", "type", "metricsTime", "recordsCount", "index", "id")
 
 
-@query("""
-with named as (select distinct c_mktsegment as name, c_nationkey as k, c_nationkey // 2 as w, c_nationkey % 2 as inst from customer),
-pairs as (select a.name, a.w, a.k as hist, b.k as inst from named a join named b on a.name = b.name and a.w = b.w and a.inst = 0 and b.inst = 1),
-good as (select * from pairs where (hist + length(name)) % 7 <> 0 and (inst + length(name)) % 7 <> 0)
-select name, cast(w as bigint) as pair, count(*) as ports from good join customer on c_mktsegment = name and (c_nationkey = inst or (c_nationkey = hist and c_custkey % 3 <> 0)) group by 1, 2
-""")
+@query(f"""with {NODES}
+select 'combined' as kind, name, port, case when k % 7 <> 0 then csv_i else ',,,,,,,' end || ',' || case when k % 6 <> 0 then csv_h else ',,,,,,,,' end as value
+from nodes where node % 5 < 3 and (k % 7 <> 0 or k % 6 <> 0)
+union all select distinct 'unmatched', name, null, '2,' || epoch_ms(ts) from nodes where node % 5 >= 3
+union all select distinct 'unmatched', name, null, '1,' || epoch_ms(ts) from nodes where node % 5 = 4""")
 def pair_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs by file name in two-day windows; contents of paired files only are parsed; pairs with a bad file go."""
-    raw = _archives(spark, sf_dir)
-    named = archives.name_only(raw).where("error is null").withColumn("window", (F.dayofmonth("ts") - 1).cast("long"))
-    named = named.withColumn("pair", F.floor(F.col("window") / 2))
-    side = lambda kind: named.where(F.col("dslam_type") == kind).select("name", "pair", F.col("path").alias(f"path_{kind}"))
-    pairs = side(1).join(side(2), ["name", "pair"])
-    wanted = pairs.select("name", "pair", F.explode(F.array("path_1", "path_2")).alias("path"))
-    read = archives.read_node_files(raw.join(wanted.select("path"), "path", "left_semi"))
-    rows = read.select("path", "port", "error").join(wanted, "path")
-    bad = rows.where("error is not null").select("name", "pair").distinct()
-    return rows.where("error is null and port is not null").join(bad, ["name", "pair"], "left_anti").groupBy("name", "pair").agg(F.count("*").alias("ports"))
+    """Combined rows of pairs, and the files that stay without a partner or have a bad one."""
+    combined, unmatched, _ = node_files.pair_then_read(spark, archives.name_only(_node_files(spark, sf_dir), archives.folder_name))
+    lone = unmatched.select(F.lit("unmatched").alias("kind"), "name", F.lit(None).cast("string").alias("port"), F.concat_ws(",", "dslam_type", F.unix_millis("ts")).alias("value"))
+    return combined.select(F.lit("combined").alias("kind"), "name", "port", F.col("csv").alias("value")).unionByName(lone)
+
+
+def _line_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of the lines' attributes, decoded from inventory rows: some come after the files, some lines have none of a kind."""
+    key = F.col("c_custkey")
+    k = key % NODE_LINES
+    node, at = F.concat(F.lit("N"), F.floor(key / NODE_LINES)), F.when(key % 10 == 8, "2030-01-01").otherwise("2023-12-31").cast("timestamp")
+    dashed = F.concat(F.lit("1-1-"), F.floor(k / 10), F.lit("-"), k)
+    rows = table(spark, sf_dir, "customer")
+    nodes = inventory.decode_ams(rows.where(key % 10 != 9).select(F.concat(node, F.lit(":R1.S1.LT"), F.floor(k / 10), F.lit(".P"), k).alias("object_name"), F.concat(F.lit("UNI"), key).alias("customer_id"), at.alias("metrics_date")))
+    tech = _choose("c_custkey", [F.lit(x) for x in ("Fibre To The Node", "Fibre To The Building", "Fibre To The Curb")])
+    profile = _choose("c_custkey", [F.lit(x) for x in ("D25-50_U5-10_Mbps_TC4_P", "x_D100_U40_Mbps_TC4", "D25_U5_Mbps_TC4", "none")])
+    services = inventory.decode_fls(rows.select(F.concat(F.lit("AVC"), key).alias("avc_id"), F.concat(F.lit("NTD"), key).alias("ntd_id"), F.concat(F.lit("UNI"), key).alias("uni_prid"), tech.alias("access_service_tech_type"), at.alias("metrics_date"), profile.alias("avc_bandwidth_profile")))
+    services = enrich.latest_join(nodes, services, "uni_prid", "ts", ["dslam", "port"], ["avc", "cpi", "tech_type", "tc4_ds", "tc4_us"])
+    margin = (key % 40).cast("string")
+    states = inventory.decode_nac(rows.where(key % 3 != 1).select(F.lit("2023-12-31").cast("timestamp").alias("metrics_timestamp"), node.alias("dslam"), dashed.alias("port"), margin.alias("max_additional_noise_margin_us"), margin.alias("max_additional_noise_margin_ds"), F.when(key % 2 == 0, "ADP-VDSL_00dB").alias("dpbo_profile_name"), F.lit("1").alias("rtx_attainable_net_data_rate_ds")))
+    features = inventory.decode_feature(rows.where(key % 6 != 5).select(F.lit("2023-12-31").cast("timestamp").alias("metrics_timestamp"), F.concat(node, F.lit(":"), dashed).alias("id"), (k % 20 + 0.2).cast("float").alias("value")))
+    return node_files.attribute_records(services, states, features)
+
+
+@query(f"""with {NODES}, {CONTOURS_SQL},
+lines_ as (
+  select *, cast(c * 97 % 170000 as integer) as rate_ds, cast(c * 31 % 60000 as integer) as rate_us, k % 20 as g, c % 6 <> 5 as has_atten, c % 3 <> 1 as has_state,
+    c % 10 < 8 and c % 3 < 2 and c % 4 < 3 as has_service, case c % 3 when 0 then 'FTTN' when 1 then 'FTTB' end as tech, ['50', '100', '25', ''][c % 4 + 1] as tier_ds, ['10', '40', '5', ''][c % 4 + 1] as tier_us,
+    case when c % 3 <> 1 then c % 40 else -1 end as margin, case when c % 3 <> 1 and c % 2 = 0 then 0 else 1 end as dpbo
+  from nodes where node % 5 < 3 and k % 7 <> 0 and k % 13 <> 0 and k % 20 <> 19
+),
+pct as (select *, {_percentile_sql("rate_ds", "ds", _PEAK_SQL["ds"], 175000)} as p_ds, {_percentile_sql("rate_us", "us", _PEAK_SQL["us"], 70000)} as p_us from lines_ left join contours using (g)),
+found as (select *, {_rate_sql("ds", "rate_ds", "p_ds", "tier_ds", 130000)} as f_ds, {_rate_sql("us", "rate_us", "p_us", "tier_us", 45000)} as f_us from pct),
+rated as (
+  select *, has_service or has_state or has_atten as e, has_service and has_atten as able from found
+)
+select name as dslam, line as port, epoch_ms(ts) as ts, c % 3 <> 0 as "ifOperStatus", rate_ds as "attndrDs", rate_us as "attndrUs", case when k % 9 <> 0 then cast(cast(k * 5 as float) / 10 as float) end as "attenuationDs",
+  case when k % 6 <> 0 and k % 11 <> 0 then cast(k as integer) end as ses, case when k % 6 <> 0 and k % 11 <> 0 then cast(k * 9 as bigint) end as "reTransDs",
+  case when has_service then 'AVC' || c end as avc, case when has_service then 'NTD' || c end as cpi,
+  case when e then cast(case when not able or (tech = 'FTTN' and tier_ds = '100' and margin >= 30) or (tech = 'FTTB' and tier_ds in ('100', '50')) or f_ds < rate_ds then -1
+    when dpbo = 0 then (f_ds - rate_ds) // 2 + rate_ds else f_ds end as integer) end as "correctedAttndrDs",
+  case when e then cast(case when not able or (tech = 'FTTN' and tier_us = '40' and margin >= 30) or (tech = 'FTTB' and tier_us in ('40', '20')) or f_us < rate_us then -1 else f_us end as integer) end as "correctedAttndrUs"
+from rated""")
+def line_job_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job over real files: pairs, reads, decodes, enriches, writes its sinks; the records as read from their sink."""
+    named = archives.name_only(_node_files(spark, sf_dir), archives.folder_name)
+    records, unmatched, metadata, _ = line_job.line_records(spark, named, lambda: (_line_attributes(spark, sf_dir), _tables(spark, sf_dir)))
+    out = scratch_path(spark, "job")
+    line_job.write_outputs(records, unmatched, metadata, out, 0)
+    return spark.read.parquet(f"{out}/records").select("dslam", "port", "ts", "ifOperStatus", "attndrDs", "attndrUs", "attenuationDs", "ses", "reTransDs", "avc", "cpi", "correctedAttndrDs", "correctedAttndrUs")
 
 
 # keyed tables -----------------------------------------------------------------------------

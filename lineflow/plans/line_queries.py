@@ -329,7 +329,7 @@ def rolling_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select time_bucket(interval '7 days', o_orderdate, timestamp '1970-01-01') as window_start, count(*) as n, round(avg(delay), 3) as average_delay, quantile_cont(delay, 0.5) as percentile_delay, max(delay) as longest_delay
+select time_bucket(interval '7 days', o_orderdate, timestamp '1970-01-01') as window_start, count(*) as n, round(avg(delay), 3) as average_delay, quantile_disc(delay, 0.5) as percentile_delay, max(delay) as longest_delay
 from (select o_orderdate, cast(epoch(l_shipdate) - epoch(o_orderdate) as double) as delay from lineitem join orders on l_orderkey = o_orderkey)
 group by 1
 """)

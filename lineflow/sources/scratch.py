@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir of the session; a temporary folder only where that is unset."""
+    """A new path under spark.checkpoint.dir of the session; a temporary folder only where that is unset and the master is local."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and not (spark.sparkContext.master or "").startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{(folder or tempfile.mkdtemp(prefix='lineflow-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"

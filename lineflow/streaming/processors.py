@@ -7,7 +7,6 @@ stream gives what the batch operators give, in whatever order its files come.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import UTC, datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, Row
@@ -16,12 +15,14 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 
-def _ms(ts: datetime) -> int:
-    return int((ts if ts.tzinfo else ts.astimezone(UTC)).timestamp() * 1000)
-
-
 class OrderedProcessor(StatefulProcessor):
-    """Holds rows above the watermark; apply(state, row) gives the next state and output rows."""
+    """Holds rows above the watermark; apply(state, row) gives the next state and output rows.
+
+    A key has one timer, at its earliest row held. When it expires, all rows that the
+    watermark has passed are taken in order, and the timer moves to the earliest that is
+    left, so that held rows are read and written once a batch. Time is the column at_ms
+    that process() adds, so no time zone plays a part.
+    """
 
     state_schema = ""
     start: tuple = ()
@@ -33,35 +34,43 @@ class OrderedProcessor(StatefulProcessor):
         self.handle = handle
         self.pending = handle.getListState("pending", self.input_schema)
         self.state = handle.getValueState("state", self.state_schema)
+        self.next = handle.getValueState("next", "at long")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        times = set()
-        for row in rows:
-            self.pending.appendValue(tuple(row))
-            times.add(_ms(row[self.ts]) + 1)
-        for at in times:
-            self.handle.registerTimer(at)
+        rows = [tuple(row) for row in rows]
+        at = self.input_schema.fieldNames().index("at_ms")
+        self.pending.appendList(rows)
+        self._wake(min(row[at] for row in rows) + 1)
         return iter([])
 
+    def _wake(self, at: int) -> None:
+        """Sets the key's timer, unless it is due earlier already."""
+        known = self.next.get()[0] if self.next.exists() else None
+        if known is None or at < known:
+            if known is not None:
+                self.handle.deleteTimer(known)
+            self.handle.registerTimer(at)
+            self.next.update((at,))
+
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         names = self.input_schema.fieldNames()
         rows = [Row(*names)(*r) for r in self.pending.get()]
-        due = sorted((r for r in rows if _ms(r[self.ts]) < now), key=self.order)
-        if due:
-            left = [tuple(r) for r in rows if _ms(r[self.ts]) >= now]
-            self.pending.clear()
-            if left:
-                self.pending.put(left)
+        due = sorted((r for r in rows if r["at_ms"] < now), key=self.order)
+        left = [r for r in rows if r["at_ms"] >= now]
+        self.pending.clear()
+        self.next.clear()
+        if left:
+            self.pending.put([tuple(r) for r in left])
+            self._wake(min(r["at_ms"] for r in left) + 1)
         state = tuple(self.state.get()) if self.state.exists() else self.start
         for row in due:
             state, out = self.apply(state, row)
             yield from out
-        if due:
-            self.state.update(state)
+        self.state.update(state)
 
     def order(self, row: Row) -> tuple:
-        return (row[self.ts],)
+        return (row["at_ms"],)
 
     def apply(self, state: tuple, row: Row) -> tuple[tuple, list[Row]]:
         raise NotImplementedError
@@ -81,7 +90,7 @@ class LatestJoinProcessor(OrderedProcessor):
     output = "key string, ts timestamp, left string, right string, wiped boolean"
 
     def order(self, row: Row) -> tuple:
-        return (row[self.ts], {"left": 0, "right": 1, "tick": 2}[row.side])
+        return (row["at_ms"], {"left": 0, "right": 1, "tick": 2}[row.side])
 
     def apply(self, state: tuple, row: Row) -> tuple[tuple, list[Row]]:
         left, left_ts, right, right_ts, missed = state
@@ -108,7 +117,7 @@ class EnrichProcessor(OrderedProcessor):
     output = "key string, ts timestamp, id long, held map<string,string>, enriched boolean"
 
     def order(self, row: Row) -> tuple:
-        return (row[self.ts], row.kind)
+        return (row["at_ms"], row.kind)
 
     def apply(self, state: tuple, row: Row) -> tuple[tuple, list[Row]]:
         held, seen = state
@@ -118,7 +127,11 @@ class EnrichProcessor(OrderedProcessor):
 
 
 class MonitorLoopProcessor(OrderedProcessor):
-    """Gate, pattern and feedback in one state; rows: key, ts, kind (0 toggle, 1 event), id, flag, reInit, uas, up."""
+    """Gate, pattern and feedback in one state; rows: key, ts, kind (0 toggle, 1 event), id, flag, reInit, uas, up, held.
+
+    A toggle starts with the rows in held (health.seed_toggles() finds them in a history
+    table), oldest first, or with none.
+    """
 
     state_schema = "flag boolean, held array<struct<reInit:int,uas:int,up:boolean>>"
     start = (False, [])
@@ -129,12 +142,12 @@ class MonitorLoopProcessor(OrderedProcessor):
         self.n, self.m, self.max_reinit, self.max_uas = n, m, max_reinit, max_uas
 
     def order(self, row: Row) -> tuple:
-        return (row[self.ts], row.kind)
+        return (row["at_ms"], row.kind)
 
     def apply(self, state: tuple, row: Row) -> tuple[tuple, list[Row]]:
         flag, held = state
         if row.kind == 0:
-            return (row.flag, []), []
+            return (row.flag, [tuple(h) for h in row.held or []][-self.n :]), []
         if not flag:
             return state, []
         held = [*(tuple(h) for h in held), (row.reInit or 0, row.uas or 0, bool(row.up))][-self.n :]
@@ -147,12 +160,17 @@ class MonitorLoopProcessor(OrderedProcessor):
 
 def process(stream: DataFrame, processor: OrderedProcessor, lateness: str, key: str = "key", ts: str = "ts") -> DataFrame:
     """Runs a processor over the stream by key."""
+    stream = stream.withColumn("at_ms", F.unix_millis(F.col(ts).cast("timestamp")))
+    processor.input_schema = stream.schema
     rows = stream.withWatermark(ts, lateness).groupBy(key)
     return rows.transformWithState(processor, StructType.fromDDL(processor.output), "Append", "EventTime")
 
 
 def tagged_events(events: DataFrame, toggles: DataFrame, key: str) -> DataFrame:
-    """Events and toggles as one stream for MonitorLoopProcessor."""
-    facts = events.select(F.col(key).cast("string").alias("key"), "ts", F.lit(1).alias("kind"), F.col("event_id").alias("id"), F.lit(None).cast("boolean").alias("flag"), "reInit", "uas", F.col("ifOperStatus").alias("up"))
-    switches = toggles.select(F.col(key).cast("string").alias("key"), "ts", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("id"), "flag", F.lit(None).cast("int").alias("reInit"), F.lit(None).cast("int").alias("uas"), F.lit(None).cast("boolean").alias("up"))
+    """Events and toggles, with held if seeded, as one stream for MonitorLoopProcessor."""
+    kind = "array<struct<reInit:int,uas:int,up:boolean>>"
+    null = lambda t: F.lit(None).cast(t)
+    held = F.col("held").cast(kind) if "held" in toggles.columns else null(kind)
+    facts = events.select(F.col(key).cast("string").alias("key"), "ts", F.lit(1).alias("kind"), F.col("event_id").alias("id"), null("boolean").alias("flag"), "reInit", "uas", F.col("ifOperStatus").alias("up"), null(kind).alias("held"))
+    switches = toggles.select(F.col(key).cast("string").alias("key"), "ts", F.lit(0).alias("kind"), null("long").alias("id"), "flag", null("int").alias("reInit"), null("int").alias("uas"), null("boolean").alias("up"), held.alias("held"))
     return facts.unionByName(switches)

@@ -86,7 +86,7 @@ def test_csv_rows(spark):
     got = {r.id: r for r in ok.collect()}
     assert sorted(got) == [1, 2, 3, 4, 6, 8] and {r.id: r.error.split(":")[0] for r in bad.collect()} == {5: "bad number", 7: "missing columns"}
     assert got[1].inst == got[8].inst and got[1].hist == got[8].hist and got[1].hist.reTransDs == 9
-    assert got[2].inst.ifAdminStatus is False and got[2].inst.actualDs is None
+    assert tuple(got[2].inst) == (False, False, -1, -1, -1, -1, None, None)
     assert got[3].hist is None and got[6].hist is None and got[4].inst.attenuationDs is None
     assert [r.id for r in decode.active(ok).orderBy("id").collect()] == [1, 3, 4, 6, 8]
 
@@ -122,7 +122,8 @@ def test_node_files(spark, tmp_path):
     (folder / "readme.txt").write_bytes(b"x")
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tmp_path))
     got = archives.read_node_files(raw).collect()
-    assert {(r.name, r.dslam_type, r.port, r.csv) for r in got if not r.error} == {("N1", 2, "p", "1,2,"), ("N1", 2, "q", "5,6,7"), ("N1", 2, "r", ",,8"), ("N1", 1, "p", "9"), ("N2", 1, None, None)}
+    assert {(r.name, r.dslam_type, r.port, r.csv) for r in got if not r.error and r.port} == {("N1", 2, "p", "1,2,"), ("N1", 2, "q", "5,6,7"), ("N1", 2, "r", ",,8"), ("N1", 1, "p", "9")}
+    assert sorted((r.name, r.dslam_type, r.records) for r in got if not r.error and not r.port) == [("N1", 1, 1), ("N1", 2, 3), ("N2", 1, 0)]
     assert len([r for r in got if r.error]) == 3
     assert {(r["name"], r.dslam_type) for r in archives.name_only(raw).where("error is null").collect()} == {("N1", 1), ("N1", 2), ("N2", 1), ("N3", 1), ("N4", 2)}
     plan = archives.name_only(raw)._jdf.queryExecution().executedPlan().toString()
