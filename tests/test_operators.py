@@ -1,6 +1,7 @@
 """Golden rows, naive simulations and properties of the line operators."""
 
 import io
+import json
 import tarfile
 from datetime import datetime, timedelta
 
@@ -24,6 +25,7 @@ def one(spark, column):
 
 @pytest.mark.parametrize("raw, want", [
     ("R1.S1.LT3.P7", "R1.S1.LT3.P7"), ("R1.S1.LT3.P7.ITF1", "R1.S1.LT3.P7"), ("/x/rackNr=1/subrackNr=1/slotNr=5/portNr=7/..", "R1.S1.LT3.P7"), ("weird", None), ("", None), (None, None),
+    ("/x/rackNr=12/subrackNr=1/slotNr=5/portNr=7", None), ("/x/rackNr=1/subrackNr=1/slotNr=123/portNr=7", None), ("/x/rackNr=1/subrackNr=1/slotNr=12/portNr=1234", "R1.S1.LT10.P12"), ("R12.S1.LT3.P7", None),
 ])
 def test_ports(spark, raw, want):
     assert one(spark, ports.normalise_port(F.lit(raw).cast("string"))) == want
@@ -202,3 +204,15 @@ def test_typed_read_and_sinks(spark, tmp_path):
         tables.upsert_by_key(rows.where("id = 1").withColumn("v", F.lit(None).cast("string")), log, 2, "ts")
     assert {r.id: r.v for r in tables.upserted(spark, log, ["id"], "ts").collect()} == {1: "a", 2: "b"}
     assert {r.id: r.v for r in tables.replaced(spark, log, ["id"], "ts").collect()} == {1: None, 2: "b"}
+
+
+def test_documents_have_the_long_names(spark):
+    inst = "inst struct<ifAdminStatus:boolean,ifOperStatus:boolean,actualDs:int,actualUs:int,attndrDs:int,attndrUs:int,attenuationDs:short,userMacAddress:string>"
+    hist = "hist struct<ses:short,uas:short,lprFe:short,sesFe:short,reInit:short,unCorrDtuDs:long,unCorrDtuUs:long,reTransUs:long,reTransDs:long>"
+    rows = [(9, "N", "P", (True, False, 1, 2, 3, 4, 235, "m"), tuple(range(11, 20)), (5, "AVC", "c", 6, -1)), (9, "N", "Q", (True, True, 1, 2, 3, 4, None, None), None, None)]
+    df = spark.createDataFrame(rows, f"ts long, dslam string, port string, {inst}, {hist}, enrich struct<ts:long,avc:string,cpi:string,corrAttndrDs:int,corrAttndrUs:int>")
+    got = {r.id: json.loads(r.doc) for r in decode.document(df).collect()}
+    start = {"dslam": "N", "metrics_timestamp": 9, "ifAdminStatus": True, "xdslFarEndChannelActualNetDataRateDownstream": 1, "xdslChannelActualNetDataRateUpstream": 2, "xdslFarEndChannelAttainableNetDataRateDownstream": 3, "xdslChannelAttainableNetDataRateUpstream": 4}
+    counters = ["xdslLinePreviousIntervalSESCounter", "xdslLinePreviousIntervalUASCounter", "xdslFarEndLinePreviousIntervalLPRCounter", "xdslFarEndLinePreviousIntervalSESCounter", "xdslLinePreviousIntervalReInitCounter", "xdslFarEndChannelPreviousIntervalUnCorrDtuCounterDS", "xdslChannelPreviousIntervalUnCorrDtuCounterUS", "xdslFarEndChannelPreviousIntervalRetransmDtuCounterUS", "xdslChannelPreviousIntervalRetransmDtuCounterDS"]
+    assert got["N_P_9"] == {**start, "port": "P", "ifOperStatus": False, "xdslFarEndLineLoopAttenuationDownstream": 23.5, "macaddress": "m", **dict(zip(counters, range(11, 20))), "enrich_timestamp": 5, "avcid": "AVC", "cpid": "c", "correctedAttndrDs": 6, "correctedAttndrUs": -1}
+    assert got["N_Q_9"] == {**start, "port": "Q", "ifOperStatus": True}

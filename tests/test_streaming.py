@@ -1,14 +1,19 @@
 """Streams give what the batch operators give, in whatever order their files come."""
 
+import os
 import random
+import shutil
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from lineflow.operators import enrich, health, pairing
+from lineflow.operators import enrich, health, pairing, tables
+from lineflow.plans import format_queries, line_job
 from lineflow.plans.line_queries import toggles as batch_toggles
+from lineflow.sources import archives
 from lineflow.streaming import pairs, processors
 
 
@@ -34,18 +39,20 @@ def as_stream(df, folder, order, sentinel):
 FAR = datetime(2030, 1, 1)
 
 
-@pytest.mark.parametrize("seed", [None, 3])
-def test_monitor_loop(spark, sf_dir, tmp_path, seed):
+@pytest.mark.parametrize("seed, seeded", [(None, False), (3, False), (4, True)])
+def test_monitor_loop(spark, sf_dir, tmp_path, seed, seeded):
     rows = events_of(spark, sf_dir).where("user_id < 5")
     facts = rows.where(F.col("event_type").isin("click", "view", "signup"))
     facts = facts.select("event_id", "user_id", "ts", (F.col("event_id") % 7 == 0).cast("int").alias("reInit"), F.col("value").cast("int").alias("uas"), (F.col("event_id") % 5 != 0).alias("ifOperStatus"))
     switches = batch_toggles(spark, sf_dir).where("user_id < 5").withColumn("ts", F.col("ts").cast("timestamp"))
-    want = {(str(r.user_id), r.event_id) for r in health.monitor_loop(facts, switches, ["user_id"], "ts", 3, 2, 2, 120).collect()}
+    want = {(str(r.user_id), r.event_id) for r in health.monitor_loop(facts, switches, ["user_id"], "ts", 3, 2, 2, 120, seeded).collect()}
+    if seeded:
+        switches = health.seed_toggles(switches, facts, ["user_id"], "ts", 3)
     tagged = processors.tagged_events(facts, switches, "user_id")
     order = list(range(3))
     if seed:
         random.Random(seed).shuffle(order)
-    stream = as_stream(tagged.withColumn("cut", F.unix_seconds("ts")), str(tmp_path / "in"), order, [("z", FAR, 1, 0, None, 0, 0, True), ("z", FAR + timedelta(days=1), 1, 0, None, 0, 0, True)])
+    stream = as_stream(tagged.withColumn("cut", F.unix_seconds("ts")), str(tmp_path / "in"), order, [("z", FAR, 1, 0, None, 0, 0, True, None), ("z", FAR + timedelta(days=1), 1, 0, None, 0, 0, True, None)])
     processor = processors.MonitorLoopProcessor(tagged.schema, 3, 2, 2, 120)
     got = pairs.run_available(processors.process(stream, processor, "60 days"), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert want and {(r.key, r.id) for r in got.collect() if r.key != "z"} == want
@@ -92,9 +99,9 @@ def test_latest_join_steps():
 def test_restart_from_checkpoint(spark, tmp_path):
     """A watch that begins before a restart goes on after it."""
     at = lambda m: datetime(2024, 1, 1) + timedelta(minutes=m)
-    schema = "key string, ts timestamp, kind int, id long, flag boolean, reInit int, uas int, up boolean"
-    event = lambda m: ("a", at(m), 1, m, None, 0, 0, True)
-    runs = [[("a", at(0), 0, None, True, None, None, None), event(1), event(2)], [event(3), event(4)], [("z", FAR, 1, 0, None, 0, 0, True)]]
+    schema = "key string, ts timestamp, kind int, id long, flag boolean, reInit int, uas int, up boolean, held array<struct<reInit:int,uas:int,up:boolean>>"
+    event = lambda m: ("a", at(m), 1, m, None, 0, 0, True, None)
+    runs = [[("a", at(0), 0, None, True, None, None, None, None), event(1), event(2)], [event(3), event(4)], [("z", FAR, 1, 0, None, 0, 0, True, None)]]
     folder, found = str(tmp_path / "in"), []
     for rows in runs:
         df = spark.createDataFrame(rows, schema)
@@ -136,3 +143,58 @@ def test_fan_out_and_continuous_run(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_line_stream_equals_the_batch_job(spark, tmp_path):
+    """Real node files in another order of arrival; some have no partner, some are broken; a far one moves the watermark."""
+    sf_dir = "/root/testdata/sf0.01"
+    nodes = F.regexp_extract(archives.folder_name(F.col("path")), r"^N(\d+)_", 1).cast("int")
+    listed = format_queries._node_files(spark, sf_dir).where(nodes.between(1, 4))  # the last two lack a partner, or have a broken one
+    reference = lambda: (format_queries._line_attributes(spark, sf_dir), format_queries._tables(spark, sf_dir))
+    named = archives.name_only(listed, archives.folder_name)
+    records, unmatched, metadata, _ = line_job.line_records(spark, named, reference)
+    line_job.write_outputs(records, unmatched, metadata, str(tmp_path / "batch"), 0)
+    source = tmp_path / "in"
+    files = sorted(r.path.removeprefix("file:") for r in listed.select("path").collect())
+    random.Random(1).shuffle(files)
+    for i, f in enumerate(files):
+        folder = source / Path(f).parent.name
+        folder.mkdir(parents=True)
+        os.utime(shutil.copy(f, folder / "part-0.txt"), (1_700_000_000 + i, 1_700_000_000 + i))
+    for kind in ("Inst", "Hist"):
+        folder = source / f"file=Z_{kind}_2030-01-01-00-00.tar.gz"
+        folder.mkdir()
+        (folder / "part-1.txt").write_bytes(archives.pack_archive(["Time stamp,2030-01-01T00:00:00Z\nNE Name,Z\nObject ID,a\n"]))
+        os.utime(folder / "part-1.txt", (1_800_000_000, 1_800_000_000))
+    run = lambda: line_job.line_stream(spark, str(source), reference, str(tmp_path / "stream"), str(tmp_path / "cp"), lateness="60 days", base=archives.folder_name, glob="part-*", files_per_trigger=4).awaitTermination()
+    run()
+    run()  # nothing new: nothing is read twice
+    drop = ["batch_id", "tsEnrich", "processingTime", "fileTime", "relativePath", "path"]
+    for table in ("records", "metadata"):
+        rows = lambda side: sorted(repr(sorted(r.asDict().items())) for r in spark.read.parquet(str(tmp_path / side / table)).drop(*drop).collect() if "name='Z'" not in repr(r) and "Z" != getattr(r, "name", ""))  # noqa: B023, E731
+        want, got = rows("batch"), rows("stream")
+        assert want and got == want, table
+    lines = lambda side: sorted(",".join(r.value.split(",")[:3]) for r in spark.read.text(str(tmp_path / side / "unmatched")).collect() if not r.value.startswith("Z"))
+    assert lines("batch") and lines("stream") == lines("batch")
+    docs = {side: {r.id for r in tables.upserted(spark, str(tmp_path / side / "documents"), ["id"], "ts").collect()} for side in ("batch", "stream")}
+    assert docs["batch"] and docs["batch"] == docs["stream"]
+
+
+def test_replayed_batch_replaces_all_it_wrote(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a", datetime(2024, 1, 1)), (2, "b", datetime(2024, 1, 2))], "id long, v string, ts timestamp")
+    log = str(tmp_path / "log")
+    tables.upsert_by_key(rows, log, 1, "ts")
+    tables.upsert_by_key(rows.where("id = 2"), log, 1, "ts")
+    assert [r.id for r in spark.read.parquet(log).collect()] == [2]
+
+
+def test_compaction_keeps_the_view(spark, tmp_path):
+    at = lambda d: datetime(2024, 1, d)
+    log, new = str(tmp_path / "log"), str(tmp_path / "new")
+    batches = [[(1, "a", None, at(1)), (2, "b", "x", at(2))], [(1, None, "y", at(1))], [(2, "c", None, at(2)), (3, "d", None, at(3))]]
+    for i, b in enumerate(batches):
+        tables.upsert_by_key(spark.createDataFrame(b, "id long, v string, w string, ts timestamp"), log, i, "ts")
+    view = lambda path: sorted((r.id, r.v, r.w, r.ts) for r in tables.upserted(spark, path, ["id"], "ts").collect())
+    tables.compact(spark, log, new, ["id"], "ts", 1)
+    assert view(new) == view(log) == [(1, "a", "y", at(1)), (2, "c", "x", at(2)), (3, "d", None, at(3))]
+    assert spark.read.parquet(new).count() == 4 and spark.read.parquet(log).count() == 5
