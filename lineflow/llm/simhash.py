@@ -445,7 +445,7 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     a link means an exact similarity. Rows of one set are one vertex. Two steps keep the
     number of pairs near the number of texts, however large a group is: first each set is
     checked against the smallest and the nearest of its first candidates, and then all
-    pairs within the limit of bits are that are in different groups still.
+    pairs within the limit of bits are that don't have the same first partner.
     """
     prints = written(shingle_sets(docs, shingle, n_words, int(SMALL / similarity) + 1, id_col, text_col), "sets")
     names = [f"f{i}" for i in range(n_words)]
@@ -455,8 +455,9 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     small = prefixes(prints.where("x is not null and n > 0").select("v", "n", "x").dropDuplicates(["v"]), similarity)
 
     pairs = links(large, n_words, limit, tables, "first").union(first_holders(small)).where("a <> b")
-    both = pairs.union(pairs.select("b", "a", "bits"))
-    partners = cut(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("least"), F.min_by("b", "bits").alias("nearest")))
+    end = lambda v, b: F.struct(F.col(v).alias("v"), F.col(b).alias("b"), "bits")
+    both = pairs.select(F.explode(F.array(end("a", "b"), end("b", "a"))).alias("x")).select("x.*")
+    partners = cut(both.groupBy("v").agg(F.min("b").alias("least"), F.min_by("b", "bits").alias("nearest")))
     needed = cut(partners.select("v").union(small.select("v")).distinct())
     if needed.count() <= BROADCAST_SETS:
         needed = F.broadcast(needed)
@@ -465,16 +466,17 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
 
     pairs = _ordered(partners.select(F.col("v").alias("a"), F.explode(F.array("least", "nearest")).alias("b")))
     good = cut(alike(pairs, members, similarity))
-    roots = components(good)
-    asked = cut(_labelled(large.join(needed, "v", "left_semi"), roots))
-    more = links(asked, n_words, limit, tables, "rest").select("a", "b").union(other_holders(_labelled(small, roots), similarity))
+    first = good.groupBy(F.col("b").alias("v")).agg(F.min("a").alias("root"))  # members of a family have their first one in common
+    labels = cut(_labelled(needed, first))
+    asked = large.join(labels, "v").select("v", *names, "label")
+    more = links(asked, n_words, limit, tables, "rest").select("a", "b").union(other_holders(small.join(labels, "v"), similarity))
     roots = components(good.union(alike(_ordered(more), members, similarity)))
     return prints.select("doc_id", "h", "g", "v").join(roots, "v", "left").select("doc_id", "h", "g", F.coalesce("root", "v").alias("root"))
 
 
 def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
     """(v, n, s): the first members of each set (v, n, x), rare ones coming first; two sets of the similarity share one."""
-    listed = cut(sets.select("v", "n", F.explode("x").alias("s")))
+    listed = sets.select("v", "n", F.explode("x").alias("s"))
     common = cut(listed.groupBy("s").agg(F.count("*").alias("often")).where(F.col("often") > COMMON))
     ranked = listed.join(F.broadcast(common) if common.count() <= COMMON_ROWS else common, "s", "left").select("v", "n", F.struct(F.coalesce("often", F.lit(0)).alias("often"), "s").alias("s"))
     place = F.row_number().over(Window.partitionBy("v").orderBy("s"))
