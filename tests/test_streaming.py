@@ -166,7 +166,7 @@ def test_line_stream_equals_the_batch_job(spark, tmp_path):
         folder.mkdir()
         (folder / "part-1.txt").write_bytes(archives.pack_archive(["Time stamp,2030-01-01T00:00:00Z\nNE Name,Z\nObject ID,a\n"]))
         os.utime(folder / "part-1.txt", (1_800_000_000, 1_800_000_000))
-    run = lambda: line_job.line_stream(spark, str(source), reference, str(tmp_path / "stream"), str(tmp_path / "cp"), lateness="60 days", base=archives.folder_name, glob="part-*", files_per_trigger=4).awaitTermination()
+    run = lambda: line_job.line_stream(spark, str(source), reference, str(tmp_path / "stream"), str(tmp_path / "cp"), lateness="60 days", base=archives.folder_name, glob="part-*", files_per_trigger=8).awaitTermination()
     run()
     run()  # nothing new: nothing is read twice
     drop = ["batch_id", "tsEnrich", "processingTime", "fileTime", "relativePath", "path"]
