@@ -37,7 +37,7 @@ BUFFER_ROWS = 200_000
 #: (query, node) pairs held at a time in a search.
 FRONTIER = 1_000_000
 #: Fingerprints of a bucket, about, that the number of blocks or of mask bits is chosen for.
-BUCKET_GOAL = 32
+BUCKET_GOAL = 64
 #: Pairs with a set of so many shingles at most are found by their members, others by their fingerprints.
 SMALL = 64
 #: Words of the fingerprints that near duplicates are searched by.
@@ -46,7 +46,7 @@ NEAR_WORDS = 4
 DEVIATIONS = 4.0
 #: Share of pairs at the similarity, with the mean number of differing bits, that share a bucket.
 RECALL = 0.9999
-#: Sets that are compared exactly are broadcast up to this many, and joined by a shuffle beyond it.
+#: Sets or pairs of sets to compare are broadcast up to this many, and joined by a shuffle beyond it.
 BROADCAST_SETS = 200_000
 #: Members of more sets than this come last in a prefix; a list of so many rows of them is broadcast.
 COMMON, COMMON_ROWS = 100, 200_000
@@ -424,8 +424,10 @@ def shingle_sets(docs: DataFrame, shingle: int, n_words: int, largest: int, id_c
 
 def alike(pairs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose sets in members (v, x) have a Jaccard similarity of at least `similarity`."""
-    left, right = (members.select(F.col("v").alias(c), F.col("x").alias(f"x{c}")) for c in "ab")
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", F.size("xa").alias("na"), F.size("xb").alias("nb"), F.size(F.array_intersect("xa", "xb")).alias("i"))
+    pairs = cut(pairs)
+    near = F.broadcast(pairs) if pairs.count() <= BROADCAST_SETS else pairs  # then only sets that pairs name are shuffled
+    left, right = (members.join(near, F.col("v") == F.col(c)).select("a", "b", F.col("x").alias(f"x{c}")) for c in "ab")
+    both = left.join(right, ["a", "b"]).select("a", "b", F.size("xa").alias("na"), F.size("xb").alias("nb"), F.size(F.array_intersect("xa", "xb")).alias("i"))
     return both.where(F.col("i") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("i")) - 1e-9).select("a", "b")
 
 
