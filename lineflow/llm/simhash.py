@@ -267,17 +267,17 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
 
     bits tells how many bits differ, 0 where that isn't known. chains: a chain through each
     group of a bucket, which spans it. first: of each
-    fingerprint its partners among the first of its bucket and the one before it in Gray
-    order, or else the first that a search finds; so few that a group of k gives some k
+    fingerprint its partners among the first of its bucket, the one nearest to the majority
+    of the bucket's bits and the one before it in Gray order, or else the first that a search finds; so few that a group of k gives some k
     links, but every fingerprint with a partner in a bucket has a link. rest: all pairs of
-    different labels.
+    different labels, each once.
 
     In a bucket over BUCKET_ROWS most rows are near to its first fingerprint, or have its
     most frequent label: these need not meet each other, only the others. They are cut
     into chunks, so are the others, and each pair of chunks is a cell of its own.
     """
     names = [f"f{i}" for i in range(n_words)]
-    extra = ["label"] if mode == "rest" else []
+    extra = ["label", "t"] if mode == "rest" else []
     which = F.posexplode(F.array(*(F.lit(_signed(m)) for _, m in tables))).alias("t", "mask")
     rows = fps.select("v", *names, *extra, which)
     word = F.get(F.array(*names), F.get(F.array(*(F.lit(w) for w, _ in tables)), F.col("t"))) if n_words > 1 else F.col("f0")
@@ -327,31 +327,42 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
                 continue
             asked, v = rows.column(2).to_numpy(zero_copy_only=False)[:end], rows.column(3).to_numpy()[:end]
             fp = np.column_stack([rows.column(skip + i).to_numpy()[:end] for i in range(n_words)]).view(np.uint64)
-            label = rows.column(4).to_numpy()[:end] if extra else v
-            for found in {"chains": _chains, "first": _first, "rest": _rest}[mode](fp, np.cumsum(new[:end]) - 1, v, label, asked, limit):
+            bucket = np.cumsum(new[:end]) - 1
+            if mode == "rest":
+                label, t = (rows.column(i).to_numpy()[:end] for i in (4, 5))
+                pairs = _rest(fp, bucket, v, label, t, asked, limit, tables)
+            else:
+                pairs = {"chains": _chains, "first": _first}[mode](fp, bucket, v, asked, limit)
+            for found in pairs:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.int32()))], ["a", "b", "bits"])
 
     searched = rows.mapInArrow(run, "a long, b long, bits int")
     return searched if found is None else searched.union(found)
 
 
-def _chains(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, asked: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, ...]]:
+def _chains(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, asked: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, ...]]:
     root = forest(len(v), GrayIndex(fp, bucket).search(limit, None if asked.all() else asked))
     by = np.lexsort([np.arange(len(v)), root])
     same = root[by][1:] == root[by][:-1]
     yield v[by][:-1][same], v[by][1:][same], np.zeros(same.sum(), np.int32)
 
 
-def _first(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, asked: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, ...]]:
+def _first(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, asked: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, ...]]:
     index, n = GrayIndex(fp, bucket), len(v)
     starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
     by_v = np.lexsort([v, bucket])
     pivot = np.repeat(by_v[starts], np.diff(np.r_[starts, n]))
+    # the member nearest to the majority of its bucket's bits: of a family of copies, likely what they were copied from
+    bits = np.unpackbits(fp.view(np.uint8), axis=1)
+    size = np.diff(np.r_[starts, n])
+    majority = np.packbits(2 * np.add.reduceat(bits, starts, axis=0, dtype=np.int32) > size[:, None], axis=1).view(np.uint64)
+    off = np.bitwise_count(fp ^ np.repeat(majority, size, axis=0)).sum(axis=1)
+    middle = np.repeat(np.lexsort([v, off, bucket])[starts], size)
     before = np.arange(n)
     follows = bucket[index.order[1:]] == bucket[index.order[:-1]]
     before[index.order[1:][follows]] = index.order[:-1][follows]
     partnered = ~asked
-    for other in (pivot, before):
+    for other in (pivot, middle, before):
         bits = np.bitwise_count(fp ^ fp[other]).sum(axis=1, dtype=np.int32)
         near = (bits <= limit) & (v != v[other])
         partnered[near] = partnered[other[near]] = True
@@ -364,7 +375,7 @@ def _first(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray,
     yield v[found], best[found], np.zeros(found.sum(), np.int32)
 
 
-def _rest(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, asked: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, ...]]:
+def _rest(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, t: np.ndarray, asked: np.ndarray, limit: int, tables: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, ...]]:
     by = np.lexsort([label, bucket])
     runs = np.flatnonzero(np.r_[True, (bucket[by][1:] != bucket[by][:-1]) | (label[by][1:] != label[by][:-1])])
     length = np.diff(np.r_[runs, len(v)])
@@ -376,7 +387,9 @@ def _rest(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray,
     for r in frequent[whole[bucket[by[runs[frequent]]]]]:  # in a cell the rows not asked are of one label already
         asked[by[runs[r] : runs[r] + length[r]]] = False
     for p, q in GrayIndex(fp, bucket).search(limit, asked):
-        apart = label[p] != label[q]
+        apart = (label[p] != label[q]) & (~asked[q] | (p < q))
+        for i, (w, mask) in enumerate(tables):  # a pair comes from the first table that has it in one bucket
+            apart &= (t[p] <= i) | ((fp[p, w] ^ fp[q, w]) & np.uint64(mask) != 0)
         yield v[p[apart]], v[q[apart]], np.zeros(apart.sum(), np.int32)
 
 
@@ -447,7 +460,7 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     a link means an exact similarity. Rows of one set are one vertex. Two steps keep the
     number of pairs near the number of texts, however large a group is: first each set is
     checked against the smallest and the nearest of its first candidates, and then all
-    pairs within the limit of bits are that don't have the same first partner.
+    pairs within the limit of bits are that are in different groups still.
     """
     prints = written(shingle_sets(docs, shingle, n_words, int(SMALL / similarity) + 1, id_col, text_col), "sets")
     names = [f"f{i}" for i in range(n_words)]
@@ -468,8 +481,7 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
 
     pairs = _ordered(partners.select(F.col("v").alias("a"), F.explode(F.array("least", "nearest")).alias("b")))
     good = cut(alike(pairs, members, similarity))
-    first = good.groupBy(F.col("b").alias("v")).agg(F.min("a").alias("root"))  # members of a family have their first one in common
-    labels = cut(_labelled(needed, first))
+    labels = cut(_labelled(needed, components(good)))
     asked = large.join(labels, "v").select("v", *names, "label")
     more = links(asked, n_words, limit, tables, "rest").select("a", "b").union(other_holders(small.join(labels, "v"), similarity))
     roots = components(good.union(alike(_ordered(more), members, similarity)))
