@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from lineflow.llm.common import cut
 
+#: Rows of two ids that one task reads in a round; rounds over few rows take few tasks and files.
+TASK_ROWS = 100_000
+
 
 def components(links: DataFrame) -> DataFrame:
     """links (a long, b long) -> (v long, root long), root being the smallest id reachable.
@@ -20,21 +23,28 @@ def components(links: DataFrame) -> DataFrame:
     whose ends are null or equal are ignored; an empty table gives an empty result.
     Vertices without links are not returned. State lives in reliable checkpoints only.
     """
-    links = cut(_clean(links.select(F.col("a").cast("long"), F.col("b").cast("long"))))
+    links, n = _dense(_clean(links.select(F.col("a").cast("long"), F.col("b").cast("long"))))
     both = links.select(F.col("a").alias("v")).union(links.select(F.col("b").alias("v")))
     held = both.distinct().select("v", F.col("v").alias("at"))
     turn = 0
-    while not links.isEmpty():
+    while n:
         hooks = _settled(_hooks(links, turn))
-        held = cut(held.join(hooks.withColumnRenamed("v", "at"), "at", "left").select("v", F.coalesce("p", "at").alias("at")))
+        held, _ = _dense(held.join(hooks.withColumnRenamed("v", "at"), "at", "left").select("v", F.coalesce("p", "at").alias("at")))
         ends = links.join(hooks.select(F.col("v").alias("a"), F.col("p").alias("pa")), "a")
         ends = ends.join(hooks.select(F.col("v").alias("b"), F.col("p").alias("pb")), "b")
-        links = cut(_clean(ends.select(F.col("pa").alias("a"), F.col("pb").alias("b"))))
+        links, n = _dense(_clean(ends.select(F.col("pa").alias("a"), F.col("pb").alias("b"))))
         turn += 1
     least = held.groupBy("at").agg(F.min("v").alias("root"))
     return cut(held.join(least, "at").select("v", "root"))
 
 
+def _dense(df: DataFrame) -> tuple[DataFrame, int]:
+    """df cut, in as many partitions as its rows need, and their number."""
+    df = cut(df)
+    n = df.count()
+    return df.coalesce(max(1, -(-n // TASK_ROWS))), n
+
+
 def _clean(links: DataFrame) -> DataFrame:
     ends = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return ends.where("a <> b").distinct()
@@ -52,7 +62,7 @@ def _settled(hooks: DataFrame) -> DataFrame:
     """Hooks followed to their ends; each pass doubles the way."""
     while True:
         onward = hooks.select(F.col("v").alias("p"), F.col("p").alias("q"))
-        hooks = cut(hooks.join(onward, "p").select("v", F.col("q").alias("p"), (F.col("p") != F.col("q")).alias("moved")))
+        hooks, _ = _dense(hooks.join(onward, "p").select("v", F.col("q").alias("p"), (F.col("p") != F.col("q")).alias("moved")))
         if hooks.where("moved").isEmpty():
             return hooks.select("v", "p")
         hooks = hooks.select("v", "p")
