@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -262,22 +262,23 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]], mode: str = "chains") -> DataFrame:
-    """fps (v long, f0 .. long, and label long where mode is rest), distinct -> links (a long, b long, bits int) within limit bits.
+def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]], mode: str = "chains", similarity: float = 0.0) -> DataFrame:
+    """fps (v long, f0 .. long, and label long, size int, shared int where mode is rest), distinct -> links (a long, b long, bits int) within limit bits.
 
     bits tells how many bits differ, 0 where that isn't known. chains: a chain through each
     group of a bucket, which spans it. first: of each
     fingerprint its partners among the first of its bucket, the one nearest to the majority
     of the bucket's bits and the one before it in Gray order, or else the first that a search finds; so few that a group of k gives some k
     links, but every fingerprint with a partner in a bucket has a link. rest: all pairs of
-    different labels, each once.
+    different labels, each once, that can have the similarity: sets of `size` members, of
+    which `shared` are in any other set, have the smaller `shared` in common at most.
 
     In a bucket over BUCKET_ROWS most rows are near to its first fingerprint, or have its
     most frequent label: these need not meet each other, only the others. They are cut
     into chunks, so are the others, and each pair of chunks is a cell of its own.
     """
     names = [f"f{i}" for i in range(n_words)]
-    extra = ["label", "t"] if mode == "rest" else []
+    extra = ["label", "size", "shared", "t"] if mode == "rest" else []
     which = F.posexplode(F.array(*(F.lit(_signed(m)) for _, m in tables))).alias("t", "mask")
     rows = fps.select("v", *names, *extra, which)
     word = F.get(F.array(*names), F.get(F.array(*(F.lit(w) for w, _ in tables)), F.col("t"))) if n_words > 1 else F.col("f0")
@@ -329,8 +330,9 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
             fp = np.column_stack([rows.column(skip + i).to_numpy()[:end] for i in range(n_words)]).view(np.uint64)
             bucket = np.cumsum(new[:end]) - 1
             if mode == "rest":
-                label, t = (rows.column(i).to_numpy()[:end] for i in (4, 5))
-                pairs = _rest(fp, bucket, v, label, t, asked, limit, tables)
+                label, size, shared, t = (rows.column(i).to_numpy()[:end] for i in range(4, 8))
+                can = lambda p, q: np.minimum(shared[p], shared[q]) >= similarity / (1 + similarity) * (size[p] + size[q]) - 1e-6  # noqa: B023, E731
+                pairs = _rest(fp, bucket, v, label, t, asked, limit, tables, can)
             else:
                 pairs = {"chains": _chains, "first": _first}[mode](fp, bucket, v, asked, limit)
             for found in pairs:
@@ -375,7 +377,7 @@ def _first(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, asked: np.ndarray,
     yield v[found], best[found], np.zeros(found.sum(), np.int32)
 
 
-def _rest(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, t: np.ndarray, asked: np.ndarray, limit: int, tables: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, ...]]:
+def _rest(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, t: np.ndarray, asked: np.ndarray, limit: int, tables: list[tuple[int, int]], can: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
     by = np.lexsort([label, bucket])
     runs = np.flatnonzero(np.r_[True, (bucket[by][1:] != bucket[by][:-1]) | (label[by][1:] != label[by][:-1])])
     length = np.diff(np.r_[runs, len(v)])
@@ -387,7 +389,9 @@ def _rest(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray,
     for r in frequent[whole[bucket[by[runs[frequent]]]]]:  # in a cell the rows not asked are of one label already
         asked[by[runs[r] : runs[r] + length[r]]] = False
     for p, q in GrayIndex(fp, bucket).search(limit, asked):
-        apart = (label[p] != label[q]) & (~asked[q] | (p < q))
+        apart = (label[p] != label[q]) & (~asked[q] | (p < q)) & can(p, q)
+        p, q = p[apart], q[apart]
+        apart = np.ones(len(p), bool)
         for i, (w, mask) in enumerate(tables):  # a pair comes from the first table that has it in one bucket
             apart &= (t[p] <= i) | ((fp[p, w] ^ fp[q, w]) & np.uint64(mask) != 0)
         yield v[p[apart]], v[q[apart]], np.zeros(apart.sum(), np.int32)
@@ -437,10 +441,12 @@ def shingle_sets(docs: DataFrame, shingle: int, n_words: int, largest: int, id_c
 
 def alike(pairs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose sets in members (v, x) have a Jaccard similarity of at least `similarity`."""
-    pairs = cut(pairs)
-    near = F.broadcast(pairs) if pairs.count() <= BROADCAST_SETS else pairs  # then only sets that pairs name are shuffled
-    left, right = (members.join(near, F.col("v") == F.col(c)).select("a", "b", F.col("x").alias(f"x{c}")) for c in "ab")
-    both = left.join(right, ["a", "b"]).select("a", "b", F.size("xa").alias("na"), F.size("xb").alias("nb"), F.size(F.array_intersect("xa", "xb")).alias("i"))
+    pairs, few = cut(pairs), lambda df: df
+    if pairs.count() <= BROADCAST_SETS:  # then only sets that pairs name are shuffled
+        few = F.broadcast
+    left = members.join(few(pairs), F.col("v") == F.col("a")).select("a", "b", F.col("x").alias("xa"))
+    right = members.join(few(pairs.select(F.col("b").alias("v")).distinct()), "v", "left_semi").select(F.col("v").alias("b"), F.col("x").alias("xb"))
+    both = left.join(right, "b").select("a", "b", F.size("xa").alias("na"), F.size("xb").alias("nb"), F.size(F.array_intersect("xa", "xb")).alias("i"))
     return both.where(F.col("i") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("i")) - 1e-9).select("a", "b")
 
 
@@ -460,16 +466,17 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     a link means an exact similarity. Rows of one set are one vertex. Two steps keep the
     number of pairs near the number of texts, however large a group is: first each set is
     checked against the smallest and the nearest of its first candidates, and then all
-    pairs within the limit of bits are that are in different groups still.
+    pairs within the limit of bits are that are in different groups still, but for those
+    whose members in no other set rule the similarity out.
     """
     prints = written(shingle_sets(docs, shingle, n_words, int(SMALL / similarity) + 1, id_col, text_col), "sets")
     names = [f"f{i}" for i in range(n_words)]
     distinct = cut(prints.groupBy("v").agg(F.first("n").alias("n"), *(F.first(f).alias(f) for f in names)))
-    large = distinct.where(F.col("n") > SMALL).select("v", *names)
+    large = distinct.where(F.col("n") > SMALL).select("v", "n", *names)
     tables, limit = drawn_masks(large.count(), n_words, similarity), bit_limit(similarity, 64 * n_words, DEVIATIONS)
     small = prefixes(prints.where("x is not null and n > 0").select("v", "n", "x").dropDuplicates(["v"]), similarity)
 
-    pairs = links(large, n_words, limit, tables, "first").union(first_holders(small)).where("a <> b")
+    pairs = links(large.drop("n"), n_words, limit, tables, "first").union(first_holders(small)).where("a <> b")
     end = lambda v, b: F.struct(F.col(v).alias("v"), F.col(b).alias("b"), "bits")
     both = pairs.select(F.explode(F.array(end("a", "b"), end("b", "a"))).alias("x")).select("x.*")
     partners = cut(both.groupBy("v").agg(F.min("b").alias("least"), F.min_by("b", "bits").alias("nearest")))
@@ -482,12 +489,19 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     pairs = _ordered(partners.select(F.col("v").alias("a"), F.explode(F.array("least", "nearest")).alias("b")))
     good = cut(alike(pairs, members, similarity))
     labels = cut(_labelled(needed, components(good)))
-    asked = large.join(labels, "v").select("v", *names, "label")
-    more = links(asked, n_words, limit, tables, "rest").select("a", "b").union(other_holders(small.join(labels, "v"), similarity))
+    asked = large.join(labels, "v").join(lone(members.where(F.size("x") > SMALL)), "v", "left").select("v", *names, "label", F.col("n").alias("size"), (F.col("n") - F.coalesce("lone", F.lit(0))).cast("int").alias("shared"))
+    asked = cut(asked.where(F.col("shared") >= F.lit(similarity) * F.col("size") - 1e-9))
+    more = links(asked, n_words, limit, tables, "rest", similarity).select("a", "b").union(other_holders(small.join(labels, "v"), similarity))
     roots = components(good.union(alike(_ordered(more), members, similarity)))
     return prints.select("doc_id", "h", "g", "v").join(roots, "v", "left").select("doc_id", "h", "g", F.coalesce("root", "v").alias("root"))
 
 
+def lone(members: DataFrame) -> DataFrame:
+    """(v, lone): how many members of each set (v, x) no other set has; sets without any are left out."""
+    held = members.select("v", F.explode("x").alias("s")).groupBy("s").agg(F.count("*").alias("k"), F.min("v").alias("v"))
+    return held.where("k = 1").groupBy("v").agg(F.count("*").alias("lone"))
+
+
 def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
     """(v, n, s): the first members of each set (v, n, x), rare ones coming first; two sets of the similarity share one."""
     listed = sets.select("v", "n", F.explode("x").alias("s"))

@@ -165,12 +165,15 @@ def test_first_and_rest_links_equal_plain_search(spark, monkeypatch, bucket_rows
     fps, limit = near_prints(np.random.default_rng(12), 12, 8, 20), 30
     tables = simhash.drawn_masks(len(fps), 4, 0.9)[:8]
     pairs = {(i, j) for w, m in tables for i in range(len(fps)) for j in range(i) if not int(fps[i][w] ^ fps[j][w]) & m and np.bitwise_count(fps[i] ^ fps[j]).sum() <= limit}
-    rows = [(i, *(int(x) for x in f.view(np.int64)), i % 3) for i, f in enumerate(fps)]
-    df = spark.createDataFrame(rows, "v long, f0 long, f1 long, f2 long, f3 long, label long")
-    found = lambda mode: {tuple(sorted((r.a, r.b), reverse=True)) for r in simhash.links(df, 4, limit, tables, mode).collect() if r.a != r.b}
+    sizes = [(90 + i % 20, 70 + i % 31) for i in range(len(fps))]
+    rows = [(i, *(int(x) for x in f.view(np.int64)), i % 3, *sizes[i]) for i, f in enumerate(fps)]
+    df = spark.createDataFrame(rows, "v long, f0 long, f1 long, f2 long, f3 long, label long, size int, shared int")
+    found = lambda mode: {tuple(sorted((r.a, r.b), reverse=True)) for r in simhash.links(df, 4, limit, tables, mode, 0.8).collect() if r.a != r.b}
     first = found("first")
     assert first <= pairs and {i for p in pairs for i in p} == {i for p in first for i in p}
-    assert found("rest") == {(i, j) for i, j in pairs if i % 3 != j % 3}
+    can = {(i, j) for i, j in pairs if 9 * min(sizes[i][1], sizes[j][1]) >= 4 * (sizes[i][0] + sizes[j][0])}
+    assert can < pairs
+    assert found("rest") == {(i, j) for i, j in can if i % 3 != j % 3}
     chains = {tuple(sorted((r.a, r.b))) for r in simhash.links(df, 4, limit, tables, "chains").collect()}
     assert plain_roots(len(fps), chains) == plain_roots(len(fps), pairs)
 
