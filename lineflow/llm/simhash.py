@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lineflow.llm.common import cut, written
-from lineflow.llm.components import components
+from lineflow.llm.components import components, forest
 
 #: A bucket with more fingerprints than this is compared in pairs of chunks, by several tasks.
 BUCKET_ROWS = 2048
@@ -198,22 +198,6 @@ class GrayIndex:
                 yield self.order[query[apart]], self.order[node[apart]]
 
 
-def forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Smallest position reachable from each of n positions."""
-    root = np.arange(n)
-    for p, q in pairs:
-        while True:
-            a, b = root[p], root[q]
-            apart = a != b
-            if not apart.any():
-                break
-            p, q, a, b = p[apart], q[apart], a[apart], b[apart]
-            np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
-            while (root[root] != root).any():
-                root = root[root]
-    return root
-
-
 # linking --------------------------------------------------------------------
 
 

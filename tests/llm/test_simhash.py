@@ -137,15 +137,17 @@ def test_recall_of_the_index_by_length():
         assert found >= 396, n
 
 
-@pytest.mark.parametrize("shape", ["in order", "zigzag", "star"])
-def test_components_end_in_few_rounds(spark, monkeypatch, shape):
+@pytest.mark.parametrize(("shape", "task_rows"), [("in order", 40), ("zigzag", 40), ("star", 40), ("zigzag", 100_000)])
+def test_components_end_in_few_rounds(spark, monkeypatch, shape, task_rows):
+    """With tasks that hold few of the links, and with one that holds all."""
     n, turns = 2000, []
+    monkeypatch.setattr(components_module, "TASK_ROWS", task_rows)
     chain = list(range(n)) if shape == "in order" else [x for i in range(n // 2) for x in (i, n - 1 - i)]
     edges = [(7, i) for i in range(n)] if shape == "star" else list(zip(chain, chain[1:]))
     hooks = components_module._hooks
     monkeypatch.setattr(components_module, "_hooks", lambda links, turn: turns.append(turn) or hooks(links, turn))
     got = {r.v: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == dict.fromkeys(range(n), 0) and len(turns) <= 8
+    assert got == dict.fromkeys(range(n), 0) and len(turns) <= (8 if task_rows == 40 else 1)
 
 
 def near_prints(rng, families, members, limit):
