@@ -42,6 +42,8 @@ BUCKET_GOAL = 64
 SMALL = 64
 #: Words of the fingerprints that near duplicates are searched by.
 NEAR_WORDS = 4
+#: Words of the finer fingerprints that the pairs left over are told apart by.
+FINE_WORDS = 32
 #: Standard deviations of the estimate that the limit of bits allows, as an exact check follows.
 DEVIATIONS = 4.0
 #: Share of pairs at the similarity, with the mean number of differing bits, that share a bucket.
@@ -246,8 +248,8 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]], mode: str = "chains", similarity: float = 0.0) -> DataFrame:
-    """fps (v long, f0 .. long, and label long, size int, shared int where mode is rest), distinct -> links (a long, b long, bits int) within limit bits.
+def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]], mode: str = "chains", similarity: float = 0.0, fine_limit: int | None = None) -> DataFrame:
+    """fps (v long, f0 .. long, and label long, size int, shared int, fine binary where mode is rest), distinct -> links (a long, b long, bits int) within limit bits.
 
     bits tells how many bits differ, 0 where that isn't known. chains: a chain through each
     group of a bucket, which spans it. first: of each
@@ -255,14 +257,15 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
     of the bucket's bits and the one before it in Gray order, or else the first that a search finds; so few that a group of k gives some k
     links, but every fingerprint with a partner in a bucket has a link. rest: all pairs of
     different labels, each once, that can have the similarity: sets of `size` members, of
-    which `shared` are in any other set, have the smaller `shared` in common at most.
+    which `shared` are in any other set, have the smaller `shared` in common at most, and
+    their finer fingerprints differ in fine_limit bits at most.
 
     In a bucket over BUCKET_ROWS most rows are near to its first fingerprint, or have its
     most frequent label: these need not meet each other, only the others. They are cut
     into chunks, so are the others, and each pair of chunks is a cell of its own.
     """
     names = [f"f{i}" for i in range(n_words)]
-    extra = ["label", "size", "shared", "t"] if mode == "rest" else []
+    extra = ["label", "size", "shared", "fine", "t"] if mode == "rest" else []
     which = F.posexplode(F.array(*(F.lit(_signed(m)) for _, m in tables))).alias("t", "mask")
     rows = fps.select("v", *names, *extra, which)
     word = F.get(F.array(*names), F.get(F.array(*(F.lit(w) for w, _ in tables)), F.col("t"))) if n_words > 1 else F.col("f0")
@@ -290,14 +293,14 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
         cells = tagged.select("bucket", "v", *names, *extra, F.explode(F.concat(with_near, alone)).alias("cell"), (~F.col("near")).alias("asked"))
         rows = rows.join(hot.select("bucket"), "bucket", "left_anti").unionByName(cells)
     rows = rows.select("bucket", "cell", "asked", "v", *extra, *names).repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
-    skip = 4 + len(extra)
+    skip, most = 4 + len(extra), BUFFER_ROWS // (4 if extra else 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
                 held.append(batch)
-                if sum(b.num_rows for b in held) < BUFFER_ROWS:
+                if sum(b.num_rows for b in held) < most:
                     continue
             if not held or not sum(b.num_rows for b in held):
                 continue
@@ -314,9 +317,10 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
             fp = np.column_stack([rows.column(skip + i).to_numpy()[:end] for i in range(n_words)]).view(np.uint64)
             bucket = np.cumsum(new[:end]) - 1
             if mode == "rest":
-                label, size, shared, t = (rows.column(i).to_numpy()[:end] for i in range(4, 8))
+                label, size, shared, t = (rows.column(i).to_numpy()[:end] for i in (4, 5, 6, 8))
+                fine = np.frombuffer(b"".join(rows.column(7)[:end].to_pylist()), np.uint64).reshape(end, -1)
                 can = lambda p, q: np.minimum(shared[p], shared[q]) >= similarity / (1 + similarity) * (size[p] + size[q]) - 1e-6  # noqa: B023, E731
-                pairs = _rest(fp, bucket, v, label, t, asked, limit, tables, can)
+                pairs = _finer(fine, fine_limit, _rest(fp, bucket, label, t, asked, limit, tables, can), v)
             else:
                 pairs = {"chains": _chains, "first": _first}[mode](fp, bucket, v, asked, limit)
             for found in pairs:
@@ -361,10 +365,18 @@ def _first(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, asked: np.ndarray,
     yield v[found], best[found], np.zeros(found.sum(), np.int32)
 
 
-def _rest(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray, t: np.ndarray, asked: np.ndarray, limit: int, tables: list[tuple[int, int]], can: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
+def _finer(fine: np.ndarray, limit: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], v: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    for p, q in pairs:
+        for at in range(0, len(p), SLICE):
+            a, b = p[at : at + SLICE], q[at : at + SLICE]
+            near = np.bitwise_count(fine[a] ^ fine[b]).sum(axis=1, dtype=np.int64) <= limit
+            yield v[a[near]], v[b[near]], np.zeros(near.sum(), np.int32)
+
+
+def _rest(fp: np.ndarray, bucket: np.ndarray, label: np.ndarray, t: np.ndarray, asked: np.ndarray, limit: int, tables: list[tuple[int, int]], can: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     by = np.lexsort([label, bucket])
     runs = np.flatnonzero(np.r_[True, (bucket[by][1:] != bucket[by][:-1]) | (label[by][1:] != label[by][:-1])])
-    length = np.diff(np.r_[runs, len(v)])
+    length = np.diff(np.r_[runs, len(label)])
     most = np.zeros(bucket[-1] + 1, np.int64)
     np.maximum.at(most, bucket[by[runs]], length)
     frequent = np.flatnonzero(length == most[bucket[by[runs]]])
@@ -378,7 +390,7 @@ def _rest(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, label: np.ndarray,
         apart = np.ones(len(p), bool)
         for i, (w, mask) in enumerate(tables):  # a pair comes from the first table that has it in one bucket
             apart &= (t[p] <= i) | ((fp[p, w] ^ fp[q, w]) & np.uint64(mask) != 0)
-        yield v[p[apart]], v[q[apart]], np.zeros(apart.sum(), np.int32)
+        yield p[apart], q[apart]
 
 
 def groups(docs: DataFrame, shingle: int = 3, limit: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -423,6 +435,17 @@ def shingle_sets(docs: DataFrame, shingle: int, n_words: int, largest: int, id_c
     return rows.mapInArrow(run, ", ".join(["doc_id long, h long, g long, v long, n int", *(f"{f} long" for f in names), "x array<long>"]))
 
 
+def finer(members: DataFrame) -> DataFrame:
+    """(v, fine binary) of sets (v, x): fingerprints of FINE_WORDS words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fine = [_fingerprint(x.values.to_numpy().view(np.uint64), FINE_WORDS).tobytes() for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fine, pa.binary())], ["v", "fine"])
+
+    return members.select("v", "x").mapInArrow(run, "v long, fine binary")
+
+
 def alike(pairs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose sets in members (v, x) have a Jaccard similarity of at least `similarity`."""
     pairs, few = cut(pairs), lambda df: df
@@ -450,8 +473,9 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     a link means an exact similarity. Rows of one set are one vertex. Two steps keep the
     number of pairs near the number of texts, however large a group is: first each set is
     checked against the smallest and the nearest of its first candidates, and then all
-    pairs within the limit of bits are that are in different groups still, but for those
-    whose members in no other set rule the similarity out.
+    pairs within the limits of bits, of the fingerprints and of the finer ones, are that are
+    in different groups still, but for those whose members in no other set rule the
+    similarity out.
     """
     prints = written(shingle_sets(docs, shingle, n_words, int(SMALL / similarity) + 1, id_col, text_col), "sets")
     names = [f"f{i}" for i in range(n_words)]
@@ -475,7 +499,9 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     labels = cut(_labelled(needed, components(good)))
     asked = large.join(labels, "v").join(lone(members.where(F.size("x") > SMALL)), "v", "left").select("v", *names, "label", F.col("n").alias("size"), (F.col("n") - F.coalesce("lone", F.lit(0))).cast("int").alias("shared"))
     asked = cut(asked.where(F.col("shared") >= F.lit(similarity) * F.col("size") - 1e-9))
-    more = links(asked, n_words, limit, tables, "rest", similarity).select("a", "b").union(other_holders(small.join(labels, "v"), similarity))
+    few = asked.select("v")
+    fine = finer(members.join(F.broadcast(few) if asked.count() <= BROADCAST_SETS else few, "v", "left_semi"))
+    more = links(asked.join(fine, "v"), n_words, limit, tables, "rest", similarity, bit_limit(similarity, 64 * FINE_WORDS, DEVIATIONS)).select("a", "b").union(other_holders(small.join(labels, "v"), similarity))
     roots = components(good.union(alike(_ordered(more), members, similarity)))
     return prints.select("doc_id", "h", "g", "v").join(roots, "v", "left").select("doc_id", "h", "g", F.coalesce("root", "v").alias("root"))
 

@@ -125,14 +125,15 @@ def test_groups_are_those_of_exact_similarity(spark):
 def test_recall_of_the_index_by_length():
     rng = np.random.default_rng(4)
     tables, limit = simhash.drawn_masks(1 << 18, 4, 0.8), simhash.bit_limit(0.8, 256, simhash.DEVIATIONS)
+    fine_limit = simhash.bit_limit(0.8, 64 * simhash.FINE_WORDS, simhash.DEVIATIONS)
     for n in (72, 135, 270, 900):
         found = 0
         for _ in range(400):
             a = rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + rng.integers(0, 2, n, np.uint64)
             b = a.copy()
             b[: n // 9] = rng.integers(0, 1 << 63, n // 9, np.uint64)
-            x = simhash._fingerprint(a, 4) ^ simhash._fingerprint(b, 4)
-            found += int(np.bitwise_count(x).sum() <= limit and any(not int(x[w]) & m for w, m in tables))
+            x = simhash._fingerprint(a, simhash.FINE_WORDS) ^ simhash._fingerprint(b, simhash.FINE_WORDS)
+            found += int(np.bitwise_count(x[:4]).sum() <= limit and np.bitwise_count(x).sum() <= fine_limit and any(not int(x[w]) & m for w, m in tables))
         print("recall", n, found / 400)
         assert found >= 396, n
 
@@ -168,14 +169,17 @@ def test_first_and_rest_links_equal_plain_search(spark, monkeypatch, bucket_rows
     tables = simhash.drawn_masks(len(fps), 4, 0.9)[:8]
     pairs = {(i, j) for w, m in tables for i in range(len(fps)) for j in range(i) if not int(fps[i][w] ^ fps[j][w]) & m and np.bitwise_count(fps[i] ^ fps[j]).sum() <= limit}
     sizes = [(90 + i % 20, 70 + i % 31) for i in range(len(fps))]
-    rows = [(i, *(int(x) for x in f.view(np.int64)), i % 3, *sizes[i]) for i, f in enumerate(fps)]
-    df = spark.createDataFrame(rows, "v long, f0 long, f1 long, f2 long, f3 long, label long, size int, shared int")
-    found = lambda mode: {tuple(sorted((r.a, r.b), reverse=True)) for r in simhash.links(df, 4, limit, tables, mode, 0.8).collect() if r.a != r.b}
+    finer = np.random.default_rng(13).integers(0, 1 << 63, (len(fps), 2), np.uint64)
+    rows = [(i, *(int(x) for x in f.view(np.int64)), i % 3, *sizes[i], bytearray(finer[i].tobytes())) for i, f in enumerate(fps)]
+    df = spark.createDataFrame(rows, "v long, f0 long, f1 long, f2 long, f3 long, label long, size int, shared int, fine binary")
+    found = lambda mode, fine=128: {tuple(sorted((r.a, r.b), reverse=True)) for r in simhash.links(df, 4, limit, tables, mode, 0.8, fine).collect() if r.a != r.b}
     first = found("first")
     assert first <= pairs and {i for p in pairs for i in p} == {i for p in first for i in p}
     can = {(i, j) for i, j in pairs if 9 * min(sizes[i][1], sizes[j][1]) >= 4 * (sizes[i][0] + sizes[j][0])}
     assert can < pairs
     assert found("rest") == {(i, j) for i, j in can if i % 3 != j % 3}
+    near = {(i, j) for i, j in can if i % 3 != j % 3 and np.bitwise_count(finer[i] ^ finer[j]).sum() <= 60}
+    assert near < can and found("rest", 60) == near
     chains = {tuple(sorted((r.a, r.b))) for r in simhash.links(df, 4, limit, tables, "chains").collect()}
     assert plain_roots(len(fps), chains) == plain_roots(len(fps), pairs)
 
