@@ -43,7 +43,7 @@ SMALL = 64
 #: Words of the fingerprints that near duplicates are searched by.
 NEAR_WORDS = 4
 #: Words of the finer fingerprints that the pairs left over are told apart by.
-FINE_WORDS = 32
+FINE_WORDS = 64
 #: Standard deviations of the estimate that the limit of bits allows, as an exact check follows.
 DEVIATIONS = 4.0
 #: Share of pairs at the similarity, with the mean number of differing bits, that share a bucket.
