@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineflow.llm import langid, neighbours, packing, pieces, pii, preference, quality, records, simhash, topk
+from lineflow.llm import align, langid, mixing, neighbours, packing, pieces, pii, preference, quality, records, simhash, topk, trie
 from lineflow.llm.common import cut, held_out, table, tokenizer_path
 
 
@@ -80,6 +80,23 @@ def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.format_pairs(preference.adjacent_pairs(table(spark, sf_dir, "conversations")))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all conversations, which branch off from each fifth."""
+    return trie.trie(trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligns the tokens of every whole text; links are scored by their counts in all documents."""
+    found = align.aligned_counts(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mixes the sources of all documents, which weigh 1, 2, 3, repeating; how many words of each document the mix takes."""
+    documents, mixed = mixing.mix(table(spark, sf_dir, "documents"), texts=False)
+    return mixing.taken(documents, mixed).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_sentencepiece": op2_sentencepiece,
@@ -91,6 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_packing": op9_packing,
     "op10_preference": op10_preference,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_mixing": op13_mixing,
 }
 
 ORACLES: dict[str, str] = {
@@ -133,5 +153,53 @@ select pair_id, coalesce(max(prompt) filter (side = 0), '') as prompt, cast(max(
        max(completion) filter (side = 0) as chosen, max(mask) filter (side = 0) as chosen_mask,
        max(completion) filter (side = 1) as rejected, max(mask) filter (side = 1) as rejected_mask
 from parts group by pair_id
+""",
+    "op11_conversation_trie": """
+with recursive turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         md5(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as h,
+         row_number() over (partition by conv_id order by turn nulls first, md5(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, ''))) as n
+  from conversations where conv_id is not null
+),
+bytes as (select distinct conv_id, ascii(unnest(string_split(conv_id::varchar, ''))) as b, generate_subscripts(string_split(conv_id::varchar, ''), 1) as i from turns),
+bits as (
+  select conv_id, 0 as i, 4294967295::bigint as crc from (select distinct conv_id from turns)
+  union all
+  select c.conv_id, c.i + 1, list_reduce([xor(c.crc, b.b::bigint), 0, 0, 0, 0, 0, 0, 0, 0], lambda s, z: xor(s >> 1, 3988292384 * (s & 1)))
+  from bits c join bytes b on b.conv_id = c.conv_id and b.i = c.i + 1
+),
+branched as (select conv_id, xor(max_by(crc, i), 4294967295) % 9 as h from bits group by conv_id),
+parts as (
+  select b.conv_id, 0 as part, t.n, t.h, t.text from branched b join turns t on t.conv_id = b.conv_id - b.conv_id % 5 and t.n <= b.h
+  union all
+  select b.conv_id, 1, t.n, t.h, t.text from branched b join turns t on t.conv_id = b.conv_id and t.n > b.h
+),
+rebuilt as (
+  select conv_id, row_number() over (partition by conv_id order by part, n) as depth, strlen(text) as size,
+         string_agg(h, '') over (partition by conv_id order by part, n) as path
+  from parts
+  union all
+  select conv_id, 0, 0, '' from branched
+),
+lengths as (select conv_id, max(depth) as d from rebuilt group by 1),
+nodes as (
+  select path, min(conv_id) as conv_id, any_value(depth) as depth, count(*) as n_convs, any_value(size) as size,
+         coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (depth = d), '') as ends
+  from rebuilt join lengths using (conv_id) group by path
+),
+family as (
+  select n.*, p.path as up, p.conv_id as parent_conv_id
+  from nodes n left join nodes p on n.depth > 0 and p.path = substr(n.path, 1, length(n.path) - 32)
+),
+kids as (select up as path, count(*) as n_children from family where up is not null group by 1),
+ones as (
+  select f.*, coalesce(n_children, 0) as n_children, (n_convs - 1) * size as saved, (n_children is null)::bigint as leaf from family f left join kids using (path)
+),
+subtrees as (
+  select a.path, sum(o.leaf) as n_leaves, sum(o.saved) as saved_tokens
+  from ones o, lateral (select unnest(range(o.depth + 1)) as d) u, lateral (select substr(o.path, 1, 32 * u.d) as path) a group by 1
+)
+select conv_id, cast(depth as bigint) as depth, parent_conv_id, n_convs, n_children, cast(n_leaves as bigint) as n_leaves, cast(saved_tokens as bigint) as saved_tokens, sha256(ends) as ends_sha256
+from ones join subtrees using (path)
 """,
 }

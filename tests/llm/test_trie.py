@@ -1,0 +1,95 @@
+"""The trie of conversations against a plain version."""
+
+import hashlib
+import zlib
+from collections import defaultdict
+from random import Random
+
+import duckdb
+import pytest
+
+from lineflow.llm import queries, trie
+from lineflow.llm.common import table
+
+TURNS = "conv_id long, turn long, role string, text string, path string"
+
+
+def plain_trie(rows, branched=True):
+    own = defaultdict(list)
+    for conv_id, turn, role, text, *_ in rows:
+        if conv_id is not None:
+            role, text = role or "", text or ""
+            h = hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+            own[conv_id].append((turn is not None, turn or 0, h, role, text))
+    own = {c: [x[3:] for x in sorted(v)] for c, v in own.items()}
+    built = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9 if branched else 0
+        built[c] = own.get(c - c % 5, [])[:h] + turns[h:]
+    members, under = defaultdict(list), defaultdict(list)
+    for c, turns in built.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    for node in members:
+        if node:
+            under[node[:-1]].append(node)
+    below, out = {}, []
+    for node in sorted(members, key=len, reverse=True):
+        n = len(members[node])
+        leaves = sum(below[x][0] for x in under[node]) or 1
+        saved = sum(below[x][1] for x in under[node]) + ((n - 1) * len(node[-1][1].encode()) if node else 0)
+        below[node] = leaves, saved
+        ends = ",".join(str(c) for c in sorted(members[node]) if len(built[c]) == len(node))
+        parent = min(members[node[:-1]]) if node else None
+        out.append((min(members[node]), len(node), parent, n, len(under[node]), leaves, saved, hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=lambda r: r[:2])
+
+
+def nodes(df):
+    return sorted((tuple(r) for r in df.select(trie.NODES).collect()), key=lambda r: r[:2])
+
+
+@pytest.fixture(scope="module")
+def odd_turns():
+    """Copies, shared prefixes, nulls, repeated and very long turns, and one conversation of many turns."""
+    r = Random(7)
+    rows = [(c, t, r.choice(["user", "assistant", None]), r.choice(["a", "b", "é", None])) for c in range(200) for t in range(r.choice([1, 2, 3, 5, 12]))]
+    rows += [(1000 + 5 * i, t, "user", "same") for i in range(150) for t in range(3)]
+    rows += [(7000, t, "user", f"turn {t}") for t in range(300)] + [(7001, t, "user", f"turn {t}") for t in range(150)]
+    rows += [(None, 1, "a", "b"), (8000, None, "user", "x"), (8000, None, "user", "x"), (8000, 1, "", "long " * 200_000), (8003, 0, None, "")]
+    return [(*row, "clash") for row in rows]
+
+
+@pytest.mark.parametrize("range_bytes, chain_bytes", [(trie.RANGE_BYTES, trie.CHAIN_BYTES), (9_000, 30_000)])
+def test_nodes_whether_or_not_tasks_share_them(spark, odd_turns, range_bytes, chain_bytes):
+    convs = trie.rebuilt(spark.createDataFrame(odd_turns, TURNS))
+    assert nodes(trie.trie(convs, range_bytes, chain_bytes)) == plain_trie(odd_turns)
+
+
+def test_parents_by_a_shuffle(spark, odd_turns, monkeypatch):
+    monkeypatch.setattr(trie, "SENT_NODES", 0)
+    assert nodes(trie.trie(trie.rebuilt(spark.createDataFrame(odd_turns, TURNS)), 9_000)) == plain_trie(odd_turns)
+
+
+def test_plain_conversations(spark, odd_turns):
+    assert nodes(trie.trie(trie.sequences(spark.createDataFrame(odd_turns, TURNS)))) == plain_trie(odd_turns, branched=False)
+
+
+def test_turnless_conversations_end_at_the_root(spark):
+    ids = [c for c in range(1, 60) if c % 5 and zlib.crc32(str(c).encode()) % 9]
+    rows = [(c, 0, "user", "x", "") for c in ids]  # the conversation they branch off from is absent
+    found = nodes(trie.trie(trie.rebuilt(spark.createDataFrame(rows, TURNS))))
+    assert found == plain_trie(rows) == [(ids[0], 0, None, len(ids), 0, 1, 0, hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())]
+
+
+def test_no_conversations(spark):
+    assert nodes(trie.trie(trie.rebuilt(spark.createDataFrame([], TURNS)))) == []
+
+
+def test_query_equals_its_sql(spark, sf_dir):
+    got = queries.op11_conversation_trie(spark, sf_dir)
+    duckdb.sql(f"create or replace view conversations as select * from '{sf_dir}/conversations.parquet'")
+    want = duckdb.sql(queries.ORACLES["op11_conversation_trie"])
+    assert want.columns == got.columns
+    rows = [tuple(r) for r in table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").collect()]
+    assert nodes(got) == sorted(want.fetchall(), key=lambda r: r[:2]) == plain_trie(rows)
