@@ -33,7 +33,7 @@ from lineflow.llm.common import written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words of a block, slots of a shard, and words of a bin, about.
-BLOCK, SHARD, BIN_WORDS = 64, 8192, 2_000_000
+BLOCK, SHARD, BIN_WORDS = 64, 8192, 200_000
 #: How often a source's words are taken at most.
 PASSES = 3
 SEED = 13
@@ -196,7 +196,8 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block:
     quota = np.rint(np.divide(target * blocks, size, out=np.zeros(len(sums)), where=size > 0)).astype(np.int64)
     chosen = slots(blocks, quota, shard, seed, spark)
     numbered = pieces.join(local.select("k", "bin", "base"), ["k", "bin"]).withColumn("block", F.col("base") + F.col("local"))
-    mixed = chosen.join(numbered, ["k", "block"]).select("shard", "k", "block", "row", "start", "n", *(["words"] if texts else []))
+    # Spark takes the slots for as few as the draws that they come from, and would broadcast them
+    mixed = numbered.hint("merge").join(chosen, ["k", "block"]).select("shard", "k", "block", "row", "start", "n", *(["words"] if texts else []))
     documents = _with_source(found.drop("text"), spread).select("row", "doc_id", "source", "size", "source_size", "target", "k")
     return documents, mixed
 
