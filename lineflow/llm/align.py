@@ -36,10 +36,10 @@ from pyspark.sql import functions as F
 from lineflow.llm.common import tokenizer_path, written
 
 SPACE = "▁"
-#: Pieces that a worker keeps, the longest of them in characters; then it starts afresh.
-KNOWN, LONGEST = 300_000, 80
+#: Pieces that a worker keeps, and the longest of them in characters; then those that were not seen lately go.
+KNOWN, LONGEST = 500_000, 80
 #: Characters of new pieces that the libraries get at a time.
-LEARNED = 1 << 16
+LEARNED = 1 << 14
 #: Documents' characters between two looks for new pieces.
 BATCH = 1 << 20
 #: Bytes of links that are gathered before rows are handed on.
@@ -85,6 +85,7 @@ class Aligner:
         self.dtype = np.dtype("<u4" if self.width * len(pieces) < 1 << 32 else "<u8")
         self.cut = re.compile(r"(?<=\S)(?= \S)") if self._local(pieces) else None
         self.known: dict[str, Entry | None] = {}
+        self.older: dict[str, Entry | None] = {}
 
     def _local(self, pieces: list[str]) -> bool:
         """Whether texts may be cut before a single space."""
@@ -117,18 +118,23 @@ class Aligner:
         good = a_good & b_good
         a_keep, b_keep = (np.repeat(good, np.diff(first)) for first in (a_first, b_first))
         a, a_end, b, b_end = a[a_keep], a_end[a_keep], b[b_keep], b_end[b_keep]
-        ends = np.union1d(a_end, b_end)  # a link ends at each: the tokens of A and B that hold the bytes before it
+        both = np.sort(np.concatenate([a_end, b_end]), kind="stable")
+        twice = np.append(both[1:] == both[:-1], False)[: len(both)]
+        ends, common = both[~twice], both[twice]  # a link ends at each end: the tokens of A and B that hold the bytes before it
         keys = (b[np.searchsorted(b_end, ends)] * self.width + a[np.searchsorted(a_end, ends)]).astype(self.dtype)
-        common = np.intersect1d(a_end, b_end)
         per_piece = lambda x: np.searchsorted(x, starts, "right")
         a_to, b_to = np.searchsorted(a_end, common, "right"), np.searchsorted(b_end, common, "right")
         a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups = [f"{','.join(a_text[i:j])}|{','.join(b_text[k:m])}" for i, j, k, m in zip([0, *a_to[:-1].tolist()], a_to.tolist(), [0, *b_to[:-1].tolist()], b_to.tolist())]
+        a_to, b_to = a_to.tolist(), b_to.tolist()
+        groups = [
+            f"{a_text[i] if j == i + 1 else ','.join(a_text[i:j])}|{b_text[k] if m == k + 1 else ','.join(b_text[k:m])}"
+            for i, j, k, m in zip([0, *a_to], a_to, [0, *b_to], b_to)
+        ]
         of_a, of_link, of_group = per_piece(a_end).tolist(), per_piece(ends).tolist(), per_piece(common).tolist()
         raw, w = keys.tobytes(), self.dtype.itemsize
         return [
-            (of_a[i + 1] - of_a[i], of_group[i + 1] - of_group[i], raw[of_link[i] * w : of_link[i + 1] * w], ";".join(groups[of_group[i] : of_group[i + 1]])) if ok else None
-            for i, ok in enumerate(good.tolist())
+            (a2 - a1, g2 - g1, raw[k1 * w : k2 * w], ";".join(groups[g1:g2])) if ok else None
+            for ok, a1, a2, g1, g2, k1, k2 in zip(good.tolist(), of_a, of_a[1:], of_group, of_group[1:], of_link, of_link[1:])
         ]
 
     @staticmethod
@@ -158,9 +164,12 @@ class Aligner:
         yield from self._looked_up(held)
 
     def _looked_up(self, docs: list[list[str]]) -> Iterator[tuple[int, int, int, bytes, str]]:
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        new, at, some = list(set().union(*docs).difference(self.known)), 0, {}
+        if len(self.known) > KNOWN // 2:
+            self.known, self.older = {}, self.known
+        new, at, some = set().union(*docs).difference(self.known), 0, {}
+        seen = new.intersection(self.older)
+        self.known.update(zip(seen, map(self.older.__getitem__, seen)))
+        new = list(new.difference(seen))
         while at < len(new):
             to, size = at, 0
             # what B reads as white space at the end of a piece would run into the next one, so it ends a batch
