@@ -216,3 +216,14 @@ def test_documents_have_the_long_names(spark):
     counters = ["xdslLinePreviousIntervalSESCounter", "xdslLinePreviousIntervalUASCounter", "xdslFarEndLinePreviousIntervalLPRCounter", "xdslFarEndLinePreviousIntervalSESCounter", "xdslLinePreviousIntervalReInitCounter", "xdslFarEndChannelPreviousIntervalUnCorrDtuCounterDS", "xdslChannelPreviousIntervalUnCorrDtuCounterUS", "xdslFarEndChannelPreviousIntervalRetransmDtuCounterUS", "xdslChannelPreviousIntervalRetransmDtuCounterDS"]
     assert got["N_P_9"] == {**start, "port": "P", "ifOperStatus": False, "xdslFarEndLineLoopAttenuationDownstream": 23.5, "macaddress": "m", **dict(zip(counters, range(11, 20))), "enrich_timestamp": 5, "avcid": "AVC", "cpid": "c", "correctedAttndrDs": 6, "correctedAttndrUs": -1}
     assert got["N_Q_9"] == {**start, "port": "Q", "ifOperStatus": True}
+
+
+def test_rows_are_split_once(spark):
+    """Whatever is asked of the decoded rows, a row's header and values are split once each."""
+    names = ",".join(h for h, _, _ in [*decode.INSTANT_FIELDS, *decode.HISTORICAL_FIELDS])
+    rows = spark.createDataFrame([(names, "up,up,1,2,3,4,5,m" + ",1" * 9), (names, "up,up,x,2,3,4,5,m"), ("a,b", "1,2")], "columns string, csv string")
+    good, bad = decode.decode_csv(rows)
+    for df in (good, bad, good.where("inst.actualDs > 0").select("hist.ses")):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 2
+    assert [r.hist.ses for r in good.collect()] == [1]
+    assert sorted(r.error.split(",")[0] for r in bad.collect()) == ["bad number", "missing columns: ifAdminStatus"]
