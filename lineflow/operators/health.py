@@ -55,13 +55,19 @@ def export_watch_state(toggles: DataFrame, keys: list[str], ts: str) -> DataFram
 
 
 def seed_toggles(toggles: DataFrame, history: DataFrame, keys: list[str], ts: str, n: int) -> DataFrame:
-    """toggles with held: the newest n rows (reInit, uas, up) of the line's history before each, oldest first."""
-    rows = history.select(*keys, F.col(ts).alias("__at"), F.coalesce("reInit", F.lit(0)).cast("int").alias("reInit"), F.coalesce("uas", F.lit(0)).cast("int").alias("uas"), F.coalesce("ifOperStatus", F.lit(False)).alias("up"))
-    both = toggles.where("flag").select(*keys, ts).distinct().join(rows, keys).where(F.col("__at") < F.col(ts))
-    newest = Window.partitionBy(*keys, ts).orderBy(F.desc("__at"))
-    top = both.withColumn("__r", F.row_number().over(newest)).where(F.col("__r") <= n)
-    held = top.groupBy(*keys, ts).agg(F.array_sort(F.collect_list(F.struct("__at", "reInit", "uas", "up"))).alias("h"))
-    held = held.select(*keys, ts, F.transform("h", lambda r: F.struct(r["reInit"].alias("reInit"), r["uas"].alias("uas"), r["up"].alias("up"))).alias("held"))
+    """toggles with held: the newest n rows (reInit, uas, up) of the line's history before each, oldest first.
+
+    History is numbered once by line, toggles among it; a toggle then asks for n numbers.
+    """
+    values = F.struct(F.coalesce("reInit", F.lit(0)).cast("int").alias("reInit"), F.coalesce("uas", F.lit(0)).cast("int").alias("uas"), F.coalesce("ifOperStatus", F.lit(False)).alias("up"))
+    switches = toggles.where("flag").select(*keys, ts).distinct()
+    lines = history.join(switches.select(*keys).distinct(), keys, "left_semi")
+    both = lines.select(*keys, ts, F.lit(1).alias("__kind"), values.alias("__v")).unionByName(switches.withColumn("__kind", F.lit(0)), allowMissingColumns=True)
+    before = Window.partitionBy(*keys).orderBy(ts, "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = both.withColumn("__n", F.sum("__kind").over(before))
+    asked = both.where((F.col("__kind") == 0) & (F.col("__n") > 0)).select(*keys, ts, F.explode(F.sequence(F.greatest(F.col("__n") - n + 1, F.lit(1)), F.col("__n"))).alias("__n"))
+    found = asked.join(both.where("__kind = 1").select(*keys, "__n", "__v"), [*keys, "__n"])
+    held = found.groupBy(*keys, ts).agg(F.transform(F.array_sort(F.collect_list(F.struct("__n", "__v"))), lambda r: r["__v"]).alias("held"))
     return toggles.join(held, [*keys, ts], "left")
 
 

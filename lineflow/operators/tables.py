@@ -32,6 +32,11 @@ def compact(spark: SparkSession, path: str, target: str, keys: list[str], order:
     log.where(F.col("batch_id") > last).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "day").parquet(target)
 
 
+def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
+    """Parquet in batch_id=.. directories; a replayed batch replaces its own."""
+    batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
 def write_batch_by_date(batch: DataFrame, path: str, batch_id: int, ts: str, fmt: str = "yyyy-MM-dd") -> None:
     """write_by_date() for a stream's batches: batch_id=../dt=.. directories, and a replayed batch replaces its own."""
     write_by_date(batch, f"{path}/batch_id={batch_id}", ts, fmt, "overwrite")

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +10,7 @@ from lineflow.functions import inventory, percentiles, ports
 from lineflow.operators import decode, enrich, node_files, tables, windows
 from lineflow.plans import line_job
 from lineflow.plans.line_queries import query, table
+from lineflow.plans.node_fixtures import NODE_LINES, node_files_of
 from lineflow.sources import archives, files, text
 from lineflow.sources.scratch import scratch_path
 
@@ -499,51 +497,6 @@ def dir_chunk_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # node files -----------------------------------------------------------------------------
 
-#: Lines of a node: a file has so many rows at most, and the number of files grows with the table.
-NODE_LINES = 50
-_HEADERS = [[h for h, _, _ in decode.INSTANT_FIELDS], [h for h, _, _ in decode.HISTORICAL_FIELDS]]
-
-
-def _node_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing of real node files, one pair for every NODE_LINES customers.
-
-    Instant files have two members, historical ones one. Every fifth node has no
-    historical file, and that of another fifth is cut short.
-    """
-    key = F.col("c_custkey")
-    k = key % NODE_LINES
-    lt = F.floor(k / 10)
-    short = F.concat(F.lit("R1.S1.LT"), lt, F.lit(".P"), k)
-    port = F.when(k % 20 == 19, F.concat(F.lit("weird"), k)).when(k % 4 == 1, F.concat(short, F.lit(".ITF1")))
-    port = port.when(k % 4 == 2, F.concat(F.lit("/x/rackNr=1/subrackNr=1/slotNr="), lt + 2, F.lit("/portNr="), k)).otherwise(short)
-    oper, atten = F.when(key % 3 == 0, "down").otherwise("up"), F.when(k % 9 == 0, "bad").otherwise((k * 5).cast("string"))
-    first = F.concat_ws(",", port, F.when(k % 13 == 0, "").otherwise("up"), oper, key * 7 % 100000, key * 3 % 40000, key * 97 % 170000)
-    second = F.concat_ws(",", port, key * 31 % 60000, atten, F.concat(F.lit("m"), key))
-    third = F.concat_ws(",", port, F.when(k % 11 == 0, "x").otherwise(k.cast("string")), *(k * i for i in range(2, 10)))
-    row = F.struct(k.alias("k"), F.when(k % 7 != 0, first).alias("first"), F.when(k % 7 != 0, second).alias("second"), F.when(k % 6 != 0, third).alias("third"))
-    nodes = table(spark, sf_dir, "customer").groupBy(F.floor(key / NODE_LINES).alias("node")).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    columns = [_HEADERS[0][:5], _HEADERS[0][5:], _HEADERS[1]]
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for node, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                day, minute = divmod(node % 90 * 15, 1440)
-                stamp = (1 + day, minute // 60, minute % 60)
-                head = "Time stamp,2024-01-{:02d}T{:02d}:{:02d}:00Z".format(*stamp) + f"\nNE Name,N{node}\n\n"
-                members = [head + "\n".join([f"Object ID,{','.join(c)}", *(r[n] for r in rows if r[n])]) for n, c in zip(("first", "second", "third"), columns)]
-                name = lambda kind: f"N{node}_{kind}_2024-01-" + "{:02d}-{:02d}-{:02d}.tar.gz".format(*stamp)  # noqa: E731, B023
-                out.append((name("Inst"), archives.pack_archive(members[:2])))
-                whole = archives.pack_archive(members[2:])
-                if node % 5 != 3:
-                    out.append((name("Hist"), whole[: len(whole) // 2] + b"\0" if node % 5 == 4 else whole))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else ([], []), (pa.string(), pa.binary()))], ["file", "content"])
-
-    path = scratch_path(spark, "nodes")
-    archives.write_node_files(nodes.mapInArrow(pack, "file string, content binary"), path)
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path)
-
-
 NODES = """raw_ as (
   select c_custkey as c, c_custkey // 50 as node, c_custkey % 50 as k, 'N' || (c_custkey // 50) as name, 'R1.S1.LT' || (c_custkey % 50 // 10) || '.P' || (c_custkey % 50) as line,
     timestamp '2024-01-01 00:00:00' + to_minutes(cast(c_custkey // 50 % 90 * 15 as integer)) as ts
@@ -562,7 +515,7 @@ nodes as (
 select name, ts, 2 as dslam_type, port, csv_i as csv from nodes where k % 7 <> 0
 union all select name, ts, 1, port, csv_h from nodes where k % 6 <> 0 and node % 5 < 3""")
 def tar_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = archives.read_node_files(_node_files(spark, sf_dir)).where("error is null and port is not null")
+    found = archives.read_node_files(node_files_of(spark, sf_dir)).where("error is null and port is not null")
     return found.select("name", F.col("ts").cast("timestamp_ntz").alias("ts"), "dslam_type", "port", "csv")
 
 
@@ -570,7 +523,7 @@ def tar_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 select name, 2 as type, epoch_ms(ts) as "metricsTime", cast(count(*) filter (k % 7 <> 0) as integer) as "recordsCount", 'metadata_202401' as index, 'I_' || name || '_' || epoch_ms(ts) as id from nodes group by all
 union all select name, 1, epoch_ms(ts), cast(count(*) filter (k % 6 <> 0) as integer), 'metadata_202401', 'H_' || name || '_' || epoch_ms(ts) from nodes where node % 5 < 3 group by all""")
 def file_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decode.metadata_documents(decode.file_metadata(archives.read_node_files(_node_files(spark, sf_dir))), "metadata")
+    found = decode.metadata_documents(decode.file_metadata(archives.read_node_files(node_files_of(spark, sf_dir))), "metadata")
     return found.select("name", "type", "metricsTime", "recordsCount", "index", "id")
 
 
@@ -581,7 +534,7 @@ union all select distinct 'unmatched', name, null, '2,' || epoch_ms(ts) from nod
 union all select distinct 'unmatched', name, null, '1,' || epoch_ms(ts) from nodes where node % 5 = 4""")
 def pair_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Combined rows of pairs, and the files that stay without a partner or have a bad one."""
-    combined, unmatched, _ = node_files.pair_then_read(spark, archives.name_only(_node_files(spark, sf_dir), archives.folder_name))
+    combined, unmatched, _, _ = node_files.pair_then_read(spark, archives.name_only(node_files_of(spark, sf_dir)))
     lone = unmatched.select(F.lit("unmatched").alias("kind"), "name", F.lit(None).cast("string").alias("port"), F.concat_ws(",", "dslam_type", F.unix_millis("ts")).alias("value"))
     return combined.select(F.lit("combined").alias("kind"), "name", "port", F.col("csv").alias("value")).unionByName(lone)
 
@@ -625,10 +578,10 @@ select name as dslam, line as port, epoch_ms(ts) as ts, c % 3 <> 0 as "ifOperSta
 from rated""")
 def line_job_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job over real files: pairs, reads, decodes, enriches, writes its sinks; the records as read from their sink."""
-    named = archives.name_only(_node_files(spark, sf_dir), archives.folder_name)
-    records, unmatched, metadata, _ = line_job.line_records(spark, named, lambda: (_line_attributes(spark, sf_dir), _tables(spark, sf_dir)))
+    named = archives.name_only(node_files_of(spark, sf_dir))
+    outputs = line_job.line_records(spark, named, lambda: (_line_attributes(spark, sf_dir), _tables(spark, sf_dir)))
     out = scratch_path(spark, "job")
-    line_job.write_outputs(records, unmatched, metadata, out, 0)
+    line_job.write_outputs(*outputs, out, 0)
     return spark.read.parquet(f"{out}/records").select("dslam", "port", "ts", "ifOperStatus", "attndrDs", "attndrUs", "attenuationDs", "ses", "reTransDs", "avc", "cpi", "correctedAttndrDs", "correctedAttndrUs")
 
 

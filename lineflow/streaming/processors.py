@@ -64,14 +64,22 @@ class OrderedProcessor(StatefulProcessor):
             self.pending.put([tuple(r) for r in left])
             self._wake(min(r["at_ms"] for r in left) + 1)
         state = tuple(self.state.get()) if self.state.exists() else self.start
+        taken = set()
         for row in due:
-            state, out = self.apply(state, row)
-            yield from out
+            same = self.identity(row)
+            if same is None or same not in taken:
+                state, out = self.apply(state, row)
+                yield from out
+            taken.add(same)
         self.state.update(state)
 
     def order(self, row: Row) -> tuple:
         return (row["at_ms"],)
 
+    def identity(self, row: Row) -> tuple | None:
+        """What tells rows of a key apart, if a source may give a row twice."""
+        return None
+
     def apply(self, state: tuple, row: Row) -> tuple[tuple, list[Row]]:
         raise NotImplementedError
 
@@ -142,7 +150,10 @@ class MonitorLoopProcessor(OrderedProcessor):
         self.n, self.m, self.max_reinit, self.max_uas = n, m, max_reinit, max_uas
 
     def order(self, row: Row) -> tuple:
-        return (row["at_ms"], row.kind)
+        return (row["at_ms"], row.kind, bool(row.flag), row.id or 0)
+
+    def identity(self, row: Row) -> tuple:
+        return (row["at_ms"], row.kind, row.flag, row.id)
 
     def apply(self, state: tuple, row: Row) -> tuple[tuple, list[Row]]:
         flag, held = state

@@ -3,17 +3,18 @@
 import os
 import random
 import shutil
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from lineflow.operators import enrich, health, pairing, tables
-from lineflow.plans import format_queries, line_job
+from lineflow.operators import enrich, health, node_files, pairing, tables
+from lineflow.plans import format_queries, line_job, node_fixtures, watch_job
 from lineflow.plans.line_queries import toggles as batch_toggles
 from lineflow.sources import archives
+from lineflow.sources.discovery import NodeFiles
 from lineflow.streaming import pairs, processors
 
 
@@ -145,40 +146,147 @@ def test_fan_out_and_continuous_run(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
 
 
+def file_stream(spark, folder, log, **options):
+    spark.dataSource.register(NodeFiles)
+    return spark.readStream.format("node_files").options(log=str(log), **options).load(str(folder))
+
+
+def rows_of(spark, path, drop=()):
+    return sorted(repr(sorted(r.asDict().items())) for r in spark.read.parquet(path).drop(*drop).collect())
+
+
 def test_line_stream_equals_the_batch_job(spark, tmp_path):
-    """Real node files in another order of arrival; some have no partner, some are broken; a far one moves the watermark."""
+    """Real node files in dated directories, two scans a batch apart; some have no partner, some are broken, some have odd names; a far pair moves the watermark."""
     sf_dir = "/root/testdata/sf0.01"
-    nodes = F.regexp_extract(archives.folder_name(F.col("path")), r"^N(\d+)_", 1).cast("int")
-    listed = format_queries._node_files(spark, sf_dir).where(nodes.between(1, 4))  # the last two lack a partner, or have a broken one
+    folder, source = Path(node_fixtures.node_folder(spark, sf_dir).removeprefix("file:")), tmp_path / "in"
     reference = lambda: (format_queries._line_attributes(spark, sf_dir), format_queries._tables(spark, sf_dir))
-    named = archives.name_only(listed, archives.folder_name)
-    records, unmatched, metadata, _ = line_job.line_records(spark, named, reference)
-    line_job.write_outputs(records, unmatched, metadata, str(tmp_path / "batch"), 0)
-    source = tmp_path / "in"
-    files = sorted(r.path.removeprefix("file:") for r in listed.select("path").collect())
-    random.Random(1).shuffle(files)
-    for i, f in enumerate(files):
-        folder = source / Path(f).parent.name
-        folder.mkdir(parents=True)
-        os.utime(shutil.copy(f, folder / "part-0.txt"), (1_700_000_000 + i, 1_700_000_000 + i))
-    for kind in ("Inst", "Hist"):
-        folder = source / f"file=Z_{kind}_2030-01-01-00-00.tar.gz"
-        folder.mkdir()
-        (folder / "part-1.txt").write_bytes(archives.pack_archive(["Time stamp,2030-01-01T00:00:00Z\nNE Name,Z\nObject ID,a\n"]))
-        os.utime(folder / "part-1.txt", (1_800_000_000, 1_800_000_000))
-    run = lambda: line_job.line_stream(spark, str(source), reference, str(tmp_path / "stream"), str(tmp_path / "cp"), lateness="60 days", base=archives.folder_name, glob="part-*", files_per_trigger=8).awaitTermination()
-    run()
-    run()  # nothing new: nothing is read twice
+    some = sorted(f for f in folder.rglob("*.tar.gz") if 1 <= int(f.name[1 : f.name.index("_")]) <= 4)  # the last two lack a partner, or have a broken one
+    for i, f in enumerate(random.Random(1).sample(some, len(some))):
+        target = source / f.relative_to(folder)
+        target.parent.mkdir(parents=True, exist_ok=True)
+        os.utime(shutil.copy(f, target), (1_700_000_000 + i, 1_700_000_000 + i))
+    (source / "20240101" / "notes.txt").write_text("x")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(source))
+    *outputs, bad_files = line_job.line_records(spark, archives.name_only(listed), reference)
+    line_job.write_outputs(*outputs, bad_files, str(tmp_path / "batch"), 0)
+
+    def far(year):
+        for kind in ("Inst", "Hist"):
+            path = source / "20240120" / "0000" / f"Z_{kind}_{year}-01-01-00-00.tar.gz"
+            path.parent.mkdir(parents=True, exist_ok=True)
+            path.write_bytes(node_fixtures.pack_archive([f"Time stamp,{year}-01-01T00:00:00Z\nNE Name,Z\nObject ID,a\n"]))
+
+    out = str(tmp_path / "stream")
+
+    def run():
+        files = file_stream(spark, source, tmp_path / "log", formats="%Y%m%d/%H%M", offsetSeconds=1e9)
+        line_job.line_stream(spark, files, reference, out, str(tmp_path / "cp"), lateness="60 days").awaitTermination()
+
+    for _ in range(4):  # a chunk of directories each
+        run()
+    for year in (2030, 2031):  # the second batch is behind the watermark that the first one moves
+        far(year), run()
     drop = ["batch_id", "tsEnrich", "processingTime", "fileTime", "relativePath", "path"]
-    for table in ("records", "metadata"):
-        rows = lambda side: sorted(repr(sorted(r.asDict().items())) for r in spark.read.parquet(str(tmp_path / side / table)).drop(*drop).collect() if "name='Z'" not in repr(r) and "Z" != getattr(r, "name", ""))  # noqa: B023, E731
-        want, got = rows("batch"), rows("stream")
+    for table in ("records", "metadata", "bad-rows"):
+        other = lambda rows: [r for r in rows if "'Z'" not in r]
+        want, got = (other(rows_of(spark, str(tmp_path / side / table), drop)) for side in ("batch", "stream"))
         assert want and got == want, table
-    lines = lambda side: sorted(",".join(r.value.split(",")[:3]) for r in spark.read.text(str(tmp_path / side / "unmatched")).collect() if not r.value.startswith("Z"))
-    assert lines("batch") and lines("stream") == lines("batch")
+    lines = lambda: sorted(r.value for r in spark.read.text(f"{out}/unmatched").collect() if not r.value.startswith("Z"))
+    want = sorted(r.value for r in spark.read.text(str(tmp_path / "batch" / "unmatched")).collect())
+    assert want and lines() == want
+    errors = lambda side: sorted((r.path.rsplit("/", 1)[1], r.error) for r in spark.read.parquet(str(tmp_path / side / "bad-files")).collect())
+    assert errors("batch") == errors("stream") and {"notes.txt"} < {p for p, _ in errors("batch")}
     docs = {side: {r.id for r in tables.upserted(spark, str(tmp_path / side / "documents"), ["id"], "ts").collect()} for side in ("batch", "stream")}
     assert docs["batch"] and docs["batch"] == docs["stream"]
 
+    # a file behind the watermark is dropped by the pairing and listed once, over restarts
+    late = source / "20240120" / "0000" / "N9_Inst_2024-01-05-00-00.tar.gz"
+    late.write_bytes(b"never opened")
+    run(), run()
+    for year in (2032, 2033):
+        far(year), run()
+    assert lines() == sorted([*want, f"N9,{int(datetime(2024, 1, 5, tzinfo=timezone.utc).timestamp() * 1000)},2,file:{late}"])
+
+
+def test_only_paired_files_are_opened_and_by_tasks(spark, tmp_path, sf_dir):
+    """A hundred thousand pairs of paths: none is collected, each is opened once by a task, files without a partner never."""
+    opened = tmp_path / "opened"
+    opened.mkdir()
+    archive = node_fixtures.pack_archive(["Time stamp,2024-01-01T00:00:00Z\nNE Name,N\nObject ID,a\np,1\n"])
+
+    def open_file(path):
+        with open(opened / str(os.getpid()), "a") as f:
+            f.write(path + "\n")
+        return archive
+
+    n, at = 50_000, F.lit("2024-01-01 00:00").cast("timestamp")
+    named = lambda kind: spark.range(n).select(F.concat(F.lit(f"/{kind}/"), "id").alias("path"), at.alias("mtime"), F.concat(F.lit("N"), "id").alias("name"), F.lit(kind).alias("dslam_type"), at.alias("ts"), F.lit(None).cast("string").alias("error"))
+    lone = named(2).limit(100).select(F.concat(F.lit("/lone"), "path").alias("path"), "mtime", F.concat(F.lit("L"), "name").alias("name"), "dslam_type", "ts", "error")
+    pairs, alone = node_files.pair_by_name(named(1).unionByName(named(2)).unionByName(lone))
+    combined, unread, metadata, bad = node_files.read_pairs(spark, pairs, open_file)
+    assert combined.count() == n and metadata.count() == 2 * n and alone.count() == 100 and unread.count() == bad.count() == 0
+    paths = [line for f in opened.iterdir() for line in f.read_text().split()]
+    assert len(paths) == len(set(paths)) == 2 * n and not any("lone" in p for p in paths)
+    assert str(os.getpid()) not in {f.name for f in opened.iterdir()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_watch_loop_over_the_records_of_the_job(spark, sf_dir, tmp_path, seed):
+    """Commands, look-up with retries, seeded gate, pattern and feedback: as the batch operators, for several orders of the records; then the exported list."""
+    out = str(tmp_path / "out")
+    events = events_of(spark, sf_dir).where("user_id < 12").select(
+        F.unix_millis("ts").alias("ts"), F.concat(F.lit("N"), "user_id").alias("dslam"), F.lit("p").alias("port"), F.concat(F.lit("AVC"), F.lpad(F.col("user_id").cast("string"), 12, "0")).alias("avc"),
+        (F.col("event_id") % 7 == 0).cast("int").alias("reInit"), F.col("value").cast("int").alias("uas"), (F.col("event_id") % 5 != 0).alias("ifOperStatus"),
+    ).dropDuplicates(["ts", "dslam"]).cache()
+    late_line = F.col("dslam") == "N3"
+    parts = events.where(~late_line).withColumn("part", F.pmod(F.xxhash64("ts", F.lit(seed)), F.lit(3)))
+    write = lambda rows, i: tables.write_batch_by_date(rows.withColumn("day", F.timestamp_millis("ts")), f"{out}/records", i, "day")
+    for i in range(3):
+        write(parts.where(F.col("part") == i).drop("part"), i)
+    middle = events.agg(F.expr("timestamp_millis(percentile_approx(ts, 0.4))")).first()[0]
+    switches = [(f"AVC{u:012d}", u % 4 != 2, middle + timedelta(hours=u)) for u in range(12)] + [("AVC000000000001", True, middle + timedelta(days=3)), ("AVC999999999999", True, middle)]
+    commands = spark.createDataFrame(switches, "avc string, flag boolean, ts timestamp")
+    commands.coalesce(1).write.parquet(str(tmp_path / "commands"))
+    n, m, few, short = 3, 2, 2, 120
+    look = lambda: watch_job.command_stream(spark, spark.readStream.schema(commands.schema).parquet(str(tmp_path / "commands")), out, str(tmp_path / "cp1"), n).awaitTermination()
+    retries = lambda: {r.avc for r in spark.read.parquet(f"{out}/retries").where(F.col("batch_id") == spark.read.parquet(f"{out}/retries").agg(F.max("batch_id")).first()[0]).collect()}
+    look()
+    assert retries() == {"AVC000000000003", "AVC999999999999"}
+    write(events.where(late_line), 3)
+    look()
+    assert retries() == {"AVC999999999999"}
+    write(events.where(F.col("dslam") == "N5"), 4)  # rows that come twice count once
+    far = [(int(datetime(2030, 1, d, tzinfo=timezone.utc).timestamp() * 1000), "Z", "p", None, 0, 0, True) for d in (1, 2)]
+    for i, row in enumerate(far):
+        write(spark.createDataFrame([row], events.schema), 5 + i)
+        watch_job.monitor_stream(spark, out, str(tmp_path / "cp2"), n, m, few, short, "60 days").awaitTermination()
+
+    keyed = events.select(F.concat_ws(":", "dslam", "port").alias("key"), F.timestamp_millis("ts").alias("ts"), "reInit", "uas", "ifOperStatus")
+    toggles = commands.where("avc < 'AVC9'").select(F.concat(F.lit("N"), F.substring("avc", 4, 12).cast("int"), F.lit(":p")).alias("key"), "ts", "flag")
+    want = {(r.key, r.ts) for r in health.monitor_loop(keyed, toggles, ["key"], "ts", n, m, few, short, seeded=True).collect()}
+    got = [(r.key, r.ts) for r in spark.read.parquet(f"{out}/matches").collect() if not r.key.startswith("Z")]
+    assert want and len(got) == len(set(got)) and set(got) == want
+
+    (tmp_path / "trigger").mkdir()
+    export = lambda: watch_job.export_stream(spark, spark.readStream.text(str(tmp_path / "trigger")), str(tmp_path / "cp2"), out, str(tmp_path / "cp3")).awaitTermination()
+    export()
+    assert not os.path.exists(f"{out}/watch-list")
+    (tmp_path / "trigger" / "now.txt").write_text("export\n")
+    export()
+    flags = {r.key: r.flag for r in spark.read.parquet(f"{out}/watch-list").collect() if not r.key.startswith("Z")}
+    # a match switches its line off, as if a toggle came with it
+    ends = spark.createDataFrame([(k, t + timedelta(microseconds=1), False) for k, t in want], "key string, ts timestamp, flag boolean")
+    known = {r.key: r.flag for r in health.export_watch_state(toggles.unionByName(ends), ["key"], "ts").collect()}
+    assert {k: v for k, v in flags.items() if k in known} == known and not any(v for k, v in flags.items() if k not in known)
+
+
+def test_toggles_are_seeded_with_the_newest_rows_before_them(spark):
+    at = lambda m: datetime(2024, 1, 1) + timedelta(minutes=m)
+    history = spark.createDataFrame([("a", at(m), m, None, None) for m in (5, 1, 3, 9)] + [("b", at(1), 7, 8, True)], "key string, ts timestamp, reInit int, uas int, ifOperStatus boolean")
+    toggles = spark.createDataFrame([("a", at(4), True), ("a", at(5), True), ("a", at(0), True), ("a", at(9), False), ("b", at(2), True), ("c", at(2), True)], "key string, ts timestamp, flag boolean")
+    held = {(r.key, r.ts): [h.reInit for h in r.held or []] for r in health.seed_toggles(toggles, history, ["key"], "ts", 2).collect()}
+    assert held == {("a", at(4)): [1, 3], ("a", at(5)): [1, 3], ("a", at(0)): [], ("a", at(9)): [], ("b", at(2)): [7], ("c", at(2)): []}
+
 
 def test_replayed_batch_replaces_all_it_wrote(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a", datetime(2024, 1, 1)), (2, "b", datetime(2024, 1, 2))], "id long, v string, ts timestamp")
