@@ -582,7 +582,7 @@ def line_job_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     outputs = line_job.line_records(spark, named, lambda: (_line_attributes(spark, sf_dir), _tables(spark, sf_dir)))
     out = scratch_path(spark, "job")
     line_job.write_outputs(*outputs, out, 0)
-    return spark.read.parquet(f"{out}/records").select("dslam", "port", "ts", "ifOperStatus", "attndrDs", "attndrUs", "attenuationDs", "ses", "reTransDs", "avc", "cpi", "correctedAttndrDs", "correctedAttndrUs")
+    return tables.live(spark, f"{out}/records").select("dslam", "port", "ts", "ifOperStatus", "attndrDs", "attndrUs", "attenuationDs", "ses", "reTransDs", "avc", "cpi", "correctedAttndrDs", "correctedAttndrUs")
 
 
 # keyed tables -----------------------------------------------------------------------------

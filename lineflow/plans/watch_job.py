@@ -50,9 +50,10 @@ def command_stream(spark: SparkSession, commands: DataFrame, out: str, checkpoin
         spark = batch.sparkSession
         asked = batch.where("flag is not null").distinct()
         if batch_id:
-            asked = asked.unionByName(spark.read.schema("avc string, flag boolean, ts timestamp").parquet(f"{out}/retries/batch_id={batch_id - 1}"))
+            waiting = tables.live(spark, f"{out}/retries", "avc string, flag boolean, ts timestamp, batch_id int")
+            asked = asked.unionByName(waiting.where(F.col("batch_id") == batch_id - 1).drop("batch_id"))
         asked = asked.persist()
-        history = _records(spark.read.schema(RECORDS).parquet(f"{out}/records")).where("avc is not null")
+        history = _records(tables.live(spark, f"{out}/records", RECORDS)).where("avc is not null")
         if days is not None:
             history = history.where(F.col("dt") >= F.date_format(F.date_sub(F.current_date(), days), "yyyy-MM-dd"))
         toggles, retries = look_up(asked, history, n)

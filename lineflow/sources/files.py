@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
 from lineflow.functions.ports import directory_ts
+from lineflow.sources.scratch import stored
+from lineflow.sources.stores import locate
+
+#: Files whose footers a task opens, about.
+FILES_PER_TASK = 500
 
 
 def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -68,6 +76,42 @@ def within_lookback(df: DataFrame, dt: str, today: Column, days: int, fmt: str =
     return df.where(F.coalesce(day >= F.date_sub(today, days), F.lit(True)))
 
 
+def read_reported(spark: SparkSession, path: str, schema: StructType, glob: str = "*.parquet") -> tuple[DataFrame, DataFrame]:
+    """(rows, report): what can be read of the named fields with their types, with each row's file_path, and the files that gave less than they hold.
+
+    report: (path, rows_read, rows_held, error). A file whose footer can't be read has a
+    null rows_held and the error; one that breaks off, or lacks a field or has it with
+    another type, has fewer rows than its footer tells. Files are opened by tasks.
+    """
+    spark_files = listing(spark, path, glob).select("path")
+    wanted = {f.name: f.dataType.simpleString() for f in schema.fields}
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for name in batch.column(0).to_pylist():
+                try:
+                    client, where, _ = locate(name)
+                    with client.open_input_file(where) as f:
+                        found = pq.ParquetFile(f)
+                        there = {x.name: x.dataType.simpleString() for x in from_arrow_schema(found.schema_arrow).fields}
+                        wrong = [n for n, t in wanted.items() if there.get(n) != t]
+                        out.append((name, found.metadata.num_rows, f"missing or of another type: {', '.join(wrong)}" if wrong else None))
+                except (OSError, ValueError, pa.ArrowException) as e:
+                    out.append((name, None, f"{type(e).__name__}: {e}"[:500]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else ([], [], []), (pa.string(), pa.int64(), pa.string()))], ["path", "rows_held", "error"])
+
+    held = stored(spark_files.repartition(max(1, -(-spark_files.count() // FILES_PER_TASK))).mapInArrow(footers, "path string, rows_held long, error string"), "footers")
+    good = held.where("error is null").select("path")
+    every = spark.read.schema(schema).option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).parquet(path)
+    rows = every.select("*", F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("file_path"))
+    rows = rows.join(good.withColumnRenamed("path", "file_path"), "file_path", "left_semi")  # a row per file
+    counted = rows.groupBy("file_path").agg(F.count("*").alias("n"), *(F.count(F.col(f"`{n}`")).alias(f"__{i}") for i, n in enumerate(wanted)))
+    counted = counted.select("file_path", F.greatest("n", F.lit(0), *(f"__{i}" for i in range(len(wanted)))).alias("n"))  # that is n, but makes Spark read the columns
+    report = held.join(counted, F.col("path") == F.col("file_path"), "left").select("path", F.coalesce("n", F.lit(0)).alias("rows_read"), "rows_held", "error")
+    return rows, report.where("error is not null or rows_read < rows_held")
+
+
 def read_typed(spark: SparkSession, path: str, schema: StructType, skip_corrupt: bool = True) -> DataFrame:
     """Only the named fields, with their types; a missing field or other type is an error, an unreadable file is skipped."""
     there = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}

@@ -134,6 +134,45 @@ class EnrichProcessor(OrderedProcessor):
         return state, [Row(key=row.key, ts=row.ts, id=row.id, held=held, enriched=seen)]
 
 
+class HealthOverProcessor(OrderedProcessor):
+    """The streaming form of health.health_over_sql(): the last n rows of a line in a ring, with sums that leave out nulls; rows: key, ts, id, reInit, uas."""
+
+    state_schema = "last array<struct<reInit:int,uas:int>>"
+    start = ([],)
+    output = "key string, ts timestamp, id long, cnt long, sum_reinit long, sum_uas long"
+
+    def __init__(self, input_schema: StructType, n: int = 3, max_reinit: int = 60, max_uas: int = 18000):
+        super().__init__(input_schema)
+        self.n, self.max_reinit, self.max_uas = n, max_reinit, max_uas
+
+    def order(self, row: Row) -> tuple:
+        return (row["at_ms"], row.id)
+
+    def apply(self, state: tuple, row: Row) -> tuple[tuple, list[Row]]:
+        last = [*(tuple(x) for x in state[0] or []), (row.reInit, row.uas)][-self.n :]
+        total = lambda i: sum(present) if (present := [x[i] for x in last if x[i] is not None]) else None
+        few, short = total(0), total(1)
+        if len(last) < self.n or few is None or short is None or few > self.max_reinit or short > self.max_uas:
+            return (last,), []
+        return (last,), [Row(key=row.key, ts=row.ts, id=row.id, cnt=len(last), sum_reinit=few, sum_uas=short)]
+
+
+class GateProcessor(OrderedProcessor):
+    """The streaming form of health.watch_gate(): events of lines that are switched on at their time; rows as of tagged_events()."""
+
+    state_schema = "flag boolean"
+    start = (False,)
+    output = "key string, ts timestamp, id long, reInit int, uas int, up boolean"
+
+    def order(self, row: Row) -> tuple:
+        return (row["at_ms"], row.kind, bool(row.flag), row.id or 0)
+
+    def apply(self, state: tuple, row: Row) -> tuple[tuple, list[Row]]:
+        if row.kind == 0:
+            return (bool(row.flag),), []
+        return state, [Row(key=row.key, ts=row.ts, id=row.id, reInit=row.reInit, uas=row.uas, up=row.up)] if state[0] else []
+
+
 class MonitorLoopProcessor(OrderedProcessor):
     """Gate, pattern and feedback in one state; rows: key, ts, kind (0 toggle, 1 event), id, flag, reInit, uas, up, held.
 

@@ -227,3 +227,23 @@ def test_rows_are_split_once(spark):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 2
     assert [r.hist.ses for r in good.collect()] == [1]
     assert sorted(r.error.split(",")[0] for r in bad.collect()) == ["bad number", "missing columns: ifAdminStatus"]
+
+
+def test_unreadable_files_are_reported(spark, tmp_path):
+    path, schema = tmp_path / "t", StructType([StructField("id", LongType()), StructField("v", StringType())])
+    for i in range(4):
+        spark.createDataFrame([(j, "x" * 2000 + str(j)) for j in range(50)], schema).coalesce(1).write.parquet(str(path / f"p{i}"))
+    spark.createDataFrame([], schema).coalesce(1).write.parquet(str(path / "none"))
+    spark.createDataFrame([("a",)], "id string").coalesce(1).write.parquet(str(path / "other"))
+    parts = {i: next((path / f"p{i}").glob("*.parquet")) for i in range(4)}
+    for crc in path.rglob(".*.crc"):
+        crc.unlink()
+    parts[0].write_bytes(parts[0].read_bytes()[:100])
+    data = bytearray(parts[1].read_bytes())
+    data[20:400] = bytes(380)
+    parts[1].write_bytes(data)
+    (path / "p2" / "text.parquet").write_text("nothing")
+    rows, report = files.read_reported(spark, str(path), schema)
+    assert sorted({r.file_path.rsplit("/", 2)[1] for r in rows.collect()}) == ["p2", "p3"] and len(rows.collect()) == 100
+    found = {tuple(r.path.rsplit("/", 2)[1:]): (r.rows_read, r.rows_held, r.error) for r in report.collect()}
+    assert {k[0] if k[1] != "text.parquet" else "text": v[:2] for k, v in found.items()} == {"p0": (0, None), "p1": (0, 50), "text": (0, None), "other": (0, 1)}

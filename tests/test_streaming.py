@@ -152,7 +152,7 @@ def file_stream(spark, folder, log, **options):
 
 
 def rows_of(spark, path, drop=()):
-    return sorted(repr(sorted(r.asDict().items())) for r in spark.read.parquet(path).drop(*drop).collect())
+    return sorted(repr(sorted(r.asDict().items())) for r in tables.live(spark, path).drop(*drop).collect())
 
 
 def test_line_stream_equals_the_batch_job(spark, tmp_path):
@@ -191,14 +191,19 @@ def test_line_stream_equals_the_batch_job(spark, tmp_path):
         other = lambda rows: [r for r in rows if "'Z'" not in r]
         want, got = (other(rows_of(spark, str(tmp_path / side / table), drop)) for side in ("batch", "stream"))
         assert want and got == want, table
-    lines = lambda: sorted(r.value for r in spark.read.text(f"{out}/unmatched").collect() if not r.value.startswith("Z"))
-    want = sorted(r.value for r in spark.read.text(str(tmp_path / "batch" / "unmatched")).collect())
+    lines = lambda: sorted(r.value for r in tables.live(spark, f"{out}/unmatched", format="text").collect() if not r.value.startswith("Z"))
+    want = sorted(r.value for r in tables.live(spark, str(tmp_path / "batch" / "unmatched"), format="text").collect())
     assert want and lines() == want
-    errors = lambda side: sorted((r.path.rsplit("/", 1)[1], r.error) for r in spark.read.parquet(str(tmp_path / side / "bad-files")).collect())
+    errors = lambda side: sorted((r.path.rsplit("/", 1)[1], r.error) for r in tables.live(spark, str(tmp_path / side / "bad-files")).collect())
     assert errors("batch") == errors("stream") and {"notes.txt"} < {p for p, _ in errors("batch")}
     docs = {side: {r.id for r in tables.upserted(spark, str(tmp_path / side / "documents"), ["id"], "ts").collect()} for side in ("batch", "stream")}
     assert docs["batch"] and docs["batch"] == docs["stream"]
 
+    kinds = {"records": "records", "bad_records": "bad-rows", "files": "metadata", "bad_files": "bad-files"}
+    counts = lambda side: tables.live(spark, str(tmp_path / side / "quality")).agg(*(F.sum(k).alias(k) for k in kinds)).first().asDict()
+    assert counts("batch") == {k: tables.live(spark, str(tmp_path / "batch" / table)).count() for k, table in kinds.items()}
+    assert {**counts("stream"), "files": counts("stream")["files"] - 4} == counts("batch")  # the two far pairs have no line
+
     # a file behind the watermark is dropped by the pairing and listed once, over restarts
     late = source / "20240120" / "0000" / "N9_Inst_2024-01-05-00-00.tar.gz"
     late.write_bytes(b"never opened")
@@ -249,7 +254,7 @@ def test_watch_loop_over_the_records_of_the_job(spark, sf_dir, tmp_path, seed):
     commands.coalesce(1).write.parquet(str(tmp_path / "commands"))
     n, m, few, short = 3, 2, 2, 120
     look = lambda: watch_job.command_stream(spark, spark.readStream.schema(commands.schema).parquet(str(tmp_path / "commands")), out, str(tmp_path / "cp1"), n).awaitTermination()
-    retries = lambda: {r.avc for r in spark.read.parquet(f"{out}/retries").where(F.col("batch_id") == spark.read.parquet(f"{out}/retries").agg(F.max("batch_id")).first()[0]).collect()}
+    retries = lambda: {r.avc for r in tables.live(spark, f"{out}/retries").where(F.col("batch_id") == max(map(tables._batch_of, tables.live_folders(f"{out}/retries")))).collect()}
     look()
     assert retries() == {"AVC000000000003", "AVC999999999999"}
     write(events.where(late_line), 3)
@@ -273,7 +278,7 @@ def test_watch_loop_over_the_records_of_the_job(spark, sf_dir, tmp_path, seed):
     assert not os.path.exists(f"{out}/watch-list")
     (tmp_path / "trigger" / "now.txt").write_text("export\n")
     export()
-    flags = {r.key: r.flag for r in spark.read.parquet(f"{out}/watch-list").collect() if not r.key.startswith("Z")}
+    flags = {r.key: r.flag for r in tables.live(spark, f"{out}/watch-list").collect() if not r.key.startswith("Z")}
     # a match switches its line off, as if a toggle came with it
     ends = spark.createDataFrame([(k, t + timedelta(microseconds=1), False) for k, t in want], "key string, ts timestamp, flag boolean")
     known = {r.key: r.flag for r in health.export_watch_state(toggles.unionByName(ends), ["key"], "ts").collect()}
@@ -291,18 +296,65 @@ def test_toggles_are_seeded_with_the_newest_rows_before_them(spark):
 def test_replayed_batch_replaces_all_it_wrote(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a", datetime(2024, 1, 1)), (2, "b", datetime(2024, 1, 2))], "id long, v string, ts timestamp")
     log = str(tmp_path / "log")
+    assert tables.live(spark, log, "id long").count() == 0
     tables.upsert_by_key(rows, log, 1, "ts")
     tables.upsert_by_key(rows.where("id = 2"), log, 1, "ts")
-    assert [r.id for r in spark.read.parquet(log).collect()] == [2]
+    assert [r.id for r in tables.live(spark, log).collect()] == [2]
 
 
-def test_compaction_keeps_the_view(spark, tmp_path):
+def test_readers_keep_their_version_over_replay_and_compaction(spark, tmp_path):
     at = lambda d: datetime(2024, 1, d)
-    log, new = str(tmp_path / "log"), str(tmp_path / "new")
+    log = str(tmp_path / "log")
     batches = [[(1, "a", None, at(1)), (2, "b", "x", at(2))], [(1, None, "y", at(1))], [(2, "c", None, at(2)), (3, "d", None, at(3))]]
+    frame = lambda b: spark.createDataFrame(b, "id long, v string, w string, ts timestamp")
     for i, b in enumerate(batches):
-        tables.upsert_by_key(spark.createDataFrame(b, "id long, v string, w string, ts timestamp"), log, i, "ts")
-    view = lambda path: sorted((r.id, r.v, r.w, r.ts) for r in tables.upserted(spark, path, ["id"], "ts").collect())
-    tables.compact(spark, log, new, ["id"], "ts", 1)
-    assert view(new) == view(log) == [(1, "a", "y", at(1)), (2, "c", "x", at(2)), (3, "d", None, at(3))]
-    assert spark.read.parquet(new).count() == 4 and spark.read.parquet(log).count() == 5
+        tables.upsert_by_key(frame(b), log, i, "ts")
+    view = lambda: sorted((r.id, r.v, r.w, r.ts) for r in tables.upserted(spark, log, ["id"], "ts").collect())
+    before, want = tables.live(spark, log), [(1, "a", "y", at(1)), (2, "c", "x", at(2)), (3, "d", None, at(3))]
+    assert view() == want
+    tables.compact(spark, log, ["id"], "ts", 1)
+    assert view() == want and tables.live(spark, log).count() == 4
+    tables.upsert_by_key(frame(batches[2][:1]), log, 2, "ts")
+    assert view() == want[:2]
+    assert before.count() == 5  # what it began with is still there
+    broken = frame(batches[1]).select(F.raise_error(F.lit("no")).alias("id"), "v", "w", "ts")
+    with pytest.raises(Exception, match="no"):
+        tables.upsert_by_key(broken, log, 2, "ts")
+    assert view() == want[:2]  # a write that fails changes nothing
+    assert tables.vacuum(log) >= 3 and view() == want[:2]
+
+
+def test_small_files_by_date_become_few(spark, tmp_path):
+    path, at = str(tmp_path / "t"), lambda d: datetime(2024, 1, d)
+    for i in range(4):
+        rows = spark.createDataFrame([(10 * i + d, at(d)) for d in (1, 2)], "id long, ts timestamp").repartition(2)
+        tables.write_batch_by_date(rows, path, i, "ts")
+    files = lambda: tables.live(spark, path).select("_metadata.file_path").distinct().count()
+    ids = lambda: sorted(r.id for r in tables.live(spark, path).collect())
+    want, before = ids(), files()
+    tables.compact_by_date(spark, path, 2)
+    assert ids() == want and files() == 4 < before
+
+
+@pytest.mark.parametrize("order", [[0], [2, 0, 1], [1, 2, 0]])
+def test_health_over_sql_on_streams(spark, sf_dir, tmp_path, order):
+    rows = events_of(spark, sf_dir).where("user_id < 5").select(
+        "event_id", "user_id", "ts", F.when(F.col("event_id") % 3 != 0, (F.col("event_id") % 40).cast("int")).alias("reInit"), F.when(F.col("event_id") % 4 != 0, (F.col("value") * 90).cast("int")).alias("uas")
+    ).dropDuplicates(["user_id", "ts"])
+    rows.select("ts", F.col("user_id").alias("dslam"), F.lit("p").alias("port"), F.lit("a").alias("avc"), "reInit", "uas").createOrReplaceTempView("compact_rows")
+    want = {(str(r.dslam), r.ts, r.cnt, r.sum_reinit, r.sum_uas) for r in health.health_over_sql(spark, "compact_rows").collect()}
+    tagged = rows.select(F.col("user_id").cast("string").alias("key"), "ts", F.col("event_id").alias("id"), "reInit", "uas")
+    stream = as_stream(tagged.withColumn("cut", F.unix_seconds("ts")), str(tmp_path / "in"), order, [("z", FAR, 1, 0, 0), ("z", FAR + timedelta(days=1), 1, 0, 0)])
+    got = pairs.run_available(processors.process(stream, processors.HealthOverProcessor(tagged.schema), "60 days"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert want and {(r.key, r.ts, r.cnt, r.sum_reinit, r.sum_uas) for r in got.collect() if r.key != "z"} == want
+
+
+def test_plain_gate_on_streams(spark, sf_dir, tmp_path):
+    rows = events_of(spark, sf_dir).where("user_id < 5")
+    facts = rows.where(F.col("event_type").isin("click", "view", "signup")).select("event_id", "user_id", "ts", F.lit(1).alias("reInit"), F.lit(2).alias("uas"), F.lit(True).alias("ifOperStatus"))
+    switches = batch_toggles(spark, sf_dir).where("user_id < 5").withColumn("ts", F.col("ts").cast("timestamp"))
+    want = {(str(r.user_id), r.event_id) for r in health.watch_gate(facts, switches, ["user_id"], "ts").collect()}
+    tagged = processors.tagged_events(facts, switches, "user_id")
+    stream = as_stream(tagged.withColumn("cut", F.unix_seconds("ts")), str(tmp_path / "in"), [1, 0], [("z", FAR, 1, 0, None, 0, 0, True, None), ("z", FAR + timedelta(days=1), 1, 0, None, 0, 0, True, None)])
+    got = pairs.run_available(processors.process(stream, processors.GateProcessor(tagged.schema), "60 days"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert want and {(r.key, r.id) for r in got.collect() if r.key != "z"} == want
