@@ -117,8 +117,8 @@ def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang") -> tup
     return langs, np.hstack([np.log(grams / grams.sum(axis=1, keepdims=True)), np.log(priors / priors.sum())])
 
 
-def score_texts(texts: list[str | None], model: tuple[list[str], np.ndarray] | None) -> tuple[list[str], np.ndarray]:
-    """The language of each text, by all its n-grams, and the posterior of its mean n-gram, taken EVIDENCE times at most."""
+def score_texts(texts: list[str | None], model: tuple[list[str], np.ndarray] | None, evidence: float = EVIDENCE) -> tuple[list[str], np.ndarray]:
+    """The language of each text, by all its n-grams, and the posterior of its mean n-gram, taken `evidence` times at most."""
     n, langs, logp = len(texts), *(model or ([UNDETERMINED], np.zeros((1, BUCKETS + 1))))
     sums, size = np.zeros((len(langs), n)), np.zeros(n)
     for bucket, whose in _slices(texts):
@@ -129,7 +129,7 @@ def score_texts(texts: list[str | None], model: tuple[list[str], np.ndarray] | N
             starts = np.flatnonzero(np.r_[True, whose[1:] != whose[:-1]])
             for k in range(len(langs)):
                 sums[k, whose[starts]] += np.add.reduceat(logp[k][bucket], starts)
-    mean = sums / np.maximum(size, 1) * np.minimum(size, EVIDENCE) + logp[:, BUCKETS:]
+    mean = sums / np.maximum(size, 1) * np.minimum(size, evidence) + logp[:, BUCKETS:]
     share = np.exp(mean - mean.max(axis=0))
     share /= share.sum(axis=0)
     best = (sums + logp[:, BUCKETS:]).argmax(axis=0)
@@ -137,20 +137,20 @@ def score_texts(texts: list[str | None], model: tuple[list[str], np.ndarray] | N
     return [langs[b] if k else UNDETERMINED for b, k in zip(best, known)], np.where(known, share[best, np.arange(n)], 0.0)
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray] | None, text_col: str = "text") -> Column:
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray] | None, text_col: str = "text", evidence: float = EVIDENCE) -> Column:
     """A struct column (lang_pred string, score double) of docs' text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
     def score(text: pd.Series) -> pd.DataFrame:
-        langs, scores = score_texts([None if pd.isna(t) else t for t in text], shared.value)
+        langs, scores = score_texts([None if pd.isna(t) else t for t in text], shared.value, evidence)
         return pd.DataFrame({"lang_pred": langs, "score": scores})
 
     return score(F.col(text_col))
 
 
 def keep_identified(docs: DataFrame, learn: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of docs whose language is determined with a score of at least `least`."""
+    """The rows of docs whose language is determined with a posterior, of all n-grams, of at least `least`."""
     model = fit(learn)
-    found = predict(docs, model)
+    found = predict(docs, model, evidence=np.inf)
     return docs.where((found["lang_pred"] != UNDETERMINED) & (found["score"] >= least))
