@@ -32,6 +32,8 @@ LENGTH = 2048
 BUCKETS, DIMENSIONS, BITS = 4096, 4, 12
 #: Bytes of text of a range while there are MANY_RANGES at most, and beyond that.
 RANGE_BYTES, MANY_RANGES, LARGE_RANGE_BYTES = 16 << 20, 10_000, 256 << 20
+#: A range for each core, as long as it has so many bytes.
+LEAST_BYTES = 2 << 20
 #: Keys of the sample that a range's bounds are taken from, and of all ranges at most.
 SAMPLE, SAMPLE_KEYS = 100, 2_000_000
 #: Words that are hashed at a time.
@@ -87,9 +89,9 @@ def curve_keys(texts: list[bytes | None]) -> np.ndarray:
     return hilbert_key(grid, BITS)
 
 
-def range_count(n_bytes: int) -> int:
-    """Ranges for so many bytes of text; their size, not the session's number of partitions, is what a task has to hold."""
-    return max(1, min(-(-n_bytes // RANGE_BYTES), MANY_RANGES), -(-n_bytes // LARGE_RANGE_BYTES))
+def range_count(n_bytes: int, cores: int = 1) -> int:
+    """Ranges for so many bytes of text; their size is what a task has to hold, and small inputs have one for each core."""
+    return max(1, min(-(-n_bytes // RANGE_BYTES), MANY_RANGES), -(-n_bytes // LARGE_RANGE_BYTES), min(cores, n_bytes // LEAST_BYTES))
 
 
 def range_bounds(rows: DataFrame) -> np.ndarray:
@@ -98,7 +100,7 @@ def range_bounds(rows: DataFrame) -> np.ndarray:
     A key that fills several ranges is a bound several times; its rows are dealt over them.
     """
     size = rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
-    n = range_count(size["bytes"])
+    n = range_count(size["bytes"], rows.sparkSession.sparkContext.defaultParallelism)
     share = min(1.0, min(n * SAMPLE, SAMPLE_KEYS) / max(size["rows"], 1))
 
     @F.pandas_udf("long")

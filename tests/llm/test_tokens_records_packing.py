@@ -77,6 +77,7 @@ def test_files_are_bounded_by_bytes(spark, library, monkeypatch):
 
 def test_ranges_follow_the_bytes():
     assert packing.range_count(0) == 1 and packing.range_count(packing.RANGE_BYTES * 7) == 7
+    assert packing.range_count(packing.LEAST_BYTES * 5, 8) == 5 and packing.range_count(packing.RANGE_BYTES * 7, 4) == 7
     assert packing.range_count(10**14) * packing.LARGE_RANGE_BYTES < 1.1 * 10**14
 
 
