@@ -62,11 +62,11 @@ def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "reje
 def adjacent_pairs(turns: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text) rows -> pairs of conversations 2k (chosen) and 2k + 1 (rejected).
 
-    Rows without a conv_id are left out; repeated rows count once; turns are in order of
-    turn, role and text, nulls first.
+    Rows without a conv_id are left out; repeated rows are turns like any others; turns
+    are in order of turn, role and text, nulls first.
     """
     rows = turns.where("conv_id is not null").select("conv_id", "turn", "role", "text")
-    side = lambda k: F.collect_set(F.when(F.expr("pmod(conv_id, 2)") == k, F.struct(F.coalesce("turn", F.lit(-(1 << 62))).alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))))
+    side = lambda k: F.collect_list(F.when(F.expr("pmod(conv_id, 2)") == k, F.struct(F.coalesce("turn", F.lit(-(1 << 62))).alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))))
     plain = lambda c: F.when(F.size(c) > 0, F.transform(F.array_sort(c), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))))
     grouped = rows.groupBy(F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id")).agg(side(0).alias("c"), side(1).alias("r"))
     return grouped.select("pair_id", plain("c").alias("chosen"), plain("r").alias("rejected"))

@@ -131,7 +131,7 @@ from s qualify row_number() over (partition by query_id order by score desc, vec
 with t as (
   select pair_id, side, row_number() over (partition by pair_id, side order by turn, role, text) as n, role,
          '<|' || role || '|>' || chr(10) as head, text || '<|end|>' || chr(10) as body, text
-  from (select distinct conv_id // 2 as pair_id, conv_id % 2 as side, turn, role, text from conversations)
+  from (select conv_id // 2 as pair_id, conv_id % 2 as side, turn, role, text from conversations)
 ),
 matched as (
   select pair_id, n, coalesce(a.role = b.role and a.text = b.text, false) as same

@@ -34,11 +34,11 @@ def test_odd_pairs(spark):
 
 def test_pairing_odd_turns(spark):
     schema = "conv_id long, turn long, role string, text string, chosen string"
-    rows = [(0, 0, "user", "q", "x"), (0, 0, "user", "q", "x"), (0, 1, None, None, "x"), (1, 0, "user", "q", None), (5, None, "user", "z", "x"), (None, 0, "user", "q", "x")]
+    rows = [(0, 0, "user", "q", "x"), (0, 0, "user", "q", "x"), (0, 1, None, None, "x"), (1, 0, "user", "q", None), (5, None, "user", "z", "x"), (5, None, "user", "z", "x"), (None, 0, "user", "q", "x")]
     got = {r.pair_id: r for r in preference.adjacent_pairs(spark.createDataFrame(rows, schema)).collect()}
     assert sorted(got) == [0, 2]
-    assert [tuple(t) for t in got[0].chosen] == [("user", "q"), ("", "")] and len(got[0].rejected) == 1
-    assert got[2].chosen is None and len(got[2].rejected) == 1
+    assert [tuple(t) for t in got[0].chosen] == [("user", "q"), ("user", "q"), ("", "")] and len(got[0].rejected) == 1
+    assert got[2].chosen is None and [tuple(t) for t in got[2].rejected] == [("user", "z")] * 2
     assert preference.format_pairs(preference.adjacent_pairs(spark.createDataFrame([], schema))).count() == 0
 
 
