@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,3 +69,22 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def release() -> None:
+    """Gives memory that a worker has freed back to the machine, as workers outlive their tasks and the stages they belong to."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library keeps it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, a function over the batches of a task, with release() at the task's end."""
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release()
+
+    return whole

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lineflow.llm.common import release
+
 #: Hash buckets of the n-grams.
 BUCKETS = 1 << 15
 #: Code points that are hashed at a time; longer texts are cut, with overlap, and summed.
@@ -144,6 +146,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray] | None, text_co
     @F.pandas_udf("lang_pred string, score double")
     def score(text: pd.Series) -> pd.DataFrame:
         langs, scores = score_texts([None if pd.isna(t) else t for t in text], shared.value, evidence)
+        release()
         return pd.DataFrame({"lang_pred": langs, "score": scores})
 
     return score(F.col(text_col))

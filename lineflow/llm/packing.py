@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lineflow.llm.common import tokenizer_path, written
+from lineflow.llm.common import release, released, tokenizer_path, written
 from lineflow.llm.tokens import word_tokenizer
 
 LENGTH = 2048
@@ -123,6 +123,7 @@ def along_curve(docs: DataFrame, tokenizer: str | None = None, id_col: str = "do
     @F.pandas_udf("key long, range int")
     def place(text: pd.Series, salt: pd.Series) -> pd.DataFrame:
         keys = curve_keys(list(text))
+        release()
         first = np.searchsorted(bounds, keys, "left")
         return pd.DataFrame({"key": keys, "range": first + salt.to_numpy() % (np.searchsorted(bounds, keys, "right") - first + 1)})
 
@@ -148,7 +149,7 @@ def along_curve(docs: DataFrame, tokenizer: str | None = None, id_col: str = "do
         if held:
             yield out()
 
-    tokenized = rows.mapInArrow(run, "before long, doc_id long, n_tokens long, ids binary, width int")
+    tokenized = rows.mapInArrow(released(run), "before long, doc_id long, n_tokens long, ids binary, width int")
     return written(tokenized.select(F.spark_partition_id().alias("part"), "*"), "packing", compression="zstd")
 
 
@@ -202,4 +203,4 @@ def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None, id
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, kinds)], [k for k, _ in kinds])
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)

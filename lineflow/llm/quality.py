@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineflow.llm.common import held_out
+from lineflow.llm.common import held_out, release, released
 
 #: Random Fourier features.
 FEATURES = 384
@@ -91,7 +91,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(rows.ravel()))], ["doc_id", "stats"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, stats array<float>")
+    return narrow.mapInArrow(released(run), "doc_id long, stats array<float>")
 
 
 @dataclass
@@ -213,7 +213,7 @@ def scored(stats: DataFrame, model: Model | None) -> DataFrame:
             score = np.full(batch.num_rows, 0.5) if m is None else m.score(_matrix(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["doc_id", "score"])
 
-    return stats.select("doc_id", "stats").mapInArrow(run, "doc_id long, score double")
+    return stats.select("doc_id", "stats").mapInArrow(released(run), "doc_id long, score double")
 
 
 def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> Column:
@@ -224,6 +224,8 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> Colum
     def run(text: pd.Series) -> pd.Series:
         if shared.value is None:
             return pd.Series(np.full(len(text), 0.5))
-        return pd.Series(shared.value.score(np.array([statistics(t) for t in text]).reshape(-1, N_STATS)))
+        scores = shared.value.score(np.array([statistics(t) for t in text]).reshape(-1, N_STATS))
+        release()
+        return pd.Series(scores)
 
     return run(F.col(text_col).cast("binary"))

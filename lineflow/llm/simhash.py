@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lineflow.llm.common import cut, written
+from lineflow.llm.common import cut, released, written
 from lineflow.llm.components import components, forest
 
 #: A bucket with more fingerprints than this is compared in pairs of chunks, by several tasks.
@@ -326,7 +326,7 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
             for found in pairs:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.int32()))], ["a", "b", "bits"])
 
-    searched = rows.mapInArrow(run, "a long, b long, bits int")
+    searched = rows.mapInArrow(released(run), "a long, b long, bits int")
     return searched if found is None else searched.union(found)
 
 
@@ -407,6 +407,10 @@ def groups(docs: DataFrame, shingle: int = 3, limit: int = 3, id_col: str = "doc
 # near duplicates ------------------------------------------------------------
 
 
+#: Rows whose sets are handed on at a time.
+SET_ROWS = 1000
+
+
 def shingle_sets(docs: DataFrame, shingle: int, n_words: int, largest: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, h, g, v, n, f0 .., x) of every row.
 
@@ -417,7 +421,7 @@ def shingle_sets(docs: DataFrame, shingle: int, n_words: int, largest: int, id_c
     names = [f"f{i}" for i in range(n_words)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, SET_ROWS) for b in batches for at in range(0, b.num_rows, SET_ROWS)):
             v, n, x = [], [], []
             prints = np.zeros((batch.num_rows, n_words), np.uint64)
             for i, text in enumerate(batch.column(3)):
@@ -432,7 +436,7 @@ def shingle_sets(docs: DataFrame, shingle: int, n_words: int, largest: int, id_c
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"), text.cast("binary").alias("text"))
-    return rows.mapInArrow(run, ", ".join(["doc_id long, h long, g long, v long, n int", *(f"{f} long" for f in names), "x array<long>"]))
+    return rows.mapInArrow(released(run), ", ".join(["doc_id long, h long, g long, v long, n int", *(f"{f} long" for f in names), "x array<long>"]))
 
 
 def finer(members: DataFrame) -> DataFrame:
@@ -443,7 +447,7 @@ def finer(members: DataFrame) -> DataFrame:
             fine = [_fingerprint(x.values.to_numpy().view(np.uint64), FINE_WORDS).tobytes() for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fine, pa.binary())], ["v", "fine"])
 
-    return members.select("v", "x").mapInArrow(run, "v long, fine binary")
+    return members.select("v", "x").mapInArrow(released(run), "v long, fine binary")
 
 
 def alike(pairs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
