@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lineflow.operators.enrich import enrich_asof
+from lineflow.operators.segments import SEGMENT_ROWS, hot_keys, overlapping_blocks, same_keys
+
 
 def health_over_sql(spark: SparkSession, view: str, n: int = 3, max_reinit: int = 60, max_uas: int = 18000) -> DataFrame:
     """Rows whose last n rows of the line have few re-inits and little unavailable time; view: ts, dslam, port, avc, reInit, uas."""
@@ -31,22 +34,37 @@ def matched(keys: list[str], order: list[str], n: int, m: int, max_reinit: int,
     return few & (F.sum(zero("uas")).over(last) < max_uas) & F.min(F.coalesce("ifOperStatus", F.lit(False))).over(last)
 
 
-def health_pattern(df: DataFrame, keys: list[str], order: list[str], n: int = 288, m: int = 8, max_reinit: int = 5, max_uas: int = 10) -> DataFrame:
+def marked(df: DataFrame, keys: list[str], order: list[str], n: int, m: int, max_reinit: int, max_uas: int, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+    """df with __up, matched() of each row; keys with more than segment_rows rows are cut in blocks that overlap by n - 1 rows.
+
+    order begins with a time or a number.
+    """
+    found = lambda rows, keys, order: rows.withColumn("__up", matched(keys, order, n, m, max_reinit, max_uas))
+    plain = found(df, keys, order)
+    cuts = hot_keys(df, keys, order[0], segment_rows)
+    if cuts is None:
+        return plain
+    blocks = overlapping_blocks(df, cuts, keys, order, max(segment_rows, n), n - 1)
+    hot = found(blocks, [*keys, "__block"], ["__at"]).where("__own").drop("__at", "__block", "__own")
+    return found(same_keys(df, cuts, keys, "left_anti"), keys, order).unionByName(hot)
+
+
+def health_pattern(df: DataFrame, keys: list[str], order: list[str], n: int = 288, m: int = 8, max_reinit: int = 5, max_uas: int = 10, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """The last rows of matches of the line-is-up pattern; matches may overlap."""
-    return df.withColumn("__up", matched(keys, order, n, m, max_reinit, max_uas)).where("__up").drop("__up")
+    return marked(df, keys, order, n, m, max_reinit, max_uas, segment_rows).where("__up").drop("__up")
 
 
-def _toggled(events: DataFrame, toggles: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """events with the last toggle's flag (default false) and the number of toggles so far; at equal times the toggle comes first."""
-    rows = events.withColumn("__kind", F.lit(1)).unionByName(toggles.select(*keys, ts, "flag", F.lit(0).alias("__kind")), allowMissingColumns=True)
-    before = Window.partitionBy(*keys).orderBy(ts, "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("__flag", F.coalesce(F.last("flag", ignorenulls=True).over(before), F.lit(False)))
-    return rows.withColumn("__watch", F.sum(F.lit(1) - F.col("__kind")).over(before)).where("__kind = 1").drop("__kind", "flag")
+def _toggled(events: DataFrame, toggles: DataFrame, keys: list[str], ts: str, segment_rows: int) -> DataFrame:
+    """events with the last toggle's flag (default false) and its time; at equal times the toggle comes first."""
+    given = F.col("flag").isNotNull().alias("present___flag")
+    changes = toggles.select(*keys, ts, F.col("flag").alias("__flag"), given, F.col(ts).alias("__watch"), F.lit(True).alias("present___watch"))
+    rows = enrich_asof(events, changes, keys, ts, ["__flag", "__watch"], segment_rows, "__seen").drop("__seen")
+    return rows.withColumn("__flag", F.coalesce("__flag", F.lit(False)))
 
 
-def watch_gate(events: DataFrame, toggles: DataFrame, keys: list[str], ts: str) -> DataFrame:
+def watch_gate(events: DataFrame, toggles: DataFrame, keys: list[str], ts: str, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Events of lines that are switched on at their time."""
-    return _toggled(events, toggles, keys, ts).where("__flag").select(events.columns)
+    return _toggled(events, toggles, keys, ts, segment_rows).where("__flag").select(events.columns)
 
 
 def export_watch_state(toggles: DataFrame, keys: list[str], ts: str) -> DataFrame:
@@ -71,7 +89,7 @@ def seed_toggles(toggles: DataFrame, history: DataFrame, keys: list[str], ts: st
     return toggles.join(held, [*keys, ts], "left")
 
 
-def monitor_loop(events: DataFrame, toggles: DataFrame, keys: list[str], ts: str, n: int, m: int, max_reinit: int, max_uas: int, seeded: bool = False) -> DataFrame:
+def monitor_loop(events: DataFrame, toggles: DataFrame, keys: list[str], ts: str, n: int, m: int, max_reinit: int, max_uas: int, seeded: bool = False, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Gate, pattern and feedback: a line switched on is watched until its first match, which switches it off.
 
     Each on-stretch gives at most its first match. A toggle starts with no rows held, or,
@@ -80,9 +98,10 @@ def monitor_loop(events: DataFrame, toggles: DataFrame, keys: list[str], ts: str
     """
     stretch = [*keys, "__watch"]
     if seeded:
-        known = events.withColumn("__up", matched(keys, [ts], n, m, max_reinit, max_uas))
-        found = _toggled(known, toggles, keys, ts).where("__flag and __up")
+        known = marked(events, keys, [ts], n, m, max_reinit, max_uas, segment_rows)
+        found = _toggled(known, toggles, keys, ts, segment_rows).where("__flag and __up")
     else:
-        found = health_pattern(_toggled(events, toggles, keys, ts).where("__flag"), stretch, [ts], n, m, max_reinit, max_uas)
+        watched = _toggled(events, toggles, keys, ts, segment_rows).where("__flag")
+        found = health_pattern(watched, stretch, [ts], n, m, max_reinit, max_uas, segment_rows)
     first = Window.partitionBy(*stretch).orderBy(ts)
     return found.withColumn("__r", F.row_number().over(first)).where("__r = 1").select(events.columns)

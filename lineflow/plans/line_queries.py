@@ -224,6 +224,49 @@ def enrich_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich_asof(facts, _attributes(spark, sf_dir), ["user_id"], "ts", ["a", "b"])
 
 
+HOT_ATTRIBUTES = ATTRIBUTES.replace("select user_id, ts", "select case when user_id % 3 = 0 then 0 else user_id end as user_id, ts")
+
+
+@query(f"""
+with {HOT_ATTRIBUTES},
+rows_ as (
+  select event_id, case when user_id % 3 = 0 then 0 else user_id end as user_id, ts, 1 as kind, null as pa, null as pb from events where event_type <> 'signup'
+  union all
+  select null, user_id, ts, 0, case when present_a then {{'v': a}} end, case when present_b then {{'v': b}} end from attributes
+),
+held as (
+  select event_id, user_id, ts, kind, last_value(pa ignore nulls) over w as pa, last_value(pb ignore nulls) over w as pb, max(kind = 0) over w as enriched
+  from rows_ window w as (partition by user_id order by ts, kind rows between unbounded preceding and current row)
+)
+select event_id, user_id, ts, pa.v as a, pb.v as b, enriched from held where kind = 1
+""")
+def enrich_asof_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all rows under one key, which is cut in stretches of 100 rows."""
+    facts = table(spark, sf_dir, "events").where("event_type <> 'signup'").select("event_id", _third_in_one(), "ts")
+    changes = _attributes(spark, sf_dir).withColumn("user_id", _third_in_one())
+    return enrich.enrich_asof(facts, changes, ["user_id"], "ts", ["a", "b"], segment_rows=100)
+
+
+def _third_in_one() -> Column:
+    return F.when(F.col("user_id") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("user_id")).alias("user_id")
+
+
+@query(f"""
+with {LINES},
+hot as (select * replace (case when cast(port as bigint) % 3 = 0 then '0' else port end as port, 'N' as dslam) from lines)
+select event_id, ts, dslam, port from hot
+window n as (partition by dslam, port order by ts rows between 4 preceding and current row),
+       m as (partition by dslam, port order by ts rows between 1 preceding and current row)
+qualify count(*) over n = 5 and sum("reInit") over n < 3 and sum(uas) over m < 60 and min(cast("ifOperStatus" as integer)) over m = 1
+""")
+def health_pattern_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all rows on one line, which is cut in blocks of 100 rows."""
+    port = F.when(F.col("port").cast("long") % 3 == 0, "0").otherwise(F.col("port"))
+    rows = lines(spark, sf_dir).withColumns({"port": port, "dslam": F.lit("N")})
+    found = health.health_pattern(rows, ["dslam", "port"], ["ts"], n=5, m=2, max_reinit=3, max_uas=60, segment_rows=100)
+    return found.select("event_id", "ts", "dslam", "port")
+
+
 @query(f"""
 with {ATTRIBUTES}
 select user_id, first(a order by ts desc) filter (present_a) as a, first(b order by ts desc) filter (present_b) as b from attributes group by user_id

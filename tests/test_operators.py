@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lineflow.functions import inventory, percentiles, ports
-from lineflow.operators import decode, enrich, health, pairing, tables
+from lineflow.operators import decode, enrich, health, pairing, segments, tables
 from lineflow.sources import archives, files, text
 
 EASY = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -247,3 +247,47 @@ def test_unreadable_files_are_reported(spark, tmp_path):
     assert sorted({r.file_path.rsplit("/", 2)[1] for r in rows.collect()}) == ["p2", "p3"] and len(rows.collect()) == 100
     found = {tuple(r.path.rsplit("/", 2)[1:]): (r.rows_read, r.rows_held, r.error) for r in report.collect()}
     assert {k[0] if k[1] != "text.parquet" else "text": v[:2] for k, v in found.items()} == {"p0": (0, None), "p1": (0, 50), "text": (0, None), "other": (0, 1)}
+
+
+ATTRIBUTE_ROWS = st.tuples(st.sampled_from(["k", "k", "k", "j", None]), st.integers(0, 60), st.one_of(st.none(), st.integers(0, 9)), st.booleans(), st.one_of(st.none(), st.integers(0, 9)), st.booleans())
+
+
+@settings(EASY, max_examples=6)
+@given(
+    facts=st.lists(st.tuples(st.sampled_from(["k", "k", "k", "j", None]), st.integers(0, 60)), min_size=1, max_size=40),
+    changes=st.lists(ATTRIBUTE_ROWS, max_size=25, unique_by=lambda r: r[:2]), size=st.sampled_from([1, 2, 5]),
+)
+def test_stretches_of_hot_keys_carry_what_is_known(spark, facts, changes, size):
+    df = spark.createDataFrame([(i, *f) for i, f in enumerate(facts)], "id int, k string, ts int")
+    attrs = spark.createDataFrame(changes, "k string, ts int, a int, present_a boolean, b int, present_b boolean")
+    want = {}
+    for i, (k, ts) in enumerate(facts):
+        a = b = None
+        before = sorted((r for r in changes if r[0] == k and r[1] <= ts), key=lambda r: r[1])
+        for _, _, a1, has_a, b1, has_b in before:
+            a, b = a1 if has_a else a, b1 if has_b else b
+        want[i] = (k, ts, a, b, bool(before))
+    got = enrich.enrich_asof(df, attrs, ["k"], "ts", ["a", "b"], segment_rows=size).collect()
+    assert len(got) == len(facts) and {r.id: (r.k, r.ts, r.a, r.b, bool(r.enriched)) for r in got} == want
+
+
+def test_half_of_all_rows_under_one_key(spark):
+    """Stretches and blocks of a hot key are bounded, and patterns across their ends are found."""
+    n, size = 20_000, 500
+    df = spark.range(n).select(F.when(F.col("id") % 2 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("p"), F.col("id") % 100)).alias("k"), (F.pow(F.col("id") / 100, 2) * 100).cast("long").alias("ts"), "id",
+                               (F.xxhash64("id") % 5 == 0).cast("int").alias("reInit"), F.pmod(F.xxhash64("id"), F.lit(7)).cast("int").alias("uas"), (F.xxhash64("id") % 11 != 0).alias("ifOperStatus"))
+    cuts = segments.hot_keys(df, ["k"], "ts", size)
+    assert [r.k for r in cuts.collect()] == [None]
+    sizes = [r["count"] for r in segments.segmented(df, cuts, ["k"], "ts").where("k is null").groupBy("__segment").count().collect()]
+    assert sum(sizes) == n // 2 and max(sizes) <= 2 * size and len(sizes) >= n // 2 // size
+    blocks = segments.overlapping_blocks(df, cuts, ["k"], ["ts", "id"], size, 7)
+    assert blocks.groupBy("__block").count().agg(F.max("count")).first()[0] == size + 7 and blocks.where("__own").count() == n // 2
+    run = lambda rows: {r.id for r in health.health_pattern(df, ["k"], ["ts", "id"], 8, 3, 3, 10, rows).collect()}
+    assert run(size) == run(n) and len(run(n)) > 100
+    toggles = df.where("id % 50 in (0, 1, 20)").select("k", "ts", (F.col("id") % 20 == 0).alias("flag"), "id").dropDuplicates(["k", "ts"]).drop("id")
+    once = df.dropDuplicates(["k", "ts"])
+    for seeded in (False, True):
+        loop = lambda rows: {(r.k, r.ts) for r in health.monitor_loop(once, toggles, ["k"], "ts", 4, 2, 3, 10, seeded, rows).collect()}
+        assert loop(3) == loop(n) and loop(n)
+    with pytest.raises(ValueError):
+        segments.overlapping_blocks(df, cuts, ["k"], ["ts"], 5, 6)
