@@ -54,12 +54,13 @@ def test_base_spans_equal_plain_search(spark):
     assert got == {i: plain_spans(t) for i, t in enumerate(TEXTS)}
 
 
-@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"])
 def test_query(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = {r.doc_id: r for r in QUERIES["op7_pii"](spark, sf_dir).collect()}
     assert len(got) == len(docs)
     terms = plain_terms(docs.values())
+    assert terms or not sf_dir.endswith("sf0.1")  # there the method adds spans
     for doc_id, text in docs.items():
         base = plain_spans(text)
         r = got[doc_id]
@@ -74,18 +75,26 @@ def words(text):
     return {w for w in re.split(r"[\W\d_]+", text.lower()) if len(w) >= 3}
 
 
+def levels(kind, value):
+    """An entity and its classes, from fine to coarse."""
+    fine = [value.split("@")[-1], ".".join(value.split(".")[:2]), value[:6], value[:4]][kind]
+    return [(0, kind, value), (1, kind, fine), (2, kind, ""), (3, -1, "")]
+
+
 def plain_terms(texts, support=pii.SUPPORT, disclosure=pii.DISCLOSURE):
     texts = {t or "" for t in texts}
     entities = {t: {(k, v) for _, k, _, v in plain_spans(t)} for t in texts}
     held = {t: words(t) for t in texts}
     df = Counter(w for ws in held.values() for w in ws)
-    of = Counter(e for es in entities.values() for e in es)
+    pools = {t: {p for e in es for p in levels(*e)} for t, es in entities.items()}
+    of = Counter(p for ps in pools.values() for p in ps)
+    chosen = {next((p for p in levels(*e) if of[p] >= support), None) for es in entities.values() for e in es}
     both, found = Counter(), defaultdict(float)
-    for t, es in entities.items():
-        both.update((e, w) for e in es if of[e] >= support for w in held[t])
-    for (e, w), n in both.items():
-        information = math.log2(len(texts) / of[e])
-        ratio = math.log2(len(texts) * n / (of[e] * df[w])) / information if information else 0
+    for t, ps in pools.items():
+        both.update((p, w) for p in ps & chosen for w in held[t])
+    for (p, w), n in both.items():
+        information = math.log2(len(texts) / of[p])
+        ratio = math.log2(len(texts) * n / (of[p] * df[w])) / information if information else 0
         if n >= support and ratio >= disclosure - 1e-9:
             found[w] = max(found[w], ratio)
     return found
@@ -143,6 +152,8 @@ def test_entities_of_one_text_each_are_protected(spark):
     got = {r.doc_id: r for r in pii.find(docs).collect()}
     added = [{s.value for s in got[i]["__spans"] if s.kind == 4} for i in range(len(texts))]
     assert added == [{"zanzibar"}] * 4 + [{"wexford"}] * 4 + [set()] * 54
+    terms = plain_terms(texts)
+    assert {i: [(s.start, s.kind, s.end, s.value) for s in r["__spans"]] for i, r in got.items()} == {i: with_terms(t, plain_spans(t), terms) for i, t in enumerate(texts)}
     cleaned = {r.doc_id: r.text for r in pii.clean(docs).collect()}
     assert all("Zanzibar" not in cleaned[i] and "Wexford" not in cleaned[i + 4] for i in range(4)) and cleaned[20] == texts[20]
 
