@@ -470,9 +470,14 @@ def _labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(roots.select("v", "root"), "v", "left").withColumn("label", F.coalesce("root", "v")).drop("root")
 
 
-def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, n_words: int = NEAR_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, n_words: int = NEAR_WORDS, id_col: str = "doc_id", text_col: str = "text", exact_to: int = SMALL) -> DataFrame:
     """(doc_id, h, g, root) of every row; h and g are hashes of its text, root names its group.
 
+    Pairs with a set of exact_to shingles at most come from a prefix-filter join, which
+    misses none; pairs of larger sets come from the index over fingerprints, which misses
+    some few in 100,000. With exact_to over the largest set no link is missed, at the cost
+    of a join over a fifth of all shingles.
+
     Pairs from the index are candidates only; each is checked by its shingle sets, so that
     a link means an exact similarity. Rows of one set are one vertex. Two steps keep the
     number of pairs near the number of texts, however large a group is: first each set is
@@ -481,10 +486,10 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     in different groups still, but for those whose members in no other set rule the
     similarity out.
     """
-    prints = written(shingle_sets(docs, shingle, n_words, int(SMALL / similarity) + 1, id_col, text_col), "sets")
+    prints = written(shingle_sets(docs, shingle, n_words, int(exact_to / similarity) + 1, id_col, text_col), "sets")
     names = [f"f{i}" for i in range(n_words)]
     distinct = cut(prints.groupBy("v").agg(F.first("n").alias("n"), *(F.first(f).alias(f) for f in names)))
-    large = distinct.where(F.col("n") > SMALL).select("v", "n", *names)
+    large = distinct.where(F.col("n") > exact_to).select("v", "n", *names)
     tables, limit = drawn_masks(large.count(), n_words, similarity), bit_limit(similarity, 64 * n_words, DEVIATIONS)
     small = prefixes(prints.where("x is not null and n > 0").select("v", "n", "x").dropDuplicates(["v"]), similarity)
 
@@ -501,7 +506,7 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     pairs = _ordered(partners.select(F.col("v").alias("a"), F.explode(F.array("least", "nearest")).alias("b")))
     good = cut(alike(pairs, members, similarity))
     labels = cut(_labelled(needed, components(good)))
-    asked = large.join(labels, "v").join(lone(members.where(F.size("x") > SMALL)), "v", "left").select("v", *names, "label", F.col("n").alias("size"), (F.col("n") - F.coalesce("lone", F.lit(0))).cast("int").alias("shared"))
+    asked = large.join(labels, "v").join(lone(members.where(F.size("x") > exact_to)), "v", "left").select("v", *names, "label", F.col("n").alias("size"), (F.col("n") - F.coalesce("lone", F.lit(0))).cast("int").alias("shared"))
     asked = cut(asked.where(F.col("shared") >= F.lit(similarity) * F.col("size") - 1e-9))
     few = asked.select("v")
     fine = finer(members.join(F.broadcast(few) if asked.count() <= BROADCAST_SETS else few, "v", "left_semi"))
@@ -539,10 +544,10 @@ def other_holders(first: DataFrame, similarity: float) -> DataFrame:
     return a.join(b, "s").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & (F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb") - 1e-9)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", exact_to: int = SMALL) -> DataFrame:
     """(doc_id, component_id): the smallest id reachable over texts whose shingle sets have a Jaccard similarity of `similarity` or more.
 
-    Sets are compared by the 64-bit hashes of their shingles.
+    Sets are compared by the 64-bit hashes of their shingles; exact_to as in duplicate_groups().
     """
-    groups = cut(duplicate_groups(docs, shingle, similarity, id_col=id_col, text_col=text_col))
+    groups = cut(duplicate_groups(docs, shingle, similarity, id_col=id_col, text_col=text_col, exact_to=exact_to))
     return groups.join(groups.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("doc_id", "component_id")

@@ -107,8 +107,9 @@ def test_repeated_lines_do_not_change_what_is_alike(spark):
     assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()} == {0: 0, 1: 1, 2: 2, 3: 2}
 
 
-def test_groups_are_those_of_exact_similarity(spark):
-    """Tails of all lengths, so that similarities lie around 0.8, in short and long texts and one word added."""
+@pytest.mark.parametrize("exact_to", [simhash.SMALL, 1 << 20])
+def test_groups_are_those_of_exact_similarity(spark, exact_to):
+    """Tails of all lengths, so that similarities lie around 0.8, in short and long texts and one word added; with the index and without."""
     rng = random.Random(9)
     texts = []
     for n in (8, 12, 20, 40, 60, 70, 80, 90, 120, 300):
@@ -118,7 +119,7 @@ def test_groups_are_those_of_exact_similarity(spark):
     sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
     near = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
-    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, exact_to=exact_to).collect()}
     assert [got[i] for i in range(len(texts))] == plain_roots(len(texts), near)
 
 
