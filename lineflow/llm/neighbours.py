@@ -4,13 +4,18 @@ Within a block, every vector gets one more component so that all have one length
 the largest inner product is the smallest distance. Each projection is a sorted array.
 A query opens a window around its own projection in every array, of a width that goes
 with the search radius; a vector that lies in enough windows collides often enough to
-be verified by its exact inner product. Only the vectors in a window are touched, and
-each once a projection: when the radius grows (virtual rehashing), the windows are
-expanded at both ends and the new vectors alone are counted.
+be verified by its exact inner product, once. Windows that hold over half of the entries
+are counted by the entries outside them. When the radius grows (virtual rehashing), the
+windows are expanded at both ends and the new entries alone are counted.
+
+The number of projections follows the block's own distances: so many that the collision
+threshold lies MARGIN standard deviations under the mean count of a vector at the search
+radius, and FAR over that of a vector at the usual distance. Where that takes over MOST,
+no index of this kind is selective, and the whole block is verified.
 
 In the first blocks the radius grows until the block's share of the k nearest, plus four
 standard deviations as rows are dealt to blocks by hash, lies within it; a query whose
-windows outgrow the block verifies the whole block. In the other blocks the k-th best
+windows outgrow the block verifies the rest of it. In the other blocks the k-th best
 score found so far gives the radius: nothing beyond it is wanted.
 
 Results in odd cases: null, empty and zero vectors and ones with null or non-finite
@@ -29,12 +34,12 @@ from pyspark.sql import functions as F
 
 from lineflow.llm.vectors import best_first, search, usable
 
-#: Projections.
-PROJECTIONS = 32
 #: Half a window's width, in search radii.
-WINDOW = 1.0
-#: The collision threshold lies so many standard deviations under the mean of a vector at the radius.
-MARGIN = 1.5
+WINDOW = 2.0
+#: The collision threshold lies so many standard deviations under the mean of a vector at the radius, and so many over that of one far away.
+MARGIN, FAR = 1.5, 1.0
+#: Projections, at least and at most.
+LEAST, MOST = 16, 192
 #: Growth of the radius, and how often it grows before the whole block is verified.
 GROWTH, ROUNDS = 1.12, 10
 
@@ -46,55 +51,69 @@ def projections(dimension: int, m: int) -> np.ndarray:
     return np.hstack(bases)[:, :m] * math.sqrt(dimension)
 
 
+def planned(near: float, far: float) -> tuple[int, int] | None:
+    """(projections, collision threshold) that tell a vector at distance near from one at distance far; None: over MOST are needed."""
+    p, q = math.erf(WINDOW / math.sqrt(2)), math.erf(WINDOW * near / max(far, 1e-12) / math.sqrt(2))
+    spread, other = math.sqrt(p * (1 - p)), math.sqrt(q * (1 - q))
+    if p <= q or (needed := ((MARGIN * spread + FAR * other) / (p - q)) ** 2) > MOST:
+        return None
+    m = max(LEAST, math.ceil(needed))
+    return m, max(1, math.floor(m * p - MARGIN * math.sqrt(m) * spread))
+
+
 def block_nearest(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, share: float) -> list[tuple]:
     """(query_id, vec_id, score) arrays: what each query found in the block, but for scores under its floor."""
     rows, queries = rows.astype(float), queries.astype(float)
     n, mean = len(rows), k * share
     need = min(k, math.ceil(mean + 4 * math.sqrt(mean * (1 - share)) + 1))
+    whole = lambda: [_best(*_scores(q, np.arange(n), queries, query_ids, rows, ids), query_ids[q], ids, k) for q in range(len(queries))]
     if n <= 4 * k:
-        return [_best(*_scores(q, np.arange(n), queries, query_ids, rows, ids), query_ids[q], ids, k) for q in range(len(queries))]
+        return whole()
     length = np.sqrt((rows * rows).sum(axis=1))
     longest = length.max()
     points = np.hstack([rows / longest, np.sqrt(np.maximum(0, 1 - (length / longest) ** 2))[:, None]])
     size = np.sqrt((queries * queries).sum(axis=1))
     units = np.hstack([queries / size[:, None], np.zeros((len(queries), 1))])
-    turn = projections(points.shape[1], PROJECTIONS)
-    m = turn.shape[1]
-    projected = points @ turn
-    order = np.argsort(projected, axis=0).T.astype(np.int64)
-    arrays = np.take_along_axis(projected.T, order, axis=1)
-    centre = units @ turn
-    probability = math.erf(WINDOW / math.sqrt(2))
-    threshold = max(1, math.floor(m * probability - MARGIN * math.sqrt(m * probability * (1 - probability))))
     # a first radius that about `need` vectors lie within, from some rows of the block, which are in order of hash
     some = 2 - 2 * units @ points[:: max(1, n // 256)].T
     first = np.sqrt(np.maximum(np.quantile(some, max(need / n, 4 / some.size)), 1e-12))
     known = np.isfinite(floors)
     with np.errstate(invalid="ignore"):
         radius = np.where(known, np.sqrt(np.maximum(2 - 2 * floors / (size * longest), 1e-12)), first)
+    plan = planned(float(np.median(radius)), math.sqrt(max(float(np.median(some)), 0)))
+    if plan is None:
+        return whole()
+    m, threshold = plan
+    turn = projections(points.shape[1], m)
+    projected = points @ turn
+    order = np.argsort(projected, axis=0).T.astype(np.int64)
+    arrays = np.take_along_axis(projected.T, order, axis=1)
+    centre = units @ turn
     edge = lambda r, side: np.array([np.searchsorted(a, centre[:, j] + r * WINDOW, side) for j, a in enumerate(arrays)]).T
     lows, highs = edge(-radius, "left"), edge(radius, "right")
+    held = lambda spans: np.bincount(np.concatenate(spans), minlength=n)
     out = []
     for q in range(len(queries)):
-        counts = None
+        low, high = lows[q].tolist(), highs[q].tolist()
+        if 2 * (sum(high) - sum(low)) > m * n:
+            counts = m - held([order[j, : low[j]] for j in range(m)] + [order[j, high[j] :] for j in range(m)])
+        else:
+            counts = held([order[j, low[j] : high[j]] for j in range(m)])
+        left, scores = np.zeros(0, np.int64), np.zeros(0)
+        unseen = ids != query_ids[q]
+        enough = min(need, int(unseen.sum()))
         for expansion in range(ROUNDS + 1):
-            if expansion == ROUNDS:
-                left, scores = _scores(q, np.arange(n), queries, query_ids, rows, ids)
-                break
-            if counts is None:
-                low, high = lows[q].tolist(), highs[q].tolist()
-                counts = np.bincount(np.concatenate([order[j, low[j] : high[j]] for j in range(m)]), minlength=n)
-            else:
-                half, old_low, old_high = WINDOW * radius[q], low, high
-                low = [int(np.searchsorted(a, c - half)) for a, c in zip(arrays, centre[q])]
-                high = [int(np.searchsorted(a, c + half, "right")) for a, c in zip(arrays, centre[q])]
-                fresh = [order[j, low[j] : old_low[j]] for j in range(m)] + [order[j, old_high[j] : high[j]] for j in range(m)]
-                counts += np.bincount(np.concatenate(fresh), minlength=n)
-            left, scores = _scores(q, np.flatnonzero(counts >= threshold), queries, query_ids, rows, ids)
-            reach = (1 - radius[q] ** 2 / 2) * longest * size[q]
-            if known[q] or (scores >= reach).sum() >= min(need, n - (ids == query_ids[q]).sum()):
+            crossed = np.flatnonzero(unseen & (counts >= threshold) if expansion < ROUNDS else unseen)
+            unseen[crossed] = False
+            more, found = _scores(q, crossed, queries, query_ids, rows, ids)
+            left, scores = np.concatenate([left, more]), np.concatenate([scores, found])
+            if known[q] or expansion == ROUNDS or (scores >= (1 - radius[q] ** 2 / 2) * longest * size[q]).sum() >= enough:
                 break
             radius[q] *= GROWTH
+            half, old_low, old_high = WINDOW * radius[q], low, high
+            low = [int(np.searchsorted(a, c - half)) for a, c in zip(arrays, centre[q])]
+            high = [int(np.searchsorted(a, c + half, "right")) for a, c in zip(arrays, centre[q])]
+            counts += held([order[j, low[j] : old_low[j]] for j in range(m)] + [order[j, old_high[j] : high[j]] for j in range(m)])
         out.append(_best(left, scores, query_ids[q], ids, k))
     return out
 
