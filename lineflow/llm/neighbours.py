@@ -89,39 +89,48 @@ def block_nearest(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray
     order = np.argsort(projected, axis=0).T.astype(np.int64)
     arrays = np.take_along_axis(projected.T, order, axis=1)
     centre = units @ turn
-    edge = lambda r, side: np.array([np.searchsorted(a, centre[:, j] + r * WINDOW, side) for j, a in enumerate(arrays)]).T
-    lows, highs = edge(-radius, "left"), edge(radius, "right")
     held = lambda spans: np.bincount(np.concatenate(spans), minlength=n)
-    out = []
-    for q in range(len(queries)):
-        low, high = lows[q].tolist(), highs[q].tolist()
-        if 2 * (sum(high) - sum(low)) > m * n:
-            counts = m - held([order[j, : low[j]] for j in range(m)] + [order[j, high[j] :] for j in range(m)])
-        else:
-            counts = held([order[j, low[j] : high[j]] for j in range(m)])
-        left, scores = np.zeros(0, np.int64), np.zeros(0)
-        unseen = ids != query_ids[q]
-        enough = min(need, int(unseen.sum()))
-        for expansion in range(ROUNDS + 1):
+
+    def edges(asking: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the windows of the queries asking begin and end in every array."""
+        low, high = centre[asking] - WINDOW * radius[asking, None], centre[asking] + WINDOW * radius[asking, None]
+        return np.array([np.searchsorted(a, low[:, j]) for j, a in enumerate(arrays)]).T, np.array([np.searchsorted(a, high[:, j], "right") for j, a in enumerate(arrays)]).T
+
+    found: list[list[tuple]] = [[] for _ in queries]
+    asking, before = np.arange(len(queries)), {}  # before: what the last radius left of each query that goes on
+    for expansion in range(ROUNDS + 1):
+        lows, highs = edges(asking)
+        going = {}
+        for i, q in enumerate(asking.tolist()):
+            low, high = lows[i].tolist(), highs[i].tolist()
+            if q in before:
+                old_low, old_high, counts, unseen, near = before.pop(q)
+                counts += held([order[j, low[j] : old_low[j]] for j in range(m)] + [order[j, old_high[j] : high[j]] for j in range(m)]).astype(counts.dtype)
+            else:
+                unseen, near = ids != query_ids[q], np.zeros(0)
+                if 2 * (sum(high) - sum(low)) > m * n:
+                    counts = m - held([order[j, : low[j]] for j in range(m)] + [order[j, high[j] :] for j in range(m)])
+                else:
+                    counts = held([order[j, low[j] : high[j]] for j in range(m)])
             crossed = np.flatnonzero(unseen & (counts >= threshold) if expansion < ROUNDS else unseen)
-            unseen[crossed] = False
-            more, found = _scores(q, crossed, queries, query_ids, rows, ids)
-            left, scores = np.concatenate([left, more]), np.concatenate([scores, found])
-            if known[q] or expansion == ROUNDS or (scores >= (1 - radius[q] ** 2 / 2) * longest * size[q]).sum() >= enough:
-                break
-            radius[q] *= GROWTH
-            half, old_low, old_high = WINDOW * radius[q], low, high
-            low = [int(np.searchsorted(a, c - half)) for a, c in zip(arrays, centre[q])]
-            high = [int(np.searchsorted(a, c + half, "right")) for a, c in zip(arrays, centre[q])]
-            counts += held([order[j, low[j] : old_low[j]] for j in range(m)] + [order[j, old_high[j] : high[j]] for j in range(m)])
-        out.append(_best(left, scores, query_ids[q], ids, k))
-    return out
+            found[q].append(_scores(q, crossed, queries, query_ids, rows, ids))
+            if known[q] or expansion == ROUNDS:
+                continue
+            near = np.concatenate([near, found[q][-1][1]])
+            if (near >= (1 - radius[q] ** 2 / 2) * longest * size[q]).sum() < min(need, n - (ids == query_ids[q]).sum()):
+                unseen[crossed] = False
+                going[q] = (low, high, counts.astype(np.int16), unseen, near)
+        asking, before = np.array(list(going), np.int64), going
+        if not going:
+            break
+        radius[asking] *= GROWTH
+    return [_best(*map(np.concatenate, zip(*found[q])), query_ids[q], ids, k) for q in range(len(queries))]
 
 
 def _scores(q: int, left: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The vectors left that aren't the query's own, and their exact inner products."""
     left = left[ids[left] != query_ids[q]]
-    return left, np.einsum("ij,j->i", rows[left], queries[q])
+    return left, np.einsum("ij,j->i", rows.take(left, axis=0), queries[q])
 
 
 def _best(left: np.ndarray, scores: np.ndarray, query_id: int, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
