@@ -33,7 +33,7 @@ KINDS = ["email", "ip", "card", "phone", "term"]
 SUPPORT = 3
 #: PMI / IC from which a term counts as revealing.
 DISCLOSURE = 0.95
-#: Classes in more texts than this are few and joined by broadcast, whatever the number of entities.
+#: Classes in more texts than this are joined apart from the others, as they are few enough for a broadcast even where those are not.
 HOT_TEXTS = 10_000
 #: Lists of terms or of texts' hashes are broadcast up to this many rows, and joined by a shuffle beyond it.
 BROADCAST_ROWS = 200_000
@@ -120,11 +120,11 @@ def _pooled(held: DataFrame, support: int) -> DataFrame:
     pools = cut(held.select("h", "g", F.explode(_levels(F.col("entity"))).alias("pool")).distinct())
     sizes = cut(pools.groupBy("pool").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support))
     listed = held.select("entity").distinct().select("entity", F.explode(_levels(F.col("entity"))).alias("pool"))
-    hot = F.broadcast(sizes.where(F.col("n_entity") > HOT_TEXTS))
+    hot = _small(sizes.where(F.col("n_entity") > HOT_TEXTS))
     rest = _small(cut(sizes.where(F.col("n_entity") <= HOT_TEXTS)))
     enough = listed.join(hot, "pool").unionByName(listed.join(rest, "pool"))
     chosen = cut(enough.groupBy("entity").agg(F.min("pool").alias("pool")).select("pool").distinct().join(sizes, "pool"))
-    hot = F.broadcast(chosen.where(F.col("n_entity") > HOT_TEXTS))
+    hot = _small(chosen.where(F.col("n_entity") > HOT_TEXTS))
     rest = _small(cut(chosen.where(F.col("n_entity") <= HOT_TEXTS)))
     return pools.join(hot, "pool").unionByName(pools.join(rest, "pool")).withColumnRenamed("pool", "entity")
 
