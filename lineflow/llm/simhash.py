@@ -32,9 +32,9 @@ from lineflow.llm.components import components, forest
 BUCKET_ROWS = 2048
 #: Children of an index node.
 FANOUT = 8
-#: Rows that a task gathers before it builds the index for whole buckets.
-BUFFER_ROWS = 200_000
-#: (query, node) pairs held at a time in a search.
+#: Words of fingerprints that a task gathers before it builds the index for whole buckets.
+BUFFER_WORDS = 200_000
+#: Words of (query, node) pairs held at a time in a search.
 FRONTIER = 1_000_000
 #: Fingerprints of a bucket, about, that the number of blocks or of mask bits is chosen for.
 BUCKET_GOAL = 64
@@ -177,7 +177,7 @@ class GrayIndex:
         """
         n, widest = len(self.fps), np.bincount(self.bucket_of).max() if len(self.fps) else 1
         queries = np.arange(n) if asked is None else np.flatnonzero(asked[self.order])
-        step = max(1, FRONTIER // int(widest))
+        step = max(1, FRONTIER // (int(widest) * self.fps.shape[1]))
         for at in range(0, len(queries), step):
             query = queries[at : at + step]
             node = self.bucket_of[query]
@@ -293,7 +293,7 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
         cells = tagged.select("bucket", "v", *names, *extra, F.explode(F.concat(with_near, alone)).alias("cell"), (~F.col("near")).alias("asked"))
         rows = rows.join(hot.select("bucket"), "bucket", "left_anti").unionByName(cells)
     rows = rows.select("bucket", "cell", "asked", "v", *extra, *names).repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
-    skip, most = 4 + len(extra), BUFFER_ROWS // (4 if extra else 1)
+    skip, most = 4 + len(extra), BUFFER_WORDS // n_words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -343,9 +343,11 @@ def _first(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, asked: np.ndarray,
     by_v = np.lexsort([v, bucket])
     pivot = np.repeat(by_v[starts], np.diff(np.r_[starts, n]))
     # the member nearest to the majority of its bucket's bits: of a family of copies, likely what they were copied from
-    bits = np.unpackbits(fp.view(np.uint8), axis=1)
     size = np.diff(np.r_[starts, n])
-    majority = np.packbits(2 * np.add.reduceat(bits, starts, axis=0, dtype=np.int32) > size[:, None], axis=1).view(np.uint64)
+    majority = np.empty((len(starts), fp.shape[1]), np.uint64)
+    for k in range(fp.shape[1]):  # sums of one word's bits at a time, as they take 256 bytes a row
+        bits = np.unpackbits(np.ascontiguousarray(fp[:, k]).view(np.uint8).reshape(n, 8), axis=1)
+        majority[:, k] = np.packbits(2 * np.add.reduceat(bits, starts, axis=0, dtype=np.int32) > size[:, None], axis=1).view(np.uint64)[:, 0]
     off = np.bitwise_count(fp ^ np.repeat(majority, size, axis=0)).sum(axis=1)
     middle = np.repeat(np.lexsort([v, off, bucket])[starts], size)
     before = np.arange(n)
