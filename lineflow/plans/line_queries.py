@@ -380,4 +380,4 @@ def arrival_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     rows = rows.select(F.col("l_shipdate").cast("timestamp").alias("arrived"), F.col("o_orderdate").cast("timestamp").alias("measured"))
     found = windows.arrival_delay(rows, "arrived", "measured", "7 days")
-    return found.withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"), "average_delay": F.round("average_delay", 3)})
+    return found.withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"), "average_delay": F.round(F.col("average_delay") * 1000) / 1000})

@@ -2,6 +2,7 @@
 
 import io
 import json
+import math
 import tarfile
 from datetime import datetime, timedelta
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lineflow.functions import inventory, percentiles, ports
-from lineflow.operators import decode, enrich, health, pairing, segments, tables
+from lineflow.operators import decode, enrich, health, pairing, segments, tables, windows
 from lineflow.sources import archives, files, text
 
 EASY = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -291,3 +292,16 @@ def test_half_of_all_rows_under_one_key(spark):
         assert loop(3) == loop(n) and loop(n)
     with pytest.raises(ValueError):
         segments.overlapping_blocks(df, cuts, ["k"], ["ts"], 5, 6)
+
+
+def test_median_delay_is_exact(spark):
+    """A window of more rows than a sketch keeps; unknown delays count as rows only."""
+    n = 40_000
+    rows = spark.range(n, numPartitions=16).select(F.pmod(F.xxhash64("id"), F.lit(1 << 20)).alias("d"), F.lit(T0).alias("measured"))
+    rows = rows.select("measured", (F.col("measured") + F.make_interval(secs=F.col("d"))).alias("arrived"))
+    rows = rows.unionByName(rows.limit(7).withColumn("arrived", F.lit(None).cast("timestamp")))
+    want = sorted((r.arrived - r.measured).total_seconds() for r in rows.where("arrived is not null").collect())
+    for share in (0.0, 0.5, 0.9, 1.0):
+        got = windows.arrival_delay(rows, "arrived", "measured", "7 days", share).collect()[0]
+        assert (got.n, got.longest_delay, got.percentile_delay) == (n + 7, want[-1], want[max(math.ceil(n * share), 1) - 1])
+        assert got.average_delay == sum(want) / n
