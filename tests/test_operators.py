@@ -6,6 +6,7 @@ import math
 import tarfile
 from datetime import datetime, timedelta
 
+import duckdb
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -14,6 +15,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lineflow.functions import inventory, percentiles, ports
 from lineflow.operators import decode, enrich, health, pairing, segments, tables, windows
+from lineflow.plans import format_queries
 from lineflow.sources import archives, files, text
 
 EASY = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -305,3 +307,12 @@ def test_median_delay_is_exact(spark):
         got = windows.arrival_delay(rows, "arrived", "measured", "7 days", share).collect()[0]
         assert (got.n, got.longest_delay, got.percentile_delay) == (n + 7, want[-1], want[max(math.ceil(n * share), 1) - 1])
         assert got.average_delay == sum(want) / n
+
+
+def test_percentiles_equal_their_sql_to_the_bit(spark):
+    """A rate that comes back from its percentile is cut off to a whole number, so that the last bit counts."""
+    data = spark.range(600).select(F.lit(20).cast("short").alias("atten"), (5000 + F.col("id") * 37).cast("int").alias("rate"), F.transform(F.sequence(F.lit(0), F.lit(33)), lambda i: (9000 + 577 * i).cast("float")).alias("ds"))
+    got = data.select("rate", percentiles.rate_to_percentile(F.col("atten"), F.col("rate"), F.col("ds"), "ds").alias("p"))
+    sql = format_queries._percentile_sql("rate", "ds", str(percentiles.PEAK["ds"][20]), 175000)
+    want = duckdb.sql(f"select rate, {sql} from (select cast(5000 + i * 37 as integer) as rate, list_transform(range(34), lambda k: cast(9000 + 577 * k as float)) as ds from range(600) r(i))").fetchall()
+    assert {r.rate: r.p for r in got.collect()} == dict(want)
