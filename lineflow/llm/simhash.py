@@ -48,6 +48,8 @@ FINE_WORDS = 64
 DEVIATIONS = 4.0
 #: Share of pairs at the similarity, with the mean number of differing bits, that share a bucket.
 RECALL = 0.9999
+#: Pairs of a set that are checked before those found alike are joined and the others searched again.
+FEW_PAIRS = 2
 #: Sets or pairs of sets to compare are broadcast up to this many, and joined by a shuffle beyond it.
 BROADCAST_SETS = 200_000
 #: Members of more sets than this come last in a prefix; a list of so many rows of them is broadcast.
@@ -248,7 +250,7 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]], mode: str = "chains", similarity: float = 0.0, fine_limit: int | None = None) -> DataFrame:
+def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]], mode: str = "chains", similarity: float = 0.0, fine_limit: int | None = None, most: int | None = None) -> DataFrame:
     """fps (v long, f0 .. long, and label long, size int, shared int, fine binary where mode is rest), distinct -> links (a long, b long, bits int) within limit bits.
 
     bits tells how many bits differ, 0 where that isn't known. chains: a chain through each
@@ -258,7 +260,8 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
     links, but every fingerprint with a partner in a bucket has a link. rest: all pairs of
     different labels, each once, that can have the similarity: sets of `size` members, of
     which `shared` are in any other set, have the smaller `shared` in common at most, and
-    their finer fingerprints differ in fine_limit bits at most.
+    their finer fingerprints differ in fine_limit bits at most. With `most` a task hands on
+    so many of one row at most, and a row of bits -1 if there are more.
 
     In a bucket over BUCKET_ROWS most rows are near to its first fingerprint, or have its
     most frequent label: these need not meet each other, only the others. They are cut
@@ -293,14 +296,14 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
         cells = tagged.select("bucket", "v", *names, *extra, F.explode(F.concat(with_near, alone)).alias("cell"), (~F.col("near")).alias("asked"))
         rows = rows.join(hot.select("bucket"), "bucket", "left_anti").unionByName(cells)
     rows = rows.select("bucket", "cell", "asked", "v", *extra, *names).repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
-    skip, most = 4 + len(extra), BUFFER_WORDS // n_words
+    skip, room = 4 + len(extra), BUFFER_WORDS // n_words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
                 held.append(batch)
-                if sum(b.num_rows for b in held) < most:
+                if sum(b.num_rows for b in held) < room:
                     continue
             if not held or not sum(b.num_rows for b in held):
                 continue
@@ -320,7 +323,7 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
                 label, size, shared, t = (rows.column(i).to_numpy()[:end] for i in (4, 5, 6, 8))
                 fine = np.frombuffer(b"".join(rows.column(7)[:end].to_pylist()), np.uint64).reshape(end, -1)
                 can = lambda p, q: np.minimum(shared[p], shared[q]) >= similarity / (1 + similarity) * (size[p] + size[q]) - 1e-6  # noqa: B023, E731
-                pairs = _finer(fine, fine_limit, _rest(fp, bucket, label, t, asked, limit, tables, can), v)
+                pairs = _finer(fine, fine_limit, _rest(fp, bucket, label, t, asked, limit, tables, can), v, most)
             else:
                 pairs = {"chains": _chains, "first": _first}[mode](fp, bucket, v, asked, limit)
             for found in pairs:
@@ -367,12 +370,24 @@ def _first(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, asked: np.ndarray,
     yield v[found], best[found], np.zeros(found.sum(), np.int32)
 
 
-def _finer(fine: np.ndarray, limit: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], v: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+def _finer(fine: np.ndarray, limit: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], v: np.ndarray, most: int | None = None) -> Iterator[tuple[np.ndarray, ...]]:
+    taken, more = np.zeros(len(v), np.int64), False
     for p, q in pairs:
         for at in range(0, len(p), SLICE):
             a, b = p[at : at + SLICE], q[at : at + SLICE]
             near = np.bitwise_count(fine[a] ^ fine[b]).sum(axis=1, dtype=np.int64) <= limit
-            yield v[a[near]], v[b[near]], np.zeros(near.sum(), np.int32)
+            a, b = a[near], b[near]
+            if most is not None and len(a):
+                by = np.argsort(a, kind="stable")
+                a, b = a[by], b[by]
+                first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+                kept = taken[a] + np.arange(len(a)) - np.repeat(first, np.diff(np.r_[first, len(a)])) < most
+                more |= not kept.all()
+                a, b = a[kept], b[kept]
+                np.add.at(taken, a, 1)
+            yield v[a], v[b], np.zeros(len(a), np.int32)
+    if more:
+        yield v[:1], v[:1], np.full(1, -1, np.int32)
 
 
 def _rest(fp: np.ndarray, bucket: np.ndarray, label: np.ndarray, t: np.ndarray, asked: np.ndarray, limit: int, tables: list[tuple[int, int]], can: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -485,7 +500,8 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     number of pairs near the number of texts, however large a group is: first each set is
     checked against the smallest and the nearest of its first candidates, and then all
     pairs within the limits of bits, of the fingerprints and of the finer ones, are that are
-    in different groups still, but for those whose members in no other set rule the
+    in different groups still, in rounds: FEW_PAIRS of each set, and while there are more,
+    four times as many of those that are in different groups by then; but for those whose members in no other set rule the
     similarity out.
     """
     prints = written(shingle_sets(docs, shingle, n_words, int(exact_to / similarity) + 1, id_col, text_col), "sets")
@@ -508,12 +524,21 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     pairs = _ordered(partners.select(F.col("v").alias("a"), F.explode(F.array("least", "nearest")).alias("b")))
     good = cut(alike(pairs, members, similarity))
     labels = cut(_labelled(needed, components(good)))
-    asked = large.join(labels, "v").join(lone(members.where(F.size("x") > exact_to)), "v", "left").select("v", *names, "label", F.col("n").alias("size"), (F.col("n") - F.coalesce("lone", F.lit(0))).cast("int").alias("shared"))
+    asked = large.join(labels.select("v"), "v").join(lone(members.where(F.size("x") > exact_to)), "v", "left").select("v", *names, F.col("n").alias("size"), (F.col("n") - F.coalesce("lone", F.lit(0))).cast("int").alias("shared"))
     asked = cut(asked.where(F.col("shared") >= F.lit(similarity) * F.col("size") - 1e-9))
     few = asked.select("v")
     fine = finer(members.join(F.broadcast(few) if asked.count() <= BROADCAST_SETS else few, "v", "left_semi"))
-    more = links(asked.join(fine, "v"), n_words, limit, tables, "rest", similarity, bit_limit(similarity, 64 * FINE_WORDS, DEVIATIONS)).select("a", "b").union(other_holders(small.join(labels, "v"), similarity))
-    roots = components(good.union(alike(_ordered(more), members, similarity)))
+    good = cut(good.union(alike(_ordered(other_holders(small.join(labels, "v"), similarity)), members, similarity)))
+    most, whole = FEW_PAIRS, False
+    while not whole:
+        named = _labelled(asked, components(good))
+        more = cut(links(named.join(fine, "v"), n_words, limit, tables, "rest", similarity, bit_limit(similarity, 64 * FINE_WORDS, DEVIATIONS), most))
+        pairs = cut(_ordered(more.where("bits >= 0")))
+        place = F.row_number().over(Window.partitionBy("a").orderBy(F.xxhash64("a", "b")))
+        few = cut(pairs.withColumn("place", place).where(F.col("place") <= most).select("a", "b"))
+        whole = more.where("bits < 0").isEmpty() and few.count() == pairs.count()
+        good, most = cut(good.union(alike(few, members, similarity))), 4 * most
+    roots = components(good)
     return prints.select("doc_id", "h", "g", "v").join(roots, "v", "left").select("doc_id", "h", "g", F.coalesce("root", "v").alias("root"))
 
 

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from lineflow.llm import components as components_module
 from lineflow.llm import simhash
@@ -205,3 +206,32 @@ def test_a_large_family_makes_few_pairs_and_one_group(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
     assert got == {**dict.fromkeys(range(150), 0), **{i: i for i in range(150, 200)}}
     assert sum(counted) < 20 * 150
+
+
+def test_a_family_around_the_similarity_makes_few_links(spark, monkeypatch):
+    """About half of all pairs are alike; most of them are within a group before they are checked."""
+    rng = random.Random(5)
+    base, texts = drawn(rng, 600), []
+    for _ in range(150):
+        text = list(base)
+        for i in rng.sample(range(600), rng.randint(4, 9)):
+            text[i] = drawn(rng, 1)[0]
+        texts.append(" ".join(text))
+    docs = spark.createDataFrame(list(enumerate([*texts, " ".join(drawn(rng, 600))])), "doc_id long, text string")
+    far = simhash.shingle_sets(docs.where("doc_id = 150"), 5, 0, 0).first().v
+    made, alike, links = [], simhash.alike, simhash.links
+    # first candidates that aren't alike: all is left to the later ones
+    monkeypatch.setattr(simhash, "links", lambda df, *a: df.select(F.col("v").alias("a"), F.lit(far).alias("b"), F.lit(0).alias("bits")) if "first" in a else links(df, *a))
+
+    def counted(*a):
+        found = simhash.cut(alike(*a))
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(simhash, "alike", counted)
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    words = [t.split() for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in words]
+    want = {(i, j) for i in range(150) for j in range(i) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])}
+    assert [got[i] for i in range(150)] == plain_roots(150, want) and len(want) > 3000
+    assert sum(made) < 8 * 150, made
