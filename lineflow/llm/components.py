@@ -21,7 +21,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Before each round every task replaces the links that it holds, TASK_ROWS at a time, by
     stars around the smallest id of each part that they connect, so that a component of
-    few links is a star at once. A round hooks every vertex to its first neighbour, follows
+    few links is a star at once; where one task holds all links, they are the result. A round hooks every vertex to its first neighbour, follows
     the hooks to their ends by doubling, and contracts the links. Neighbours are ordered by id in even rounds, so
     that stars and chains in order of id end at once, and by a hash of the id that
     differs by round in odd ones: there a vertex with a link has an even chance or better
@@ -31,6 +31,9 @@ def components(links: DataFrame) -> DataFrame:
     Vertices without links are not returned. State lives in reliable checkpoints only.
     """
     links, n = _stars(_clean(links.select(F.col("a").cast("long"), F.col("b").cast("long"))))
+    if n <= TASK_ROWS:
+        ends = links.select(F.col("b").alias("v"), F.col("a").alias("root"))
+        return cut(ends.union(links.select("a", "a").distinct()).coalesce(1))
     both = links.select(F.col("a").alias("v")).union(links.select(F.col("b").alias("v")))
     held = both.distinct().select("v", F.col("v").alias("at"))
     turn = 0

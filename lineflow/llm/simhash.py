@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lineflow.llm.common import cut, released, written
+from lineflow.llm.common import cut, released, shuffles_removed, written
 from lineflow.llm.components import components, forest
 
 #: A bucket with more fingerprints than this is compared in pairs of chunks, by several tasks.
@@ -251,7 +251,7 @@ def _signed(x: int) -> int:
 
 
 def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]], mode: str = "chains", similarity: float = 0.0, fine_limit: int | None = None, most: int | None = None) -> DataFrame:
-    """fps (v long, f0 .. long, and label long, size int, shared int, fine binary where mode is rest), distinct -> links (a long, b long, bits int) within limit bits.
+    """fps (v long, f0 .. long, and label long, size int, shared int where mode is met, and fine binary where it is rest), distinct -> links (a long, b long, bits int) within limit bits.
 
     bits tells how many bits differ, 0 where that isn't known. chains: a chain through each
     group of a bucket, which spans it. first: of each
@@ -261,19 +261,24 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
     different labels, each once, that can have the similarity: sets of `size` members, of
     which `shared` are in any other set, have the smaller `shared` in common at most, and
     their finer fingerprints differ in fine_limit bits at most. With `most` a task hands on
-    so many of one row at most, and a row of bits -1 if there are more.
+    so many of one row at most, and a row of bits -1 if there are more. met: not links, but the rows of
+    buckets that the pairs of rest come from but for the finer fingerprints, which told_apart() looks at: most rows of most
+    buckets meet none, and finer fingerprints are long.
 
     In a bucket over BUCKET_ROWS most rows are near to its first fingerprint, or have its
     most frequent label: these need not meet each other, only the others. They are cut
     into chunks, so are the others, and each pair of chunks is a cell of its own.
     """
+    if mode == "rest":
+        met = links(fps.drop("fine"), n_words, limit, tables, "met", similarity)
+        return told_apart(met, fps.select("v", "label"), fps.select("v", "fine"), n_words, limit, tables, similarity, fine_limit, most)
     names = [f"f{i}" for i in range(n_words)]
-    extra = ["label", "size", "shared", "fine", "t"] if mode == "rest" else []
+    extra = ["label", "size", "shared", "t"] if mode == "met" else []
     which = F.posexplode(F.array(*(F.lit(_signed(m)) for _, m in tables))).alias("t", "mask")
     rows = fps.select("v", *names, *extra, which)
     word = F.get(F.array(*names), F.get(F.array(*(F.lit(w) for w, _ in tables)), F.col("t"))) if n_words > 1 else F.col("f0")
     rows = rows.select(F.xxhash64("t", word.bitwiseAND(F.col("mask"))).alias("bucket"), "v", *names, *extra)
-    if mode == "rest":
+    if mode == "met":
         sizes = rows.groupBy("bucket", "label").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.sum("k").alias("count"), F.max_by("label", "k").alias("often"))
         near = F.col("label") == F.col("often")
     else:
@@ -284,7 +289,7 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
     rows = rows.withColumns({"cell": F.lit(0).cast("long"), "asked": F.lit(True)})
     if not hot.isEmpty():
         tagged = cut(rows.drop("cell", "asked").join(hot, "bucket").withColumn("near", near))
-        if mode != "rest":
+        if mode != "met":
             found = tagged.where(F.col("near") & (F.col("v") != F.col("pivot"))).select(F.col("v").alias("a"), F.col("pivot").alias("b"), F.lit(0).alias("bits"))
         parts = tagged.groupBy("bucket").agg(F.count_if("near").alias("n"), F.count_if(~F.col("near")).alias("f"))
         parts = parts.where("f > 0").select("bucket", *(F.ceil(F.col(c) / BUCKET_ROWS).cast("int").alias(c) for c in "nf"))
@@ -295,8 +300,58 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
         alone = F.when(~F.col("near"), F.transform(upto("f"), lambda d: cell(F.least("c", d.cast("long")), F.greatest("c", d.cast("long"))) + (1 << 61))).otherwise(F.expr("cast(array() as array<bigint>)"))
         cells = tagged.select("bucket", "v", *names, *extra, F.explode(F.concat(with_near, alone)).alias("cell"), (~F.col("near")).alias("asked"))
         rows = rows.join(hot.select("bucket"), "bucket", "left_anti").unionByName(cells)
-    rows = rows.select("bucket", "cell", "asked", "v", *extra, *names).repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
-    skip, room = 4 + len(extra), BUFFER_WORDS // n_words
+    rows = rows.select("bucket", "cell", "asked", "v", *extra, *names)
+
+    if mode == "met":
+        pairs = _pairs_of(n_words, limit, tables, similarity)
+
+        def meeting(rows: pa.RecordBatch, bucket: np.ndarray, asked: np.ndarray, v: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+            meets = np.zeros(len(v), bool)
+            for p, q in pairs(rows, bucket, asked, fp):
+                meets[p] = meets[q] = True
+            yield rows.filter(pa.array(meets)).drop_columns(["label"])
+
+        return _by_bucket(rows, n_words, meeting, ", ".join(["bucket long, cell long, asked boolean, v long, size int, shared int, t int", *(f"{f} long" for f in names)]))
+
+    def search(rows: pa.RecordBatch, bucket: np.ndarray, asked: np.ndarray, v: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+        return map(_link_batch, {"chains": _chains, "first": _first}[mode](fp, bucket, v, asked, limit))
+
+    searched = _by_bucket(rows, n_words, search, "a long, b long, bits int")
+    return searched if found is None else searched.union(found)
+
+
+def told_apart(met: DataFrame, labels: DataFrame, fine: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]], similarity: float, fine_limit: int | None, most: int | None = None) -> DataFrame:
+    """The links of mode rest in links(), from its rows that meet, labels (v, label) and fine (v, fine).
+
+    Labels may have been joined to larger groups since the rows met.
+    """
+    names = [f"f{i}" for i in range(n_words)]
+    rows = met.join(labels, "v").join(fine, "v").select("bucket", "cell", "asked", "v", "label", "size", "shared", "t", *names, "fine")
+    pairs = _pairs_of(n_words, limit, tables, similarity)
+
+    def search(rows: pa.RecordBatch, bucket: np.ndarray, asked: np.ndarray, v: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+        prints = np.frombuffer(b"".join(rows.column("fine").to_pylist()), np.uint64).reshape(len(v), -1)
+        return map(_link_batch, _finer(prints, fine_limit, pairs(rows, bucket, asked, fp), v, most))
+
+    return _by_bucket(rows, n_words, search, "a long, b long, bits int")
+
+
+def _link_batch(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.int32()))], ["a", "b", "bits"])
+
+
+def _pairs_of(n_words: int, limit: int, tables: list[tuple[int, int]], similarity: float) -> Callable[..., Iterator[tuple[np.ndarray, np.ndarray]]]:
+    def pairs(rows: pa.RecordBatch, bucket: np.ndarray, asked: np.ndarray, fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        label, size, shared, t = (rows.column(c).to_numpy() for c in ("label", "size", "shared", "t"))
+        can = lambda p, q: np.minimum(shared[p], shared[q]) >= similarity / (1 + similarity) * (size[p] + size[q]) - 1e-6
+        return _rest(fp, bucket, label, t, asked, limit, tables, can)
+
+    return pairs
+
+
+def _by_bucket(rows: DataFrame, n_words: int, search: Callable[..., Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """What search() gives for rows (bucket, cell, asked, v, .., f0 ..), as many whole buckets at a time as fill a buffer."""
+    room = BUFFER_WORDS // n_words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -316,21 +371,12 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
             held = [rows.slice(end)] if end < n else []
             if not end:
                 continue
-            asked, v = rows.column(2).to_numpy(zero_copy_only=False)[:end], rows.column(3).to_numpy()[:end]
-            fp = np.column_stack([rows.column(skip + i).to_numpy()[:end] for i in range(n_words)]).view(np.uint64)
-            bucket = np.cumsum(new[:end]) - 1
-            if mode == "rest":
-                label, size, shared, t = (rows.column(i).to_numpy()[:end] for i in (4, 5, 6, 8))
-                fine = np.frombuffer(b"".join(rows.column(7)[:end].to_pylist()), np.uint64).reshape(end, -1)
-                can = lambda p, q: np.minimum(shared[p], shared[q]) >= similarity / (1 + similarity) * (size[p] + size[q]) - 1e-6  # noqa: B023, E731
-                pairs = _finer(fine, fine_limit, _rest(fp, bucket, label, t, asked, limit, tables, can), v, most)
-            else:
-                pairs = {"chains": _chains, "first": _first}[mode](fp, bucket, v, asked, limit)
-            for found in pairs:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.int32()))], ["a", "b", "bits"])
-
-    searched = rows.mapInArrow(released(run), "a long, b long, bits int")
-    return searched if found is None else searched.union(found)
+            rows = rows.slice(0, end)
+            asked, v = rows.column(2).to_numpy(zero_copy_only=False), rows.column(3).to_numpy()
+            fp = np.column_stack([rows.column(f"f{i}").to_numpy() for i in range(n_words)]).view(np.uint64)
+            yield from search(rows, np.cumsum(new[:end]) - 1, asked, v, fp)
+
+    return rows.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell").mapInArrow(released(run), schema)
 
 
 def _chains(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, asked: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -505,6 +551,13 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     similarity out.
     """
     prints = written(shingle_sets(docs, shingle, n_words, int(exact_to / similarity) + 1, id_col, text_col), "sets")
+    with shuffles_removed(docs.sparkSession):
+        roots = _roots(docs, prints, shingle, similarity, n_words, id_col, text_col, exact_to)
+    return prints.select("doc_id", "h", "g", "v").join(roots, "v", "left").select("doc_id", "h", "g", F.coalesce("root", "v").alias("root"))
+
+
+def _roots(docs: DataFrame, prints: DataFrame, shingle: int, similarity: float, n_words: int, id_col: str, text_col: str, exact_to: int) -> DataFrame:
+    """(v, root) of the sets in prints, the table of shingle_sets(), that are linked to another one."""
     names = [f"f{i}" for i in range(n_words)]
     distinct = cut(prints.groupBy("v").agg(F.first("n").alias("n"), *(F.first(f).alias(f) for f in names)))
     large = distinct.where(F.col("n") > exact_to).select("v", "n", *names)
@@ -527,19 +580,20 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     asked = large.join(labels.select("v"), "v").join(lone(members.where(F.size("x") > exact_to)), "v", "left").select("v", *names, F.col("n").alias("size"), (F.col("n") - F.coalesce("lone", F.lit(0))).cast("int").alias("shared"))
     asked = cut(asked.where(F.col("shared") >= F.lit(similarity) * F.col("size") - 1e-9))
     few = asked.select("v")
-    fine = finer(members.join(F.broadcast(few) if asked.count() <= BROADCAST_SETS else few, "v", "left_semi"))
+    fine = written(finer(members.join(F.broadcast(few) if asked.count() <= BROADCAST_SETS else few, "v", "left_semi")), "fine")
     good = cut(good.union(alike(_ordered(other_holders(small.join(labels, "v"), similarity)), members, similarity)))
-    most, whole = FEW_PAIRS, False
+    most, whole, met = FEW_PAIRS, False, None
     while not whole:
         named = _labelled(asked, components(good))
-        more = cut(links(named.join(fine, "v"), n_words, limit, tables, "rest", similarity, bit_limit(similarity, 64 * FINE_WORDS, DEVIATIONS), most))
+        if met is None:
+            met = written(links(named, n_words, limit, tables, "met", similarity), "met")
+        more = written(told_apart(met, named.select("v", "label"), fine, n_words, limit, tables, similarity, bit_limit(similarity, 64 * FINE_WORDS, DEVIATIONS), most), "rest")
         pairs = cut(_ordered(more.where("bits >= 0")))
         place = F.row_number().over(Window.partitionBy("a").orderBy(F.xxhash64("a", "b")))
         few = cut(pairs.withColumn("place", place).where(F.col("place") <= most).select("a", "b"))
         whole = more.where("bits < 0").isEmpty() and few.count() == pairs.count()
         good, most = cut(good.union(alike(few, members, similarity))), 4 * most
-    roots = components(good)
-    return prints.select("doc_id", "h", "g", "v").join(roots, "v", "left").select("doc_id", "h", "g", F.coalesce("root", "v").alias("root"))
+    return components(good)
 
 
 def lone(members: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
+import glob
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -235,3 +237,40 @@ def test_a_family_around_the_similarity_makes_few_links(spark, monkeypatch):
     want = {(i, j) for i in range(150) for j in range(i) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])}
     assert [got[i] for i in range(150)] == plain_roots(150, want) and len(want) > 3000
     assert sum(made) < 8 * 150, made
+
+
+def test_rows_that_meet_none_are_left_out_before_finer_fingerprints_are_dealt(spark):
+    """Of 300 rows in 40 tables only those of a pair of different labels go on, each in the bucket that the pair comes from."""
+    rng = np.random.default_rng(14)
+    fps = rng.integers(0, 1 << 63, (300, 4), np.uint64)
+    fps[1:3] = fps[0] ^ np.array([[0, 0, 1, 0], [0, 2, 0, 0]], np.uint64)
+    fps[11] = fps[10] ^ np.array([4, 0, 0, 0], np.uint64)  # of one label
+    tables = simhash.drawn_masks(len(fps), 4, 0.9)[:40]
+    rows = [(i, *(int(x) for x in f.view(np.int64)), 10 if i in (10, 11) else i, 100, 100) for i, f in enumerate(fps)]
+    df = spark.createDataFrame(rows, "v long, f0 long, f1 long, f2 long, f3 long, label long, size int, shared int")
+    met = simhash.cut(simhash.links(df, 4, 30, tables, "met", 0.8))
+    assert {r.v for r in met.collect()} == {0, 1, 2} and met.count() <= 6
+    fine = spark.createDataFrame([(i, bytearray(16)) for i in range(300)], "v long, fine binary")
+    found = lambda labels: {tuple(sorted((r.a, r.b))) for r in simhash.told_apart(met, labels, fine, 4, 30, tables, 0.8, 0).collect()}
+    assert found(df.select("v", "label")) == {(0, 1), (0, 2), (1, 2)}
+    assert found(df.select("v", F.when(F.col("v") == 1, 0).otherwise(F.col("label")).cast("long").alias("label"))) == {(0, 2), (1, 2)}
+
+
+def test_files_of_shuffles_go_with_their_action(spark):
+    files = lambda: {p for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString() for p in glob.glob(f"{d}/*/shuffle_*.data")}
+    before, key = files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    with simhash.shuffles_removed(spark):
+        assert simhash.cut(spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count()).count() == 7
+    assert spark.conf.get(key, None) == was
+    for _ in range(50):  # files are removed behind the action
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+
+
+def test_links_that_one_task_holds_take_no_rounds(spark, monkeypatch):
+    monkeypatch.setattr(components_module, "_hooks", None)
+    got = components(spark.createDataFrame([(5, 3), (3, 9), (8, 7), (4, 4), (None, 1)], "a long, b long")).collect()
+    assert sorted((r.v, r.root) for r in got) == [(3, 3), (5, 3), (7, 7), (8, 7), (9, 3)]
