@@ -261,7 +261,7 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
     different labels, each once, that can have the similarity: sets of `size` members, of
     which `shared` are in any other set, have the smaller `shared` in common at most, and
     their finer fingerprints differ in fine_limit bits at most. With `most` a task hands on
-    so many of one row at most, and a row of bits -1 if there are more. met: not links, but the rows of
+    so many of one row at most, and rows of bits -1 for those that have more. met: not links, but the rows of
     buckets that the pairs of rest come from but for the finer fingerprints, which told_apart() looks at: most rows of most
     buckets meet none, and finer fingerprints are long.
 
@@ -271,7 +271,7 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
     """
     if mode == "rest":
         met = links(fps.drop("fine"), n_words, limit, tables, "met", similarity)
-        return told_apart(met, fps.select("v", "label"), fps.select("v", "fine"), n_words, limit, tables, similarity, fine_limit, most)
+        return told_apart(met, fps.select("v", "label", "fine"), n_words, limit, tables, similarity, fine_limit, most).select("a", "b", "bits")
     names = [f"f{i}" for i in range(n_words)]
     extra = ["label", "size", "shared", "t"] if mode == "met" else []
     which = F.posexplode(F.array(*(F.lit(_signed(m)) for _, m in tables))).alias("t", "mask")
@@ -320,24 +320,30 @@ def links(fps: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]
     return searched if found is None else searched.union(found)
 
 
-def told_apart(met: DataFrame, labels: DataFrame, fine: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]], similarity: float, fine_limit: int | None, most: int | None = None) -> DataFrame:
-    """The links of mode rest in links(), from its rows that meet, labels (v, label) and fine (v, fine).
+def told_apart(met: DataFrame, marks: DataFrame, n_words: int, limit: int, tables: list[tuple[int, int]], similarity: float, fine_limit: int | None, most: int | None = None) -> DataFrame:
+    """(a, b, bits, bucket, cell): the links of mode rest in links(), from its rows that meet and marks (v, label, fine).
 
-    Labels may have been joined to larger groups since the rows met.
+    Labels may have been joined to larger groups since the rows met. Rows of bits -1 are
+    those of met, by a, bucket and cell, that have a pair which `most` held back: no other
+    row is needed to find these pairs.
     """
     names = [f"f{i}" for i in range(n_words)]
-    rows = met.join(labels, "v").join(fine, "v").select("bucket", "cell", "asked", "v", "label", "size", "shared", "t", *names, "fine")
+    rows = met.join(marks, "v").select("bucket", "cell", "asked", "v", "label", "size", "shared", "t", *names, "fine")
     pairs = _pairs_of(n_words, limit, tables, similarity)
 
     def search(rows: pa.RecordBatch, bucket: np.ndarray, asked: np.ndarray, v: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
         prints = np.frombuffer(b"".join(rows.column("fine").to_pylist()), np.uint64).reshape(len(v), -1)
-        return map(_link_batch, _finer(prints, fine_limit, pairs(rows, bucket, asked, fp), v, most))
+        held, key, cell = np.zeros(len(v), bool), rows.column("bucket").to_numpy(), rows.column("cell").to_numpy()
+        for p, q in _finer(prints, fine_limit, pairs(rows, bucket, asked, fp), held, most):
+            yield _link_batch((v[p], v[q], np.zeros(len(p), np.int32), key[p], cell[p]))
+        yield _link_batch((v[held], v[held], np.full(held.sum(), -1, np.int32), key[held], cell[held]))
 
-    return _by_bucket(rows, n_words, search, "a long, b long, bits int")
+    return _by_bucket(rows, n_words, search, "a long, b long, bits int, bucket long, cell long")
 
 
 def _link_batch(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.int32()))], ["a", "b", "bits"])
+    names = ["a", "b", "bits", "bucket", "cell"][: len(found)]
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if c == "bits" else pa.int64()) for x, c in zip(found, names)], names)
 
 
 def _pairs_of(n_words: int, limit: int, tables: list[tuple[int, int]], similarity: float) -> Callable[..., Iterator[tuple[np.ndarray, np.ndarray]]]:
@@ -416,8 +422,9 @@ def _first(fp: np.ndarray, bucket: np.ndarray, v: np.ndarray, asked: np.ndarray,
     yield v[found], best[found], np.zeros(found.sum(), np.int32)
 
 
-def _finer(fine: np.ndarray, limit: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], v: np.ndarray, most: int | None = None) -> Iterator[tuple[np.ndarray, ...]]:
-    taken, more = np.zeros(len(v), np.int64), False
+def _finer(fine: np.ndarray, limit: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], held: np.ndarray, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The near ones of pairs, `most` of one row at most; held is set for the ends of those beyond."""
+    taken = np.zeros(len(fine), np.int64)
     for p, q in pairs:
         for at in range(0, len(p), SLICE):
             a, b = p[at : at + SLICE], q[at : at + SLICE]
@@ -428,12 +435,10 @@ def _finer(fine: np.ndarray, limit: int, pairs: Iterator[tuple[np.ndarray, np.nd
                 a, b = a[by], b[by]
                 first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
                 kept = taken[a] + np.arange(len(a)) - np.repeat(first, np.diff(np.r_[first, len(a)])) < most
-                more |= not kept.all()
+                held[a[~kept]] = held[b[~kept]] = True
                 a, b = a[kept], b[kept]
                 np.add.at(taken, a, 1)
-            yield v[a], v[b], np.zeros(len(a), np.int32)
-    if more:
-        yield v[:1], v[:1], np.full(1, -1, np.int32)
+            yield a, b
 
 
 def _rest(fp: np.ndarray, bucket: np.ndarray, label: np.ndarray, t: np.ndarray, asked: np.ndarray, limit: int, tables: list[tuple[int, int]], can: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -547,7 +552,7 @@ def duplicate_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     checked against the smallest and the nearest of its first candidates, and then all
     pairs within the limits of bits, of the fingerprints and of the finer ones, are that are
     in different groups still, in rounds: FEW_PAIRS of each set, and while there are more,
-    four times as many of those that are in different groups by then; but for those whose members in no other set rule the
+    four times as many of those that were held back and are in different groups by then; but for those whose members in no other set rule the
     similarity out.
     """
     prints = written(shingle_sets(docs, shingle, n_words, int(exact_to / similarity) + 1, id_col, text_col), "sets")
@@ -582,17 +587,23 @@ def _roots(docs: DataFrame, prints: DataFrame, shingle: int, similarity: float,
     few = asked.select("v")
     fine = written(finer(members.join(F.broadcast(few) if asked.count() <= BROADCAST_SETS else few, "v", "left_semi")), "fine")
     good = cut(good.union(alike(_ordered(other_holders(small.join(labels, "v"), similarity)), members, similarity)))
-    most, whole, met = FEW_PAIRS, False, None
-    while not whole:
+    fine_limit, most, met, waiting = bit_limit(similarity, 64 * FINE_WORDS, DEVIATIONS), FEW_PAIRS, None, None
+    while True:
         named = _labelled(asked, components(good))
         if met is None:
             met = written(links(named, n_words, limit, tables, "met", similarity), "met")
-        more = written(told_apart(met, named.select("v", "label"), fine, n_words, limit, tables, similarity, bit_limit(similarity, 64 * FINE_WORDS, DEVIATIONS), most), "rest")
-        pairs = cut(_ordered(more.where("bits >= 0")))
+        more = written(told_apart(met, named.select("v", "label").join(fine, "v"), n_words, limit, tables, similarity, fine_limit, most), "rest")
+        pairs = more.where("bits >= 0").select("a", "b")
+        if waiting is not None:
+            label = lambda c: named.select(F.col("v").alias(c), F.col("label").alias(f"l{c}"))  # noqa: B023, E731
+            pairs = pairs.union(waiting.join(label("a"), "a").join(label("b"), "b").where("la <> lb").select("a", "b"))
         place = F.row_number().over(Window.partitionBy("a").orderBy(F.xxhash64("a", "b")))
-        few = cut(pairs.withColumn("place", place).where(F.col("place") <= most).select("a", "b"))
-        whole = more.where("bits < 0").isEmpty() and few.count() == pairs.count()
-        good, most = cut(good.union(alike(few, members, similarity))), 4 * most
+        pairs = cut(_ordered(pairs).withColumn("place", place))
+        good = cut(good.union(alike(pairs.where(F.col("place") <= most).select("a", "b"), members, similarity)))
+        waiting, held = pairs.where(F.col("place") > most).select("a", "b"), more.where("bits < 0").select("bucket", "cell", F.col("a").alias("v"))
+        if held.isEmpty() and waiting.isEmpty():
+            break
+        met, most = written(met.join(held, ["bucket", "cell", "v"], "left_semi"), "met"), 4 * most
     return components(good)
 
 

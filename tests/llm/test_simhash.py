@@ -251,9 +251,11 @@ def test_rows_that_meet_none_are_left_out_before_finer_fingerprints_are_dealt(sp
     met = simhash.cut(simhash.links(df, 4, 30, tables, "met", 0.8))
     assert {r.v for r in met.collect()} == {0, 1, 2} and met.count() <= 6
     fine = spark.createDataFrame([(i, bytearray(16)) for i in range(300)], "v long, fine binary")
-    found = lambda labels: {tuple(sorted((r.a, r.b))) for r in simhash.told_apart(met, labels, fine, 4, 30, tables, 0.8, 0).collect()}
+    found = lambda labels: {tuple(sorted((r.a, r.b))) for r in simhash.told_apart(met, labels.join(fine, "v"), 4, 30, tables, 0.8, 0).collect()}
     assert found(df.select("v", "label")) == {(0, 1), (0, 2), (1, 2)}
     assert found(df.select("v", F.when(F.col("v") == 1, 0).otherwise(F.col("label")).cast("long").alias("label"))) == {(0, 2), (1, 2)}
+    held = [(r.a, r.bits) for r in simhash.told_apart(met, df.select("v", "label").join(fine, "v"), 4, 30, tables, 0.8, 0, 0).collect()]
+    assert len(held) == met.count() and set(held) == {(0, -1), (1, -1), (2, -1)}
 
 
 def test_files_of_shuffles_go_with_their_action(spark):
