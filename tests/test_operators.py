@@ -209,6 +209,29 @@ def test_typed_read_and_sinks(spark, tmp_path):
     assert {r.id: r.v for r in tables.replaced(spark, log, ["id"], "ts").collect()} == {1: None, 2: "b"}
 
 
+@pytest.mark.parametrize("days", [7, 3 * tables.OPEN_FILES])
+def test_writes_by_date_sort_no_whole_task(spark, tmp_path, days):
+    rows = spark.range(days * 40).repartition(2).select("id", F.timestamp_seconds(F.col("id") % days * 86400).alias("ts"))
+    tables.write_by_date(rows, str(tmp_path / "t"), "ts")
+    tables.upsert_by_key(rows, str(tmp_path / "log"), 1, "ts")
+    store = spark._jsparkSession.sharedState().statusStore()
+    ran = [store.executionsList().apply(i).physicalPlanDescription() for i in range(store.executionsList().size())]
+    writes = [plan for plan in ran if str(tmp_path) in plan and "WriteFiles" in plan]
+    assert len(writes) == 2 and not any("Sort" in plan for plan in writes)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) is None
+    got = spark.read.parquet(str(tmp_path / "t")).select("id", "ts", F.col("dt").cast("string")).collect()
+    assert sorted(r.id for r in got) == list(range(days * 40)) and all(str(r.ts.date()) == r.dt for r in got)
+    assert len(list((tmp_path / "t").glob("dt=*"))) == days and len(list((tmp_path / "t").glob("dt=*/*.parquet"))) <= 2 * days
+    assert sorted(r.id for r in tables.live(spark, str(tmp_path / "log")).collect()) == list(range(days * 40))
+
+
+def test_failed_writes_by_date_leave_the_session_alone(spark, tmp_path):
+    broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id"), F.lit(T0).alias("ts"))
+    with pytest.raises(Exception, match="no"):
+        tables.write_by_date(broken, str(tmp_path / "t"), "ts")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) is None
+
+
 def test_documents_have_the_long_names(spark):
     inst = "inst struct<ifAdminStatus:boolean,ifOperStatus:boolean,actualDs:int,actualUs:int,attndrDs:int,attndrUs:int,attenuationDs:short,userMacAddress:string>"
     hist = "hist struct<ses:short,uas:short,lprFe:short,sesFe:short,reInit:short,unCorrDtuDs:long,unCorrDtuUs:long,reTransUs:long,reTransDs:long>"
