@@ -5,9 +5,9 @@ fallback; both see a space before the text. The libraries' spans (character offs
 byte spans of B's proto) are the coarse cuts. Where tokens share a character, or bytes
 stand for one, the spans overlap or are empty, and the tokens' decoded bytes place the ends.
 
-Neither tokenizer has a token across a single space between other characters, so a text is
-cut there, each distinct piece is aligned once, and a task keeps the pieces it has seen.
-Tokenizers of another kind get whole texts.
+Neither tokenizer has a token across a single space or line end between other characters, or
+across a letter and the stop after it, so a text is cut there, each distinct piece is aligned
+once, and a task keeps the pieces it has seen. Tokenizers of another kind get whole texts.
 
 Counts of linked ids are sums over the corpus: tasks add up theirs before the shuffle. The
 table of counts goes back to the tasks in slices of bounded size, each met by all
@@ -23,10 +23,11 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterable, Iterator
-from operator import itemgetter
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,12 @@ BATCH_BYTES = 4 << 20
 #: Pairs of ids in a slice of the table of counts, 17 bytes each.
 SLICE = 4_000_000
 
-Entry = tuple[int, int, bytes, str]
+#: Number of A's tokens, keys of links, and groups, each with a semicolon at its end.
+Entry = tuple[int, bytes, str]
+#: Of a piece whose tokens' bytes aren't its own; no text has so many tokens.
+BAD: Entry = (1 << 40, b"", "")
+#: A piece that is a word and stops, which are aligned each for itself.
+_STOPPED = re.compile(r"(\n?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]{1,3})")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -83,23 +89,40 @@ class Aligner:
         self.a_length, self.b_length = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         self.width = len(self.a_bytes)  # of a pair's key: id of B times width, plus id of A
         self.dtype = np.dtype("<u4" if self.width * len(pieces) < 1 << 32 else "<u8")
-        self.cut = re.compile(r"(?<=\S)(?= \S)") if self._local(pieces) else None
-        self.known: dict[str, Entry | None] = {}
-        self.older: dict[str, Entry | None] = {}
+        self.cut = re.compile(r"(?<=\S)(?=[ \n]\S)") if self._local(pieces) else None
+        # what is written of each token: A's within a group and at the end of its part, then B's
+        self.words = [f"{i}{c}" for n, ends in ((self.width, ",|"), (len(pieces), ",;")) for c in ends for i in range(n)]
+        self.word_length = np.array([len(x) for x in self.words], np.int64)
+        self.known: dict[str, Entry] = {}
+        self.older: dict[str, Entry] = {}
+        self.stops: dict[str, Entry] = {}
 
     def _local(self, pieces: list[str]) -> bool:
-        """Whether texts may be cut before a single space."""
+        """Whether texts may be cut before a single space or line end, and between a letter and a stop."""
         import json
 
         spec = json.loads(self.a.to_str())
         split = spec["pre_tokenizer"] or {}
-        return not spec["normalizer"] and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split["add_prefix_space"] and not any(SPACE in p.lstrip(SPACE) for p in pieces)
+        return not spec["normalizer"] and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split["add_prefix_space"] and not any(SPACE in p.lstrip(SPACE) or "\n" in p or re.search("[A-Za-zÀ-ÖØ-öø-ÿ][.,;:!?]", p) for p in pieces)
 
     def pieces(self, text: str) -> list[str]:
-        return self.cut.split(f" {text}") if self.cut else [f" {text}"]
-
-    def learn(self, pieces: list[str]) -> list[Entry | None]:
-        """Entries of pieces that the libraries get as one text; each begins with a space."""
+        """The pieces of a space and the text; one that begins with neither space nor line end has a space before it."""
+        if not self.cut:
+            return [f" {text}"]
+        flat = text.replace("\n", " ")
+        if " ".join(flat.split()) == flat:  # every white space is one to cut at
+            return text.replace("\n", " \n").split(" ")
+        return [p[1:] if p[0] == " " and not p[1].isspace() else p for p in self.cut.split(f" {text}")]
+
+    def learn(self, own: list[str]) -> list[Entry]:
+        """Entries of pieces, with their spaces, that the libraries get as one text; one that begins otherwise gets a word before it."""
+        pieces: list[str] = []
+        at_own = []
+        for piece in own:
+            if piece[0] != " ":
+                pieces.append(" a")
+            at_own.append(len(pieces))
+            pieces.append(piece)
         text = "".join(pieces)
         points = np.frombuffer(text.encode("utf-32-le"), "<u4")
         at = np.concatenate([[0], np.cumsum(1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000))])  # byte where a character begins
@@ -108,10 +131,11 @@ class Aligner:
 
         found = self.a.encode(text, add_special_tokens=False)
         a = np.array(found.ids, np.int64)
-        spans = at[np.array(found.offsets, np.int64).reshape(-1, 2)]
+        spans = at[np.fromiter(itertools.chain.from_iterable(found.offsets), np.int64, 2 * len(a)).reshape(-1, 2)]
         a_first, a_end, a_good = self._assigned(a, spans[:, 0], spans[:, 1], self.a_bytes, self.a_length, starts, data)
         proto = self.b.encode(text[1:], return_type="proto")
-        b, begin, end = (np.array(x, np.int64) for x in zip(*((p.id, p.begin, p.end) for p in proto.pieces))) if len(proto.pieces) else (np.zeros(0, np.int64),) * 3
+        tokens = list(proto.pieces)
+        b, begin, end = (np.fromiter(map(attrgetter(x), tokens), np.int64, len(tokens)) for x in ("id", "begin", "end"))
         begin = np.where(np.arange(len(b)) == 0, 0, begin + 1)  # the space in front is not in B's text
         b_first, b_end, b_good = self._assigned(b, begin, end + 1, self.b_bytes, self.b_length, starts, data)
 
@@ -122,20 +146,17 @@ class Aligner:
         twice = np.append(both[1:] == both[:-1], False)[: len(both)]
         ends, common = both[~twice], both[twice]  # a link ends at each end: the tokens of A and B that hold the bytes before it
         keys = (b[np.searchsorted(b_end, ends)] * self.width + a[np.searchsorted(a_end, ends)]).astype(self.dtype)
-        per_piece = lambda x: np.searchsorted(x, starts, "right")
+        a_group, b_group = np.searchsorted(common, a_end), np.searchsorted(common, b_end)
         a_to, b_to = np.searchsorted(a_end, common, "right"), np.searchsorted(b_end, common, "right")
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        a_to, b_to = a_to.tolist(), b_to.tolist()
-        groups = [
-            f"{a_text[i] if j == i + 1 else ','.join(a_text[i:j])}|{b_text[k] if m == k + 1 else ','.join(b_text[k:m])}"
-            for i, j, k, m in zip([0, *a_to], a_to, [0, *b_to], b_to)
-        ]
-        of_a, of_link, of_group = per_piece(a_end).tolist(), per_piece(ends).tolist(), per_piece(common).tolist()
+        words = np.empty(len(a) + len(b), np.int64)  # a group's tokens of A, then its tokens of B
+        words[np.arange(len(a)) + np.append(0, b_to)[a_group]] = a + self.width * (a_end == common[a_group])
+        words[np.arange(len(b)) + a_to[b_group]] = 2 * self.width + b + len(self.b_bytes) * (b_end == common[b_group])
+        groups = "".join(map(self.words.__getitem__, words.tolist()))
+        chars = np.append(0, np.cumsum(self.word_length[words]))
+        of_a, of_b, of_link = (np.searchsorted(x, starts, "right") for x in (a_end, b_end, ends))
         raw, w = keys.tobytes(), self.dtype.itemsize
-        return [
-            (a2 - a1, g2 - g1, raw[k1 * w : k2 * w], ";".join(groups[g1:g2])) if ok else None
-            for ok, a1, a2, g1, g2, k1, k2 in zip(good.tolist(), of_a, of_a[1:], of_group, of_group[1:], of_link, of_link[1:])
-        ]
+        good, of_a, of_link, of_char = (x.tolist() for x in (good, of_a, of_link * w, chars[of_a + of_b]))
+        return [(of_a[i + 1] - of_a[i], raw[of_link[i] : of_link[i + 1]], groups[of_char[i] : of_char[i + 1]]) if good[i] else BAD for i in at_own]
 
     @staticmethod
     def _assigned(ids, begin, end, table, lengths, starts, data) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -143,7 +164,7 @@ class Aligner:
         piece = np.searchsorted(starts, begin, "right") - 1
         first = np.searchsorted(piece, np.arange(len(starts)), "left")
         ends = placed(begin, end, lengths[ids])
-        decoded = [table[i] for i in ids.tolist()]
+        decoded = list(map(table.__getitem__, ids.tolist()))
         last = first[1:]
         whole = (last > first[:-1]) & (np.append(ends, 0)[last - 1] == starts[1:])
         if b"".join(decoded) == data and whole.all():
@@ -163,31 +184,50 @@ class Aligner:
                 held, size = [], 0
         yield from self._looked_up(held)
 
-    def _looked_up(self, docs: list[list[str]]) -> Iterator[tuple[int, int, int, bytes, str]]:
-        if len(self.known) > KNOWN // 2:
-            self.known, self.older = {}, self.known
-        new, at, some = set().union(*docs).difference(self.known), 0, {}
-        seen = new.intersection(self.older)
-        self.known.update(zip(seen, map(self.older.__getitem__, seen)))
-        new = list(new.difference(seen))
-        while at < len(new):
+    def _learned(self, pieces: list[str]) -> Iterator[tuple[str, Entry]]:
+        """Pieces with their entries; the libraries get LEARNED characters at a time."""
+        at = 0
+        while at < len(pieces):
             to, size = at, 0
             # what B reads as white space at the end of a piece would run into the next one, so it ends a batch
-            while to < len(new) and (to == at or size + len(new[to]) <= LEARNED and not (new[to - 1][-1].isspace() or new[to - 1][-1] == SPACE)):
-                size += len(new[to])
+            while to < len(pieces) and (to == at or size + len(pieces[to]) <= LEARNED and not (pieces[to - 1][-1].isspace() or pieces[to - 1][-1] == SPACE)):
+                size += len(pieces[to])
                 to += 1
-            for piece, entry in zip(new[at:to], self.learn(new[at:to])):
-                (self.known if len(piece) <= LONGEST else some)[piece] = entry
+            yield from zip(pieces[at:to], self.learn([p if p[0] in " \n" else f" {p}" for p in pieces[at:to]]))
             at = to
+
+    def _looked_up(self, docs: list[list[str]]) -> Iterator[tuple[int, int, int, bytes, str]]:
+        if len(self.known) > KNOWN // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = set().union(*docs).difference(known)
+        stopped = {p: m.groups() for p in new if (m := _STOPPED.fullmatch(p))} if self.cut else {}
+        new = new.difference(stopped).union(word for word, _ in stopped.values() if word not in known)
+        seen = new.intersection(older)
+        known.update(zip(seen, map(older.__getitem__, seen)))
+        passing = list(stopped)  # pieces that aren't kept
+        for piece, entry in self._learned(list(new.difference(seen))):
+            known[piece] = entry
+            if len(piece) > LONGEST:
+                passing.append(piece)
+        stops = list({stop for _, stop in stopped.values()}.difference(self.stops))
+        if stops:
+            self.stops.update(zip(stops, self.learn(stops)))
+        for piece, (word, stop) in stopped.items():
+            (n, keys, groups), (more_n, more_keys, more_groups) = known[word], self.stops[stop]
+            known[piece] = n + more_n, keys + more_keys, groups + more_groups
         for pieces in docs:
-            entries = [self.known[p] if p in self.known else some[p] for p in pieces] if some else [self.known[p] for p in pieces]
-            if not entries or None in entries:
+            n, keys, groups = zip(*map(known.__getitem__, pieces)) if pieces else ((), (), ())
+            n_a = sum(n)
+            if not n_a or n_a >= BAD[0]:
                 yield 0, 0, 0, b"", ""
                 continue
-            keys = b"".join(map(itemgetter(2), entries))
-            n_a, n_groups = sum(map(itemgetter(0), entries)), sum(map(itemgetter(1), entries))
+            keys, groups = b"".join(keys), "".join(groups)
+            n_groups = groups.count(";")
             # ends of links are those of either's tokens, ends of groups those of both
-            yield n_a, len(keys) // self.dtype.itemsize + n_groups - n_a, n_groups, keys, ";".join(map(itemgetter(3), entries))
+            yield n_a, len(keys) // self.dtype.itemsize + n_groups - n_a, n_groups, keys, groups[:-1]
+        for piece in passing:
+            del known[piece]
 
 
 @functools.cache

@@ -88,6 +88,30 @@ def test_pieces_are_learned_anew_when_there_are_too_many(tool, monkeypatch):
     assert [x[4] for x in own.documents(texts)] == [plain_alignment(tool, t)[2] for t in texts]
 
 
+def test_words_with_stops_and_at_line_ends(tool):
+    r = Random(2)
+    parts = [".", ",", "!?", "...", ".,;:!?", " ", " ", "\n", "\n", "\r\n", "\t", "\x1c", "a", "Word", "größe", "²", "ª", "1", "é", "中", "'s", "\"", "ñ.", "the", "▁"]
+    texts = ["".join(r.choice(parts[:-1] if r.random() < 0.97 else parts) for _ in range(r.randrange(1, 40))) for _ in range(3000)]
+    texts += ["\nword", "word\n", "a\nword.\nword", "\n", "\n\n", ".", " .", "a.", "▁\na.", "a ▁. b", "\n.", "a \nb.", "a\n b."]
+    for text, (n_a, n_b, n_groups, keys, groups) in zip(texts, tool.documents(texts)):
+        a, b, want, links = plain_alignment(tool, text)
+        pairs = [(k % tool.width, k // tool.width) for k in align.np.frombuffer(keys, tool.dtype).tolist()]
+        assert (n_a, n_b, n_groups, groups, pairs) == (a, b, want.count(";") + bool(want), want, links), text
+
+
+def test_words_with_stops_and_at_line_ends_are_not_learned_anew(monkeypatch):
+    own, sent = align.Aligner(*map(tokenizer_path, PATHS)), []
+    learn = own.learn
+    monkeypatch.setattr(own, "learn", lambda pieces: sent.extend(pieces) or learn(pieces))
+    words = [x + y + z for x in "ancient" for y in ("ou", "ière", "st") for z in ("tion", "ß", "able")]
+    stops = [".", ",", "?!"]
+    list(own.documents([" ".join(words), " ".join(f"a\n{w}" for w in words)]))
+    sent.clear()
+    texts = [" ".join(w + s for w in words for s in stops), " ".join(f"a{s}\n{w}{s}" for w in words for s in stops)]
+    assert [x[4] for x in own.documents(texts)] == [plain_alignment(own, text)[2] for text in texts]
+    assert sorted(sent) == sorted(stops)
+
+
 def columns(df):
     return sorted((tuple(r) for r in df.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256").collect()), key=str)
 
