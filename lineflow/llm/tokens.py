@@ -1,8 +1,10 @@
 """Token ids of whole texts by a public tokenizer file, with words looked up in a table.
 
 A word-level tokenizer gives a word the same ids wherever it stands, so each task keeps
-the ids of the words it has seen and asks the library about new words only. Texts with
-characters for which Python's splitting might differ go to the library whole.
+the ids of the words it has seen and asks the library about new words only. Where words
+don't cross white space, texts are split there and before stops, and the pattern splits only
+what is new and not letters alone. Texts with characters for which Python's splitting might
+differ go to the library whole.
 """
 
 from __future__ import annotations
@@ -23,6 +25,9 @@ PIECE = 1 << 20
 #: Characters that Python and the library lower-case, split and normalise alike.
 _PLAIN = re.compile(r"[\t-\r\x20-\x7eÀ-ÿ]*")
 _SPACE = re.compile(r"[\t-\r ]")
+#: A pattern whose words don't cross white space, and stops that are no words of their own by it, as signs before them belong to the word.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_RUN = re.compile(r"[.,](?<=[!-/:-@\[-`{-~×÷].)")
 _LAST = object()
 #: End-of-document id.
 END = 1
@@ -41,6 +46,7 @@ class WordTokenizer:
         self.dtype = np.dtype(f"<u{self.width}")
         self.split, self.known = self._splitter(spec), {}
         if self.split:
+            self.spaced = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] == _WORDS
             suffix = spec["model"]["end_of_word_suffix"]
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
@@ -86,15 +92,26 @@ class WordTokenizer:
     def _whole(self, piece: str) -> bytes:
         return np.array(self.library.encode_batch_fast([piece], add_special_tokens=False)[0].ids, self.dtype).tobytes()
 
+    def _chunks(self, text: str) -> list[str]:
+        """Words of a plain text, or chunks of whole words."""
+        if not self.spaced or _RUN.search(text):
+            return self.split.findall(text)
+        return text.replace(".", " .").replace(",", " ,").split()
+
     def _looked_up(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece; new words of all pieces are learned at once."""
         plain = [self.split is not None and bool(_PLAIN.fullmatch(p)) and not any(s in p for s in self.special) for p in pieces]
-        words = [self.split.findall(p.lower()) if fits else [] for p, fits in zip(pieces, plain)]
+        chunks = [self._chunks(p.lower()) if fits else [] for p, fits in zip(pieces, plain)]
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        self._learn(list(set().union(*words).difference(self.known)))
+        new = set().union(*chunks).difference(self.known)
+        made = {c: words for c in new if not c.isalpha() and (words := self.split.findall(c)) != [c]} if self.split and self.spaced else {}
+        if made:
+            new = new.difference(made).union(set().union(*made.values()).difference(self.known))
+        self._learn(list(new))
         get = self.known.__getitem__
-        return [b"".join(map(get, w)) if fits else self._whole(p) for p, w, fits in zip(pieces, words, plain)]
+        self.known.update([(c, b"".join(map(get, words))) for c, words in made.items()])
+        return [b"".join(map(get, c)) if fits else self._whole(p) for p, c, fits in zip(pieces, chunks, plain)]
 
     def documents(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """For each text its ids and the end id, as little-endian integers of self.width bytes."""

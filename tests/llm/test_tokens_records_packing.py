@@ -1,5 +1,7 @@
 import struct
 import zlib
+from random import Random
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -38,6 +40,26 @@ def test_word_table_equals_library(library, monkeypatch):
             assert mine.document(text).tolist() == plain_ids(library, text), text
 
 
+def test_chunks_of_words_equal_library(library):
+    r = Random(3)
+    parts = [".", ",", "..", ".'s", "'", "'s", "'ll", "!", "$", "×", "÷", " ", " ", "\n", "\t", "a", "Word", "größe", "É", "3", "12", "-", "(", "|>", "é", "²"]
+    texts = ["".join(r.choice(parts[:-1] if r.random() < 0.97 else parts) for _ in range(r.randrange(1, 40))) for _ in range(3000)]
+    texts += [".", ",.", "a.b,c", "3.5, it's. don't, x'. 'y.", "÷.", "a .", "a. .b", ".,", "_, a_.", "\n.a"]
+    for text, ids in zip(texts, WordTokenizer(tokenizer_path()).documents(texts)):
+        assert ids.tolist() == plain_ids(library, text), text
+
+
+def test_known_words_are_not_split_again(library):
+    mine, got = WordTokenizer(tokenizer_path()), []
+    pattern = mine.split
+    mine.split = SimpleNamespace(findall=lambda text: got.append(text) or pattern.findall(text))
+    text = "Words with stops, and others. It's 12 o'clock (or 3.5) not more."
+    assert mine.document(text).tolist() == plain_ids(library, text)
+    got.clear()
+    assert mine.document(text).tolist() == plain_ids(library, text)
+    assert not [t for t in got if t.isalpha() or len(t) > 10]
+
+
 def test_record_file_query(spark, sf_dir, library):
     docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
     expected, start = {}, 0
